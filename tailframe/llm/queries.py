@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tailframe.llm import langid, license_scan, quality, sentencepiece, simhash, url_filter, warc
+from tailframe.llm import ann, langid, license_scan, quality, sentencepiece, simhash, url_filter, warc
 from tailframe.llm.common import table
 
 #: Where the vocabulary files of public tokenizers lie.
@@ -33,6 +33,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(spark, manifest, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -69,6 +73,7 @@ def queries() -> dict:
     return {
         "op1_sentencepiece": op1_sentencepiece,
         "op2_warc": op2_warc,
+        "op3_ann": op3_ann,
         "op5_simhash": op5_simhash,
         "op7_license_scan": op7_license_scan,
         "op8_quality_rules": op8_quality_rules,
