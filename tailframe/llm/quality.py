@@ -7,12 +7,13 @@ conjunctions, and it runs as one ``CASE WHEN`` expression, so judging the corpus
 
 Edge cases: null and empty texts have all statistics 0 and fail the base rules; repeated rows are judged alike;
 rows with a null id are judged like others but are never training rows; with no labels, or labels of one class
-only, the list is empty and rejects nothing beyond the base rules. Extra columns are kept by
-``with_quality_stats`` unless they bear the name of a statistic, in which case the statistic replaces them.
+only, the list is empty and rejects nothing beyond the base rules; an empty table gives no rows. Extra columns are
+kept unless they bear the name of an added column, which then replaces them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,13 +24,13 @@ from tailframe.llm.common import SPACE, bounded_sample, let, words
 
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
-#: What conditions of the list may test, as expressions over the statistics.
-FEATURES = {
-    "n_words": "cast(n_words as double)",
-    "mean_word_chars": "word_chars / greatest(n_words, 1)",
-    "symbols_per_word": "n_symbols / greatest(n_words, 1)",
-    "dup_lines": "cast(n_dup_lines as double)",
-    "repeat_share": "n_repeat_words / greatest(n_words, 1)",
+#: What conditions of the list may test, of the struct of statistics.
+FEATURES: dict[str, Callable[[Column], Column]] = {
+    "n_words": lambda q: q["n_words"].cast("double"),
+    "mean_word_chars": lambda q: q["word_chars"] / F.greatest(q["n_words"], F.lit(1)),
+    "symbols_per_word": lambda q: q["n_symbols"] / F.greatest(q["n_words"], F.lit(1)),
+    "dup_lines": lambda q: q["n_dup_lines"].cast("double"),
+    "repeat_share": lambda q: q["n_repeat_words"] / F.greatest(q["n_words"], F.lit(1)),
 }
 
 
@@ -55,28 +56,36 @@ def _repeat_words(w: Column) -> Column:
     return F.when(F.size(w) < 3, 0).when(repeats, let(let(grams, again), covered)).otherwise(0).cast("long")
 
 
-def with_quality_stats(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Adds the columns of ``STATS`` (all long): words, code points in them, symbols, repeated lines and words."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
+def quality_stats(text: Column) -> Column:
+    """The statistics as a struct of longs: words, code points in them, symbols, repeated lines and words.
+
+    The words are bound once inside the expression, so that it stays linear in the text wherever the optimizer
+    moves it, such as into a filter below.
+    """
+    text = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.trim(x, F.lit(" \t\n\x0b\f\r")) != "")
-    return (
-        df.withColumn("_w", words(text))
-        .withColumns(
-            {
-                "n_words": F.size("_w").cast("long"),
-                "word_chars": F.char_length(F.array_join("_w", "")).cast("long"),
-                "n_symbols": F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long"),
-                "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-                "n_repeat_words": _repeat_words(F.col("_w")),
-            }
+
+    def of(w: Column) -> Column:
+        return F.struct(
+            F.size(w).cast("long").alias("n_words"),
+            F.char_length(F.array_join(w, "")).cast("long").alias("word_chars"),
+            F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
+            let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+            _repeat_words(w).alias("n_repeat_words"),
         )
-        .drop("_w")
-    )
+
+    return let(words(text), of)
 
 
-def base_failed() -> Column:
+def with_quality_stats(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """Adds the columns of ``STATS``."""
+    kept = [c for c in df.columns if c not in STATS]
+    return df.select(*kept, quality_stats(F.col(text_col)).alias("_stats")).select(*kept, *(F.col("_stats")[n].alias(n) for n in STATS))
+
+
+def base_failed(q: Column) -> Column:
     """The fixed rules: under 50 words, or over half of the words in repeated windows."""
-    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return (q["n_words"] < 50) | (100 * q["n_repeat_words"] > 50 * q["n_words"])
 
 
 @dataclass(frozen=True)
@@ -85,8 +94,8 @@ class Condition:
     above: bool
     threshold: float
 
-    def column(self) -> Column:
-        value = F.expr(FEATURES[self.feature])
+    def column(self, q: Column) -> Column:
+        value = FEATURES[self.feature](q)
         return value > self.threshold if self.above else value <= self.threshold
 
     def holds(self, x: dict[str, np.ndarray]) -> np.ndarray:
@@ -161,13 +170,13 @@ def learn_rules(x: dict[str, np.ndarray], bad: np.ndarray, max_rules: int = 16,
     return rules
 
 
-def rejects(rules: list[Rule]) -> Column:
+def rejects(rules: list[Rule], q: Column) -> Column:
     """The list as one ordered conditional expression over the statistics: true for a rejected row."""
     verdict = None
     for rule in rules:
         test = F.lit(True)
         for c in rule:
-            test = test & c.column()
+            test = test & c.column(q)
         verdict = F.when(test, True) if verdict is None else verdict.when(test, True)
     return F.lit(False) if verdict is None else verdict.otherwise(False)
 
@@ -181,16 +190,24 @@ def learn_decision_list(docs: DataFrame, labels: DataFrame, id_col: str = "doc_i
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label")).where("_id is not null and _label in (0, 1)")
     known = F.broadcast(bounded_sample(known, "_id", max_labelled))
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    # The join comes before the statistics; the filter on them would otherwise be free to move.
     rows = (
-        with_quality_stats(texts.join(known, "_id"), "_text")
-        .select("_id", "_label", *(F.expr(e).alias(n) for n, e in FEATURES.items()))
+        texts.join(known, "_id")
+        .select("_id", "_label", quality_stats(F.col("_text")).alias("_stats"))
+        .select("_id", "_label", *(f(F.col("_stats")).alias(n) for n, f in FEATURES.items()))
         .collect()
     )
     rows.sort(key=lambda r: tuple(r))
     return learn_rules({n: np.array([r[n] for r in rows], float) for n in FEATURES}, np.array([r["_label"] == 0 for r in rows], bool), **how)
 
 
+def keeps(text: Column, rules: list[Rule]) -> Column:
+    """The whole verdict on a text as one expression, for filters: the base rules, then the list."""
+    return let(quality_stats(text), lambda q: ~base_failed(q) & ~rejects(rules, q))
+
+
 def judge_quality(docs: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFrame:
-    """Adds the statistics, ``base_failed`` and ``kept``."""
-    return with_quality_stats(docs, text_col).withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~rejects(rules))
+    """Adds the statistics, ``base_failed`` and ``kept``. To filter only, ``keeps`` costs half."""
+    others = [c for c in docs.columns if c not in (*STATS, "base_failed", "kept")]
+    q = F.col("_stats")
+    judged = docs.select(*others, quality_stats(F.col(text_col)).alias("_stats"))
+    return judged.select(*others, *(q[n].alias(n) for n in STATS), base_failed(q).alias("base_failed"), (~base_failed(q) & ~rejects(rules, q)).alias("kept"))

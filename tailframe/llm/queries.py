@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tailframe.llm import ann, langid, license_scan, quality, sentencepiece, simhash, url_filter, warc
+from tailframe.llm import ann, html_text, langid, license_scan, mixing, quality, sentencepiece, simhash, url_filter, warc
 from tailframe.llm.common import table
 
 #: Where the vocabulary files of public tokenizers lie.
@@ -37,11 +37,31 @@ def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+#: Target weights of the mixture; sources of a language count alike.
+MIX_WEIGHTS = {"domain": {"d0": 4, "d1": 3, "d2": 2}, "lang": {"en": 5, "de": 2, "fr": 2}}
+
+
+def mix_levels() -> dict:
+    """Domain, language and source. Sources are named by number; a domain is their remainder by 4."""
+    domain = F.concat(F.lit("d"), F.regexp_extract("source", "([0-9]{1,9})$", 1).try_cast("int") % 4)
+    return {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", mixing.token_count(F.col("text")).alias("n_tokens"))
+    mixed = mixing.select_mixture(docs, mix_levels(), MIX_WEIGHTS, n_tokens=F.col("n_tokens"))
+    return mixed.select("doc_id", "domain", "lang", "source", "epoch", "n_tokens")
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -74,7 +94,9 @@ def queries() -> dict:
         "op1_sentencepiece": op1_sentencepiece,
         "op2_warc": op2_warc,
         "op3_ann": op3_ann,
+        "op4_html_text": op4_html_text,
         "op5_simhash": op5_simhash,
+        "op6_mixing": op6_mixing,
         "op7_license_scan": op7_license_scan,
         "op8_quality_rules": op8_quality_rules,
         "op9_url_filter": op9_url_filter,
@@ -83,7 +105,7 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2_SQL, "op7_license_scan": op7_sql(), "op9_url_filter": op9_sql()}
+    return {"op2_warc": OP2_SQL, "op6_mixing": op6_sql(), "op7_license_scan": op7_sql(), "op9_url_filter": op9_sql()}
 
 
 # DuckDB has no base 32: each run of 5 bits of the digest picks a letter.
@@ -105,6 +127,36 @@ from d join m using (h) join b32 using (h)
 """
 
 
+def op6_sql(budget_percent: int = 80, max_epochs: int = 2, seed: int = 42) -> str:
+    levels = ["domain", "lang", "source"]
+    steps, above = [], f"(select cast(coalesce(sum(tokens), 0) * {budget_percent} // 100 as bigint) as share from leaves)"
+    for depth, level in enumerate(levels):
+        path, up = ", ".join(levels[: depth + 1]), levels[:depth]
+        weight = "case " + level + " " + " ".join(f"when '{v}' then {w}" for v, w in MIX_WEIGHTS.get(level, {"": 1}).items()) + " else 1 end"
+        part = f"partition by {', '.join(up)}" if up else ""
+        match = f"join {above} b using ({', '.join(up)})" if up else f", {above} b"
+        steps.append(f"""
+n{depth} as (select n.*, b.share as budget from (select {path}, sum(capacity)::hugeint as capacity, ({weight})::hugeint as weight from leaves group by {path}) n {match}),
+u{depth} as (select *, sum(weight) over ({part}) as aw, sum(weight) over ({part} order by cast(capacity as double) / weight, {level} rows unbounded preceding) as wu,
+  sum(capacity) over ({part} order by cast(capacity as double) / weight, {level} rows unbounded preceding) as cu from n{depth}),
+f{depth} as (select *, capacity * (aw - wu) <= (budget - cu) * weight as is_full from u{depth}),
+g{depth} as (select *, coalesce(sum(case when is_full then capacity end) over ({part}), 0) as fc, coalesce(sum(case when is_full then weight end) over ({part}), 0) as fw from f{depth}),
+b{depth} as (select {path}, case when is_full then capacity else (budget - fc) * weight // (aw - fw) end as share from g{depth})""")
+        above = f"b{depth}"
+    return f"""
+with d as (select doc_id, coalesce('d' || (try_cast(nullif(regexp_extract(source, '([0-9]{{1,9}})$', 1), '') as int) % 4), 'unknown') as domain,
+    coalesce(lang, 'unknown') as lang, coalesce(source, 'unknown') as source,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as n_tokens from documents),
+leaves as (select domain, lang, source, sum(n_tokens) as tokens, sum(n_tokens) * {max_epochs} as capacity from d group by all),
+{','.join(steps).strip()},
+l as (select domain, lang, source, cast(share // greatest(tokens, 1) as bigint) as full_epochs, share % greatest(tokens, 1) as rest from leaves join b2 using (domain, lang, source)),
+o as (select d.*, full_epochs, rest, md5('{seed}|' || full_epochs || '|' || coalesce(doc_id::varchar, '')) as place from d join l using (domain, lang, source)),
+s as (select *, sum(n_tokens) over (partition by domain, lang, source order by place, doc_id rows unbounded preceding) - n_tokens as so_far from o),
+t as (select *, full_epochs + case when so_far < rest then 1 else 0 end as times from s)
+select doc_id, domain, lang, source, unnest(range(0, times)) as epoch, n_tokens from t where times > 0
+"""
+
+
 def op7_sql() -> str:
     places = []
     for phrase, label in license_scan.PHRASES:
