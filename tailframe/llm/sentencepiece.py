@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -73,7 +74,8 @@ class PieceModel:
     dummy_prefix: bool
     squeeze: bool
     escape: bool
-    _memo: dict = field(default_factory=dict, repr=False)
+    _memo: dict[str, dict[int, bool]] = field(default_factory=dict, repr=False)
+    _pairs: int = field(default=0, repr=False)
 
     @classmethod
     def parse(cls, data: bytes) -> PieceModel:
@@ -101,7 +103,7 @@ class PieceModel:
         return cls(pieces, scores, kinds, trainer.get(3, 1) == 2, bool(norm.get(3, 1)), bool(norm.get(4, 1)), bool(norm.get(5, 1)))
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_memo": {}}
+        return self.__dict__ | {"_memo": {}, "_pairs": 0}
 
     def prepare(self) -> None:
         """Lookup tables, made once for each worker."""
@@ -115,11 +117,11 @@ class PieceModel:
                 self.byte_ids[int(p[1:-1], 16)] = i
         self.unknown = self.kinds.index(UNKNOWN) if UNKNOWN in self.kinds else 0
         self.floor = min((self.scores[i] for i in self.ids.values()), default=0.0) - 10.0  # of a character without a piece
-        # Lengths of the pieces that end with two given characters, longest first: the lattice's arcs into a place.
+        # Lengths of the pieces that end with three given characters, longest first: the lattice's arcs into a place.
         ends: dict[str, set[int]] = {}
         for p in self.ids:
-            if len(p) > 1:
-                ends.setdefault(p[-2:], set()).add(len(p))
+            if len(p) > 2:
+                ends.setdefault(p[-3:], set()).add(len(p))
         self.ends = {c: tuple(sorted(n, reverse=True)) for c, n in ends.items()}
         # What each id decodes to by itself; bytes of longer characters only mean something together.
         high = {i for b, i in enumerate(self.byte_ids) if b > 127 and i is not None}
@@ -156,37 +158,37 @@ class PieceModel:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def stable(self, left: str, right: str) -> bool:
-        """Whether the merges leave these two pieces as they are, side by side."""
-        known = self._memo.get((left, right))
-        if known is None:
-            if len(self._memo) >= _KEEP:
-                self._memo.clear()
-            known = self._memo[left, right] = self._merged(left + right) == ([left, right] if left else [right])
-        return known
+    def _stable(self, left: str, right: str, known: dict[int, bool]) -> bool:
+        """Whether the merges leave these two pieces as they are, side by side; ``known`` keeps it for ``left``."""
+        self._pairs += 1
+        if self._pairs > _KEEP:
+            self._memo.clear()
+            self._pairs = 0
+        verdict = known[self.ids[right]] = self._merged(left + right) == ([left, right] if left else [right])
+        return verdict
 
     def encode_words(self, words: list[str]) -> Iterator[list[int]]:
         """Ids of each word. ``words`` are distinct and sorted, so that neighbours share the longest prefixes."""
         self.prepare()
         forward = self._forward_bpe if self.bpe else self._forward_unigram
-        ids_get = self.ids.get
-        before, score, back = "", [0.0], [0]
+        # Of each prefix: its forward state, the length of the piece that ends it, and that piece's id.
+        state, back, last = [self._memo.setdefault("", {}) if self.bpe else 0.0], [0], [None]
+        before = ""
         for word in words:
             shared, most = 0, min(len(word), len(before))
             while shared < most and word[shared] == before[shared]:
                 shared += 1
-            del score[shared + 1 :], back[shared + 1 :]
-            forward(word, shared, score, back)
+            del state[shared + 1 :], back[shared + 1 :], last[shared + 1 :]
+            forward(word, shared, state, back, last)
             before = word
             found, end = [], len(word)
             while end:
-                n = back[end]
-                i = ids_get(word[end - n : end])
+                i = last[end]
                 if i is None:
-                    found += self._bytes(word[end - n : end])
+                    found += self._bytes(word[end - 1])
                 else:
                     found.append(i)
-                end -= n
+                end -= back[end]
             found.reverse()
             yield found
 
@@ -196,32 +198,44 @@ class PieceModel:
             return [self.unknown]
         return [self.byte_ids[b] for b in reversed(piece.encode("utf-8", "replace"))]
 
-    def _forward_unigram(self, word: str, start: int, score: list[float], back: list[int]) -> None:
-        ids, scores, ends = self.ids, self.scores, self.ends
+    def _forward_unigram(self, word: str, start: int, state: list[float], back: list[int], last: list[int | None]) -> None:
+        ids_get, scores, ends = self.ids.get, self.scores, self.ends
         for end in range(start + 1, len(word) + 1):
-            i = ids.get(word[end - 1])
-            best, length = score[end - 1] + (self.floor if i is None else scores[i]), 1
-            for n in ends.get(word[end - 2 : end] if end > 1 else "", ()):
-                if n <= end and (i := ids.get(word[end - n : end])) is not None and (s := score[end - n] + scores[i]) > best:
-                    best, length = s, n
-            score.append(best)
+            found, length = ids_get(word[end - 1]), 1
+            best = state[end - 1] + (self.floor if found is None else scores[found])
+            for n in (2, *ends.get(word[end - 3 : end], ())) if end > 2 else (2,):
+                if n <= end and (i := ids_get(word[end - n : end])) is not None and (s := state[end - n] + scores[i]) > best:
+                    best, length, found = s, n, i
+            state.append(best)
             back.append(length)
+            last.append(found)
 
-    def _forward_bpe(self, word: str, start: int, score: list[float], back: list[int]) -> None:
-        ids, ends, stable, memo_get = self.ids, self.ends, self.stable, self._memo.get
+    def _forward_bpe(self, word: str, start: int, state: list[dict[int, bool]], back: list[int], last: list[int | None]) -> None:
+        """The state of a prefix is what is known of the pieces that may follow its last piece."""
+        ids_get, ends, memo = self.ids.get, self.ends, self._memo
         for end in range(start + 1, len(word) + 1):
-            length = 1
-            for n in ends.get(word[end - 2 : end], ()) if end > 1 else ():
-                if n > end or (piece := word[end - n : end]) not in ids:
+            for n in (*ends.get(word[end - 3 : end], ()), 2) if end > 2 else (2,):
+                if n > end:
                     continue
-                begin = end - n
-                left = word[begin - back[begin] : begin]
-                known = memo_get((left, piece))
-                if stable(left, piece) if known is None else known:
-                    length = n
+                piece = word[end - n : end]
+                i = ids_get(piece)
+                if i is None:
+                    continue
+                known = state[end - n].get(i)
+                if known is None:
+                    begin = end - n
+                    known = self._stable(word[begin - back[begin] : begin], piece, state[begin])
+                if known:
                     break
-            score.append(0.0)
-            back.append(length)
+            else:
+                n, piece = 1, word[end - 1]
+                i = ids_get(piece)
+            follow = memo.get(piece)
+            if follow is None:
+                follow = memo[piece] = {}
+            state.append(follow)
+            back.append(n)
+            last.append(i)
 
     def decode(self, ids: list[int] | None) -> str:
         self.prepare()
@@ -244,27 +258,27 @@ class PieceModel:
 
 
 class _Encoder:
-    """Encodes slices of texts; keeps the ids of words seen, up to a bound."""
+    """Encodes slices of texts; keeps the ids of words seen, up to a bound. A worker's tasks share one."""
 
     def __init__(self, model: PieceModel):
         self.model, self.known = model, {}
 
+    @classmethod
+    def of(cls, model: PieceModel) -> _Encoder:
+        if not hasattr(model, "encoder"):
+            model.encoder = cls(model)
+        return model.encoder
+
     def __call__(self, texts: list[str | None]) -> list[list[int]]:
         cut = [_WORDS.findall(self.model.normalize(t)) if t else [] for t in texts]
-        fresh = set().union(*cut).difference(self.known)
+        distinct = set().union(*cut)
+        fresh = distinct.difference(self.known)
         if len(self.known) + len(fresh) > _KEEP:
-            self.known = {}
-            fresh = set().union(*cut)
+            self.known, fresh = {}, distinct
         order = sorted(fresh)
-        known = self.known
-        known.update(zip(order, self.model.encode_words(order)))
-        out = []
-        for words in cut:
-            ids: list[int] = []
-            for w in words:
-                ids += known[w]
-            out.append(ids)
-        return out
+        self.known.update(zip(order, self.model.encode_words(order)))
+        ids_of = self.known.__getitem__
+        return [list(chain.from_iterable(map(ids_of, words))) for words in cut]
 
 
 def _slices(column: pa.Array) -> Iterator[list[str | None]]:
@@ -293,7 +307,7 @@ def encode(df: DataFrame, model: PieceModel, text_col: str = "text", out_col: st
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _Encoder(shared.value)
+        encoder = _Encoder.of(shared.value)
         for batch in batches:
             start = 0
             for texts in _slices(batch.column(at)):
@@ -327,7 +341,7 @@ def encode_and_verify(df: DataFrame, model: PieceModel, text_col: str = "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        encoder = _Encoder(model)
+        encoder = _Encoder.of(model)
         cut = 1 if model.dummy_prefix else 0
         for batch in batches:
             start = 0
