@@ -107,6 +107,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     names = linked.groupBy(F.col("label").alias("of")).agg(F.min("least").alias("name"))
     named = linked.join(names, F.col("label") == F.col("of")).select(F.col("node"), "name")
     ids = fps.join(named, fps["fp"] == named["node"], "left").select(F.col("fp").alias("_fp"), F.coalesce("name", "least").alias("component_id"))
+    # Written first, so that the last join is one of two tables, whose large partitions can be split.
+    ids = staged(ids, "components")
     return rows.join(ids, rows["fp"] == ids["_fp"]).select("doc_id", "fp", "component_id")
 
 
