@@ -10,7 +10,8 @@ tasks combine their own rows first, and at most ``max_langs`` x ``DIM`` counts r
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0, as is every text if nothing was
 learned; with one language learned it is predicted with score 1; repeated rows are predicted alike; rows with a
-null language are never learned from; an empty table gives no rows.
+null language are never learned from; an empty table gives no rows. Other columns pass through; one that bears the
+name of an added column is replaced by it.
 """
 
 from __future__ import annotations
@@ -128,8 +129,9 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", max_l
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep_text: bool = True, margin: float = 0.2) -> DataFrame:
     """Adds lang_pred, score and ambiguous. The model is small (bits x ``DIM`` floats) and is broadcast."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index(text_col)
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())]
+    docs = docs.drop(*(f.name for f in added))
+    at = docs.columns.index(text_col)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

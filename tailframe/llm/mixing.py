@@ -12,9 +12,8 @@ the square root of the leaf in both, so a source with a third of all rows burden
 
 Edge cases: a null in a level is the node ``unknown``; null and empty texts have no tokens, so they come along only in
 full epochs or before the end of a prefix; a leaf without tokens yields nothing; rows with null ids count as one
-id; repeated rows share one place in the order and are taken or left together; an empty table gives no rows;
-extra columns are kept, those named like a level excepted, and column ``epoch`` is added (a document of
-two epochs comes twice).
+id; repeated rows share one place in the order and are taken or left together; an empty table gives no rows.
+Columns are kept, but those named like a level or ``epoch`` are replaced (a document of two epochs comes twice).
 """
 
 from __future__ import annotations
@@ -104,13 +103,13 @@ def select_mixture(docs: DataFrame, levels: dict[str, Column], weights: dict[str
     plan = staged(leaves.join(last, names, "left").select(*names, "_full", "_last"), "mix-plan")
 
     # The plan has a row a leaf and is read from files, so Spark knows its size and broadcasts it only if small.
-    own = [c for c in docs.columns if c not in names]
-    taken = F.coalesce(F.struct(_place(seed, F.col("_full"), key).alias("_at"), key.alias("_key")) <= F.col("_last"), F.lit(False))
+    own = [c for c in docs.columns if c not in (*names, "epoch")]
+    rows = docs.select(F.struct(*(docs[c] for c in own)).alias("_row"), key.alias("_key"), *(c.alias(n) for n, c in tree.items()))
+    taken = F.coalesce(F.struct(_place(seed, F.col("_full"), F.col("_key")).alias("_at"), F.col("_key").alias("_key")) <= F.col("_last"), F.lit(False))
     return (
-        docs.select(*own, *(c.alias(n) for n, c in tree.items()))
-        .join(plan, names)
+        rows.join(plan, names)
         .withColumn("_times", F.col("_full") + taken.cast("long"))
         .where("_times > 0")
         .withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_times") - 1)))
-        .select(*own, *names, "epoch")
+        .select("_row.*", *names, "epoch")
     )

@@ -15,7 +15,7 @@ become byte pieces or the unknown piece.
 
 Edge cases: null and empty texts have no ids; null decodes to an empty text; repeated rows are encoded alike; a
 text of one very long word takes time and memory in proportion to its length; an empty table gives no rows. Other
-columns pass through; a column that bears the name of an added one is refused.
+columns pass through; one that bears the name of an added column is replaced by it.
 """
 
 from __future__ import annotations
@@ -295,15 +295,10 @@ def _slices(column: pa.Array) -> Iterator[list[str | None]]:
         yield rows
 
 
-def _added(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
-    if name in df.columns:
-        raise ValueError(f"there is a column {name} already")
-    return T.StructType([*df.schema.fields, T.StructField(name, kind)])
-
-
 def encode(df: DataFrame, model: PieceModel, text_col: str = "text", out_col: str = "ids") -> DataFrame:
     """Adds ``out_col``, the array of ids of the whole text."""
-    schema, at = _added(df, out_col, T.ArrayType(T.IntegerType())), df.columns.index(text_col)
+    df = df.drop(out_col)
+    schema, at = T.StructType([*df.schema.fields, T.StructField(out_col, T.ArrayType(T.IntegerType()))]), df.columns.index(text_col)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,7 +315,8 @@ def encode(df: DataFrame, model: PieceModel, text_col: str = "text", out_col: st
 
 def decode(df: DataFrame, model: PieceModel, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """Adds ``out_col``, the text that the ids stand for."""
-    schema, at = _added(df, out_col, T.StringType()), df.columns.index(ids_col)
+    df = df.drop(out_col)
+    schema, at = T.StructType([*df.schema.fields, T.StructField(out_col, T.StringType())]), df.columns.index(ids_col)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,6 +332,7 @@ def decode(df: DataFrame, model: PieceModel, ids_col: str = "ids", out_col: str
 def encode_and_verify(df: DataFrame, model: PieceModel, text_col: str = "text") -> DataFrame:
     """Replaces the text by ``ids``, ``n_tokens`` and ``round_trip``: whether decoding gives the normalised text back."""
     added = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()), T.StructField("round_trip", T.BooleanType())]
+    df = df.drop(*(f.name for f in added))
     at = df.columns.index(text_col)
     shared = df.sparkSession.sparkContext.broadcast(model)
 

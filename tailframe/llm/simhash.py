@@ -52,12 +52,12 @@ def _add_fingerprints(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.int64())], names=[*batch.schema.names, "fp"])
 
 
-def with_fingerprints(df: DataFrame, text_col: str = "text", keep_text: bool = False) -> DataFrame:
-    """Adds ``fp`` (long), by default dropping the text, of which whatever follows has no need."""
+def with_fingerprints(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """Adds ``fp`` (long) and drops the text, of which whatever follows has no need."""
+    df = df.drop("fp")
     at = df.columns.index(text_col)
     schema = T.StructType([*df.schema.fields, T.StructField("fp", T.LongType())])
-    out = df.mapInArrow(lambda batches: _add_fingerprints(batches, at), schema)
-    return out if keep_text else out.drop(text_col)
+    return df.mapInArrow(lambda batches: _add_fingerprints(batches, at), schema).drop(text_col)
 
 
 def _near(a: str, b: str):
@@ -118,13 +118,12 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Ids should be unique; of rows that repeat an id one is kept. A component of null ids alone keeps one row.
     """
     classes = near_duplicates(docs, id_col, text_col)
-    stay = classes.where("doc_id = component_id").select(F.col("doc_id").alias("_stay")).distinct()
-    named = docs.join(stay, F.col(id_col) == F.col("_stay")).drop("_stay").dropDuplicates([id_col])
+    stay = classes.where("doc_id = component_id").select(F.col("doc_id").alias("__stay_id")).distinct()
+    named = docs.join(stay, docs[id_col] == stay["__stay_id"]).drop("__stay_id").dropDuplicates([id_col])
     lost = classes.where("component_id is null").select("fp").distinct()
     if lost.isEmpty():
         return named
-    nameless = with_fingerprints(docs.where(F.col(id_col).isNull()), text_col, keep_text=True)
-    near = nameless.join(lost.withColumnRenamed("fp", "_fp"), F.col("fp") == F.col("_fp"))
-    labels = components(link_fingerprints(lost)).withColumnRenamed("node", "_node")
-    near = near.join(labels, F.col("fp") == F.col("_node"), "left").withColumn("_class", F.coalesce("label", "fp"))
-    return named.unionByName(near.dropDuplicates(["_class"]).select(*docs.columns))
+    packed = docs.where(F.col(id_col).isNull()).select(F.struct(*(docs[c] for c in docs.columns)).alias("_row"), F.col(text_col).alias("_text"))
+    labels = components(link_fingerprints(lost))
+    near = with_fingerprints(packed, "_text").join(lost.withColumnRenamed("fp", "_fp"), F.col("fp") == F.col("_fp")).join(labels, F.col("fp") == F.col("node"), "left")
+    return named.unionByName(near.withColumn("_class", F.coalesce("label", "fp")).dropDuplicates(["_class"]).select("_row.*"))

@@ -117,7 +117,7 @@ def _write_part(batches: Iterator[pa.RecordBatch], folder: str, date: str) -> It
     dictionary = _trained(first)
     compressor = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
     n = size = 0
-    with fs.open_output_stream(f"{base}/{name}") as out:
+    with fs.open_output_stream(f"{base}/{name}", compression=None) as out:
         if dictionary:
             packed = zstandard.ZstdCompressor(level=3).compress(dictionary)
             size += out.write(struct.pack("<II", DICT_MAGIC, len(packed)) + packed) or 0
@@ -237,7 +237,7 @@ def read_warc(spark: SparkSession, manifest: DataFrame, payload: bool = True) ->
     def batches_of(path: str, expected: int | None) -> Iterator[pa.RecordBatch]:
         fs, at = _opened(path)
         rows, size, n = [], 0, 0
-        with fs.open_input_stream(at) as stream:
+        with fs.open_input_stream(at, compression=None) as stream:
             for data in _frames(stream):
                 row = parse_record(data)
                 size += len(data) if payload else 0
