@@ -73,7 +73,7 @@ def kafka_headers() -> Column:
 
 def identity_headers(own: dict[str, str] | None = None, gzip: bool = False) -> Column:
     """HTTP headers of a batch. The user's own headers override the built-in ones, whatever their case."""
-    built_in = {"Content-Type": F.lit("application/json"), "X-Batch-Id": F.col("batch_id"), "X-Instance-Id": F.col("instance_id"), "X-Engine": F.col("engine"), "X-Log-File": F.col("log_file")}
+    built_in = {"Content-Type": F.lit("application/json"), "X-Batch-Id": F.col("batch_id"), "X-Instance-Id": F.col("instance_id"), "X-Log-File": F.col("log_file")}
     if gzip:
         built_in["Content-Encoding"] = F.lit("gzip")
     taken = {k.lower() for k in own or {}}

@@ -64,7 +64,7 @@ def oracle_sql() -> dict[str, str]:
         "deleted_checkpoints": log + _CURRENT + " " + _CHECKPOINT + " where log_file <> 'view.log'",
         "batch_sizes": chunks + _LINES + " select instance_id, engine, log_file, batch_id, count(*) as n_records, sum(strlen(message)) as batch_bytes from lines group by all",
         "coalesced_batches": chunks + "s as (select instance_id, log_file, strlen(data) as b, sum(strlen(data)) over (partition by instance_id, log_file order by chunk_no) - strlen(data) as before from chunks) select instance_id, log_file, before // 1000 as bucket, count(*) as n_chunks, sum(b) as batch_bytes from s group by all",
-        "webhook_payloads": chunks + _LINES + f" select instance_id, log_file, batch_id, count(*) as n_records, to_json(list({_RECORD} order by line_no))::varchar as payload, 'Content-Type' as first_header, 'all' as own_header, 5 as n_headers from lines group by instance_id, log_file, batch_id, engine",
+        "webhook_payloads": chunks + _LINES + f" select instance_id, log_file, batch_id, count(*) as n_records, to_json(list({_RECORD} order by line_no))::varchar as payload, 'Content-Type' as first_header, 'all' as own_header, 4 as n_headers from lines group by instance_id, log_file, batch_id, engine",
         "object_keys": chunks + _LINES + " select distinct batch_id, instance_id, log_file, engine, concat_ws('/', 'logs', instance_id, engine, regexp_extract(log_file, '([^/]*)$', 1), strftime(fetched_at, '%Y/%m/%d'), concat(epoch_us(fetched_at) // 1000, '-', batch_id, '.ndjson.gz')) as object_key, 'AES256' as sse from lines",
         "kafka_frame": chunks + _LINES + f" select concat_ws('|', instance_id, log_file) as key, to_json({_RECORD})::varchar as value, concat('logs-', engine) as topic, concat('batch-id=', batch_id, ';instance-id=', instance_id, ';log-file=', log_file, ';engine=', engine) as headers from lines",
         "ndjson_roundtrip": tailed,

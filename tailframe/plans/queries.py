@@ -168,8 +168,8 @@ def coalesced_batches(spark, d):
 
 
 def webhook_payloads(spark, d):
-    frame = sinks.webhook_frame(_records(spark, d), {"x-engine": "all"})
-    return frame.select("instance_id", "log_file", "batch_id", "n_records", "payload", F.map_keys("headers").getItem(0).alias("first_header"), F.col("headers")["x-engine"].alias("own_header"), F.size("headers").cast("long").alias("n_headers"))
+    frame = sinks.webhook_frame(_records(spark, d), {"x-log-file": "all"})
+    return frame.select("instance_id", "log_file", "batch_id", "n_records", "payload", F.map_keys("headers").getItem(0).alias("first_header"), F.col("headers")["x-log-file"].alias("own_header"), F.size("headers").cast("long").alias("n_headers"))
 
 
 def object_keys(spark, d):
