@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tailframe.functions.batches import payload_bytes
@@ -42,11 +42,25 @@ def compact(log: DataFrame, path: str) -> DataFrame:
     return log.sparkSession.read.parquet(path)
 
 
+def running_sum(rows: DataFrame, keys: list[str], order: str, value: Column, span: int = 4_096) -> DataFrame:
+    """Adds ``running``: the sum of ``value`` up to each row, by the whole number ``order``.
+
+    Sums of spans of ``order`` are added up first, then each span by itself, so a key with a large part of all rows is
+    spread over many tasks.
+    """
+    spans = F.floor(F.col(order) / span).cast("long")
+    rows = rows.withColumns({"_span": spans, "_value": value})
+    upto = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, 0)
+    sums = rows.groupBy(*keys, "_span").agg(F.sum("_value").alias("_sum"))
+    before = sums.select(*keys, "_span", (F.sum("_sum").over(upto) - F.col("_sum")).alias("_before"))
+    within = F.sum("_value").over(Window.partitionBy(*keys, "_span").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    return rows.join(before, [*keys, "_span"]).withColumn("running", F.col("_before") + within).drop("_span", "_value", "_before")
+
+
 def checkpoint_trail(drained: DataFrame, start_bytes: DataFrame | None = None) -> DataFrame:
     """A position after each drained chunk. ``bytes_written`` goes on counting from that of the resumed position."""
-    running = F.sum(payload_bytes(F.col("data"))).over(Window.partitionBy(*KEY).orderBy("hop").rowsBetween(Window.unboundedPreceding, 0))
-    if start_bytes is None:
-        before, rows = F.lit(0).cast("long"), drained
-    else:
-        before, rows = F.coalesce("_start", F.lit(0).cast("long")), drained.join(start_bytes.select(*KEY, F.col("bytes_written").alias("_start")), KEY, "left")
-    return rows.withColumn("bytes_written", before + running).select(*KEY, "hop", F.col("next_marker").alias("marker"), "bytes_written")
+    light = drained.select(*KEY, "hop", "next_marker", payload_bytes(F.col("data")).alias("n_bytes"))
+    rows, before = running_sum(light, KEY, "hop", F.col("n_bytes")), F.lit(0).cast("long")
+    if start_bytes is not None:
+        rows, before = rows.join(start_bytes.select(*KEY, F.col("bytes_written").alias("_start")), KEY, "left"), F.coalesce("_start", F.lit(0).cast("long"))
+    return rows.select(*KEY, "hop", F.col("next_marker").alias("marker"), (before + F.col("running")).alias("bytes_written"))

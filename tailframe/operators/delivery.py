@@ -68,6 +68,11 @@ def dlq_ids(dead: DataFrame, after: int = 0, at: str = "attempted_at") -> DataFr
     return dead.withColumn("_day", day).join(F.broadcast(before), "_day").withColumn("dlq_id", F.lit(after).cast("long") + F.col("_before") + number).drop("_day", "_before")
 
 
+def dlq_put(dead: DataFrame, path: str, after: int = 0) -> None:
+    """Appends dead letters to the table at ``path``, numbered after the largest id in use."""
+    dlq_ids(dead, after, "created_at").write.mode("append").parquet(path)
+
+
 def dlq_list(dlq: DataFrame, limit: int = 100) -> DataFrame:
     """The oldest entries; a limit below 1 means 100."""
     return dlq.orderBy("dlq_id").limit(limit if limit > 0 else 100)

@@ -19,14 +19,16 @@ def last_landed(chunks: DataFrame, order: str = "fetched_at") -> DataFrame:
 def drain_by_ordinal(chunks: DataFrame, positions: DataFrame, ordinal: str = "chunk_no") -> DataFrame:
     """The chunks from each ``from_marker`` up to the first without pending data, with ``hop`` from 1.
 
-    For tables whose chunks are numbered: one join and one window over the same key, so a single shuffle of chunks.
+    For tables that number a file's chunks consecutively. Two narrow scans find the first and the last number of each
+    file; the third joins them to the chunks. There is no window, so a file with very many chunks burdens no single task:
+    minima are combined before the shuffle, and the joins' large partitions can be split.
     """
-    start = positions.select(*KEY, "from_marker")
-    first = F.min(F.when(F.col("prev_marker") == F.col("from_marker"), F.col(ordinal))).over(Window.partitionBy(*KEY))
-    upto = Window.partitionBy(*KEY).orderBy(ordinal)
-    ended = F.sum(F.when(F.col("additional_pending"), 0).otherwise(1)).over(upto.rowsBetween(Window.unboundedPreceding, -1))
-    reached = chunks.join(start, KEY).withColumn("_first", first).where(F.col(ordinal) >= F.col("_first"))
-    return reached.withColumn("_ended", F.coalesce(ended, F.lit(0))).where("_ended = 0").withColumn("hop", F.row_number().over(upto)).drop("_first", "_ended", "from_marker")
+    start = positions.select(*KEY, F.col("from_marker").alias("prev_marker"))
+    first = chunks.select(*KEY, "prev_marker", ordinal).join(start, [*KEY, "prev_marker"]).groupBy(*KEY).agg(F.min(ordinal).alias("_first"))
+    ends = chunks.where(~F.col("additional_pending")).select(*KEY, F.col(ordinal).alias("_end"))
+    last = first.join(ends, KEY, "left").groupBy(*KEY, "_first").agg(F.min(F.when(F.col("_end") >= F.col("_first"), F.col("_end"))).alias("_last"))
+    reached = chunks.join(last, KEY).where((F.col(ordinal) >= F.col("_first")) & (F.col("_last").isNull() | (F.col(ordinal) <= F.col("_last"))))
+    return reached.withColumn("hop", (F.col(ordinal) - F.col("_first") + 1).cast("int")).drop("_first", "_last")
 
 
 def drain_by_marker(chunks: DataFrame, positions: DataFrame, max_hops: int = 1 << 20) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tailframe.functions.batches import JSON_TIME, identity_headers, kafka_headers, kafka_key, kafka_topic, object_key, record_json
 from tailframe.functions.names import basename
 from tailframe.operators.batches import assemble_batches
-from tailframe.operators.delivery import fan_out
+from tailframe.operators.delivery import fan_out, retry_outcome
 from tailframe.storage import staged
 
 PARTS = ["instance", "engine_name", "log_base", "dt", "batch"]
@@ -123,6 +123,16 @@ def deliver(batches: DataFrame, sinks: dict[str, tuple[str, Sink]]) -> DataFrame
     return staged(attempts, "attempts")
 
 
+def replay(dlq: DataFrame, sinks: dict[str, tuple[str, Sink]]) -> tuple[DataFrame, DataFrame]:
+    """Sends dead letters to the sinks they were meant for once more: the attempts, and the entries still to keep."""
+    attempts = None
+    for name, one in sinks.items():
+        sent = deliver(dlq.where(F.col("sink_name") == name), {name: one})
+        attempts = sent if attempts is None else attempts.unionByName(sent, allowMissingColumns=True)
+    arrived = retry_outcome(attempts).where("outcome = 'ok'").select("instance_id", "sink_name", "batch_id")
+    return attempts, dlq.join(arrived, ["instance_id", "sink_name", "batch_id"], "left_anti")
+
+
 def required(batches: DataFrame, sinks: DataFrame) -> DataFrame:
     """Every batch for every sink, to be compared with what was acknowledged."""
     return fan_out(batches.select("instance_id", "batch_id"), sinks.select("sink_name"))

@@ -7,7 +7,6 @@ the same offsets reads the same pages. Land what it yields (``land``) and run ev
 from __future__ import annotations
 
 import datetime as dt
-import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,15 +37,20 @@ class LogTail(DataSource):
 class _TailReader(DataSourceStreamReader):
     def __init__(self, options):
         self.path, self.page = options["path"], int(options.get("page_bytes", 1 << 20))
+        self.planned: dict[str, int] = {}
         self.instance, self.engine = options.get("instance_id", "local"), options.get("engine", "unknown")
 
     def _sizes(self) -> dict[str, int]:
-        found = {}
+        """Sizes by name. A file that can't be read stays where it was and does not hold up the others."""
         for folder, _, names in os.walk(self.path):
             for n in names:
                 full = os.path.join(folder, n)
-                found[os.path.relpath(full, self.path)] = os.path.getsize(full)
-        return found
+                try:
+                    with open(full, "rb"):
+                        self.planned[os.path.relpath(full, self.path)] = os.path.getsize(full)
+                except OSError:
+                    continue
+        return dict(self.planned)
 
     def initialOffset(self) -> dict:
         return {}
@@ -72,7 +76,9 @@ class _TailReader(DataSourceStreamReader):
                 yield (self.instance, self.engine, partition.name, str(begin), str(at), data.decode("utf-8", "replace"), at < partition.end, now)
 
     def commit(self, end: dict) -> None:
-        json.dumps(end)  # offsets are plain JSON; nothing else to keep
+        """Files that are gone need no offset any more: it is written in every batch, so only live files are kept."""
+        for name in [n for n in self.planned if not os.path.exists(os.path.join(self.path, n))]:
+            del self.planned[name]
 
 
 def land(spark: SparkSession, path: str, out: str, checkpoint: str, **options: str):

@@ -74,6 +74,13 @@ def run_to_end(stream: DataFrame, name: str, mode: str = "append", each: Callabl
     return out
 
 
+def poll(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, seconds: int = 10) -> StreamingQuery:
+    """Runs ``each`` on what has landed, at once and then every so many seconds, until the query is stopped."""
+    if seconds < 1:
+        raise ValueError("poll at most once a second")
+    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(processingTime=f"{seconds} seconds").foreachBatch(each).start()
+
+
 def fan_out_batch(sinks: dict[str, tuple[str, Sink]], out: str) -> Callable[[DataFrame, int], None]:
     """For foreachBatch: deliver to all sinks, then append attempts, then positions. A crash between repeats, never loses.
 

@@ -4,6 +4,7 @@ import datetime as dt
 import hashlib
 import http.server
 import json
+import os
 import threading
 
 import pytest
@@ -261,3 +262,43 @@ def test_failing_sink_loses_nothing(spark, tmp_path):
     delivered = spark.read.parquet(out)
     assert audit.missing_lines(lines.records(source), delivered).isEmpty()
     assert audit.dedupe_lines(delivered).count() == 200
+
+
+def test_polling_starts_at_once(spark, tmp_path):
+    source = chunk(spark, ("0", "1", "a\nb", False))
+    folder = str(tmp_path / "landed")
+    source.write.parquet(folder)
+    out = str(tmp_path / "out")
+    query = streams.poll(streams.tail_records(spark, folder, source.schema), lambda rows, epoch: rows.write.mode("append").parquet(out), str(tmp_path / "mark"), 1)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert spark.read.parquet(out).count() == 2
+    with pytest.raises(ValueError):
+        streams.poll(source, None, "", 0)
+
+
+def test_dead_letters_are_stored_and_replayed(spark, tmp_path):
+    path = str(tmp_path / "dlq")
+    dead = spark.createDataFrame([("i", f"b{k}", "siem", "[]", "error", T0 + dt.timedelta(days=3 - k)) for k in range(3)], "instance_id string, batch_id string, sink_name string, payload string, reason string, created_at timestamp")
+    delivery.dlq_put(dead, path)
+    delivery.dlq_put(dead.limit(1), path, after=3)
+    stored = spark.read.parquet(path)
+    assert [(r.dlq_id, r.batch_id) for r in delivery.dlq_list(stored, -1).collect()] == [(1, "b2"), (2, "b1"), (3, "b0"), (4, "b0")]
+    answer = F.when(F.col("batch_id") == "b1", 503).otherwise(200)
+    sink = lambda b: b.select("instance_id", "batch_id", F.lit(1).alias("attempt"), answer.alias("status"))
+    attempts, left = sinks.replay(stored, {"siem": ("http", sink)})
+    assert attempts.count() == 4 and [r.dlq_id for r in left.collect()] == [2]
+
+
+def test_unreadable_file_holds_up_no_other(tmp_path):
+    (tmp_path / "a.log").write_text("x\n")
+    os.symlink(tmp_path / "nowhere", tmp_path / "b.log")
+    reader = tail.LogTail({"path": str(tmp_path)}).streamReader(None)
+    offset = reader.latestOffset()
+    assert offset == {"a.log": 2} and [p.name for p in reader.partitions({}, offset)] == ["a.log"]
+    assert [row[5] for p in reader.partitions({"a.log": 9}, offset) for row in reader.read(p)] == ["x\n"]
+    os.remove(tmp_path / "a.log")
+    reader.commit(offset)
+    assert reader.latestOffset() == {}
