@@ -1,3 +1,4 @@
+import hashlib
 import re
 from collections import Counter
 
@@ -240,6 +241,39 @@ def brute_fill(budget, nodes):
     return share
 
 
+def brute_mixture(rows, levels, weights, budget_percent, max_epochs, seed):
+    """Ids taken, once for each epoch, of rows (id, path, tokens): budgets level by level, then one row at a time."""
+    taken = []
+
+    def share(budget, rows, depth):
+        if depth == len(levels):
+            total = sum(n for *_, n in rows)
+            full, rest = divmod(budget, max(total, 1))
+            taken.extend(i for i, *_ in rows for _ in range(full))
+            so_far = 0
+            for i, _, n in sorted(rows, key=lambda r: (hashlib.md5(f"{seed}|{full}|{r[0]}".encode()).hexdigest(), r[0])):
+                if so_far < rest:
+                    taken.append(i)
+                so_far += n
+            return
+        groups = {}
+        for r in rows:
+            groups.setdefault(r[1][depth], []).append(r)
+        own = weights.get(levels[depth], {})
+        shares = brute_fill(budget, {g: (max_epochs * sum(n for *_, n in rs), own.get(g, 1)) for g, rs in groups.items()})
+        for g, rs in groups.items():
+            share(shares[g], rs, depth + 1)
+
+    share(sum(n for *_, n in rows) * budget_percent // 100, rows, 0)
+    return taken
+
+
+def test_mixture_of_the_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [(r.doc_id, (f"d{int(r.source[3:]) % 4}", r.lang, r.source), len(space_words(r.text))) for r in docs.collect()]
+    assert sorted(r.doc_id for r in queries.op6_mixing(spark, sf_dir).collect()) == sorted(brute_mixture(rows, ["domain", "lang", "source"], queries.MIX_WEIGHTS, 80, 2, 42))
+
+
 def test_water_filling(spark):
     rng = np.random.default_rng(5)
     for _ in range(6):
