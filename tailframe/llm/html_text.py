@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tailframe.llm.url_filter import url_host, url_path
 
 #: Pages to a range, and ranges at most: what the driver holds is two keys of each.
-RANGE_PAGES, MAX_RANGES = 256, 4_096
+RANGE_PAGES, MAX_RANGES = 512, 1_024
 _NO_ID = -(1 << 63)
 
 # Element names of HTML, by what they do to the text.
