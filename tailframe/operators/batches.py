@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tailframe.functions.batches import payload_bytes, record_struct
+from tailframe.operators.checkpoints import running_sum
 
 BATCH = ["instance_id", "engine", "log_file", "batch_id"]
 
@@ -27,5 +28,5 @@ def assemble_batches(records: DataFrame) -> DataFrame:
 
 def coalesce_batches(sizes: DataFrame, max_bytes: int, order: str = "chunk_no") -> DataFrame:
     """Adds ``bucket``: consecutive batches of a file up to about ``max_bytes`` share one. Optional, off by default."""
-    before = F.sum("batch_bytes").over(Window.partitionBy("instance_id", "log_file").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)) - F.col("batch_bytes")
-    return sizes.withColumn("bucket", F.floor(before / max_bytes).cast("long"))
+    rows = running_sum(sizes, ["instance_id", "log_file"], order, F.col("batch_bytes"))
+    return rows.withColumn("bucket", F.floor((F.col("running") - F.col("batch_bytes")) / max_bytes).cast("long")).drop("running")

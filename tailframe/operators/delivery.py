@@ -31,8 +31,10 @@ def backoff_ms(attempt: Column, initial: int, multiplier: float, longest: int) -
     return F.least(F.lit(float(longest)), initial * F.pow(F.lit(multiplier), attempt - 1)).cast("long")
 
 
-def fan_out(batches: DataFrame, sinks: DataFrame) -> DataFrame:
-    """Every batch for every sink. Sinks are configuration, a handful of rows, and are broadcast."""
+def fan_out(batches: DataFrame, sinks: DataFrame, max_sinks: int = 1_000) -> DataFrame:
+    """Every batch for every sink. Sinks are configuration: they are counted, and more than ``max_sinks`` are refused."""
+    if (n := sinks.count()) > max_sinks:
+        raise ValueError(f"{n} sinks; max_sinks is {max_sinks}")
     return batches.crossJoin(F.broadcast(sinks))
 
 
@@ -65,7 +67,7 @@ def dlq_ids(dead: DataFrame, after: int = 0, at: str = "attempted_at") -> DataFr
     days = dead.groupBy(day.alias("_day")).agg(F.count("*").alias("_n"))
     before = days.withColumn("_before", F.sum("_n").over(Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).drop("_n")
     number = F.row_number().over(Window.partitionBy("_day").orderBy(at, "instance_id", "sink_name", "batch_id"))
-    return dead.withColumn("_day", day).join(F.broadcast(before), "_day").withColumn("dlq_id", F.lit(after).cast("long") + F.col("_before") + number).drop("_day", "_before")
+    return dead.withColumn("_day", day).join(before, "_day").withColumn("dlq_id", F.lit(after).cast("long") + F.col("_before") + number).drop("_day", "_before")
 
 
 def dlq_put(dead: DataFrame, path: str, after: int = 0) -> None:
