@@ -94,10 +94,11 @@ def select_mixture(docs: DataFrame, levels: dict[str, Column], weights: dict[str
     # Where the last epoch's prefix ends: first among hash ranges, then within one range of each leaf.
     placed = light.join(leaves.where("_rest > 0"), names).withColumn("_at", _place(seed, F.col("_full"), F.col("_key")))
     placed = placed.withColumn("_part", F.shiftright(F.conv(F.substring("_at", 1, 8), 16, 10).cast("long") * F.col("_parts"), 32))
-    sums = placed.groupBy(*names, "_part").agg(F.sum("n_tokens").alias("_sum"), F.first("_rest").alias("_rest"))
+    sums = placed.groupBy(*names, "_part").agg(F.sum("n_tokens").alias("_sum"), F.max("_rest").alias("_rest"))
     before = F.sum("_sum").over(Window.partitionBy(*names).orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_sum")
     ends = sums.withColumn("_before", before).where("_before < _rest and _rest <= _before + _sum").select(*names, "_part", "_before")
-    inside = placed.join(ends, [*names, "_part"])
+    # A row a leaf, written so that its size is known: then only the ranges in which prefixes end are shuffled.
+    inside = placed.join(staged(ends, "mix-ends"), [*names, "_part"])
     so_far = F.sum("n_tokens").over(Window.partitionBy(*names, "_part").orderBy("_at", "_key").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_tokens")
     last = inside.withColumn("_so_far", F.col("_before") + so_far).where("_so_far < _rest").groupBy(*names).agg(F.max(F.struct("_at", "_key")).alias("_last"))
     plan = staged(leaves.join(last, names, "left").select(*names, "_full", "_last"), "mix-plan")
