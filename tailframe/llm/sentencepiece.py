@@ -20,6 +20,7 @@ columns pass through; one that bears the name of an added column is replaced by
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -33,7 +34,7 @@ from pyspark.sql import types as T
 MARK = "▁"
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 #: Rows and characters after which the words gathered so far are encoded, and words kept for later slices.
-_ROWS, _CHARS, _KEEP = 4_000, 8 << 20, 600_000
+_ROWS, _CHARS, _KEEP = 4_000, 8 << 20, 400_000
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 
@@ -74,6 +75,7 @@ class PieceModel:
     dummy_prefix: bool
     squeeze: bool
     escape: bool
+    digest: str = ""
     _memo: dict[str, dict[int, bool]] = field(default_factory=dict, repr=False)
     _pairs: int = field(default=0, repr=False)
 
@@ -100,7 +102,7 @@ class PieceModel:
             raise ValueError("user-defined pieces are not supported")
         if any(MARK in p.lstrip(MARK) for p, k in zip(pieces, kinds) if k == NORMAL):
             raise ValueError("a piece holds a space behind another character; words can't be encoded one by one")
-        return cls(pieces, scores, kinds, trainer.get(3, 1) == 2, bool(norm.get(3, 1)), bool(norm.get(4, 1)), bool(norm.get(5, 1)))
+        return cls(pieces, scores, kinds, trainer.get(3, 1) == 2, bool(norm.get(3, 1)), bool(norm.get(4, 1)), bool(norm.get(5, 1)), hashlib.sha256(data).hexdigest())
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_memo": {}, "_pairs": 0}
@@ -257,6 +259,9 @@ class PieceModel:
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
 
+_latest: _Encoder | None = None
+
+
 class _Encoder:
     """Encodes slices of texts; keeps the ids of words seen, up to a bound. A worker's tasks share one."""
 
@@ -265,9 +270,11 @@ class _Encoder:
 
     @classmethod
     def of(cls, model: PieceModel) -> _Encoder:
-        if not hasattr(model, "encoder"):
-            model.encoder = cls(model)
-        return model.encoder
+        """The worker's encoder. Only the latest model's is kept, so that earlier jobs' words don't pile up."""
+        global _latest
+        if _latest is None or _latest.model.digest != model.digest:
+            _latest = cls(model)
+        return _latest
 
     def __call__(self, texts: list[str | None]) -> list[list[int]]:
         cut = [_WORDS.findall(self.model.normalize(t)) if t else [] for t in texts]
@@ -337,8 +344,8 @@ def encode_and_verify(df: DataFrame, model: PieceModel, text_col: str = "text")
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        encoder = _Encoder.of(model)
+        encoder = _Encoder.of(shared.value)
+        model = encoder.model
         cut = 1 if model.dummy_prefix else 0
         for batch in batches:
             start = 0
