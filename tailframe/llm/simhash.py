@@ -8,6 +8,11 @@ an exact way without pairs: two fingerprints lie within 2 bits just if some 64-b
 both, so each emits itself and its 64 one-bit neighbours, and whoever meets at a word links to the smallest
 there (at most 65 can meet). Components come from rounds of smallest-label passing with pointer jumping.
 
+Fingerprints of texts that share four fifths of their shingles differ in up to a dozen bits, which no pigeonhole
+blocks find at a bearable cost. ``similar_texts`` therefore links texts by the Jaccard similarity of their shingle
+sets itself, in an exact join: two such sets share a shingle among the first ``n - need + 1`` of each in one common
+order (prefix filter), and whatever meets there is verified. See ``link_similar``.
+
 Edge cases: null and empty texts have fingerprint zero and link like any other; a null id is never a component's
 name, and a component of null ids alone has a null name; repeated rows get the same component; an empty table
 gives no rows.
@@ -25,12 +30,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tailframe.llm.common import staged
+from tailframe.llm.common import bounded_sample, staged
 
 #: Distinct fingerprints of one key up to which all its pairs are verified.
 BUCKET = 32
 SEED = 42
 _CHUNK = 1 << 15
+#: Texts in which common shingles are counted, and how many of the commonest are kept apart.
+SAMPLE, COMMON = 4_096, 1 << 16
+#: Rounds in which each key's sets meet one of their number, before all that is not linked by then meets.
+ROUNDS = 3
 
 
 def fingerprint(text: str | None) -> int:
@@ -98,11 +107,116 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET) -> DataFrame:
-    """One row per document: id, fp (long), component_id, the smallest id reachable over links of 2 bits or fewer."""
-    rows = staged(with_fingerprints(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))), "fingerprints")
+def shingles(text: str | None, width: int) -> np.ndarray:
+    """The distinct hashes of the text's shingles, ascending; of fewer words than ``width`` all make one."""
+    w = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not w:
+        return np.empty(0, np.int64)
+    runs = map(b" ".join, zip(*(w[k:] for k in range(width)))) if len(w) > width else iter((b" ".join(w),))
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, runs, itertools.repeat(SEED)), np.dtype("<u8")).view("<i8"))
+
+
+def _set_digest(s: np.ndarray) -> int:
+    return int(np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED)], np.uint64).view(np.int64)[0]) if len(s) else 0
+
+
+def _add_sets(batches: Iterator[pa.RecordBatch], at: int, width: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, 1_000):
+            part = batch.slice(start, 1_000)
+            sets = [shingles(x.as_py(), width) for x in part.column(at)]
+            new = [pa.array(map(_set_digest, sets), pa.int64()), pa.array(sets, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, "fp", "set"])
+
+
+def _add_prefixes(batches: Iterator[pa.RecordBatch], at: int, width: int, percent: int, common: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, 1_000):
+            part = batch.slice(start, 1_000)
+            fps, sizes, prefixes = [], [], []
+            for x in part.column(at):
+                s = shingles(x.as_py(), width)
+                place = np.minimum(np.searchsorted(common, s), len(common) - 1)
+                order = np.lexsort((s, np.where(common[place] == s, counts[place], 0)))
+                fps.append(_set_digest(s))
+                sizes.append(len(s))
+                prefixes.append(s[order[: len(s) + percent * len(s) // -100 + 1]])
+            new = [pa.array(fps, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, "fp", "n", "keys"])
+
+
+def with_sets(df: DataFrame, text_col: str, width: int) -> DataFrame:
+    """Adds ``fp``, a digest of the shingle set, and ``set``, and drops the text."""
+    df = df.drop("fp", "set")
+    at = df.columns.index(text_col)
+    schema = T.StructType([*df.schema.fields, T.StructField("fp", T.LongType()), T.StructField("set", T.ArrayType(T.LongType()))])
+    return df.mapInArrow(lambda batches: _add_sets(batches, at, width), schema).drop(text_col)
+
+
+def with_prefixes(df: DataFrame, width: int, percent: int) -> DataFrame:
+    """Adds ``fp``, the set's size ``n`` and its prefix ``keys`` to rows with a ``text``, which is replaced by its hash.
+
+    Shingles stand in the order of their number in a sample, then of their hash. Any order gives the same links;
+    this one keeps shingles of many texts out of the prefixes.
+    """
+    seen = with_sets(bounded_sample(df.select("text"), "text", SAMPLE), "text", width).select(F.explode("set").alias("s"))
+    rows = seen.groupBy("s").agg(F.count("*").alias("c")).where("c > 2").orderBy(F.desc("c"), "s").limit(COMMON).collect()
+    found = np.array(sorted((r.s, r.c) for r in rows) or [(0, 0)], np.int64)
+    shared = df.sparkSession.sparkContext.broadcast((found[:, 0].copy(), found[:, 1].copy()))
+    at = df.columns.index("text")
+    schema = T.StructType([*df.schema.fields, T.StructField("fp", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+    return df.mapInArrow(lambda batches: _add_prefixes(batches, at, width, percent, *shared.value), schema).withColumn("text", F.xxhash64("text"))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (src, dst) those whose sets' Jaccard similarity is ``percent`` or more. Each join is one of two tables."""
+    half = staged(pairs.join(sets.select(F.col("fp").alias("src"), F.col("set").alias("a")), "src"), "pairs-half")
+    both = half.join(sets.select(F.col("fp").alias("dst"), F.col("set").alias("b")), "dst")
+    overlap = F.size(F.array_intersect("a", "b"))
+    return staged(both.where((100 + percent) * overlap >= percent * (F.size("a") + F.size("b"))).select("src", "dst"), "pairs-verified")
+
+
+def link_similar(rows: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Edges (src > dst) whose components are those of "Jaccard similarity of ``percent`` or more" among distinct ``fp``.
+
+    ``rows`` are those of ``with_prefixes``, ``texts`` has the column ``text``. A large group of near copies would
+    give pairs by the square of its size. So in each of ``ROUNDS`` rounds every set meets one set of each of its
+    keys, chosen by hash. What is linked by then need not meet any more: of each key, all outside its largest
+    component so far meet all of another component.
+    """
+    nodes = staged(rows.groupBy("fp").agg(F.first("n").alias("n"), F.first("keys").alias("keys"), F.min("text").alias("text")), "sets")
+    keyed = nodes.select("fp", "n", F.posexplode("keys").alias("at", "key"))
+    held = keyed.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low <> high").select("key")
+    keyed = staged(keyed.join(staged(held, "shared-keys"), "key"), "keyed-sets")
+    members = staged(keyed.select("fp").distinct().join(nodes.select("fp", "text"), "fp").select(F.col("text").alias("_hash")).distinct(), "set-texts")
+    whole = texts.select("text", F.xxhash64("text").alias("_h")).join(members, F.col("_h") == F.col("_hash"), "left_semi").select("text")
+    sets = staged(with_sets(whole, "text", width).groupBy("fp").agg(F.first("set").alias("set")), "shingle-sets")
+
+    def fits(pairs: DataFrame) -> DataFrame:
+        rest = 1 + F.least(F.col("x.n") - F.col("x.at") - 1, F.col("y.n") - F.col("y.at") - 1)
+        ordered = F.greatest("x.fp", "y.fp").alias("src"), F.least("x.fp", "y.fp").alias("dst")
+        return pairs.where(F.col("x.fp") != F.col("y.fp")).where((100 + percent) * rest >= percent * (F.col("x.n") + F.col("y.n"))).select(*ordered).distinct()
+
+    edges = None
+    for k in range(ROUNDS):
+        one = F.min_by(F.struct("fp", "n", "at"), F.xxhash64(F.lit(k), "key", "fp")).alias("one")
+        met = staged(keyed.groupBy("key").agg(one).select("key", "one.*"), "met")
+        pairs = staged(fits(keyed.alias("x").join(met.alias("y"), F.col("x.key") == F.col("y.key"))), "pairs")
+        got = _verified(pairs.join(edges, ["src", "dst"], "left_anti") if edges else pairs, sets, percent)
+        edges = edges.unionByName(got) if edges else got
+    labels = components(edges)
+    # Each key's rows with their component so far, and whether that is the key's largest.
+    named = staged(keyed.join(labels, keyed["fp"] == labels["node"], "left").select("key", "fp", "n", "at", F.coalesce("label", "fp").alias("label")), "keyed-labels")
+    sizes = staged(named.groupBy("key", "label").agg(F.count("*").alias("size")), "label-sizes")
+    largest = sizes.groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("largest"), F.count("*").alias("labels")).where("labels > 1").select("key", "largest")
+    open_ = staged(named.join(staged(largest, "largest"), "key"), "keyed-open")
+    apart = open_.where("label <> largest").alias("x").join(open_.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")))
+    return edges.unionByName(_verified(staged(fits(apart), "pairs"), sets, percent)).distinct()
+
+
+def _name_components(rows: DataFrame, link) -> DataFrame:
     fps = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    labels = components(link_fingerprints(fps.select("fp"), bucket))
+    labels = components(link(fps))
     linked = fps.join(labels, fps["fp"] == labels["node"])
     names = linked.groupBy(F.col("label").alias("of")).agg(F.min("least").alias("name"))
     named = linked.join(names, F.col("label") == F.col("of")).select(F.col("node"), "name")
@@ -112,18 +226,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(ids, rows["fp"] == ids["_fp"]).select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET) -> DataFrame:
+    """One row per document: id, fp (long), component_id, the smallest id reachable over links of 2 bits or fewer."""
+    rows = staged(with_fingerprints(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))), "fingerprints")
+    return _name_components(rows, lambda fps: link_fingerprints(fps.select("fp"), bucket))
+
+
+def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """The same with links between texts whose sets of ``width``-word shingles have a Jaccard similarity of ``percent`` or more.
+
+    ``fp`` is a digest of the set; equal sets link, those without words too.
+    """
+    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = staged(with_prefixes(own, width, percent), "set-prefixes")
+    return _name_components(rows, lambda _: link_similar(rows, own, width, percent))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int | None = None) -> DataFrame:
     """The documents that stay: of each component that with the smallest id, once. Columns as given.
 
+    Components are those of ``near_duplicates``, with ``percent`` those of ``similar_texts``.
     Ids should be unique; of rows that repeat an id one is kept. A component of null ids alone keeps one row.
     """
-    classes = near_duplicates(docs, id_col, text_col)
+    classes = near_duplicates(docs, id_col, text_col) if percent is None else staged(similar_texts(docs, id_col, text_col, width, percent), "classes")
     stay = classes.where("doc_id = component_id").select(F.col("doc_id").alias("__stay_id")).distinct()
     named = docs.join(stay, docs[id_col] == stay["__stay_id"]).drop("__stay_id").dropDuplicates([id_col])
     lost = classes.where("component_id is null").select("fp").distinct()
     if lost.isEmpty():
         return named
     packed = docs.where(F.col(id_col).isNull()).select(F.struct(*(docs[c] for c in docs.columns)).alias("_row"), F.col(text_col).alias("_text"))
-    labels = components(link_fingerprints(lost))
-    near = with_fingerprints(packed, "_text").join(lost.withColumnRenamed("fp", "_fp"), F.col("fp") == F.col("_fp")).join(labels, F.col("fp") == F.col("node"), "left")
+    if percent is None:
+        labels, keyed = components(link_fingerprints(lost)), with_fingerprints(packed, "_text")
+    else:
+        texts = packed.select(F.col("_text").alias("text"))
+        rows = staged(with_prefixes(texts, width, percent), "set-prefixes").join(lost, "fp", "left_semi")
+        labels, keyed = components(link_similar(rows, texts, width, percent)), with_sets(packed, "_text", width).drop("set")
+    near = keyed.join(lost.withColumnRenamed("fp", "_fp"), F.col("fp") == F.col("_fp")).join(labels, F.col("fp") == F.col("node"), "left")
     return named.unionByName(near.withColumn("_class", F.coalesce("label", "fp")).dropDuplicates(["_class"]).select("_row.*"))
