@@ -3,7 +3,9 @@
 Each pair of dimensions is quantised to one of 16 centres. Codebooks and codes minimise a score-aware loss that
 weighs the residual's part parallel to the vector more than its orthogonal part, since the parallel part is what
 shifts large inner products. A query is turned into tables of partial products; a scan sums table entries, two
-4-bit codes a byte, and the best of every block are scored exactly on the original vectors.
+4-bit codes a byte, and the best of every block are scored exactly on the original vectors. With each code goes the
+norm of the vector's residual, which bounds the error of its sum: every row that may still reach the ``k``-th best
+score so far is scored exactly too, so within a block nothing is lost, however many near copies share a code.
 
 The codebooks are fitted on a bounded sample; every row is encoded and scanned. Rows are dealt into blocks and queries
 into chunks, both of bounded size, and each task scans one block for one chunk, so no task grows with the input.
@@ -98,6 +100,13 @@ class AnisotropicCodes:
             codes = np.pad(codes, ((0, 0), (0, 1)))
         return (codes[:, ::2] * CENTRES + codes[:, 1::2]).astype(np.uint8)
 
+    def gaps(self, x: np.ndarray, packed: np.ndarray) -> np.ndarray:
+        """How far a row's sums can be from its inner products with a query of norm 1, rounding included."""
+        x = _padded(np.asarray(x, np.float64))
+        at = np.stack([packed // CENTRES, packed % CENTRES], axis=2).reshape(len(x), -1)[:, : len(self.books)]
+        back = self.books[np.arange(len(self.books)), at].reshape(x.shape).astype(float)
+        return np.linalg.norm(x - back, axis=1) + 1e-5 * (np.linalg.norm(x, axis=1) + np.linalg.norm(self.books.astype(float), axis=2).max(1).sum())
+
     def scan(self, queries: np.ndarray, packed: np.ndarray) -> np.ndarray:
         """Approximate inner products, queries x rows, by one table of 256 sums for each byte of the codes."""
         q = _padded(np.asarray(queries, np.float32))
@@ -150,29 +159,43 @@ def _scan_block(codes: AnisotropicCodes, k: int, keep: int, vectors: pa.Table, q
     place = np.arange(len(ids)) - np.repeat(starts, np.diff(np.r_[starts, len(ids)]))
     kept = np.sort(order[place <= k])
     ids, x, packed = ids[kept], x[kept], packed[kept]
+    gaps, norms = vectors.column("gap").to_numpy()[kept], np.linalg.norm(x, axis=1)
     out = []
     own_ids, own = queries.column("vec_id").to_numpy(), _matrix(queries.column("embedding"), np.float64)
     for start in range(0, len(own_ids), 128):
         qid, q = own_ids[start : start + 128], own[start : start + 128]
-        rough = codes.scan(q, packed)
-        rough[qid[:, None] == ids] = -np.inf
+        sizes = np.linalg.norm(q, axis=1, keepdims=True)
+        rough = codes.scan(q, packed).astype(float)
+        same = qid[:, None] == ids
+        rough[same] = -np.inf
         n = min(keep, len(ids))
-        near = np.sort(np.argpartition(-rough, n - 1, axis=1)[:, :n], axis=1)
+        near = np.argpartition(-rough, n - 1, axis=1)[:, :n]
         exact = np.einsum("qd,qnd->qn", q, x[near])
-        exact[ids[near] == qid[:, None]] = -np.inf
-        best = np.argsort(-exact, axis=1, kind="stable")[:, :k]
-        score = np.take_along_axis(exact, best, 1).ravel()
-        found = ids[np.take_along_axis(near, best, 1)].ravel()
-        real = score > -np.inf
-        out.append((np.repeat(qid, best.shape[1])[real], found[real], score[real]))
+        exact[np.take_along_axis(same, near, 1)] = -np.inf
+        least = np.partition(exact, n - k, axis=1)[:, n - k, None] if n >= k else np.full((len(q), 1), -np.inf)
+        # Not below, rather than above: sums that are not finite stay in.
+        open_ = np.flatnonzero((~(rough + sizes * gaps < least) & ~same).any(axis=0))
+        exact = np.full(rough.shape, -np.inf)
+        for at in range(0, len(open_), 2_048):
+            part = open_[at : at + 2_048]
+            exact[:, part] = q @ x[part].T
+        exact[same] = -np.inf
+        # Products of equal vectors may differ in their last bits here; what lies so close is summed in one order.
+        for i, row in enumerate(exact):
+            top = np.partition(row, len(row) - k)[len(row) - k] if len(row) >= k else -np.inf
+            close = np.flatnonzero(~(row < top - 1e-12 * sizes[i] * norms) & ~same[i])
+            score = np.einsum("d,nd->n", q[i], x[close])
+            best = np.argsort(-score, kind="stable")[:k]
+            best = best[score[best] > -np.inf]
+            out.append((np.full(len(best), qid[i]), ids[close[best]], score[best]))
     return pa.table([pa.array(np.concatenate(c)) for c in zip(*out)], schema=schema)
 
 
 def search(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", sample_rows: int = 8_192, keep: int = 160, block_rows: int = 8_192, chunk_rows: int = 1_024) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` rows of greatest inner product found for each query row.
 
-    ``sample_rows`` bounds what the codebooks are fitted on; ``keep`` is how many of a block are scored exactly
-    for a query; ``block_rows`` and ``chunk_rows`` bound the rows and queries of a task.
+    ``sample_rows`` bounds what the codebooks are fitted on; ``keep`` is how many of a block are scored
+    exactly first, for a bound on the scores of the rest; ``block_rows`` and ``chunk_rows`` bound the rows and queries of a task.
     """
     spark = rows.sparkSession
     result = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("rank", T.IntegerType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.DoubleType())])
@@ -190,11 +213,13 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id
         for batch in batches:
             for start in range(0, batch.num_rows, 4_096):
                 part = batch.slice(start, 4_096)
-                code = shared.value.encode(_matrix(part.column(1), np.float32))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([r.tobytes() for r in code], pa.binary())], names=[*part.schema.names, "code"])
+                x = _matrix(part.column(1), np.float32)
+                code = shared.value.encode(x)
+                new = [pa.array([r.tobytes() for r in code], pa.binary()), pa.array(shared.value.gaps(_matrix(part.column(1), np.float64), code), pa.float64())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, "code", "gap"])
 
     light = valid.select("vec_id", "embedding")
-    encoded = light.mapInArrow(add_codes, T.StructType([*light.schema.fields, T.StructField("code", T.BinaryType())]))
+    encoded = light.mapInArrow(add_codes, T.StructType([*light.schema.fields, T.StructField("code", T.BinaryType()), T.StructField("gap", T.DoubleType())]))
     asked = valid.where("_query").select("vec_id", "embedding").dropDuplicates(["vec_id"])
     n_asked = asked.count()
     blocks = max(1, -(-n // min(block_rows, max(1_024, n // 16))))

@@ -67,3 +67,16 @@ def test_scan_sums_the_tables():
     at, packed = codes._assign(x), codes.encode(x)
     back = np.concatenate([codes.books[s][at[:, s]] for s in range(5)], axis=1)
     assert codes.scan(x[:7], packed) == pytest.approx(x[:7] @ back.T, abs=1e-4)
+
+
+@pytest.mark.parametrize("noise", [0.02, 0.1, 0.3])
+def test_recall_in_a_large_group_of_near_copies(spark, noise):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(6000, 64))
+    x[::3] = x[0] + noise * rng.normal(size=(2000, 64))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    rows = spark.createDataFrame([(i, v.tolist(), "") for i, v in enumerate(x)], SCHEMA)
+    got = ann.search(rows, F.col("vec_id") % 150 == 0, block_rows=3_000).toPandas()
+    assert got.query_id.nunique() == 40
+    for query, part in got.sort_values("rank").groupby("query_id"):
+        assert list(part.vec_id) == [i for i, _ in brute(np.arange(6000), x.astype(float), query, 20)]
