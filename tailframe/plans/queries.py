@@ -343,7 +343,7 @@ def stream_dedupe(spark, d):
     """Every chunk lands twice; each line comes out once."""
     folder, schema = _landed(spark, d)
     spark.read.schema(schema).parquet(folder).coalesce(2).write.mode("append").parquet(folder)
-    out = tail.run_to_end(tail.dedupe_stream(tail.tail_records(spark, folder, schema, 2), "1 day"), "deduped")
+    out = tail.run_to_end(tail.dedupe_stream(tail.tail_records(spark, folder, schema, 2)), "deduped")
     return _line_counts(spark.read.parquet(out))
 
 

@@ -28,10 +28,14 @@ def tail_records(spark: SparkSession, folder: str, schema, files_per_trigger: in
     return records(tail_chunks(spark, folder, schema, files_per_trigger))
 
 
-def dedupe_stream(lines: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Each line once, for redeliveries up to ``delay`` apart, which also bounds the state."""
+def dedupe_stream(lines: DataFrame) -> DataFrame:
+    """Each line once, whenever it is delivered again.
+
+    There is no watermark: it would also drop first deliveries that come late, as those of a backlog do. So the state
+    holds the key of every line seen; the RocksDB state store keeps it out of memory.
+    """
     key = [*LINE, "generation"] if "generation" in lines.columns else LINE
-    return lines.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(key)
+    return lines.dropDuplicates(key)
 
 
 class FilePosition(StatefulProcessor):

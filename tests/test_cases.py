@@ -302,3 +302,13 @@ def test_unreadable_file_holds_up_no_other(tmp_path):
     os.remove(tmp_path / "a.log")
     reader.commit(offset)
     assert reader.latestOffset() == {}
+
+
+def test_dedupe_stream_keeps_late_first_deliveries(spark, tmp_path):
+    folder, schema = str(tmp_path / "late"), None
+    for days in (9, 5, 0, 9):  # the newest lands first; it lands again at the end
+        page = chunk(spark, (f"m{days}", f"m{days + 1}", f"line of day {days}", True)).withColumn("fetched_at", F.lit(T0 + dt.timedelta(days=days)))
+        page.coalesce(1).write.mode("append").parquet(folder)
+        schema = page.schema
+    out = streams.run_to_end(streams.dedupe_stream(streams.tail_records(spark, folder, schema, 1)), "late-deduped")
+    assert sorted(r.message for r in spark.read.parquet(out).collect()) == [f"line of day {k}" for k in (0, 5, 9)]
