@@ -38,8 +38,10 @@ SEED = 42
 _CHUNK = 1 << 15
 #: Texts in which common shingles are counted, and how many of the commonest are kept apart.
 SAMPLE, COMMON = 4_096, 1 << 16
-#: Rounds in which each key's sets meet one of their number, before all that is not linked by then meets.
+#: Sets of a key that all its sets meet first, before all that is not linked by then meets.
 ROUNDS = 3
+#: Longs of a set's sketch.
+SKETCH = 8
 
 
 def fingerprint(text: str | None) -> int:
@@ -133,16 +135,18 @@ def _add_prefixes(batches: Iterator[pa.RecordBatch], at: int, width: int, percen
     for batch in batches:
         for start in range(0, batch.num_rows, 1_000):
             part = batch.slice(start, 1_000)
-            fps, sizes, prefixes = [], [], []
+            fps, sizes, prefixes, sketches = [], [], [], []
             for x in part.column(at):
                 s = shingles(x.as_py(), width)
                 place = np.minimum(np.searchsorted(common, s), len(common) - 1)
                 order = np.lexsort((s, np.where(common[place] == s, counts[place], 0)))
                 fps.append(_set_digest(s))
                 sizes.append(len(s))
+                odd = np.bincount(s & (64 * SKETCH - 1), minlength=64 * SKETCH) & 1
+                sketches.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
                 prefixes.append(s[order[: len(s) + percent * len(s) // -100 + 1]])
-            new = [pa.array(fps, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, "fp", "n", "keys"])
+            new = [pa.array(fps, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, "fp", "n", "keys", "sketch"])
 
 
 def with_sets(df: DataFrame, text_col: str, width: int) -> DataFrame:
@@ -154,23 +158,36 @@ def with_sets(df: DataFrame, text_col: str, width: int) -> DataFrame:
 
 
 def with_prefixes(df: DataFrame, width: int, percent: int) -> DataFrame:
-    """Adds ``fp``, the set's size ``n`` and its prefix ``keys`` to rows with a ``text``, which is replaced by its hash.
+    """Adds ``fp``, the set's size ``n``, its prefix ``keys`` and its ``sketch`` to rows with a ``text``, which is replaced by its hash.
 
     Shingles stand in the order of their number in a sample, then of their hash. Any order gives the same links;
-    this one keeps shingles of many texts out of the prefixes.
+    this one keeps shingles of many texts out of the prefixes. A sketch's bits are the parities of the numbers of
+    shingles that fall to each.
     """
     seen = with_sets(bounded_sample(df.select("text"), "text", SAMPLE), "text", width).select(F.explode("set").alias("s"))
     rows = seen.groupBy("s").agg(F.count("*").alias("c")).where("c > 2").orderBy(F.desc("c"), "s").limit(COMMON).collect()
     found = np.array(sorted((r.s, r.c) for r in rows) or [(0, 0)], np.int64)
     shared = df.sparkSession.sparkContext.broadcast((found[:, 0].copy(), found[:, 1].copy()))
     at = df.columns.index("text")
-    schema = T.StructType([*df.schema.fields, T.StructField("fp", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+    schema = T.StructType([*df.schema.fields, T.StructField("fp", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("sketch", T.ArrayType(T.LongType()))])
     return df.mapInArrow(lambda batches: _add_prefixes(batches, at, width, percent, *shared.value), schema).withColumn("text", F.xxhash64("text"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (src, dst) those whose sets' Jaccard similarity is ``percent`` or more. Each join is one of two tables."""
-    half = staged(pairs.join(sets.select(F.col("fp").alias("src"), F.col("set").alias("a")), "src"), "pairs-half")
+def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Of pairs (src, dst) those whose sets' Jaccard similarity is ``percent`` or more. Each join is one of two tables.
+
+    Two sketches differ in no more bits than their sets in shingles: where that is too many, no set need be looked at.
+    """
+    half = staged(staged(pairs, "pairs").join(nodes.select(F.col("fp").alias("src"), F.col("n").alias("n1"), F.col("sketch").alias("s1")), "src"), "pairs-half")
+    both = half.join(nodes.select(F.col("fp").alias("dst"), F.col("n").alias("n2"), F.col("sketch").alias("s2")), "dst")
+    differ = sum((F.bit_count(F.col("s1")[k].bitwiseXOR(F.col("s2")[k])) for k in range(SKETCH)), F.lit(0))
+    total = F.col("n1") + F.col("n2")
+    close = staged(both.where((100 + percent) * (total - differ) >= 2 * percent * total).select("src", "dst"), "pairs-close")
+    wanted = staged(close.select(F.col("src").alias("fp")).union(close.select(F.col("dst").alias("fp"))).distinct(), "close-sets")
+    hashes = staged(nodes.join(wanted, "fp").select(F.col("text").alias("_hash")).distinct(), "close-texts")
+    whole = texts.select("text", F.xxhash64("text").alias("_h")).join(hashes, F.col("_h") == F.col("_hash"), "left_semi").select("text")
+    sets = staged(with_sets(whole, "text", width).groupBy("fp").agg(F.first("set").alias("set")), "shingle-sets")
+    half = staged(close.join(sets.select(F.col("fp").alias("src"), F.col("set").alias("a")), "src"), "close-half")
     both = half.join(sets.select(F.col("fp").alias("dst"), F.col("set").alias("b")), "dst")
     overlap = F.size(F.array_intersect("a", "b"))
     return staged(both.where((100 + percent) * overlap >= percent * (F.size("a") + F.size("b"))).select("src", "dst"), "pairs-verified")
@@ -180,30 +197,24 @@ def link_similar(rows: DataFrame, texts: DataFrame, width: int, percent: int) ->
     """Edges (src > dst) whose components are those of "Jaccard similarity of ``percent`` or more" among distinct ``fp``.
 
     ``rows`` are those of ``with_prefixes``, ``texts`` has the column ``text``. A large group of near copies would
-    give pairs by the square of its size. So in each of ``ROUNDS`` rounds every set meets one set of each of its
-    keys, chosen by hash. What is linked by then need not meet any more: of each key, all outside its largest
+    give pairs by the square of its size. So every set first meets ``ROUNDS`` sets of each of its keys, chosen by
+    hash. What is linked by then need not meet any more: of each key, all outside its largest
     component so far meet all of another component.
     """
-    nodes = staged(rows.groupBy("fp").agg(F.first("n").alias("n"), F.first("keys").alias("keys"), F.min("text").alias("text")), "sets")
+    nodes = staged(rows.groupBy("fp").agg(F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"), F.min("text").alias("text")), "sets")
     keyed = nodes.select("fp", "n", F.posexplode("keys").alias("at", "key"))
     held = keyed.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low <> high").select("key")
     keyed = staged(keyed.join(staged(held, "shared-keys"), "key"), "keyed-sets")
-    members = staged(keyed.select("fp").distinct().join(nodes.select("fp", "text"), "fp").select(F.col("text").alias("_hash")).distinct(), "set-texts")
-    whole = texts.select("text", F.xxhash64("text").alias("_h")).join(members, F.col("_h") == F.col("_hash"), "left_semi").select("text")
-    sets = staged(with_sets(whole, "text", width).groupBy("fp").agg(F.first("set").alias("set")), "shingle-sets")
 
     def fits(pairs: DataFrame) -> DataFrame:
         rest = 1 + F.least(F.col("x.n") - F.col("x.at") - 1, F.col("y.n") - F.col("y.at") - 1)
         ordered = F.greatest("x.fp", "y.fp").alias("src"), F.least("x.fp", "y.fp").alias("dst")
         return pairs.where(F.col("x.fp") != F.col("y.fp")).where((100 + percent) * rest >= percent * (F.col("x.n") + F.col("y.n"))).select(*ordered).distinct()
 
-    edges = None
-    for k in range(ROUNDS):
-        one = F.min_by(F.struct("fp", "n", "at"), F.xxhash64(F.lit(k), "key", "fp")).alias("one")
-        met = staged(keyed.groupBy("key").agg(one).select("key", "one.*"), "met")
-        pairs = staged(fits(keyed.alias("x").join(met.alias("y"), F.col("x.key") == F.col("y.key"))), "pairs")
-        got = _verified(pairs.join(edges, ["src", "dst"], "left_anti") if edges else pairs, sets, percent)
-        edges = edges.unionByName(got) if edges else got
+    one = [F.min_by(F.struct("fp", "n", "at"), F.xxhash64(F.lit(k), "key", "fp")) for k in range(ROUNDS)]
+    met = staged(keyed.groupBy("key").agg(F.array_distinct(F.array(*one)).alias("ones")).select("key", F.explode("ones").alias("one")).select("key", "one.*"), "met")
+    pairs = fits(keyed.alias("x").join(met.alias("y"), F.col("x.key") == F.col("y.key")))
+    edges = _verified(pairs, nodes, texts, width, percent)
     labels = components(edges)
     # Each key's rows with their component so far, and whether that is the key's largest.
     named = staged(keyed.join(labels, keyed["fp"] == labels["node"], "left").select("key", "fp", "n", "at", F.coalesce("label", "fp").alias("label")), "keyed-labels")
@@ -211,7 +222,7 @@ def link_similar(rows: DataFrame, texts: DataFrame, width: int, percent: int) ->
     largest = sizes.groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("largest"), F.count("*").alias("labels")).where("labels > 1").select("key", "largest")
     open_ = staged(named.join(staged(largest, "largest"), "key"), "keyed-open")
     apart = open_.where("label <> largest").alias("x").join(open_.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")))
-    return edges.unionByName(_verified(staged(fits(apart), "pairs"), sets, percent)).distinct()
+    return edges.unionByName(_verified(fits(apart), nodes, texts, width, percent)).distinct()
 
 
 def _name_components(rows: DataFrame, link) -> DataFrame:
