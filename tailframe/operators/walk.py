@@ -31,14 +31,16 @@ def drain_by_ordinal(chunks: DataFrame, positions: DataFrame, ordinal: str = "ch
     return reached.withColumn("hop", (F.col(ordinal) - F.col("_first") + 1).cast("int")).drop("_first", "_last")
 
 
-def drain_by_marker(chunks: DataFrame, positions: DataFrame, max_hops: int = 1 << 20) -> DataFrame:
+def drain_by_marker(chunks: DataFrame, positions: DataFrame, max_hops: int | None = None) -> DataFrame:
     """The same for opaque markers, by doubling: round r joins what is reached with pointers 2**r hops long.
 
     As many rounds as the longest walk has binary digits, each a join on the marker; ``max_hops`` bounds walks
-    that would otherwise run in circles. Rounds are written to the shared folder.
+    that would otherwise run in circles; without it the number of chunks of the largest file does. Rounds are written to the shared folder.
     """
     nodes = chunks.select(*KEY, F.col("prev_marker").alias("at"), F.when(F.col("additional_pending"), F.col("next_marker")).alias("to"))
     nodes = staged(nodes, "walk-nodes")
+    if max_hops is None:
+        max_hops = nodes.groupBy(*KEY).count().agg(F.max("count")).head()[0] or 0
     starts = positions.select(*KEY, F.col("from_marker").alias("at")).join(nodes.select(*KEY, "at"), [*KEY, "at"], "left_semi")
     reached = staged(starts.withColumn("hop", F.lit(1).cast("long")), "walk-reached")
     jumps, length = staged(nodes.where("`to` is not null").join(nodes.select(*KEY, F.col("at").alias("to")), [*KEY, "to"], "left_semi"), "walk-jumps"), 1
@@ -66,8 +68,17 @@ select * from walk
 
 
 def drain_recursive(chunks: DataFrame, positions: DataFrame, max_hops: int = 90) -> DataFrame:
-    """The same as one recursive query, a join a hop: for short walks, within Spark's limits on recursion."""
-    return chunks.sparkSession.sql(RECURSIVE, chunks=chunks, positions=positions, max_hops=max_hops)
+    """The same as one recursive query, a join a hop, within Spark's limits on recursion.
+
+    Walks that are not at their end after ``max_hops`` go on by doubling, unless they run in circles.
+    """
+    walked = staged(chunks.sparkSession.sql(RECURSIVE, chunks=chunks, positions=positions, max_hops=max_hops), "walk-recursive")
+    longer = chunks.groupBy(*KEY).count().where(F.col("count") > max_hops).select(*KEY)
+    cut = walked.where((F.col("hop") == max_hops) & F.col("additional_pending")).select(*KEY, F.col("next_marker").alias("from_marker"))
+    cut = staged(cut.join(longer, KEY, "left_semi"), "walk-cut")
+    if cut.isEmpty():
+        return walked
+    return walked.unionByName(drain_by_marker(chunks, cut).withColumn("hop", F.col("hop") + max_hops).select(*walked.columns))
 
 
 def tail_markers(drained: DataFrame) -> DataFrame:

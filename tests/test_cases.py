@@ -312,3 +312,9 @@ def test_dedupe_stream_keeps_late_first_deliveries(spark, tmp_path):
         schema = page.schema
     out = streams.run_to_end(streams.dedupe_stream(streams.tail_records(spark, folder, schema, 1)), "late-deduped")
     assert sorted(r.message for r in spark.read.parquet(out).collect()) == [f"line of day {k}" for k in (0, 5, 9)]
+
+
+def test_recursive_walk_goes_on_past_the_limit_of_recursion(spark):
+    chunks = chunk(spark, *((str(k), str(k + 1), "a", k < 199) for k in range(200)))
+    start = spark.createDataFrame([("db-1", "error/postgresql.log", "0")], "instance_id string, log_file string, from_marker string")
+    assert sorted((r.hop, r.prev_marker) for r in walk.drain_recursive(chunks, start).collect()) == [(k + 1, str(k)) for k in range(200)]
