@@ -13,8 +13,12 @@ next to the last piece of the prefix before it. Both are Viterbi recurrences ove
 BPE a transition scores 0 if the two pieces are stable side by side, and is forbidden if not. Characters that no piece covers
 become byte pieces or the unknown piece.
 
-Edge cases: null and empty texts have no ids; null decodes to an empty text; repeated rows are encoded alike; a
-text of one very long word takes time and memory in proportion to its length; an empty table gives no rows. Other
+Memory: a slice of rows is encoded at a time, a very long text in blocks of words; the words kept for later slices
+are bounded in bytes and freed when the task ends.
+
+Edge cases: null and empty texts have no ids; null decodes to an empty text; repeated rows are encoded alike; ties
+between segmentations go to the library's choice (BPE: the leftmost merge; unigram: the shortest last piece); a text of
+one very long word takes time and memory in proportion to its length; an empty table gives no rows. Other
 columns pass through; one that bears the name of an added column is replaced by it.
 """
 
@@ -22,19 +26,26 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+import struct
+from array import array
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MARK = "▁"
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-#: Rows and characters after which the words gathered so far are encoded, and words kept for later slices.
-_ROWS, _CHARS, _KEEP = 4_000, 8 << 20, 400_000
+#: Rows and characters of a slice of rows, and words that are looked up at once.
+_ROWS, _CHARS, _WORDS_AT_ONCE = 1_000, 1 << 20, 1 << 16
+#: Bytes that the words kept for later slices may take, and what one takes besides its characters (a string, packed ids, a
+#: dictionary entry); pairs of pieces whose stability, and character groups whose arcs are remembered.
+_BYTES, _ENTRY, _PAIRS, _ARCS = 32 << 20, 220, 200_000, 30_000
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 
@@ -81,8 +92,6 @@ class PieceModel:
 
     @classmethod
     def parse(cls, data: bytes) -> PieceModel:
-        import struct
-
         pieces, scores, kinds, trainer, norm = [], [], [], {}, {}
         for number, value in _fields(data):
             if number == 1:
@@ -105,7 +114,8 @@ class PieceModel:
         return cls(pieces, scores, kinds, trainer.get(3, 1) == 2, bool(norm.get(3, 1)), bool(norm.get(4, 1)), bool(norm.get(5, 1)), hashlib.sha256(data).hexdigest())
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_memo": {}, "_pairs": 0}
+        made = ("ids", "longest", "long_ends", "_arcs", "packed", "byte_ids", "unknown", "floor", "ends", "high", "plain", "plain_array", "is_high")
+        return {k: v for k, v in self.__dict__.items() if k not in made} | {"_memo": {}, "_pairs": 0}
 
     def prepare(self) -> None:
         """Lookup tables, made once for each worker."""
@@ -125,10 +135,18 @@ class PieceModel:
             if len(p) > 2:
                 ends.setdefault(p[-3:], set()).add(len(p))
         self.ends = {c: tuple(sorted(n, reverse=True)) for c, n in ends.items()}
+        self.long_ends: dict[str, tuple[int, ...]] = {}
+        for p in self.ids if self.bpe else ():
+            if len(p) > 4:
+                self.long_ends[p[-4:]] = tuple(sorted({len(p), *self.long_ends.get(p[-4:], ())}, reverse=True))
+        self._arcs = {}
+        self.packed = [i.to_bytes(4, "little") for i in range(len(self.pieces))]
         # What each id decodes to by itself; bytes of longer characters only mean something together.
         high = {i for b, i in enumerate(self.byte_ids) if b > 127 and i is not None}
         self.high = frozenset(high)
         self.plain = [self._plain(i) for i in range(len(self.pieces))]
+        self.plain_array = pa.array(self.plain, pa.string())
+        self.is_high = np.isin(np.arange(len(self.pieces)), sorted(high))
 
     def _plain(self, i: int) -> str:
         if self.kinds[i] == BYTE:
@@ -163,7 +181,7 @@ class PieceModel:
     def _stable(self, left: str, right: str, known: dict[int, bool]) -> bool:
         """Whether the merges leave these two pieces as they are, side by side; ``known`` keeps it for ``left``."""
         self._pairs += 1
-        if self._pairs > _KEEP:
+        if self._pairs > _PAIRS:
             self._memo.clear()
             self._pairs = 0
         verdict = known[self.ids[right]] = self._merged(left + right) == ([left, right] if left else [right])
@@ -172,72 +190,83 @@ class PieceModel:
     def encode_words(self, words: list[str]) -> Iterator[list[int]]:
         """Ids of each word. ``words`` are distinct and sorted, so that neighbours share the longest prefixes."""
         self.prepare()
+        for packed in self.packed_words(words):
+            ids = array("i")
+            ids.frombytes(packed)
+            yield ids.tolist()
+
+    def packed_words(self, words: list[str]) -> Iterator[bytes]:
+        """The same with the ids of a word as 32-bit integers in a row."""
         forward = self._forward_bpe if self.bpe else self._forward_unigram
-        # Of each prefix: its forward state, the length of the piece that ends it, and that piece's id.
-        state, back, last = [self._memo.setdefault("", {}) if self.bpe else 0.0], [0], [None]
+        # Of each prefix: its forward state, the length of the piece that ends it, and the ids so far.
+        stack = [(self._memo.setdefault("", {}) if self.bpe else 0.0, 0, b"")]
         before = ""
         for word in words:
             shared, most = 0, min(len(word), len(before))
             while shared < most and word[shared] == before[shared]:
                 shared += 1
-            del state[shared + 1 :], back[shared + 1 :], last[shared + 1 :]
-            forward(word, shared, state, back, last)
+            del stack[shared + 1 :]
+            forward(word, shared, stack)
             before = word
-            found, end = [], len(word)
-            while end:
-                i = last[end]
-                if i is None:
-                    found += self._bytes(word[end - 1])
-                else:
-                    found.append(i)
-                end -= back[end]
-            found.reverse()
-            yield found
-
-    def _bytes(self, piece: str) -> list[int]:
-        """Ids of a character that has no piece, last first."""
+            yield stack[-1][2]
+
+    def _single(self, character: str) -> bytes:
+        """Packed ids of one character, by its piece, its bytes or as unknown."""
+        i = self.ids.get(character)
+        if i is not None:
+            return self.packed[i]
         if None in self.byte_ids:
-            return [self.unknown]
-        return [self.byte_ids[b] for b in reversed(piece.encode("utf-8", "replace"))]
+            return self.packed[self.unknown]
+        return b"".join(self.packed[self.byte_ids[b]] for b in character.encode("utf-8", "replace"))
 
-    def _forward_unigram(self, word: str, start: int, state: list[float], back: list[int], last: list[int | None]) -> None:
+    def _forward_unigram(self, word: str, start: int, stack: list[tuple]) -> None:
         ids_get, scores, ends = self.ids.get, self.scores, self.ends
         for end in range(start + 1, len(word) + 1):
             found, length = ids_get(word[end - 1]), 1
-            best = state[end - 1] + (self.floor if found is None else scores[found])
+            best = stack[end - 1][0] + (self.floor if found is None else scores[found])
             for n in (2, *ends.get(word[end - 3 : end], ())) if end > 2 else (2,):
-                if n <= end and (i := ids_get(word[end - n : end])) is not None and (s := state[end - n] + scores[i]) > best:
+                if n <= end and (i := ids_get(word[end - n : end])) is not None and (s := stack[end - n][0] + scores[i]) > best:
                     best, length, found = s, n, i
-            state.append(best)
-            back.append(length)
-            last.append(found)
-
-    def _forward_bpe(self, word: str, start: int, state: list[dict[int, bool]], back: list[int], last: list[int | None]) -> None:
+            stack.append((best, length, stack[end - length][2] + (self._single(word[end - 1]) if found is None else self.packed[found])))
+
+    def _arcs_into(self, last: str) -> tuple:
+        """Pieces that can end a place after these (at most four) characters: length, id, piece; longer ones by length alone."""
+        longer = [(n, None, None) for n in self.long_ends.get(last, ())] if len(last) == 4 else []
+        short = [(n, self.ids[last[-n:]], last[-n:]) for n in range(len(last), 1, -1) if last[-n:] in self.ids]
+        if len(self._arcs) >= _ARCS:
+            self._arcs.clear()
+        found = self._arcs[last] = (*longer, *short)
+        return found
+
+    def _forward_bpe(self, word: str, start: int, stack: list[tuple]) -> None:
         """The state of a prefix is what is known of the pieces that may follow its last piece."""
-        ids_get, ends, memo = self.ids.get, self.ends, self._memo
+        ids_get, memo, arcs_get, packed = self.ids.get, self._memo, self._arcs.get, self.packed
         for end in range(start + 1, len(word) + 1):
-            for n in (*ends.get(word[end - 3 : end], ()), 2) if end > 2 else (2,):
-                if n > end:
-                    continue
-                piece = word[end - n : end]
-                i = ids_get(piece)
+            before = word[end - 4 if end > 4 else 0 : end]
+            arcs = arcs_get(before)
+            for n, i, piece in self._arcs_into(before) if arcs is None else arcs:
                 if i is None:
-                    continue
-                known = state[end - n].get(i)
+                    if n > end:
+                        continue
+                    piece = word[end - n : end]
+                    i = ids_get(piece)
+                    if i is None:
+                        continue
+                begin = end - n
+                left, length, so_far = stack[begin]
+                known = left.get(i)
                 if known is None:
-                    begin = end - n
-                    known = self._stable(word[begin - back[begin] : begin], piece, state[begin])
+                    known = self._stable(word[begin - length : begin], piece, left)
                 if known:
+                    so_far += packed[i]
                     break
             else:
                 n, piece = 1, word[end - 1]
-                i = ids_get(piece)
+                so_far = stack[end - 1][2] + self._single(piece)
             follow = memo.get(piece)
             if follow is None:
                 follow = memo[piece] = {}
-            state.append(follow)
-            back.append(n)
-            last.append(i)
+            stack.append((follow, n, so_far))
 
     def decode(self, ids: list[int] | None) -> str:
         self.prepare()
@@ -258,66 +287,124 @@ class PieceModel:
             text = "".join(out)
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
+    def decode_all(self, starts: np.ndarray, ids: np.ndarray) -> list[str]:
+        """Decodes many texts at once. Those with bytes of longer characters are decoded one by one."""
+        parts = pa.ListArray.from_arrays(pa.array(starts), self.plain_array.take(pa.array(ids)))
+        texts = pc.binary_join(parts, "").to_pylist()
+        if self.dummy_prefix:
+            texts = [t[1:] if t.startswith(" ") else t for t in texts]
+        odd = np.flatnonzero(self.is_high[ids]) if len(ids) else ()
+        for k in np.unique(np.searchsorted(starts, odd, side="right") - 1) if len(odd) else ():
+            texts[k] = self.decode(ids[starts[k] : starts[k + 1]].tolist())
+        return texts
 
-_latest: _Encoder | None = None
+    def forget(self) -> None:
+        """Drops what was found out about pairs of pieces."""
+        self._memo.clear()
+        self._arcs.clear()
+        self._pairs = 0
 
 
 class _Encoder:
-    """Encodes slices of texts; keeps the ids of words seen, up to a bound. A worker's tasks share one."""
+    """Encodes slices of texts; keeps the packed ids of words seen by this task, up to ``_BYTES`` of memory."""
 
     def __init__(self, model: PieceModel):
-        self.model, self.known = model, {}
+        self.model, self.young, self.old, self.held = model, {}, {}, 0
+        model.prepare()
+
+    def _ids(self, words: set[str]) -> dict[str, bytes]:
+        """Packed ids of a block's words. Words in use stay in the young half of what is kept; the old half is dropped when that is full."""
+        found = {w: x for w in words if (x := self.young.get(w) or self.old.get(w)) is not None}
+        order = sorted(words.difference(found))
+        found.update(zip(order, self.model.packed_words(order)))
+        for w in words.difference(self.young):
+            self.held += len(w) + _ENTRY
+            if 2 * self.held > _BYTES:
+                self.young, self.old, self.held = {}, self.young, len(w) + _ENTRY
+            self.young[w] = found[w]
+        return found
+
+    def __call__(self, normal: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Of normalised texts: where each one's ids start, and all ids in a row."""
+        done = [b""] * len(normal)
+        block: list[tuple[int, list[str]]] = []
+        n_words = 0
+
+        def flush() -> None:
+            ids_of = self._ids(set().union(*(words for _, words in block))).__getitem__
+            for k, words in block:
+                done[k] += b"".join(map(ids_of, words))
+            block.clear()
+
+        for k, text in enumerate(normal):
+            found = _WORDS.finditer(text) if len(text) > _CHARS else None
+            while words := [m[0] for m in islice(found, _WORDS_AT_ONCE)] if found else _WORDS.findall(text):
+                block.append((k, words))
+                n_words += len(words)
+                if n_words >= _WORDS_AT_ONCE:
+                    flush()
+                    n_words = 0
+                if not found:
+                    break
+        if block:
+            flush()
+        starts = np.zeros(len(done) + 1, np.int32)
+        np.cumsum([len(x) // 4 for x in done], out=starts[1:])
+        return starts, np.frombuffer(b"".join(done), np.dtype("<i4"))
 
-    @classmethod
-    def of(cls, model: PieceModel) -> _Encoder:
-        """The worker's encoder. Only the latest model's is kept, so that earlier jobs' words don't pile up."""
-        global _latest
-        if _latest is None or _latest.model.digest != model.digest:
-            _latest = cls(model)
-        return _latest
-
-    def __call__(self, texts: list[str | None]) -> list[list[int]]:
-        cut = [_WORDS.findall(self.model.normalize(t)) if t else [] for t in texts]
-        distinct = set().union(*cut)
-        fresh = distinct.difference(self.known)
-        if len(self.known) + len(fresh) > _KEEP:
-            self.known, fresh = {}, distinct
-        order = sorted(fresh)
-        self.known.update(zip(order, self.model.encode_words(order)))
-        ids_of = self.known.__getitem__
-        return [list(chain.from_iterable(map(ids_of, words))) for words in cut]
-
-
-def _slices(column: pa.Array) -> Iterator[list[str | None]]:
+    def close(self) -> None:
+        """Frees what the task has gathered: workers live on, and what they keep adds to what later stages need."""
+        self.young, self.old, self.held = {}, {}, 0
+        self.model.forget()
+
+
+def _slices(column: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
+    """Rows in runs of bounded number and length: the first row's place and the texts."""
     rows: list[str | None] = []
-    size = 0
-    for x in column:
+    size = start = 0
+    for k, x in enumerate(column):
         x = x.as_py()
         rows.append(x)
         size += len(x or "")
         if len(rows) >= _ROWS or size >= _CHARS:
-            yield rows
-            rows, size = [], 0
+            yield start, rows
+            rows, size, start = [], 0, k + 1
     if rows:
-        yield rows
+        yield start, rows
 
 
-def encode(df: DataFrame, model: PieceModel, text_col: str = "text", out_col: str = "ids") -> DataFrame:
-    """Adds ``out_col``, the array of ids of the whole text."""
-    df = df.drop(out_col)
-    schema, at = T.StructType([*df.schema.fields, T.StructField(out_col, T.ArrayType(T.IntegerType()))]), df.columns.index(text_col)
+def _per_slice(df: DataFrame, model: PieceModel, text_col: str, added: list[T.StructField], new: Callable, keep_text: bool) -> DataFrame:
+    """Adds the columns that ``new(encoder, texts)`` gives for each slice of rows."""
+    df = df.drop(*(f.name for f in added))
+    at = df.columns.index(text_col)
+    kept = [k for k in range(len(df.columns)) if keep_text or k != at]
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _Encoder.of(shared.value)
-        for batch in batches:
-            start = 0
-            for texts in _slices(batch.column(at)):
-                part = batch.slice(start, len(texts))
-                start += len(texts)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(encoder(texts), pa.list_(pa.int32()))], names=[*part.schema.names, out_col])
+        encoder = _Encoder(shared.value)
+        try:
+            for batch in batches:
+                for start, texts in _slices(batch.column(at)):
+                    part = batch.slice(start, len(texts))
+                    columns = [*(part.column(k) for k in kept), *new(encoder, texts)]
+                    yield pa.RecordBatch.from_arrays(columns, names=[*(part.schema.names[k] for k in kept), *(f.name for f in added)])
+        finally:
+            encoder.close()
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(run, T.StructType([*(df.schema.fields[k] for k in kept), *added]))
+
+
+def _id_lists(starts: np.ndarray, ids: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(starts), pa.array(ids))
+
+
+def encode(df: DataFrame, model: PieceModel, text_col: str = "text", out_col: str = "ids") -> DataFrame:
+    """Adds ``out_col``, the array of ids of the whole text."""
+
+    def new(encoder: _Encoder, texts: list[str | None]) -> list[pa.Array]:
+        return [_id_lists(*encoder([encoder.model.normalize(t or "") for t in texts]))]
+
+    return _per_slice(df, model, text_col, [T.StructField(out_col, T.ArrayType(T.IntegerType()))], new, True)
 
 
 def decode(df: DataFrame, model: PieceModel, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -339,25 +426,16 @@ def decode(df: DataFrame, model: PieceModel, ids_col: str = "ids", out_col: str
 def encode_and_verify(df: DataFrame, model: PieceModel, text_col: str = "text") -> DataFrame:
     """Replaces the text by ``ids``, ``n_tokens`` and ``round_trip``: whether decoding gives the normalised text back."""
     added = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()), T.StructField("round_trip", T.BooleanType())]
-    df = df.drop(*(f.name for f in added))
-    at = df.columns.index(text_col)
-    shared = df.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _Encoder.of(shared.value)
+    def new(encoder: _Encoder, texts: list[str | None]) -> list[pa.Array]:
         model = encoder.model
+        normal = [model.normalize(t or "") for t in texts]
+        starts, ids = encoder(normal)
         cut = 1 if model.dummy_prefix else 0
-        for batch in batches:
-            start = 0
-            for texts in _slices(batch.column(at)):
-                part = batch.slice(start, len(texts))
-                start += len(texts)
-                ids = encoder(texts)
-                same = [model.decode(i) == model.normalize(t or "").replace(MARK, " ")[cut:] for i, t in zip(ids, texts)]
-                new = [pa.array(ids, pa.list_(pa.int32())), pa.array(map(len, ids), pa.int64()), pa.array(same, pa.bool_())]
-                yield pa.RecordBatch.from_arrays([*(c for k, c in enumerate(part.columns) if k != at), *new], names=[*(n for k, n in enumerate(part.schema.names) if k != at), *(f.name for f in added)])
-
-    return df.mapInArrow(run, T.StructType([*(f for k, f in enumerate(df.schema.fields) if k != at), *added]))
+        same = [got == want.replace(MARK, " ")[cut:] for got, want in zip(model.decode_all(starts, ids), normal)]
+        return [_id_lists(starts, ids), pa.array(np.diff(starts).astype(np.int64)), pa.array(same, pa.bool_())]
+
+    return _per_slice(df, model, text_col, added, new, False)
 
 
 def load_model(df: DataFrame, path: str) -> PieceModel:
