@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tailframe.functions.batches import payload_bytes
@@ -42,6 +44,24 @@ def compact(log: DataFrame, path: str) -> DataFrame:
     return log.sparkSession.read.parquet(path)
 
 
+def publish(log: DataFrame, root: str) -> DataFrame:
+    """Compacts the log below ``root`` and makes that the version which ``published`` reads.
+
+    The pointer is a table of folders, appended to after the folder is complete; a reader sees the old version or the new one, never half of either.
+    """
+    spark = log.sparkSession
+    path = f"{root.rstrip('/')}/v-{uuid.uuid4().hex}"
+    compacted = compact(log, path)
+    spark.createDataFrame([(path,)], "path string").withColumn("published_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/pointer")
+    return compacted
+
+
+def published(spark: SparkSession, root: str) -> DataFrame:
+    """The latest published version."""
+    path = spark.read.parquet(f"{root.rstrip('/')}/pointer").agg(F.max_by("path", "published_at")).head()[0]
+    return spark.read.parquet(path)
+
+
 def running_sum(rows: DataFrame, keys: list[str], order: str, value: Column, span: int = 4_096) -> DataFrame:
     """Adds ``running``: the sum of ``value`` up to each row, by the whole number ``order``.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tailframe.functions.batches import classify_status
 from tailframe.functions.names import file_label, last_written
 
 # Upper bounds of histogram buckets.
@@ -43,7 +44,7 @@ def store_ops(attempts: DataFrame, op: Column, *also: Column | str) -> DataFrame
 
 
 def _operations(rows: DataFrame, what: Column, name: str, *also: Column | str) -> DataFrame:
-    outcome = F.when(F.col("status") == 200, "ok").otherwise("error")
+    outcome = F.when(classify_status(F.col("status")) == "ok", "ok").otherwise("error")
     return rows.groupBy(what.alias(name), outcome.alias("outcome"), *also).agg(F.count("*").alias("n"))
 
 

@@ -29,8 +29,23 @@ def rotated_out(checkpoints: DataFrame, inventory: DataFrame) -> DataFrame:
     return checkpoints.join(inventory.select(*KEY), KEY, "left_anti")
 
 
-def truncations(polls: DataFrame) -> DataFrame:
-    """Adds ``prev_size``, ``truncated`` and ``generation``, the number of truncations of the file so far."""
-    by_poll = Window.partitionBy(*KEY).orderBy("poll_id")
-    flagged = polls.withColumn("prev_size", F.lag("size").over(by_poll)).withColumn("truncated", F.coalesce(F.col("size") < F.col("prev_size"), F.lit(False)))
-    return flagged.withColumn("generation", F.sum(F.col("truncated").cast("int")).over(by_poll))
+def truncations(polls: DataFrame, span: int = 4_096) -> DataFrame:
+    """Adds ``prev_size``, ``truncated`` and ``generation``, the number of truncations of the file so far.
+
+    Polls are compared within spans of ``poll_id`` first; of each span only its last size and its number of truncations go on to the
+    next, so a file with a large part of all polls is spread over many tasks.
+    """
+    rows = polls.withColumn("_span", F.floor(F.col("poll_id") / span).cast("long"))
+    inner = Window.partitionBy(*KEY, "_span").orderBy("poll_id")
+    cut = lambda size, before: F.coalesce(size < before, F.lit(False)).cast("long")
+    rows = rows.withColumns({"_prev": F.lag("size").over(inner), "_first": F.row_number().over(inner) == 1})
+    rows = rows.withColumn("_inside", F.sum(cut(F.col("size"), F.col("_prev"))).over(inner))
+    ends = rows.groupBy(*KEY, "_span").agg(F.min_by("size", "poll_id").alias("_head"), F.max_by("size", "poll_id").alias("_last"), F.max("_inside").alias("_cuts"))
+    over = Window.partitionBy(*KEY).orderBy("_span")
+    ends = ends.withColumn("_carried", F.lag("_last").over(over))
+    ends = ends.withColumn("_edge", cut(F.col("_head"), F.col("_carried")))
+    ends = ends.withColumn("_base", F.sum(F.col("_edge") + F.col("_cuts")).over(over) - F.col("_cuts"))
+    both = rows.join(ends.select(*KEY, "_span", "_carried", "_base"), [*KEY, "_span"])
+    prev = F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_prev"))
+    added = {"prev_size": prev, "truncated": cut(F.col("size"), prev).cast("boolean"), "generation": (F.col("_base") + F.col("_inside")).cast("int")}
+    return both.withColumns(added).select(*polls.columns, *added)

@@ -34,11 +34,20 @@ def drain_by_ordinal(chunks: DataFrame, positions: DataFrame, ordinal: str = "ch
 def drain_by_marker(chunks: DataFrame, positions: DataFrame, max_hops: int | None = None) -> DataFrame:
     """The same for opaque markers, by doubling: round r joins what is reached with pointers 2**r hops long.
 
+    Of pages that start at one marker the one landed last counts, and only files with a position are looked at.
     As many rounds as the longest walk has binary digits, each a join on the marker; ``max_hops`` bounds walks
     that would otherwise run in circles; without it the number of chunks of the largest file does. Rounds are written to the shared folder.
     """
+    files = positions.select(*KEY).distinct()
+    if "fetched_at" in chunks.columns:
+        # Only the page's key and markers are needed to find it; the join at the end brings its data.
+        newest = F.max(F.struct("fetched_at", "next_marker")).alias("_newest")
+        chosen = staged(chunks.join(files, KEY, "left_semi").groupBy(*KEY, "prev_marker").agg(newest), "walk-chosen")
+        chunks = chunks.join(chosen, [*KEY, "prev_marker"]).where(F.struct("fetched_at", "next_marker").eqNullSafe(F.col("_newest"))).drop("_newest")
+    else:
+        chunks = chunks.join(files, KEY, "left_semi")
     nodes = chunks.select(*KEY, F.col("prev_marker").alias("at"), F.when(F.col("additional_pending"), F.col("next_marker")).alias("to"))
-    nodes = staged(nodes, "walk-nodes")
+    nodes = staged(nodes.distinct(), "walk-nodes")
     if max_hops is None:
         max_hops = nodes.groupBy(*KEY).count().agg(F.max("count")).head()[0] or 0
     starts = positions.select(*KEY, F.col("from_marker").alias("at")).join(nodes.select(*KEY, "at"), [*KEY, "at"], "left_semi")

@@ -7,6 +7,7 @@ from tailframe.plans.fixtures import SINKS, duck
 
 _BATCH_ID = "substr(sha256(concat_ws('|', instance_id, log_file, prev_marker, next_marker)), 1, 16)"
 _LINES = f"lines as (select instance_id, engine, log_file, chunk_no, next_marker as marker, {_BATCH_ID} as batch_id, fetched_at, i - 1 as line_no, parts[i] as message from (select *, string_split(data, chr(10)) as parts, unnest(range(1, len(string_split(data, chr(10))) + 1)) as i from chunks) where parts[i] <> '')"
+_STOPS = f"refused as (select instance_id, log_file, chunk_no from (select *, {_BATCH_ID} as batch_id from chunks) where substr(batch_id, 1, 1) = '7' and length(replace(data, chr(10), '')) > 0), stops as (select instance_id, log_file, min(chunk_no) as stop from refused group by all)"
 _COUNTS = "select instance_id, engine, log_file, count(*) as n_lines, sum(strlen(message)) as n_bytes from lines group by all"
 _BASE = "regexp_extract(regexp_replace(log_file, '/+$', ''), '([^/]*)$', 1)"
 _MYSQL = " or ".join(f"starts_with(lower({_BASE}), '{p}')" for p in ("mysql-error", "mysql-slowquery", "mysql-general", "mariadb-error", "mariadb-slowquery", "mariadb-general")) + " or " + " or ".join(f"starts_with(lower(log_file), '{p}')" for p in ("error/", "slowquery/", "general/"))
@@ -70,7 +71,7 @@ def oracle_sql() -> dict[str, str]:
         "ndjson_roundtrip": tailed,
         "stream_tail": tailed,
         "stream_dedupe": tailed,
-        "dlq_replay": chunks + _LINES + " " + _COUNTS.replace("from lines", "from lines where substr(batch_id, 1, 1) in ('0', '5', 'a', 'f')"),
+        "dlq_replay": chunks + _LINES + " " + _COUNTS,
         "status_classes": attempts + "c as (select status + attempt * 50 as status from attempts) select status, case when status between 200 and 299 then 'ok' when status between 400 and 499 then 'permanent' else 'transient' end as class, count(*) as n from c group by all",
         "retry_outcome": attempts + _FINAL + " select instance_id, sink_name, batch_id, attempt as attempts, status, outcome from final",
         "retry_waits": attempts + _MADE + " select sink_name, sum(least(60000, 500 * pow(2, attempt - 1))::bigint) as wait_ms, max(least(60000, 500 * pow(2, attempt - 1))::bigint) as longest_ms from made where outcome = 'transient' group by all",
@@ -84,13 +85,23 @@ def oracle_sql() -> dict[str, str]:
         "failed_by_hour": attempts + _MADE + " select instance_id, sink_type, case when outcome = 'permanent' then 'permanent' else 'error' end as reason, date_trunc('hour', attempted_at) as hour, sum(n_records) as n from made where outcome <> 'ok' group by all",
         "batch_bytes_hist": _histogram("batch_bytes", BYTES_BOUNDS, "total", "le"),
         "write_seconds_hist": _histogram("duration_ms", [b * 1000 for b in SECONDS_BOUNDS], "total_ms", "le_ms"),
-        "api_calls": attempts + _MADE + " select case when attempt = 1 then 'DescribeDBLogFiles' else 'DownloadDBLogFilePortion' end as operation, case when status = 200 then 'ok' else 'error' end as outcome, count(*) as n from made group by all",
-        "store_ops": attempts + _MADE + " select case when attempt % 2 = 1 then 'get' else 'set' end as op, case when status = 200 then 'ok' else 'error' end as outcome, count(*) as n from made group by all",
+        "api_calls": attempts + _MADE + " select case when attempt = 1 then 'DescribeDBLogFiles' else 'DownloadDBLogFilePortion' end as operation, case when status between 200 and 299 then 'ok' else 'error' end as outcome, count(*) as n from made group by all",
+        "store_ops": attempts + _MADE + " select case when attempt % 2 = 1 then 'get' else 'set' end as op, case when status between 200 and 299 then 'ok' else 'error' end as outcome, count(*) as n from made group by all",
         "delivery_totals": attempts + _JUDGED + ", per as (select sink_name, instance_id, batch_id, sum(case when outcome = 'ok' then 1 else 0 end) as k, sum(case when outcome = 'ok' then n_records else 0 end) as r, sum(case when outcome <> 'ok' then 1 else 0 end) as f from judged group by all) select sink_name, sum(r) as n_records, sum(case when k > 0 then 1 else 0 end) as n_batches, sum(greatest(k - 1, 0)) as n_duplicates, sum(f) as n_failures from per group by all",
         "missing_lines": plain + _SOURCE + " select doc_id, line_no, message from source where doc_id % 7 = 0 and doc_id % 5 <> 0",
         "dedupe_lines": plain + _SOURCE + ", " + _DELIVERED + " select instance_id, log_file, count(*) as n_lines, sum(strlen(message)) as n_bytes from (select distinct instance_id, log_file, batch_id, line_no, message from delivered) group by all",
         "line_generations": plain + _SOURCE + " select unnest([0, 1]) as generation, count(*) as n_lines from (select distinct instance_id, log_file, batch_id, line_no from source)",
         "ordered_lines": chunks + _LINES + " select instance_id, log_file, chunk_no, line_no, row_number() over (partition by instance_id, log_file order by chunk_no, line_no) as place from lines",
         "stream_state": chunks[:-2] + " select instance_id, log_file, arg_max(next_marker, chunk_no) as marker, sum(strlen(data)) as bytes_written, count(*) as n_chunks from chunks group by all",
-        "stream_fanout": chunks + f"b as (select strlen(data) as n, {_BATCH_ID} as batch_id from chunks), s as (select 'siem' as sink_name, case when substr(batch_id, 1, 1) = '7' then 400 else 200 end as status, n from b union all select 'cold', 200, n from b) select sink_name, status, count(*) as n_batches, sum(n) as n_bytes from s group by all",
+        "stream_fanout": chunks + _LINES + ", b as (select batch_id, sum(strlen(message)) as n from lines group by all), s as (select 'siem' as sink_name, case when substr(batch_id, 1, 1) = '7' then 400 else 200 end as status, n from b union all select 'cold', 200, n from b) select sink_name, status, count(*) as n_batches, sum(n) as n_bytes from s group by all",
+        "stream_positions": chunks + _STOPS + " select instance_id, log_file, arg_max(next_marker, chunk_no) as marker, sum(strlen(data)) as bytes_written from chunks left join stops using (instance_id, log_file) where stop is null or chunk_no < stop group by all",
+        "stream_parked": chunks + _LINES + f" select c.*, 'tail' as marker from ({_COUNTS.replace('from lines', "from lines where substr(batch_id, 1, 1) = '7'")}) c",
+        "poll_positions": chunks + _STOPS + """, files as (select instance_id, log_file, sum(strlen(data)) as file_size, cast(regexp_extract(log_file, '([0-9]+)$', 1) as bigint) as k from chunks group by all),
+            due as (select c.*, file_size, k, stop, case when k % 6 = 0 then 1 else 2 end as start from chunks c join files using (instance_id, log_file) left join stops using (instance_id, log_file)),
+            sent as (select *, sum(strlen(data)) over (partition by instance_id, log_file order by chunk_no) as bytes_written from due where k % 2 = 0)
+            select instance_id, log_file, next_marker as marker, bytes_written, file_size, chunk_no - start + 1 as seq from sent s
+              where chunk_no >= start and not exists (select 1 from refused r where r.instance_id = s.instance_id and r.log_file = s.log_file and r.chunk_no between s.start and s.chunk_no)
+            union all select instance_id, log_file, 'tail', 0, file_size, 0 from files where k % 2 = 1""",
+        "objects_roundtrip": tailed,
+        "log_tail_lines": chunks + _LINES + " select cast(regexp_extract(log_file, '([0-9]+)$', 1) as bigint) as file_no, count(*) as n_lines, sum(strlen(message)) as n_bytes from lines group by all",
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tailframe.functions import batches as fb
@@ -10,8 +10,9 @@ from tailframe.functions import names as fn
 from tailframe.operators import audit, batches, checkpoints, delivery, lines, metrics, positions, walk
 from tailframe.plans.fixtures import SINKS, view
 from tailframe.sources import inventory, sinks
+from tailframe.sources import tail as live
 from tailframe.storage import shared_dir, staged
-from tailframe.streaming import tail
+from tailframe.streaming import poll, tail
 
 #: A fixed "now" for lags, so that results repeat.
 NOW = "2024-01-02 00:00:00"
@@ -96,7 +97,7 @@ def drained_chunks(spark, d):
 
 
 def drained_by_marker(spark, d):
-    return _walked(walk.drain_by_marker(staged(walk.last_landed(_chunks(spark, d)), "chunks"), _starts(spark, d)))
+    return _walked(walk.drain_by_marker(staged(_chunks(spark, d), "chunks"), _starts(spark, d)))
 
 
 def drained_recursive(spark, d):
@@ -245,9 +246,9 @@ def dlq_after_delete(spark, d):
 
 
 def dlq_replay(spark, d):
-    """Lines inside the dead letters of every fifth batch, read back from their payloads."""
+    """Lines inside the dead letters of all batches, as after an outage, read back from their payloads."""
     batch = batches.assemble_batches(_records(spark, d))
-    dead = batch.where(F.substring("batch_id", 1, 1).isin("0", "5", "a", "f")).select(F.xxhash64("batch_id").alias("dlq_id"), F.lit("siem").alias("sink_name"), "payload")
+    dead = batch.select(F.xxhash64("batch_id").alias("dlq_id"), F.lit("siem").alias("sink_name"), "payload")
     return _line_counts(delivery.dlq_records(dead))
 
 
@@ -365,20 +366,75 @@ def stream_state(spark, d):
     return rows.groupBy(*KEY).agg(F.max_by("marker", "chunks").alias("marker"), F.max("bytes_written").alias("bytes_written"), F.max("chunks").alias("n_chunks"))
 
 
-def _simulated(sink_type: str):
-    """A sink that answers by the batch id: a tenth of the batches are refused for good."""
+def _simulated(sink_type: str, status: int = 400):
+    """A sink that answers by the batch id: the webhook refuses a sixteenth of all batches."""
 
     def sink(batch: DataFrame) -> DataFrame:
         refused = F.substring("batch_id", 1, 1) == "7" if sink_type == "http" else F.lit(False)
-        return batch.select("instance_id", "batch_id", F.lit(1).alias("attempt"), F.when(refused, 400).otherwise(200).alias("status"), fb.payload_bytes(F.col("data")).alias("batch_bytes"))
+        answer = F.when(refused, status).otherwise(200).alias("status")
+        return batch.select("instance_id", "engine", "log_file", "batch_id", F.lit(1).alias("attempt"), answer, "n_records", "batch_bytes", F.col("timestamp").alias("attempted_at"))
 
     return sink
 
 
+def _fanned_out(spark, d, park: bool) -> str:
+    folder, schema = _landed(spark, d)
+    out = shared_dir(spark, "fanout")
+    each = tail.fan_out_batch({"siem": ("http", _simulated("http", 503)), "cold": ("s3", _simulated("s3"))}, out, park, "chunk_no")
+    tail.run_to_end(tail.tail_chunks(spark, folder, schema, 2), "fanout", "append", each)
+    return out
+
+
+def stream_positions(spark, d):
+    """Positions after a stream one of whose sinks keeps refusing some batches: each file stops before its first such chunk."""
+    log = spark.read.parquet(f"{_fanned_out(spark, d, False)}/positions")
+    return checkpoints.current_checkpoints(log).select(*KEY, "marker", "bytes_written")
+
+
+def stream_parked(spark, d):
+    """The same with dead letters: their lines, read back from the payloads; every file's position is at its end."""
+    out = _fanned_out(spark, d, True)
+    ends = checkpoints.current_checkpoints(spark.read.parquet(f"{out}/positions")).select(*KEY, "marker")
+    dead = delivery.dlq_ids(spark.read.parquet(f"{out}/dead"), at="created_at")
+    return _line_counts(delivery.dlq_records(dead)).join(ends, KEY)
+
+
+def poll_positions(spark, d):
+    """One poll: every other file is known up to its first chunk, some of them are smaller than they were, the rest are new and read from their end on."""
+    chunks = staged(_chunks(spark, d), "chunks")
+    number = F.regexp_extract("log_file", "([0-9]+)$", 1).cast("long")
+    size = F.sum(fb.payload_bytes(F.col("data"))).cast("long")
+    listed = chunks.groupBy("instance_id", "engine", "log_file").agg(size.alias("size"), F.unix_millis(F.max(F.col("fetched_at").cast("timestamp"))).alias("last_written_ms"))
+    first = chunks.where("chunk_no = 1").where(number % 2 == 0)
+    was = F.when(number % 6 == 0, F.lit(1 << 50)).otherwise(0).cast("long")
+    log = first.select(*KEY, F.col("next_marker").alias("marker"), fb.payload_bytes(F.col("data")).alias("bytes_written"), was.alias("file_size"), F.col("fetched_at").cast("timestamp").alias("updated_at"), F.lit(0).cast("long").alias("seq"), F.lit(False).alias("deleted"))
+    found = poll.poll_once(listed, log, chunks, {"siem": ("http", _simulated("http", 503)), "cold": ("s3", _simulated("s3"))}, F.lit(NOW).cast("timestamp"), park=False, drain=walk.drain_by_ordinal)
+    return found.positions.select(*KEY, "marker", "bytes_written", "file_size", "seq")
+
+
+def objects_roundtrip(spark, d):
+    """Batches written as objects under their keys, each twice, and read back."""
+    root = shared_dir(spark, "objects").replace("file:///", "/", 1)
+    batch = staged(batches.assemble_batches(_records(spark, d)), "batches")
+    for _ in range(2):
+        sinks.deliver(batch, {"cold": ("s3", lambda b: sinks.write_objects(b, root, "logs/"))})
+    return _line_counts(sinks.read_ndjson(spark, root, recursive=True))
+
+
+def log_tail_lines(spark, d):
+    """The lines as log files in a folder, read page by page through the live source."""
+    folder = shared_dir(spark, "logs").replace("file:///", "/", 1)
+    ordered = _records(spark, d).repartition("log_file").sortWithinPartitions("log_file", "chunk_no", "line_no")
+    ordered.select(F.regexp_extract("log_file", "([0-9]+)$", 1).alias("file"), "message").write.partitionBy("file").text(folder)
+    pages = live.read_pages(spark, folder, page_bytes="65536", task_bytes="200000")
+    found = lines.split_lines(pages.where("error is null")).withColumn("file_no", F.regexp_extract("log_file", "file=([0-9]+)", 1).cast("long"))
+    return found.groupBy("file_no").agg(F.count("*").alias("n_lines"), F.sum(fb.payload_bytes(F.col("message"))).alias("n_bytes"))
+
+
 def stream_fanout(spark, d):
     folder, schema = _landed(spark, d)
     out = shared_dir(spark, "fanout")
-    each = tail.fan_out_batch({"siem": ("http", _simulated("http")), "cold": ("s3", _simulated("s3"))}, out)
+    each = tail.fan_out_batch({"siem": ("http", _simulated("http")), "cold": ("s3", _simulated("s3"))}, out, park=True)
     tail.run_to_end(tail.tail_chunks(spark, folder, schema, 2), "fanout", "append", each)
     return spark.read.parquet(f"{out}/attempts").groupBy("sink_name", "status").agg(F.count("*").alias("n_batches"), F.sum("batch_bytes").alias("n_bytes"))
 
@@ -393,10 +449,8 @@ def stream_lag(spark, d):
 
 
 def ordered_lines(spark, d):
-    """Lines dealt by file and sorted within: each line's place in its file."""
-    dealt = _records(spark, d).repartition("instance_id", "log_file").sortWithinPartitions("instance_id", "log_file", "chunk_no", "line_no")
-    place = F.row_number().over(Window.partitionBy(*KEY).orderBy("chunk_no", "line_no"))
-    return dealt.withColumn("place", place.cast("long")).select(*KEY, "chunk_no", F.col("line_no").cast("long").alias("line_no"), "place")
+    """Each line's place in its file."""
+    return lines.numbered_lines(_chunks(spark, d)).select(*KEY, "chunk_no", F.col("line_no").cast("long").alias("line_no"), "place")
 
 
 QUERIES = (
@@ -407,7 +461,7 @@ QUERIES = (
     status_classes, retry_outcome, retry_waits, fanout_acks, fanout_missing, dead_letters, dlq_oldest, dlq_after_delete, dlq_replay,
     processed_total, failed_total, failed_by_hour, batch_bytes_hist, write_seconds_hist, api_calls, store_ops, delivery_totals,
     missing_lines, dedupe_lines, line_generations, ordered_lines,
-    stream_tail, stream_dedupe, stream_state, stream_fanout, stream_lag,
+    stream_tail, stream_dedupe, stream_state, stream_fanout, stream_positions, stream_parked, stream_lag, poll_positions, objects_roundtrip, log_tail_lines,
 )
 
 

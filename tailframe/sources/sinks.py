@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import gzip
+import http.client
+import json
 import random
+import string
 import time
 import urllib.error
 import urllib.request
+import uuid
 from collections.abc import Callable, Iterator
+from urllib.parse import quote
 
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +26,10 @@ from tailframe.operators.batches import assemble_batches
 from tailframe.operators.delivery import fan_out, retry_outcome
 from tailframe.storage import staged
 
+#: What an attempt at a batch says.
+MADE = "instance_id string, engine string, log_file string, batch_id string, attempt int, status int, n_records long, batch_bytes long, duration_ms long, attempted_at timestamp"
+#: Characters that a header's value may hold as they are; a percent sign is left alone, so that plain names stay readable.
+_PLAIN = "".join(c for c in string.printable if c not in "\t\n\r\x0b\x0c")
 PARTS = ["instance", "engine_name", "log_base", "dt", "batch"]
 
 
@@ -33,19 +44,19 @@ def _names() -> dict[str, Column]:
 
 
 def write_ndjson(records: DataFrame, path: str) -> None:
-    """One gzip NDJSON object per batch, lines in payload order.
+    """One gzip NDJSON folder per batch, lines in payload order, for tables of moderate size: each batch is a partition.
 
-    The path depends on the batch alone, and only the partitions that are written are replaced, so a retry puts its
-    object in the place of the first one.
+    The path depends on the batch and the day of fetching, and only the partitions that are written are replaced, so a retry from landed chunks puts its
+    object in the place of the first one. ``write_objects`` has no folder a batch and uses the keys of ``object_manifest``.
     """
     named = records.withColumns(_names()).repartition(*PARTS).sortWithinPartitions(*PARTS, "line_no")
     shown = named.drop("line_no").withColumns({"marker": F.nullif(F.col("marker"), F.lit("")), "batch_id": F.nullif(F.col("batch_id"), F.lit(""))})
     shown.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "gzip").option("timestampFormat", JSON_TIME).partitionBy(*PARTS).json(path)
 
 
-def read_ndjson(spark, path: str) -> DataFrame:
+def read_ndjson(spark, path: str, recursive: bool = False) -> DataFrame:
     schema = "instance_id string, engine string, log_file string, timestamp timestamp, message string, marker string, batch_id string"
-    return spark.read.schema(schema).json(path).select(*(f.split(" ")[0] for f in schema.split(", ")))
+    return spark.read.schema(schema).option("recursiveFileLookup", recursive).json(path).select(*(f.split(" ")[0] for f in schema.split(", ")))
 
 
 def object_manifest(batches: DataFrame, prefix: str, kms_key: str = "") -> DataFrame:
@@ -73,19 +84,19 @@ def post_webhooks(frame: DataFrame, url: str, gzipped: bool = False, max_attempt
     """Posts each batch from the executors, with retries, and returns the attempts: status 0 means no answer.
 
     Lazy, as any DataFrame: whoever calls must write the result once and read that (``deliver`` does), or a second action
-    would post again.
+    would post again. Header values are percent-encoded outside ASCII; whatever goes wrong with a request is an attempt that failed, and stops no other.
     """
-    schema = "instance_id string, batch_id string, attempt int, status int, n_records long, batch_bytes long, duration_ms long"
 
     def send(row) -> int:
-        body = row.payload.encode()
-        request = urllib.request.Request(url, gzip.compress(body) if gzipped else body, dict(row.headers), method="POST")
         try:
+            body = row.payload.encode("utf-8", "surrogatepass")
+            headers = {k: quote(v, safe=_PLAIN) for k, v in dict(row.headers).items()}
+            request = urllib.request.Request(url, gzip.compress(body) if gzipped else body, headers, method="POST")
             with urllib.request.urlopen(request, timeout=timeout_s) as answer:
                 return answer.status
         except urllib.error.HTTPError as e:
             return e.code
-        except OSError:
+        except (OSError, ValueError, http.client.HTTPException):
             return 0
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -93,17 +104,62 @@ def post_webhooks(frame: DataFrame, url: str, gzipped: bool = False, max_attempt
             rows = []
             for row in part.itertuples(index=False):
                 for attempt in range(1, max_attempts + 1):
-                    began = time.monotonic()
+                    at, began = dt.datetime.now(), time.monotonic()
                     status = send(row)
-                    rows.append((row.instance_id, row.batch_id, attempt, status, row.n_records, row.batch_bytes, int(1000 * (time.monotonic() - began))))
+                    rows.append((row.instance_id, row.engine, row.log_file, row.batch_id, attempt, status, row.n_records, row.batch_bytes, int(1000 * (time.monotonic() - began)), at))
                     if 200 <= status < 300 or 400 <= status < 500 or attempt == max_attempts:
                         break
                     wait = min(initial_ms * multiplier ** (attempt - 1), longest_ms) / 1000
                     time.sleep(random.uniform(wait / 2, wait))
-            yield pd.DataFrame(rows, columns=[f.split(" ")[0] for f in schema.split(", ")])
+            yield pd.DataFrame(rows, columns=[f.split(" ")[0] for f in MADE.split(", ")])
 
-    sent = frame.select("instance_id", "batch_id", "payload", "headers", "n_records", "batch_bytes")
-    return sent.mapInPandas(run, schema)
+    return frame.select("instance_id", "engine", "log_file", "batch_id", "payload", "headers", "n_records", "batch_bytes").mapInPandas(run, MADE)
+
+
+def write_objects(batches: DataFrame, root: str, prefix: str = "", kms_key: str = "") -> DataFrame:
+    """Writes each assembled batch as one gzip NDJSON object under its key below ``root``, from the executors, and returns the attempts.
+
+    ``root`` is a folder or a URI of a store (file, s3, gs, hdfs). An object is written under another name first and then moved, so a reader never sees half of one, and its
+    bytes and key depend on the batch and the time of fetching alone: delivering a landed batch again replaces its object. Fetching the same page anew at another time makes
+    another object, a duplicate that the batch id tells. Each attempt has ``object_key`` and ``sse``; its status is 200, or 0 with the ``error``. Lazy, as ``post_webhooks``.
+    """
+    where = root.replace("file:///", "/", 1)
+
+    def store(key: str, payload: str) -> None:
+        body = "".join(line + "\n" for line in _array_items(payload)).encode("utf-8", "surrogatepass")
+        fs, base = (pafs.FileSystem.from_uri(where) if "://" in where else (pafs.LocalFileSystem(), where))
+        path = f"{base.rstrip('/')}/{key}"
+        fs.create_dir(path.rpartition("/")[0], recursive=True)
+        draft = f"{path}.{uuid.uuid4().hex}"
+        with fs.open_output_stream(draft, compression=None) as f:
+            f.write(gzip.compress(body, mtime=0))
+        fs.move(draft, path)
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            rows = []
+            for row in part.itertuples(index=False):
+                at, began, status, error = dt.datetime.now(), time.monotonic(), 200, None
+                try:
+                    store(row.object_key, row.payload)
+                except (OSError, ValueError) as e:
+                    status, error = 0, str(e)
+                rows.append((row.instance_id, row.engine, row.log_file, row.batch_id, 1, status, row.n_records, row.batch_bytes, int(1000 * (time.monotonic() - began)), at, row.object_key, row.sse, error))
+            yield pd.DataFrame(rows, columns=[f.split(" ")[0] for f in f"{MADE}, object_key string, sse string, error string".split(", ")])
+
+    key = object_key(prefix, F.col("instance_id"), F.col("engine"), basename(F.col("log_file")), F.col("timestamp"), F.col("batch_id"))
+    sent = batches.withColumns({"object_key": key, "sse": F.lit("aws:kms" if kms_key else "AES256")})
+    return sent.select("instance_id", "engine", "log_file", "batch_id", "payload", "n_records", "batch_bytes", "object_key", "sse").mapInPandas(run, f"{MADE}, object_key string, sse string, error string")
+
+
+def _array_items(payload: str) -> list[str]:
+    """The items of a JSON array, each as it stands there."""
+    decoder, found, at = json.JSONDecoder(), [], 1
+    while at < len(payload) - 1:
+        _, end = decoder.raw_decode(payload, at)
+        found.append(payload[at:end])
+        at = end + 1
+    return found
 
 
 #: A custom sink: batches in, attempts out (the columns of the ATTEMPT schema that it knows).

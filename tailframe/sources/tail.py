@@ -1,93 +1,175 @@
-"""A live source of chunks: log files that grow in a folder all executors see, read page by page.
+"""A live source of chunks: log files that grow in a folder all executors see, read page by page, as a stream or from given cursors.
 
-Each file is one input partition. An offset is the byte up to which each active file has been planned, so a replay of
-the same offsets reads the same pages. Land what it yields (``land``) and run everything else from there.
+A file is read by ranges of bytes, large ones by several tasks. Pages end at line feeds, or if a page has none, between
+characters; so do ranges. An offset is the byte up to which each active file has been planned, always between characters, so a replay of
+the same offsets reads the same pages. Bytes that are no UTF-8 become replacement characters. Land what it yields (``land``) and run everything
+else from there.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import os
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
-from tailframe.schemas import CHUNK
+from tailframe.schemas import CHUNK, LOG_PAGE
 
 
-class _Pages(InputPartition):
-    def __init__(self, path: str, name: str, start: int, end: int):
-        self.path, self.name, self.start, self.end = path, name, start, end
+class _Range(InputPartition):
+    """Bytes ``start`` to ``stop`` of the part of a file from ``first`` to ``end`` that is read this time; or why it can't be."""
+
+    def __init__(self, path: str, name: str, first: int, start: int, stop: int, end: int, error: str | None = None):
+        self.path, self.name, self.first, self.start, self.stop, self.end, self.error = path, name, first, start, stop, end, error
+
+
+def _whole(data: bytes) -> int:
+    """Bytes of ``data`` without a character that its end cuts."""
+    for k in range(1, min(4, len(data) + 1)):
+        byte = data[-k]
+        if byte >= 0xC0:
+            return len(data) - k if k < (2 if byte < 0xE0 else 3 if byte < 0xF0 else 4) else len(data)
+        if byte < 0x80:
+            break
+    return len(data)
+
+
+def _after_line(f, at: int, first: int, end: int) -> int:
+    """Where the first line that starts at or after ``at`` starts."""
+    if at <= first or at >= end:
+        return max(first, min(at, end))
+    f.seek(at - 1)
+    at -= 1
+    while at < end and (block := f.read(min(1 << 16, end - at))):
+        if (k := block.find(b"\n")) >= 0:
+            return at + k + 1
+        at += len(block)
+    return end
+
+
+class _Files:
+    def __init__(self, options):
+        self.path, self.page, self.task = options["path"], max(4, int(options.get("page_bytes", 1 << 20))), int(options.get("task_bytes", 64 << 20))
+        self.instance, self.engine = options.get("instance_id", "local"), options.get("engine", "unknown")
+        self.planned: dict[str, int] = {}
+        self.errors: dict[str, str] = {}
+        self._seen: dict[str, int] = {}
+
+    def sizes(self) -> dict[str, int]:
+        """Where each file ends, between characters. A file that can't be read stays where it was and does not hold up the others."""
+        self.errors = {}
+        for folder, _, names in os.walk(self.path, onerror=lambda e: self.errors.update({os.path.relpath(e.filename, self.path): str(e)})):
+            for n in names:
+                if n[0] in "._":
+                    continue
+                full = os.path.join(folder, n)
+                name = os.path.relpath(full, self.path)
+                try:
+                    size = os.stat(full).st_size
+                    if self._seen.get(name) != size:  # only files that have changed are opened
+                        with open(full, "rb") as f:
+                            f.seek(max(0, size - 3))
+                            rest = f.read(3)
+                        self._seen[name], self.planned[name] = size, size - len(rest) + _whole(rest)
+                except OSError as e:
+                    self.errors[name] = str(e)
+        return dict(self.planned)
+
+    def ranges(self, start: dict, end: dict) -> list[_Range]:
+        found = []
+        for n, size in sorted(end.items()):
+            # A file that is smaller than before was truncated and starts over.
+            first = start.get(n, 0) if start.get(n, 0) <= size else 0
+            found += [_Range(os.path.join(self.path, n), n, first, at, min(at + self.task, size), size) for at in range(first, size, self.task)]
+        return found + [_Range(os.path.join(self.path, n), n, at := self.planned.get(n, 0), at, at, at, e) for n, e in sorted(self.errors.items())]
+
+    def pages(self, part: _Range) -> Iterator[tuple]:
+        now = dt.datetime.now(dt.timezone.utc)
+        row = lambda a, b, data, error=None: (self.instance, self.engine, part.name, str(a), str(b), data, error is None and b < part.end, now, error)
+        if part.error:
+            yield row(part.start, part.start, None, part.error)
+            return
+        at = part.start
+        try:
+            with open(part.path, "rb") as f:
+                at, stop = _after_line(f, part.start, part.first, part.end), _after_line(f, part.stop, part.first, part.end)
+                f.seek(at)
+                while at < stop:
+                    data = f.read(min(self.page, stop - at))
+                    if not data:
+                        raise OSError(f"ends at {at}, before {stop}: truncated meanwhile")
+                    if at + len(data) < stop:
+                        data = data[: data.rfind(b"\n") + 1 or _whole(data)]
+                        f.seek(at + len(data))
+                    begin, at = at, at + len(data)
+                    yield row(begin, at, data.decode("utf-8", "replace"))
+        except OSError as e:
+            yield row(at, at, None, str(e))
 
 
 class LogTail(DataSource):
-    """``spark.dataSource.register(LogTail)``; options path, instance_id, engine, page_bytes."""
+    """``spark.dataSource.register(LogTail)``; options path, instance_id, engine, page_bytes, task_bytes; for a batch ``cursors``, JSON of the byte to start from by file."""
 
     @classmethod
     def name(cls) -> str:
         return "log_tail"
 
     def schema(self):
-        return CHUNK
+        return LOG_PAGE
 
     def streamReader(self, schema):
         return _TailReader(self.options)
 
+    def reader(self, schema):
+        return _BatchReader(self.options)
 
-class _TailReader(DataSourceStreamReader):
+
+class _BatchReader(DataSourceReader):
     def __init__(self, options):
-        self.path, self.page = options["path"], int(options.get("page_bytes", 1 << 20))
-        self.planned: dict[str, int] = {}
-        self.instance, self.engine = options.get("instance_id", "local"), options.get("engine", "unknown")
+        self.files, self.cursors = _Files(options), json.loads(options.get("cursors", "{}"))
 
-    def _sizes(self) -> dict[str, int]:
-        """Sizes by name. A file that can't be read stays where it was and does not hold up the others."""
-        for folder, _, names in os.walk(self.path):
-            for n in names:
-                full = os.path.join(folder, n)
-                try:
-                    with open(full, "rb"):
-                        self.planned[os.path.relpath(full, self.path)] = os.path.getsize(full)
-                except OSError:
-                    continue
-        return dict(self.planned)
+    def partitions(self) -> list[InputPartition]:
+        return self.files.ranges(self.cursors, self.files.sizes())
+
+    def read(self, partition: _Range):
+        return self.files.pages(partition)
+
+
+class _TailReader(DataSourceStreamReader):
+    def __init__(self, options):
+        self.files = _Files(options)
 
     def initialOffset(self) -> dict:
         return {}
 
     def latestOffset(self) -> dict:
-        return self._sizes()
+        return self.files.sizes()
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
-        # A file that is smaller than before was truncated and starts over.
-        spans = {n: (start.get(n, 0) if start.get(n, 0) <= size else 0, size) for n, size in end.items()}
-        return [_Pages(os.path.join(self.path, n), n, a, b) for n, (a, b) in sorted(spans.items()) if b > a]
+        return self.files.ranges(start, end)
 
-    def read(self, partition: _Pages):
-        now = dt.datetime.now(dt.timezone.utc)
-        with open(partition.path, "rb") as f:
-            f.seek(partition.start)
-            at = partition.start
-            while at < partition.end:
-                data = f.read(min(self.page, partition.end - at))
-                if not data:
-                    break
-                begin, at = at, at + len(data)
-                yield (self.instance, self.engine, partition.name, str(begin), str(at), data.decode("utf-8", "replace"), at < partition.end, now)
+    def read(self, partition: _Range):
+        return self.files.pages(partition)
 
     def commit(self, end: dict) -> None:
         """Files that are gone need no offset any more: it is written in every batch, so only live files are kept."""
-        for name in [n for n in self.planned if not os.path.exists(os.path.join(self.path, n))]:
-            del self.planned[name]
+        for name in [n for n in self.files.planned if not os.path.exists(os.path.join(self.files.path, n))]:
+            del self.files.planned[name]
+
+
+def read_pages(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """The pages of the files below ``path``, from the given cursors on."""
+    spark.dataSource.register(LogTail)
+    return spark.read.format("log_tail").options(path=path, **options).load()
 
 
 def land(spark: SparkSession, path: str, out: str, checkpoint: str, **options: str):
     """A stream that appends the pages of the files below ``path`` to the chunk table ``out``."""
     spark.dataSource.register(LogTail)
-    reader = spark.readStream.format("log_tail").option("path", path)
-    for k, v in options.items():
-        reader = reader.option(k, v)
-    return reader.load().writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+    return spark.readStream.format("log_tail").options(path=path, **options).load().writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:

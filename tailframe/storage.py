@@ -3,18 +3,52 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders made in each open ``scratch`` block, the innermost last.
+_open: list[list[str]] = []
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under ``spark.checkpoint.dir``; only where that is unset, under the warehouse."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_staged"
+
+def new_dir(spark: SparkSession, name: str) -> str:
+    """A new folder under ``spark.checkpoint.dir``; where that is unset, on a single machine only, under the warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir") + "/_staged"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A new folder as ``new_dir`` gives it. In a ``scratch`` block it is removed at the end."""
+    path = new_dir(spark, name)
+    if _open:
+        _open[-1].append(path)
+    return path
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` once and reads it back: side effects happen once, lineage ends here, lost executors don't matter."""
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder by Spark's own file systems."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables staged inside at the end of the block. What leaves it must not read them any more."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            remove(spark, path)

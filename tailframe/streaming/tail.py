@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +14,14 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from tailframe.functions.batches import payload_bytes
 from tailframe.operators.audit import LINE
-from tailframe.operators.lines import records, stamp
+from tailframe.operators.batches import assemble_batches
+from tailframe.operators.checkpoints import KEY, current_checkpoints
+from tailframe.operators.delivery import advance, retry_outcome, route_dlq, settle, with_parked, with_payload
+from tailframe.operators.lines import records
 from tailframe.operators.metrics import lag_seconds
+from tailframe.schemas import CHECKPOINT
 from tailframe.sources.sinks import Sink, deliver
-from tailframe.storage import shared_dir
+from tailframe.storage import scratch, shared_dir, staged
 
 
 def tail_chunks(spark: SparkSession, folder: str, schema, files_per_trigger: int = 100) -> DataFrame:
@@ -47,12 +52,22 @@ class FilePosition(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         old = self.state.get()
         marker, size, chunks, generation = old if old is not None else (None, 0, 0, 0)
-        # Rows of a group come in any order.
-        frame = pd.concat(list(rows)).sort_values(["fetched_at", "chunk_no"])
-        for row in frame.itertuples(index=False):
-            if chunks and row.prev_marker == "0":
-                generation += 1
-            marker, size, chunks = row.next_marker, size + int(row.n_bytes), chunks + 1
+        started = chunks > 0
+        # Rows of a group come in any order and any number: each frame is folded in as it comes.
+        newest = first = None
+        for frame in rows:
+            began = frame[frame["prev_marker"] == "0"]
+            generation += len(began)
+            size, chunks = size + int(frame["n_bytes"].sum()), chunks + len(frame)
+            at = (frame["fetched_at"].to_numpy(), frame["chunk_no"].to_numpy())
+            order = np.lexsort(at[::-1])
+            low, high = (tuple(frame.iloc[order[k]][["fetched_at", "chunk_no", "prev_marker", "next_marker"]]) for k in (0, -1))
+            first = low if first is None or low[:2] < first[:2] else first
+            newest = high if newest is None or high[:2] > newest[:2] else newest
+        # A file's very first chunk starts at the start without starting over.
+        if not started and first is not None and first[2] == "0":
+            generation -= 1
+        marker = newest[3] if newest is not None else marker
         self.state.update((marker, int(size), int(chunks), int(generation)))
         yield pd.DataFrame({"instance_id": [key[0]], "log_file": [key[1]], "marker": [marker], "bytes_written": [size], "chunks": [chunks], "generation": [generation]})
 
@@ -85,20 +100,37 @@ def poll(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint:
     return stream.writeStream.option("checkpointLocation", checkpoint).trigger(processingTime=f"{seconds} seconds").foreachBatch(each).start()
 
 
-def fan_out_batch(sinks: dict[str, tuple[str, Sink]], out: str) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: deliver to all sinks, then append attempts, then positions. A crash between repeats, never loses.
+def fan_out_batch(sinks: dict[str, tuple[str, Sink]], out: str, park: bool = False, order: str = "fetched_at", max_attempts: int = 10) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: deliver to all sinks, append attempts and dead letters, then positions as far as every chunk is acknowledged.
 
-    Each micro-batch has folders of its own, which a repetition overwrites.
+    A file's position stops before its first chunk that some sink has neither taken nor, with ``park``, parked. That chunk and those behind it go
+    into ``pending``, and whatever of them is not acknowledged is sent once more with the next micro-batch. ``order`` numbers a file's chunks. Each
+    micro-batch has folders of its own, which a repetition overwrites, so a crash repeats deliveries and loses none.
     """
 
     def run(chunks: DataFrame, epoch: int) -> None:
-        chunks = chunks.persist()
-        try:
-            attempts = deliver(stamp(chunks), sinks)
+        spark = chunks.sparkSession
+        with scratch(spark):
+            fresh = chunks.withColumns({"acked": F.lit(False), "n_bytes": payload_bytes(F.col("data"))})
+            waiting = spark.read.schema(fresh.schema).parquet(f"{out}/pending/epoch={epoch - 1}") if epoch else fresh.limit(0)
+            due = staged(fresh.unionByName(waiting), "due")
+            batches = staged(assemble_batches(records(due.where("not acked").drop("acked", "n_bytes"))), "batches")
+            attempts = deliver(batches, sinks)
             attempts.write.mode("overwrite").parquet(f"{out}/attempts/epoch={epoch}")
-            chunks.select("instance_id", "log_file", F.col("next_marker").alias("marker")).write.mode("overwrite").parquet(f"{out}/positions/epoch={epoch}")
-        finally:
-            chunks.unpersist()
+            outcomes = staged(retry_outcome(attempts, max_attempts), "outcomes")
+            dead = staged(with_payload(route_dlq(outcomes if park else outcomes.limit(0)), batches), "dead")
+            dead.write.mode("overwrite").parquet(f"{out}/dead/epoch={epoch}")
+            settled = staged(settle(due, with_parked(outcomes, dead), list(sinks)), "settled")
+            done = staged(advance(settled, order), "done")
+            left = settled.join(done.select(*KEY, order), [*KEY, order], "left_anti")
+            left.withColumn("data", F.when(~F.col("acked"), F.col("data"))).select(*fresh.columns).write.mode("overwrite").parquet(f"{out}/pending/epoch={epoch}")
+            moved = done.groupBy(*KEY).agg(F.max_by("next_marker", order).alias("marker"), F.sum("n_bytes").alias("_more"), F.max("fetched_at").alias("updated_at"))
+            if epoch:
+                log = spark.read.parquet(f"{out}/positions").where(F.col("epoch") < epoch).drop("epoch")
+                moved = moved.join(current_checkpoints(log).select(*KEY, F.col("bytes_written").alias("_so_far")), KEY, "left")
+            so_far = F.coalesce("_so_far", F.lit(0).cast("long")) if epoch else F.lit(0).cast("long")
+            added = {"bytes_written": so_far + F.col("_more"), "file_size": F.lit(None).cast("long"), "last_written": F.lit(None).cast("timestamp"), "seq": F.lit(epoch).cast("long"), "deleted": F.lit(False)}
+            moved.withColumns(added).select(*CHECKPOINT.names).write.mode("overwrite").parquet(f"{out}/positions/epoch={epoch}")
 
     return run
 

@@ -1,6 +1,7 @@
 """Small cases of each operator, with results known in advance."""
 
 import datetime as dt
+import gzip
 import hashlib
 import http.server
 import json
@@ -14,6 +15,7 @@ from tailframe.functions import batches as fb
 from tailframe.functions import names as fn
 from tailframe.operators import audit, batches, checkpoints, delivery, lines, metrics, positions, walk
 from tailframe.sources import inventory, sinks, tail
+from tailframe.streaming import poll
 from tailframe.streaming import tail as streams
 
 T0 = dt.datetime(2026, 4, 19, 12)
@@ -297,8 +299,8 @@ def test_unreadable_file_holds_up_no_other(tmp_path):
     os.symlink(tmp_path / "nowhere", tmp_path / "b.log")
     reader = tail.LogTail({"path": str(tmp_path)}).streamReader(None)
     offset = reader.latestOffset()
-    assert offset == {"a.log": 2} and [p.name for p in reader.partitions({}, offset)] == ["a.log"]
-    assert [row[5] for p in reader.partitions({"a.log": 9}, offset) for row in reader.read(p)] == ["x\n"]
+    assert offset == {"a.log": 2} and [(p.name, bool(p.error)) for p in reader.partitions({}, offset)] == [("a.log", False), ("b.log", True)]
+    assert [row[5] for p in reader.partitions({"a.log": 9}, offset) for row in reader.read(p)] == ["x\n", None]
     os.remove(tmp_path / "a.log")
     reader.commit(offset)
     assert reader.latestOffset() == {}
@@ -318,3 +320,159 @@ def test_recursive_walk_goes_on_past_the_limit_of_recursion(spark):
     chunks = chunk(spark, *((str(k), str(k + 1), "a", k < 199) for k in range(200)))
     start = spark.createDataFrame([("db-1", "error/postgresql.log", "0")], "instance_id string, log_file string, from_marker string")
     assert sorted((r.hop, r.prev_marker) for r in walk.drain_recursive(chunks, start).collect()) == [(k + 1, str(k)) for k in range(200)]
+
+
+def answering(status, only=""):
+    """A sink that gives one status to batches with lines that begin so, and 200 to the rest."""
+    answer = F.when(F.col("payload").contains(f'"message":"{only}'), status).otherwise(200).alias("status")
+    return lambda b: b.select("instance_id", "engine", "log_file", "batch_id", F.lit(1).alias("attempt"), answer, "n_records", "batch_bytes", F.lit(T0).alias("attempted_at"))
+
+
+LOG = "instance_id string, log_file string, marker string, bytes_written long, file_size long, last_written timestamp, updated_at timestamp, seq long, deleted boolean"
+
+
+def polled(spark, known, size, pages, sink, **how):
+    listed = spark.createDataFrame([("db-1", "postgres", "error/postgresql.log", size, 0)], "instance_id string, engine string, log_file string, size long, last_written_ms long")
+    log = spark.createDataFrame([("db-1", "error/postgresql.log", m, b, s, T0, T0, 0, False) for m, b, s in known], LOG)
+    found = poll.poll_once(listed, log, chunk(spark, *pages), {"siem": ("http", sink)}, F.lit(T0 + dt.timedelta(hours=1)), **how)
+    now = checkpoints.current_checkpoints(log.unionByName(found.positions))
+    return [(r.marker, r.bytes_written, r.file_size) for r in now.collect()], found
+
+
+PAGES = [("m0", "m1", "a\nb\n", True), ("m1", "m2", "c\n", False), ("0", "m0", "before\n", True)]
+
+
+def test_poll_resumes_and_counts_on(spark):
+    now, found = polled(spark, [("m0", 7, 7)], 14, PAGES, answering(200))
+    assert now == [("m2", 13, 14)] and found.attempts.count() == 2 and found.dead.isEmpty()
+
+
+def test_poll_of_a_new_file_from_its_end_sends_nothing_and_stores_the_end(spark):
+    now, found = polled(spark, [], 14, PAGES, answering(200))
+    assert now == [("m2", 0, 14)] and found.attempts.isEmpty()
+
+
+def test_poll_of_a_truncated_file_starts_over(spark):
+    now, found = polled(spark, [("oldBig", 5000, 5000)], 6, [("0", "mNew", "fresh\n", False)], answering(200))
+    assert now == [("mNew", 6, 6)] and found.attempts.count() == 1
+
+
+def test_position_waits_for_a_sink_that_fails_unless_its_batch_is_parked(spark):
+    now, found = polled(spark, [("m0", 7, 7)], 14, PAGES, answering(503), park=False)
+    assert now == [("m0", 7, 7)] and found.dead.isEmpty()
+    now, _ = polled(spark, [("m0", 7, 7)], 14, PAGES, answering(503, "c"), park=False)
+    assert now == [("m1", 11, 14)]
+    now, found = polled(spark, [("m0", 7, 7)], 14, PAGES, answering(503, "c"))
+    assert now == [("m2", 13, 14)] and [json.loads(r.payload)[0]["message"] for r in found.dead.collect()] == ["c"]
+
+
+def test_stream_position_waits_and_what_was_refused_is_sent_again(spark, tmp_path):
+    folder, out, mark = (str(tmp_path / n) for n in ("landed", "out", "mark"))
+    numbered = lambda *rows: chunk(spark, *rows).withColumn("chunk_no", F.col("prev_marker").cast("int")).coalesce(1)
+    page = numbered(("1", "2", "a\n", True), ("2", "3", "b\n", True), ("3", "4", "c\n", True))
+    page.write.mode("append").parquet(folder)
+    source = lambda: streams.tail_chunks(spark, folder, page.schema)
+    position = lambda: [(r.marker, r.bytes_written) for r in checkpoints.current_checkpoints(spark.read.parquet(f"{out}/positions")).collect()]
+    go = lambda sink, park=False: streams.run_to_end(source(), "s", each=streams.fan_out_batch({"siem": ("http", sink)}, out, park, "chunk_no"), checkpoint=mark)
+    go(answering(503, "b"))
+    assert position() == [("2", 2)]
+    numbered(("4", "5", "\n", True)).write.mode("append").parquet(folder)  # no lines: nothing to send, but no way past what waits
+    go(answering(503, "b"))
+    assert position() == [("2", 2)] and spark.read.parquet(f"{out}/attempts").count() == 4
+    numbered(("5", "6", "d\n", False)).write.mode("append").parquet(folder)
+    go(answering(200))
+    assert position() == [("6", 9)] and spark.read.parquet(f"{out}/attempts").count() == 6
+    numbered(("6", "7", "b\n", False)).write.mode("append").parquet(folder)
+    go(answering(503, "b"), True)
+    assert position() == [("7", 11)] and spark.read.parquet(f"{out}/dead").count() == 1
+
+
+def test_live_dead_letters_and_odd_names(spark, tmp_path):
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), _Hook)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        odd = chunk(spark, ("8", "9", "bad", False)).withColumn("log_file", F.lit("error/журнал\n.log"))
+        frame = sinks.webhook_frame(lines.records(odd))
+        post = lambda port: lambda b: sinks.post_webhooks(b, f"http://127.0.0.1:{port}", max_attempts=2, initial_ms=1)
+        sent = sinks.deliver(frame, {"siem": ("http", post(server.server_port)), "gone": ("http", post(1))})
+        outcomes = delivery.retry_outcome(sent)
+        assert {(r.sink_name, r.outcome, r.log_file, r.engine) for r in outcomes.collect()} == {("siem", "permanent", "error/журнал\n.log", "postgres"), ("gone", "transient", "error/журнал\n.log", "postgres")}
+        delivery.dlq_put(delivery.with_payload(delivery.route_dlq(outcomes), frame), str(tmp_path / "dlq"))
+        stored = spark.read.parquet(str(tmp_path / "dlq"))
+        assert sorted(r.dlq_id for r in stored.collect()) == [1, 2] and {r.message for r in delivery.dlq_records(stored).collect()} == {"bad"}
+        failed = metrics.failed_total(delivery.made_attempts(sent)).collect()
+        assert {(r.reason, r.n) for r in failed} == {("permanent", 1), ("error", 2)}
+    finally:
+        server.shutdown()
+
+
+def test_dead_letters_without_a_time_are_numbered_first(spark):
+    rows = [("i", "b1", "s", T0), ("i", "b2", "s", None), ("i", "b3", "s", T0 + dt.timedelta(seconds=1)), ("i", "b0", "s", T0), ("i", "b4", "s", T0 - dt.timedelta(days=3))]
+    got = delivery.dlq_ids(spark.createDataFrame(rows, "instance_id string, batch_id string, sink_name string, attempted_at timestamp"), 10).collect()
+    assert {r.batch_id: r.dlq_id for r in got} == {"b2": 11, "b4": 12, "b0": 13, "b1": 14, "b3": 15}
+
+
+def test_objects_under_their_keys(spark, tmp_path):
+    frame = batches.assemble_batches(lines.records(chunk(spark, ("0", "1", 'a "q"\nb, c', True), ("1", "2", "é", False))))
+    for _ in range(2):
+        sent = sinks.deliver(frame, {"cold": ("s3", lambda b: sinks.write_objects(b, str(tmp_path), "rds/", "key"))})
+    made = {r.object_key: r.sse for r in sent.collect()}
+    files = [p for p in tmp_path.rglob("*") if p.is_file()]
+    assert {str(p.relative_to(tmp_path)) for p in files} == set(made) and set(made.values()) == {"aws:kms"}
+    assert sorted(json.loads(x)["message"] for p in files for x in gzip.decompress(p.read_bytes()).decode().splitlines()) == ['a "q"', "b, c", "é"]
+    broken = sinks.write_objects(frame, "/proc/nowhere")
+    assert {(r.status, bool(r.error)) for r in broken.collect()} == {(0, True)}
+
+
+@pytest.mark.parametrize("page", range(1, 10))
+def test_pages_keep_every_byte(tmp_path, page):
+    text = "aé\n日本語 😀x\n\n" + "ü" * 40 + "\nend€"
+    (tmp_path / "a.log").write_text(text)
+    for task in (7, 1000):
+        reader = tail.LogTail({"path": str(tmp_path), "page_bytes": str(page), "task_bytes": str(task)}).reader(None)
+        rows = [r for p in reader.partitions() for r in reader.read(p)]
+        assert "".join(r[5] for r in rows) == text
+        assert [r[3] for r in rows][1:] == [r[4] for r in rows][:-1] and [r[6] for r in rows] == [True] * (len(rows) - 1) + [False]
+
+
+def test_a_growing_file_is_never_read_inside_a_character(tmp_path):
+    data = "é€😀".encode()
+    path, got, start = tmp_path / "a.log", "", {}
+    for n in range(len(data) + 1):
+        path.write_bytes(data[:n])
+        reader = tail.LogTail({"path": str(tmp_path)}).streamReader(None)
+        end = reader.latestOffset()
+        got += "".join(r[5] for p in reader.partitions(start, end) for r in reader.read(p))
+        start = end
+    assert got == "é€😀"
+
+
+def test_cursors_and_errors_as_rows(spark, tmp_path):
+    (tmp_path / "a.log").write_text("one\ntwo\n")
+    os.symlink(tmp_path / "nowhere", tmp_path / "b.log")
+    rows = tail.read_pages(spark, str(tmp_path), cursors='{"a.log": 4}').collect()
+    assert sorted((r.log_file, r.prev_marker, r.data, r.error is None) for r in rows) == [("a.log", "4", "two\n", True), ("b.log", "0", None, False)]
+
+
+def test_published_version(spark, tmp_path):
+    log = spark.createDataFrame([("db-1", "a", "m1", 0, 0, T0, T0, 1, False), ("db-1", "a", "m2", 0, 0, T0, T0, 2, False)], LOG)
+    checkpoints.publish(log.where("seq = 1"), str(tmp_path))
+    checkpoints.publish(log, str(tmp_path))
+    assert [r.marker for r in checkpoints.published(spark, str(tmp_path)).collect()] == ["m2"]
+    assert sorted(os.listdir(tmp_path))[0] == "pointer" and len(os.listdir(tmp_path)) == 3
+
+
+def test_truncations_across_spans(spark):
+    sizes = [5, 7, 3, 3, 9, 1, 0, 2]
+    polls = spark.createDataFrame([("i", "f", k, s) for k, s in enumerate(sizes)], "instance_id string, log_file string, poll_id long, size long")
+    for span in (1, 2, 3, 100):
+        got = positions.truncations(polls, span).orderBy("poll_id").collect()
+        assert [(r.prev_size, r.truncated, r.generation) for r in got] == [(None, False, 0), (5, False, 0), (7, True, 1), (3, False, 1), (3, False, 1), (9, True, 2), (1, True, 3), (0, False, 3)]
+
+
+def test_missing_acknowledgements(spark):
+    made = spark.createDataFrame([("i", "b1"), ("i", "b2")], "instance_id string, batch_id string")
+    names = spark.createDataFrame([("s",), ("t",)], "sink_name string")
+    assert sinks.required(made, names).count() == 4
+    with pytest.raises(ValueError):
+        delivery.fan_out(made, names, max_sinks=1)
