@@ -2,28 +2,23 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Java character class of the white space that separates words.
-SPACE = r"[\x20\x09-\x0D]"
-
+from tailframe.storage import new_dir as _new_dir
+from tailframe.storage import scratch, shared_dir, staged
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder that the driver and every executor can see.
+__all__ = ["bounded_sample", "let", "scratch", "shared_dir", "staged", "staged_for_good", "table", "words"]
 
-    It lies in ``spark.checkpoint.dir``; only where that is unset (tests, single machine) in the warehouse.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_staged"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+#: Java character class of the white space that separates words.
+SPACE = r"[\x20\x09-\x0D]"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: cuts lineage, survives lost executors."""
-    path = shared_dir(df.sparkSession, name)
+def staged_for_good(df: DataFrame, name: str) -> DataFrame:
+    """As ``staged``, but not removed at the end of a ``scratch`` block: what the block's result reads."""
+    path = _new_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -14,8 +14,9 @@ sets itself, in an exact join: two such sets share a shingle among the first ``n
 order (prefix filter), and whatever meets there is verified. See ``link_similar``.
 
 Edge cases: null and empty texts have fingerprint zero and link like any other; a null id is never a component's
-name, and a component of null ids alone has a null name; repeated rows get the same component; an empty table
-gives no rows.
+name, and a component of null ids alone has a null name; repeated rows get the same component; equal ids or fingerprints
+are no special case; very long texts are hashed in slices, and a shingle set takes memory in proportion to its text; other columns, whatever their
+names, are not carried along by ``near_duplicates`` and come back unchanged from ``one_of_each``; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,11 +27,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tailframe.llm.common import bounded_sample, staged
+from tailframe.llm.common import bounded_sample, scratch, shared_dir, staged, staged_for_good
 
 #: Distinct fingerprints of one key up to which all its pairs are verified.
 BUCKET = 32
@@ -40,8 +41,8 @@ _CHUNK = 1 << 15
 SAMPLE, COMMON = 4_096, 1 << 16
 #: Sets of a key that all its sets meet first, before all that is not linked by then meets.
 ROUNDS = 3
-#: Longs of a set's sketch.
-SKETCH = 8
+#: Rows of two longs up to which a side of a join is broadcast; larger sides are shuffled.
+BROADCAST_ROWS = 1 << 20
 
 
 def fingerprint(text: str | None) -> int:
@@ -142,7 +143,8 @@ def _add_prefixes(batches: Iterator[pa.RecordBatch], at: int, width: int, percen
                 order = np.lexsort((s, np.where(common[place] == s, counts[place], 0)))
                 fps.append(_set_digest(s))
                 sizes.append(len(s))
-                odd = np.bincount(s & (64 * SKETCH - 1), minlength=64 * SKETCH) & 1
+                bits = 64 << max(1, (len(s) // 32).bit_length())
+                odd = np.bincount(s & (bits - 1), minlength=bits) & 1
                 sketches.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
                 prefixes.append(s[order[: len(s) + percent * len(s) // -100 + 1]])
             new = [pa.array(fps, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))]
@@ -162,7 +164,7 @@ def with_prefixes(df: DataFrame, width: int, percent: int) -> DataFrame:
 
     Shingles stand in the order of their number in a sample, then of their hash. Any order gives the same links;
     this one keeps shingles of many texts out of the prefixes. A sketch's bits are the parities of the numbers of
-    shingles that fall to each.
+    shingles that fall to each; there are two to four bits a shingle, by powers of two, so that a longer sketch can be folded.
     """
     seen = with_sets(bounded_sample(df.select("text"), "text", SAMPLE), "text", width).select(F.explode("set").alias("s"))
     rows = seen.groupBy("s").agg(F.count("*").alias("c")).where("c > 2").orderBy(F.desc("c"), "s").limit(COMMON).collect()
@@ -173,74 +175,120 @@ def with_prefixes(df: DataFrame, width: int, percent: int) -> DataFrame:
     return df.mapInArrow(lambda batches: _add_prefixes(batches, at, width, percent, *shared.value), schema).withColumn("text", F.xxhash64("text"))
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Of pairs (src, dst) those whose sets' Jaccard similarity is ``percent`` or more. Each join is one of two tables.
+def _sets_of(fps: DataFrame, nodes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """``fp`` and ``set`` of the given sets, made from one text of each again: carrying all sets along would cost more."""
+    some = staged(nodes.join(fps, "fp").select("one.*").select(F.col("doc_id").alias("_id"), F.col("text").alias("_hash")), "close-texts")
+    few = F.broadcast(some) if some.count() <= BROADCAST_ROWS else some
+    whole = texts.join(few, texts["doc_id"].eqNullSafe(few["_id"]) & (F.xxhash64(texts["text"]) == few["_hash"]), "left_semi").select("text")
+    return staged(with_sets(whole, "text", width).groupBy("fp").agg(F.first("set").alias("set")), "shingle-sets")
+
+
+def _differ(a: Column, b: Column) -> Column:
+    """Bits in which two sketches differ, the longer one folded to the length of the shorter."""
+    half = (F.greatest(F.size(a), F.size(b)) / 2).cast("int")
+    fold = lambda x: F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda u, v: u.bitwiseXOR(v))
+    same = lambda x, y: F.aggregate(F.zip_with(x, y, lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda total, n: total + n)
+    return F.when(F.size(a) == F.size(b), same(a, b)).when(F.size(a) > F.size(b), same(fold(a), b)).otherwise(same(a, fold(b)))
 
-    Two sketches differ in no more bits than their sets in shingles: where that is too many, no set need be looked at.
-    """
-    half = staged(staged(pairs, "pairs").join(nodes.select(F.col("fp").alias("src"), F.col("n").alias("n1"), F.col("sketch").alias("s1")), "src"), "pairs-half")
-    both = half.join(nodes.select(F.col("fp").alias("dst"), F.col("n").alias("n2"), F.col("sketch").alias("s2")), "dst")
-    differ = sum((F.bit_count(F.col("s1")[k].bitwiseXOR(F.col("s2")[k])) for k in range(SKETCH)), F.lit(0))
-    total = F.col("n1") + F.col("n2")
-    close = staged(both.where((100 + percent) * (total - differ) >= 2 * percent * total).select("src", "dst"), "pairs-close")
-    wanted = staged(close.select(F.col("src").alias("fp")).union(close.select(F.col("dst").alias("fp"))).distinct(), "close-sets")
-    hashes = staged(nodes.join(wanted, "fp").select(F.col("text").alias("_hash")).distinct(), "close-texts")
-    whole = texts.select("text", F.xxhash64("text").alias("_h")).join(hashes, F.col("_h") == F.col("_hash"), "left_semi").select("text")
-    sets = staged(with_sets(whole, "text", width).groupBy("fp").agg(F.first("set").alias("set")), "shingle-sets")
-    half = staged(close.join(sets.select(F.col("fp").alias("src"), F.col("set").alias("a")), "src"), "close-half")
-    both = half.join(sets.select(F.col("fp").alias("dst"), F.col("set").alias("b")), "dst")
-    overlap = F.size(F.array_intersect("a", "b"))
-    return staged(both.where((100 + percent) * overlap >= percent * (F.size("a") + F.size("b"))).select("src", "dst"), "pairs-verified")
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (src, dst) those whose sets' Jaccard similarity is ``percent`` or more. Each join is one of two tables."""
+    spark, path = pairs.sparkSession, shared_dir(pairs.sparkSession, "pairs-verified")
+    with scratch(spark):  # a set for each pair: the largest table here, so it goes at once
+        half = staged(pairs.join(sets.select(F.col("fp").alias("src"), F.col("set").alias("a")), "src"), "close-half")
+        both = half.join(sets.select(F.col("fp").alias("dst"), F.col("set").alias("b")), "dst")
+        overlap = F.size(F.array_intersect("a", "b"))
+        both.where((100 + percent) * overlap >= percent * (F.size("a") + F.size("b"))).select("src", "dst").write.parquet(path)
+    return spark.read.schema(pairs.select("src", "dst").schema).parquet(path)
 
 
 def link_similar(rows: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Edges (src > dst) whose components are those of "Jaccard similarity of ``percent`` or more" among distinct ``fp``.
 
-    ``rows`` are those of ``with_prefixes``, ``texts`` has the column ``text``. A large group of near copies would
-    give pairs by the square of its size. So every set first meets ``ROUNDS`` sets of each of its keys, chosen by
-    hash. What is linked by then need not meet any more: of each key, all outside its largest
-    component so far meet all of another component.
+    ``rows`` are those of ``with_prefixes``, ``texts`` has the columns ``doc_id`` and ``text``. A large group of near copies would
+    give pairs by the square of its size. So every set first meets few sets of each of its keys: that with the most
+    shared keys, which is the text the others were made from if there is one, and some chosen by hash. What is linked by
+    then need not meet any more: of each key, all outside its largest component so far meet all of another component.
+    Pairs are made only if their sizes, the keys' places and their sketches leave the similarity possible: two sketches
+    differ in no more bits than their sets in shingles.
     """
-    nodes = staged(rows.groupBy("fp").agg(F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"), F.min("text").alias("text")), "sets")
-    keyed = nodes.select("fp", "n", F.posexplode("keys").alias("at", "key"))
-    held = keyed.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low <> high").select("key")
-    keyed = staged(keyed.join(staged(held, "shared-keys"), "key"), "keyed-sets")
+    nodes = staged(rows.groupBy("fp").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min(F.struct("doc_id", "text")).alias("one")), "sets")
+    each = rows.select("fp", "n", F.posexplode("keys").alias("at", "key"))
+    # The first shingle of a pair in the common order lies among the first 1 - 2p/(1 + p) of the smaller set: keys that do in no set are not needed.
+    early = (100 + percent) * (F.col("n") - F.col("at")) >= 2 * percent * F.col("n")
+    own = F.struct("fp", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("at").cast("long")).alias("place"))
+    held = each.groupBy("key").agg(F.min(own).alias("low"), F.max(own).alias("high"), F.count("*").alias("rows"), F.bool_or(early).alias("early")).where("low.fp <> high.fp and early")
+    held = staged(held.drop("early"), "shared-keys")
+    # Two rows are one pair; keys with more go on.
+    side = lambda c: F.struct(F.col(f"{c}.fp"), F.shiftright(f"{c}.place", 32).cast("int").alias("n"), F.col(f"{c}.place").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("at"))
+    twos = held.where("rows = 2").select(side("low").alias("x"), side("high").alias("y"))
+    keyed = staged(staged(each.join(held.where("rows > 2").select("key"), "key"), "keyed-rows").distinct(), "keyed-sets")
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    central = staged(keyed.groupBy("fp").agg((F.count("*") / F.first(prefix)).alias("share")), "central-sets")
+    keyed = staged(keyed.join(central, "fp"), "keyed-central")
+    sketches = nodes.select("fp", "sketch")
+    total = F.col("x.n") + F.col("y.n")
 
     def fits(pairs: DataFrame) -> DataFrame:
         rest = 1 + F.least(F.col("x.n") - F.col("x.at") - 1, F.col("y.n") - F.col("y.at") - 1)
-        ordered = F.greatest("x.fp", "y.fp").alias("src"), F.least("x.fp", "y.fp").alias("dst")
-        return pairs.where(F.col("x.fp") != F.col("y.fp")).where((100 + percent) * rest >= percent * (F.col("x.n") + F.col("y.n"))).select(*ordered).distinct()
+        return pairs.where(F.col("x.fp") != F.col("y.fp")).where((100 + percent) * rest >= percent * total)
+
+    def close(pairs: DataFrame) -> DataFrame:
+        differ = _differ(F.col("x.sketch"), F.col("y.sketch"))
+        return pairs.where((100 + percent) * (total - F.coalesce(differ, F.lit(0))) >= 2 * percent * total).select(F.greatest("x.fp", "y.fp").alias("src"), F.least("x.fp", "y.fp").alias("dst")).distinct()
+
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("src").alias("fp")).union(pairs.select(F.col("dst").alias("fp"))).distinct()
 
-    one = [F.min_by(F.struct("fp", "n", "at"), F.xxhash64(F.lit(k), "key", "fp")) for k in range(ROUNDS)]
+    row = F.struct("fp", "n", "at")
+    one = [F.max_by(row, F.struct("share", "fp")), *(F.min_by(row, F.xxhash64(F.lit(k), "fp")) for k in range(1, ROUNDS))]
     met = staged(keyed.groupBy("key").agg(F.array_distinct(F.array(*one)).alias("ones")).select("key", F.explode("ones").alias("one")).select("key", "one.*"), "met")
-    pairs = fits(keyed.alias("x").join(met.alias("y"), F.col("x.key") == F.col("y.key")))
-    edges = _verified(pairs, nodes, texts, width, percent)
+    ids = [F.col(c).alias(n) for c, n in (("x.fp", "a"), ("x.n", "an"), ("y.fp", "b"), ("y.n", "bn"))]
+    pairs = fits(keyed.alias("x").join(met.alias("y"), F.col("x.key") == F.col("y.key"))).select(*ids).union(fits(twos).select(*ids)).distinct()
+    half = staged(staged(pairs, "pairs").join(sketches, F.col("a") == F.col("fp")).select(F.struct(F.col("a").alias("fp"), F.col("an").alias("n"), "sketch").alias("x"), "b", "bn"), "pairs-half")
+    pairs = staged(close(half.join(sketches, F.col("b") == F.col("fp")).select("x", F.struct(F.col("b").alias("fp"), F.col("bn").alias("n"), "sketch").alias("y"))), "pairs-close")
+    wanted = staged(ends(pairs), "close-sets")
+    sets = _sets_of(wanted, nodes, texts, width)
+    edges = _verified(pairs, sets, percent)
     labels = components(edges)
-    # Each key's rows with their component so far, and whether that is the key's largest.
+    # Each key's rows with their component so far, and whether that is the key's largest. Two sets of a key have met.
     named = staged(keyed.join(labels, keyed["fp"] == labels["node"], "left").select("key", "fp", "n", "at", F.coalesce("label", "fp").alias("label")), "keyed-labels")
     sizes = staged(named.groupBy("key", "label").agg(F.count("*").alias("size")), "label-sizes")
-    largest = sizes.groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("largest"), F.count("*").alias("labels")).where("labels > 1").select("key", "largest")
+    largest = sizes.groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("largest"), F.count("*").alias("labels"), F.sum("size").alias("all")).where("labels > 1 and all > 2").select("key", "largest")
     open_ = staged(named.join(staged(largest, "largest"), "key"), "keyed-open")
-    apart = open_.where("label <> largest").alias("x").join(open_.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")))
-    return edges.unionByName(_verified(fits(apart), nodes, texts, width, percent)).distinct()
+    open_ = staged(open_.join(sketches, "fp"), "keyed-sketched")
+    apart = fits(open_.where("label <> largest").alias("x").join(open_.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label"))))
+    pairs = staged(staged(close(apart), "pairs-apart").join(pairs, ["src", "dst"], "left_anti"), "pairs-left")
+    more = staged(ends(pairs).join(wanted, "fp", "left_anti"), "close-more")
+    if not more.isEmpty():
+        sets = sets.unionByName(_sets_of(more, nodes, texts, width))
+    return edges.unionByName(_verified(pairs, sets, percent)).distinct()
 
 
 def _name_components(rows: DataFrame, link) -> DataFrame:
+    """Adds ``label``, which all rows of a component share, and ``component_id`` to rows with ``doc_id`` and ``fp``."""
     fps = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     labels = components(link(fps))
     linked = fps.join(labels, fps["fp"] == labels["node"])
     names = linked.groupBy(F.col("label").alias("of")).agg(F.min("least").alias("name"))
-    named = linked.join(names, F.col("label") == F.col("of")).select(F.col("node"), "name")
-    ids = fps.join(named, fps["fp"] == named["node"], "left").select(F.col("fp").alias("_fp"), F.coalesce("name", "least").alias("component_id"))
+    named = linked.join(names, F.col("label") == F.col("of")).select("node", "label", "name")
+    ids = fps.join(named, fps["fp"] == named["node"], "left").select(F.col("fp").alias("_fp"), F.coalesce("label", "fp").alias("label"), F.coalesce("name", "least").alias("component_id"))
     # Written first, so that the last join is one of two tables, whose large partitions can be split.
     ids = staged(ids, "components")
-    return rows.join(ids, rows["fp"] == ids["_fp"]).select("doc_id", "fp", "component_id")
+    return rows.join(ids, rows["fp"] == ids["_fp"]).drop("_fp")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET) -> DataFrame:
     """One row per document: id, fp (long), component_id, the smallest id reachable over links of 2 bits or fewer."""
     rows = staged(with_fingerprints(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))), "fingerprints")
-    return _name_components(rows, lambda fps: link_fingerprints(fps.select("fp"), bucket))
+    return _name_components(rows, lambda fps: link_fingerprints(fps.select("fp"), bucket)).select("doc_id", "fp", "component_id")
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = staged(with_prefixes(own, width, percent), "set-prefixes")
+    named = _name_components(rows.select("doc_id", "fp", "text"), lambda _: link_similar(rows, own, width, percent))
+    return named.select("doc_id", F.col("text").alias("hash"), "fp", "label", "component_id")
 
 
 def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -248,29 +296,34 @@ def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     ``fp`` is a digest of the set; equal sets link, those without words too.
     """
-    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    rows = staged(with_prefixes(own, width, percent), "set-prefixes")
-    return _name_components(rows, lambda _: link_similar(rows, own, width, percent))
+    return _classes(docs, id_col, text_col, width, percent).select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int | None = None) -> DataFrame:
-    """The documents that stay: of each component that with the smallest id, once. Columns as given.
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """The documents that stay: one of each component of ``similar_texts``. Columns as given.
 
-    Components are those of ``near_duplicates``, with ``percent`` those of ``similar_texts``.
-    Ids should be unique; of rows that repeat an id one is kept. A component of null ids alone keeps one row.
+    It is that with the smallest id, null ids last, and of different texts under one id that with the smallest hash;
+    of rows that repeat both, one stays. Only ids and hashes are shuffled, and not the documents: what goes is the smaller part, and is broadcast as
+    long as it has at most ``BROADCAST_ROWS`` rows.
     """
-    classes = near_duplicates(docs, id_col, text_col) if percent is None else staged(similar_texts(docs, id_col, text_col, width, percent), "classes")
-    stay = classes.where("doc_id = component_id").select(F.col("doc_id").alias("__stay_id")).distinct()
-    named = docs.join(stay, docs[id_col] == stay["__stay_id"]).drop("__stay_id").dropDuplicates([id_col])
-    lost = classes.where("component_id is null").select("fp").distinct()
-    if lost.isEmpty():
-        return named
-    packed = docs.where(F.col(id_col).isNull()).select(F.struct(*(docs[c] for c in docs.columns)).alias("_row"), F.col(text_col).alias("_text"))
-    if percent is None:
-        labels, keyed = components(link_fingerprints(lost)), with_fingerprints(packed, "_text")
-    else:
-        texts = packed.select(F.col("_text").alias("text"))
-        rows = staged(with_prefixes(texts, width, percent), "set-prefixes").join(lost, "fp", "left_semi")
-        labels, keyed = components(link_similar(rows, texts, width, percent)), with_sets(packed, "_text", width).drop("set")
-    near = keyed.join(lost.withColumnRenamed("fp", "_fp"), F.col("fp") == F.col("_fp")).join(labels, F.col("fp") == F.col("node"), "left")
-    return named.unionByName(near.withColumn("_class", F.coalesce("label", "fp")).dropDuplicates(["_class"]).select("_row.*"))
+    with scratch(docs.sparkSession):
+        light = staged(_classes(docs, id_col, text_col, width, percent).select("doc_id", "hash", "label"), "classes")
+        row = F.struct(F.isnull("doc_id").alias("last"), "doc_id", "hash")
+        best = staged(light.groupBy("label").agg(F.min(row).alias("best")), "class-best")
+        judged = light.join(best, "label").select("doc_id", "hash", row.eqNullSafe(F.col("best")).alias("stays"))
+        counted = judged.groupBy("doc_id", "hash", "stays").agg(F.count("*").alias("n")).where("n > 1 or not stays")
+        marked = staged_for_good(counted.select(F.col("doc_id").alias("__id"), F.col("hash").alias("__hash"), "stays"), "class-marks")
+    size = marked.count()
+
+    def met(how: str, rows: DataFrame) -> DataFrame:
+        side = F.broadcast(rows) if size <= BROADCAST_ROWS else rows
+        return docs.join(side, docs[id_col].eqNullSafe(side["__id"]) & (F.xxhash64(docs[text_col]) == side["__hash"]), how)
+
+    again = marked.where("stays")
+    out = met("left_anti", marked)
+    if again.isEmpty():
+        return out
+    packed = met("left_semi", again).select(F.struct(*(docs[c] for c in docs.columns)).alias("_row"))
+    # Rows may have columns that can't be compared, so one of each is taken by what tells them apart.
+    first = packed.groupBy(F.col("_row")[id_col], F.xxhash64(F.col("_row")[text_col])).agg(F.first("_row").alias("_row"))
+    return out.unionByName(first.select("_row.*"))

@@ -67,3 +67,24 @@ def test_rows_without_ids(spark):
     rows = [(None, text), (None, text + " more"), (None, "another text without an id"), (None, None), (7, "x"), (7, "x")]
     left = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"), percent=80)
     assert sorted((r.doc_id or 0, (r.text or "")[:3]) for r in left.collect()) == [(0, ""), (0, "ano"), (0, "w0 "), (7, "x")]
+
+
+def test_texts_under_one_id_stay_and_rows_that_repeat_leave_once(spark):
+    rows = [(7, "one text of its own", "a"), (7, "quite another text", "b"), (7, "quite another text", "b"), (9, "quite another text", "c")]
+    left = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, hash string"))
+    assert sorted(tuple(r) for r in left.collect()) == [(7, "one text of its own", "a"), (7, "quite another text", "b")]
+
+
+def test_copies_that_only_their_origin_links(spark):
+    """Each copy is four fifths like the origin, and less like any other copy."""
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(400)]
+    rows = [(0, " ".join(base))]
+    for k in range(1, 120):
+        t = list(base)
+        for at in rng.sample(range(0, 400, 10), 8):
+            t[at] = f"new{k}x{at}"
+        rows.append((k, " ".join(t)))
+    assert brute_kept(rows) == [0]
+    assert [r.doc_id for r in simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()] == [0]
+    assert sorted(r.doc_id for r in simhash.one_of_each(spark.createDataFrame(rows[1:], "doc_id long, text string")).collect()) == brute_kept(rows[1:])
