@@ -3,13 +3,15 @@
 Each language gets a binary codeword. For every bit a binary classifier (log odds of hashed 1- to 4-byte grams
 between the languages whose bit is 1 and the others) says how strongly a text leans to 1 or 0. Decoding weighs
 each bit's loss by the strength of its answer and chooses the nearest codeword; a small margin to the second
-nearest flags the text as ambiguous.
+nearest flags the text as ambiguous. All codewords differ in at least three bits, so one wrong bit is corrected: with two or three languages there are too
+few splits for that, and each split is learned more than once, each time from another share of the grams.
 
 All classifiers come from one table, the gram counts of each language, which Spark sums over all training rows:
-tasks combine their own rows first, and at most ``max_langs`` x ``DIM`` counts reach the driver.
+tasks combine their own rows first. Languages are counted before, and their counts (``DIM`` each) are fetched a block of languages at a time.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0, as is every text if nothing was
-learned; with one language learned it is predicted with score 1; repeated rows are predicted alike; rows with a
+learned; with one language learned it is predicted with score 1; repeated rows are predicted alike; between
+languages equally near the first by name is chosen, and the text is ambiguous; very long texts are counted in slices, whole; rows with a
 null language are never learned from; an empty table gives no rows. Other columns pass through; one that bears the
 name of an added column is replaced by it.
 """
@@ -22,10 +24,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tailframe.llm.common import staged
+
 DIM = 1 << 15
 UNKNOWN = "und"
 _CHUNK = 1 << 20
@@ -63,20 +68,24 @@ def _count_by_lang(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iter
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(counts[at], pa.int64())], schema=schema)
 
 
-def codewords(n: int) -> np.ndarray:
-    """n rows of +1 and -1. Up to 7 languages: every split of them into two sides. Beyond: rows drawn by a fixed
-    seed, long enough to keep all pairs far apart."""
+def codewords(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """n rows of +1 and -1, and of each bit the share of the grams that it is learned from: (number, of how many).
+
+    Up to 7 languages: every split of them into two sides, as often as it takes to keep all pairs three bits apart.
+    Beyond: rows drawn by a fixed seed, long enough to keep all pairs far apart.
+    """
     if n <= 1:
-        return np.ones((n, 1))
+        return np.ones((n, 1)), np.array([[0, 1]])
     if n <= 7:
-        splits = [[1 if (s >> k) & 1 else -1 for k in range(n)] for s in range(1, 1 << (n - 1))]
-        return np.array(splits).T
+        splits = np.array([[1 if (s >> k) & 1 else -1 for k in range(n)] for s in range(1, 1 << (n - 1))]).T
+        times = -(-3 // (1 << (n - 2)))  # two rows differ in half of all splits
+        return np.tile(splits, times), np.repeat([(t, times) for t in range(times)], splits.shape[1], axis=0)
     bits = 15 + 10 * int(np.ceil(np.log2(n)))
     rng = np.random.default_rng(0)
     drawn = [rng.choice([-1, 1], (n, bits)) for _ in range(50)]
     drawn = [m for m in drawn if (abs(m.sum(axis=0)) < n).all()] or drawn
     apart = lambda m: ((bits - m @ m.T) / 2 + np.eye(n) * bits).min()
-    return max(drawn, key=apart)
+    return max(drawn, key=apart), np.array([[0, 1]] * bits)
 
 
 @dataclass(frozen=True)
@@ -103,27 +112,39 @@ class LanguageModel:
         return self.langs[first], float(odds[first]), bool(odds[first] - odds[second] < margin)
 
 
+#: Languages whose counts are fetched at once.
+BLOCK = 16
+
+
 def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", max_langs: int = 500) -> LanguageModel:
     """Learns from all rows with a language and a text. More than ``max_langs`` languages are refused, never cut."""
-    rows = docs.select(F.col(lang_col).cast("string"), F.col(text_col)).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    if rows.select("lang").distinct().limit(max_langs + 1).count() > max_langs:
+        raise ValueError(f"more than {max_langs} languages")
     schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("at", T.IntegerType()), T.StructField("n", T.LongType())])
     arrow = pa.schema([("lang", pa.string()), ("at", pa.int32()), ("n", pa.int64())])
-    counts = rows.mapInArrow(lambda b: _count_by_lang(b, arrow), schema).groupBy("lang", "at").agg(F.sum("n").alias("n"))
-    by_lang = counts.groupBy("lang").agg(F.collect_list("at").alias("at"), F.collect_list("n").alias("n")).limit(max_langs + 1).collect()
-    if len(by_lang) > max_langs:
-        raise ValueError(f"more than {max_langs} languages")
-    by_lang.sort(key=lambda r: r["lang"])
-    table = np.zeros((len(by_lang), DIM))
-    for k, r in enumerate(by_lang):
-        table[k, r["at"]] = r["n"]
-    # Languages count alike, however much text they have.
+    counts = staged(rows.mapInArrow(lambda b: _count_by_lang(b, arrow), schema).groupBy("lang", "at").agg(F.sum("n").alias("n")), "gram-counts")
+    langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    table = np.zeros((len(langs), DIM))
+    for start in range(0, len(langs), BLOCK):
+        part = langs[start : start + BLOCK]
+        got = counts.where(F.col("lang").isin(part)).toArrow()
+        row = pc.index_in(got.column("lang"), value_set=pa.array(part, pa.string())).to_numpy()
+        table[start + row, got.column("at").to_numpy()] = got.column("n").to_numpy()
+    return learn(langs, table)
+
+
+def learn(langs: list[str], table: np.ndarray) -> LanguageModel:
+    """The model of gram counts (languages x ``DIM``). Languages count alike, however much text they have."""
     shares = (table + 0.05) / (table.sum(axis=1, keepdims=True) + 0.05 * DIM)
-    codes = codewords(len(by_lang))
+    codes, folds = codewords(len(langs))
     weights = np.zeros((codes.shape[1], DIM), np.float32)
-    for b in range(codes.shape[1]) if len(by_lang) > 1 else ():
+    for b in range(codes.shape[1]) if len(langs) > 1 else ():
         one, zero = codes[:, b] > 0, codes[:, b] < 0
-        weights[b] = np.log(shares[one].mean(axis=0)) - np.log(shares[zero].mean(axis=0)) if one.any() and zero.any() else 0
-    return LanguageModel(tuple(r["lang"] for r in by_lang), codes, weights)
+        fold, of = folds[b]
+        own = np.arange(DIM) % of == fold
+        weights[b, own] = np.log(shares[one].mean(axis=0)[own]) - np.log(shares[zero].mean(axis=0)[own]) if one.any() and zero.any() else 0
+    return LanguageModel(tuple(langs), codes, weights)
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep_text: bool = True, margin: float = 0.2) -> DataFrame:
