@@ -1,6 +1,7 @@
 import html as stdlib_html
 import random
 import re
+import time
 
 from tailframe.llm import html_text as ht
 from tailframe.llm import url_filter as uf
@@ -70,7 +71,42 @@ def test_markup_that_is_no_main_text():
     <script>if (a < b) { "</p>" }</script><main><div class="cookie-notice">Cookies!</div><article><header><h1>Title &amp; more</h1></header>
     <p>One <b>two<br>three</p><p>Four&nbsp;five<p>six <!-- <p>hidden --> seven<div id="advert-1">Buy</div><ul><li>a<li>b</ul>
     <form>Name <input></form><section class="comments"><p>First!</p></section><footer>by me</footer></article><aside>More</aside></main><footer>(c)</footer></body></html>"""
-    assert ht.main_text(*ht.page_lines(page), []) == "Title & more\nOne two three\nFour five\nsix seven\na\nb"
+    assert ht.main_text(*ht.page_lines(page), []) [0] == "Title & more\nOne two three\nFour five\nsix seven\na\nb"
+
+
+def alone(page):
+    return ht.main_text(*ht.page_lines(page), [])[0]
+
+
+def test_regions_forms_and_whole_names():
+    assert alone("<main><h1>Story</h1><p>Long main text</p><article class='card'>Teaser</article></main>") == "Story\nLong main text\nTeaser"
+    assert alone("<body><form><p>All of the page</p><p>is in a form</p></form></body>") == "All of the page\nis in a form"
+    assert alone("<body><form><article><p>Text</p></article><p>x</p></form><form>Name <p>Mail</form></body>") == "Text"
+    kept = "<article><p class='no-comment'>one</p><div class='social-science'>two</div><section class='related-work'>three</section></article>"
+    assert alone(kept) == "one\ntwo\nthree"
+    gone = ("site-footer", "cookie_banner", "commentList", "main-nav top", "related-posts", "x ad-slot-3", "reader-comments", "sidebar2")
+    assert [alone(f"<article><p>text</p><div class='{c}'>gone</div></article>") for c in gone] == ["text"] * len(gone)
+    assert alone("<p>One outside of the only article, which is long enough</p><article>Ad</article>") == "One outside of the only article, which is long enough\nAd"
+
+
+def test_end_tags_without_a_start_take_no_time():
+    page = "<div>" * 20_000 + "text" + "</p></b>" * 20_000
+    began = time.time()
+    assert alone(page) == "text" and time.time() - began < 5
+
+
+def test_differencing_decides_before_markup(spark):
+    """No class name says what the template's lines are, and every article has its own."""
+    page = lambda k: f"<body><div>Site of wonders</div><div><h2>Story {k}</h2><p>Paragraph {k} of a text that is long enough to be one</p></div><div class='x9'>Read on</div></body>"
+    rows = [(k, f"http://a.example/x/{k:04}", page(k)) for k in range(40)]
+    got = ht.extract_text(spark.createDataFrame([(*r, "clash") for r in rows], PAGES), range_pages=8).collect()
+    assert all(r.text == f"Story {r.page_id}\nParagraph {r.page_id} of a text that is long enough to be one" and r.n_shared == 2 for r in got) and len(got) == 40
+    whole = ht.extract_text(spark.createDataFrame([(*r, "clash") for r in rows], PAGES)).collect()
+    assert sorted(map(tuple, whole)) == sorted(map(tuple, got))
+
+
+def test_given_pages_have_template_lines_that_differencing_deletes(spark, sf_dir):
+    assert ht.extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet")).where("n_shared > 0").count() > 0
 
 
 def test_odd_pages(spark):
