@@ -1,21 +1,26 @@
 """Approximate maximum-inner-product search: anisotropic product quantisation, 4-bit table scans, exact reranking.
 
-Each pair of dimensions is quantised to one of 16 centres. Codebooks and codes minimise a score-aware loss that
-weighs the residual's part parallel to the vector more than its orthogonal part, since the parallel part is what
-shifts large inner products. A query is turned into tables of partial products; a scan sums table entries, two
-4-bit codes a byte, and the best of every block are scored exactly on the original vectors. With each code goes the
-norm of the vector's residual, which bounds the error of its sum: every row that may still reach the ``k``-th best
-score so far is scored exactly too, so within a block nothing is lost, however many near copies share a code.
+Vectors are scaled by their largest component, and each pair of dimensions is quantised to one of 16 centres. Codebooks and codes
+minimise a score-aware loss that weighs the residual's part parallel to the vector more than its orthogonal part, since the parallel
+part is what shifts large inner products. A query is turned into tables of partial products; a scan sums table entries, two
+4-bit codes a byte, and the best of every block are scored exactly on the original vectors.
+
+With each code goes the norm of the vector's residual. The error of a sum is the product of a query with a residual, and over queries of
+no special direction it has a standard deviation of both norms' product over the root of the dimension. First the ``keep`` rows of the
+greatest sums are scored exactly; then every row whose sum comes within ``DEVIATIONS`` such deviations of the ``k``-th best score so far. So
+as many rows are reranked as the codes leave in doubt (a row within 60 degrees of the query is no random direction: there the bound is both norms' product itself): few of a block where scores are spread, all of a group of near copies, whose codes are equal.
 
 The codebooks are fitted on a bounded sample; every row is encoded and scanned. Rows are dealt into blocks and queries
 into chunks, both of bounded size, and each task scans one block for one chunk, so no task grows with the input.
-Each block passes on its ``k`` best of a query, whose exact scores then decide between blocks.
+Each block passes on its ``k`` best of a query, whose exact scores then decide between blocks. Vectors travel with the codes, once for each chunk
+of queries, as a group of near copies may need the exact scores of any share of all rows; so what is shuffled is the table times
+its queries over ``chunk_rows``, and the queries times the blocks.
 
 Edge cases: vectors that are null, zero, of a null or non-finite component, or of another length than most take
-no part, nor do rows with a null id; all rows with the query's own id are left out of its result; of equal
-vectors in a block only the ``k`` + 1 of smallest id are scanned, which loses nothing, as ties go to the smaller
-id; repeated rows are candidates each; with fewer candidates than ``k`` all are returned; an empty table gives
-no rows; extra columns are ignored.
+no part, nor do rows with a null id; all rows with the query's own id are left out of its result; of a query id that stands with several vectors the
+smallest vector asks; of equal vectors in a block only the ``k`` + 1 of smallest id are scanned, which loses nothing, as ties go to the smaller
+id; repeated rows are candidates each; with fewer candidates than ``k`` all are returned; very long vectors take time in proportion to their length,
+and the fit to its cube, so more than 2,048 components are refused; an empty table gives no rows; extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -32,6 +37,8 @@ from pyspark.sql import types as T
 from tailframe.llm.common import bounded_sample
 
 CENTRES, PER = 16, 2
+#: How many standard deviations of its error a row's sum may fall short of the k-th score and still be scored exactly.
+DEVIATIONS = 3.0
 
 
 @dataclass(frozen=True)
@@ -100,12 +107,12 @@ class AnisotropicCodes:
             codes = np.pad(codes, ((0, 0), (0, 1)))
         return (codes[:, ::2] * CENTRES + codes[:, 1::2]).astype(np.uint8)
 
-    def gaps(self, x: np.ndarray, packed: np.ndarray) -> np.ndarray:
-        """How far a row's sums can be from its inner products with a query of norm 1, rounding included."""
+    def residuals(self, x: np.ndarray, packed: np.ndarray) -> np.ndarray:
+        """Norms of what the codes leave out."""
         x = _padded(np.asarray(x, np.float64))
         at = np.stack([packed // CENTRES, packed % CENTRES], axis=2).reshape(len(x), -1)[:, : len(self.books)]
         back = self.books[np.arange(len(self.books)), at].reshape(x.shape).astype(float)
-        return np.linalg.norm(x - back, axis=1) + 1e-5 * (np.linalg.norm(x, axis=1) + np.linalg.norm(self.books.astype(float), axis=2).max(1).sum())
+        return np.linalg.norm(x - back, axis=1)
 
     def scan(self, queries: np.ndarray, packed: np.ndarray) -> np.ndarray:
         """Approximate inner products, queries x rows, by one table of 256 sums for each byte of the codes."""
@@ -146,6 +153,12 @@ def _usable(v: Column) -> Column:
     return v.isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists(v, lambda x: x != 0)
 
 
+def _scaled(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows over their largest component, which float32 holds whatever they were, and that component."""
+    size = np.abs(x).max(axis=1, keepdims=True)
+    return (x / size).astype(np.float32), size[:, 0]
+
+
 def _scan_block(codes: AnisotropicCodes, k: int, keep: int, vectors: pa.Table, queries: pa.Table, schema: pa.Schema) -> pa.Table:
     if not len(vectors) or not len(queries):
         return schema.empty_table()
@@ -159,43 +172,39 @@ def _scan_block(codes: AnisotropicCodes, k: int, keep: int, vectors: pa.Table, q
     place = np.arange(len(ids)) - np.repeat(starts, np.diff(np.r_[starts, len(ids)]))
     kept = np.sort(order[place <= k])
     ids, x, packed = ids[kept], x[kept], packed[kept]
-    gaps, norms = vectors.column("gap").to_numpy()[kept], np.linalg.norm(x, axis=1)
+    sizes, norms = np.abs(x).max(axis=1), np.linalg.norm(x, axis=1)
+    most = vectors.column("residual").to_numpy()[kept] * sizes + 1e-5 * norms
+    doubt = DEVIATIONS * most / np.sqrt(x.shape[1])
     out = []
     own_ids, own = queries.column("vec_id").to_numpy(), _matrix(queries.column("embedding"), np.float64)
-    for start in range(0, len(own_ids), 128):
-        qid, q = own_ids[start : start + 128], own[start : start + 128]
-        sizes = np.linalg.norm(q, axis=1, keepdims=True)
-        rough = codes.scan(q, packed).astype(float)
-        same = qid[:, None] == ids
-        rough[same] = -np.inf
-        n = min(keep, len(ids))
-        near = np.argpartition(-rough, n - 1, axis=1)[:, :n]
-        exact = np.einsum("qd,qnd->qn", q, x[near])
-        exact[np.take_along_axis(same, near, 1)] = -np.inf
-        least = np.partition(exact, n - k, axis=1)[:, n - k, None] if n >= k else np.full((len(q), 1), -np.inf)
-        # Not below, rather than above: sums that are not finite stay in.
-        open_ = np.flatnonzero((~(rough + sizes * gaps < least) & ~same).any(axis=0))
-        exact = np.full(rough.shape, -np.inf)
-        for at in range(0, len(open_), 2_048):
-            part = open_[at : at + 2_048]
-            exact[:, part] = q @ x[part].T
-        exact[same] = -np.inf
-        # Products of equal vectors may differ in their last bits here; what lies so close is summed in one order.
-        for i, row in enumerate(exact):
-            top = np.partition(row, len(row) - k)[len(row) - k] if len(row) >= k else -np.inf
-            close = np.flatnonzero(~(row < top - 1e-12 * sizes[i] * norms) & ~same[i])
-            score = np.einsum("d,nd->n", q[i], x[close])
+    n = min(keep, len(ids))
+    for start in range(0, len(own_ids), 32):
+        q = own[start : start + 32]
+        scaled, scale = _scaled(q)
+        rough_all = codes.scan(scaled, packed)
+        for i, query in enumerate(own_ids[start : start + 32]):
+            rough = rough_all[i] * (sizes * scale[i])
+            other = ids != query
+            rough[~other] = -np.inf
+            near = np.argpartition(-rough, n - 1)[:n] if n < len(ids) else np.arange(len(ids))
+            exact = np.where(other[near], x[near] @ q[i], -np.inf)
+            least = np.partition(exact, n - k)[n - k] if n >= k else -np.inf
+            # Not below, rather than above: sums that are not finite stay in.
+            length = np.linalg.norm(q[i])
+            alike = 2 * rough > norms * length
+            open_ = np.flatnonzero(~(rough + np.where(alike, most, doubt) * length < least) & other)
+            open_ = np.union1d(open_, near[other[near]])
+            score = np.einsum("d,nd->n", q[i], x[open_])  # summed in one order, so that equal vectors tie
             best = np.argsort(-score, kind="stable")[:k]
-            best = best[score[best] > -np.inf]
-            out.append((np.full(len(best), qid[i]), ids[close[best]], score[best]))
+            out.append((np.full(len(best), query), ids[open_[best]], score[best]))
     return pa.table([pa.array(np.concatenate(c)) for c in zip(*out)], schema=schema)
 
 
-def search(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", sample_rows: int = 8_192, keep: int = 160, block_rows: int = 8_192, chunk_rows: int = 1_024) -> DataFrame:
+def search(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", sample_rows: int = 8_192, keep: int = 160, block_rows: int = 32_768, chunk_rows: int = 32_768) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` rows of greatest inner product found for each query row.
 
     ``sample_rows`` bounds what the codebooks are fitted on; ``keep`` is how many of a block are scored
-    exactly first, for a bound on the scores of the rest; ``block_rows`` and ``chunk_rows`` bound the rows and queries of a task.
+    exactly first, for the score that the rest must come near; ``block_rows`` and ``chunk_rows`` bound the rows and queries of a task.
     """
     spark = rows.sparkSession
     result = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("rank", T.IntegerType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.DoubleType())])
@@ -206,23 +215,25 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id
     d, n = lengths[0]["d"], lengths[0]["n"]
     valid = valid.where(F.size("embedding") == d)
     sample = bounded_sample(valid, "vec_id", sample_rows).select("vec_id", "embedding").toArrow().sort_by("vec_id")
-    codes = AnisotropicCodes.fit(_matrix(sample.column("embedding"), np.float32))
+    if d > 2_048:
+        raise ValueError(f"vectors of {d} components; at most 2,048 are supported")
+    codes = AnisotropicCodes.fit(_scaled(_matrix(sample.column("embedding"), np.float64))[0])
     shared = spark.sparkContext.broadcast(codes)
 
     def add_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 4_096):
                 part = batch.slice(start, 4_096)
-                x = _matrix(part.column(1), np.float32)
+                x, _ = _scaled(_matrix(part.column(1), np.float64))
                 code = shared.value.encode(x)
-                new = [pa.array([r.tobytes() for r in code], pa.binary()), pa.array(shared.value.gaps(_matrix(part.column(1), np.float64), code), pa.float64())]
-                yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, "code", "gap"])
+                new = [pa.array([r.tobytes() for r in code], pa.binary()), pa.array(shared.value.residuals(x, code), pa.float64())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, "code", "residual"])
 
     light = valid.select("vec_id", "embedding")
-    encoded = light.mapInArrow(add_codes, T.StructType([*light.schema.fields, T.StructField("code", T.BinaryType()), T.StructField("gap", T.DoubleType())]))
-    asked = valid.where("_query").select("vec_id", "embedding").dropDuplicates(["vec_id"])
+    encoded = light.mapInArrow(add_codes, T.StructType([*light.schema.fields, T.StructField("code", T.BinaryType()), T.StructField("residual", T.DoubleType())]))
+    asked = valid.where("_query").groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     n_asked = asked.count()
-    blocks = max(1, -(-n // min(block_rows, max(1_024, n // 16))))
+    blocks = max(1, -(-n // min(block_rows, max(1_024, n // 12))))
     chunks = max(1, -(-n_asked // chunk_rows))
     deal = lambda name, parts: F.pmod(F.xxhash64(F.lit(name), "vec_id"), F.lit(parts)).cast("int")
     all_of = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))

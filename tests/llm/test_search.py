@@ -80,3 +80,27 @@ def test_recall_in_a_large_group_of_near_copies(spark, noise):
     assert got.query_id.nunique() == 40
     for query, part in got.sort_values("rank").groupby("query_id"):
         assert list(part.vec_id) == [i for i, _ in brute(np.arange(6000), x.astype(float), query, 20)]
+
+
+def test_one_query_of_an_id_with_several_vectors_and_large_components(spark):
+    rows = [(1, [3e200, 1e200], ""), (1, [1.0, 0.0], ""), (2, [1e100, 0.0], ""), (3, [0.0, 2.0], ""), (4, [-1.0, -1.0], "")]
+    got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>, score string"), F.col("vec_id") == 1, k=2).collect()
+    assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"])] == [(1, 1, 2, 1e100), (1, 2, 3, 0.0)]
+
+
+def test_few_rows_are_reranked_where_scores_are_spread(spark, sf_dir, monkeypatch):
+    """The codes do the sifting: without the rows in doubt most of the nearest are found already, and few rows are in doubt."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(20_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    scaled, size = ann._scaled(x)
+    codes = ann.AnisotropicCodes.fit(scaled[:4_000])
+    packed = codes.encode(scaled)
+    q, scale = ann._scaled(x[:20])
+    rough = codes.scan(q, packed) * size * scale[:, None]
+    exact = x[:20] @ x.T
+    error = np.abs(rough - exact) / (codes.residuals(scaled, packed) * size / 8)
+    assert (error < ann.DEVIATIONS).mean() > 0.99
+    least = np.sort(exact, axis=1)[:, -21]
+    doubt = rough + ann.DEVIATIONS * codes.residuals(scaled, packed) * size / 8 >= least[:, None]
+    assert doubt.mean() < 0.05
