@@ -1,28 +1,31 @@
 """License scans: exact phrases, and an exact set-similarity join of text blocks with license templates.
 
-A block is a line of the text, read as its set of lower-case words. A template matches a block that holds at
-least ``threshold`` of the template's words. Words are ordered by their frequency over all blocks, rare ones
-first. A block and a template with an overlap of at least ``need`` words must share a word within their first
-``size - need + 1`` words in that order (prefix filter), the block must have ``need`` words (length filter), and
-what stands behind the shared word must suffice (positional filter). What passes is verified. Words in no
-template cannot add to an overlap, so blocks are cut down to template words first. The templates are a fixed
-list given by the caller, so their side of the join is broadcast.
+A block is a run of consecutive words of the whole text, one and a half times as long as a template's text, wherever lines break; it is
+compared as a set of lower-case words. A template matches a text if some block holds at least ``threshold`` of the template's
+words. So a notice is found however it is wrapped or indented, and words scattered over a longer passage are not.
+
+Words are ordered by the number of documents that they are in, rare ones first. A block and a template with an overlap of at least ``need`` words share
+a word within the template's first ``size - need + 1`` words in that order (prefix filter), the first shared word leaves so many behind it (positional
+filter), and text and block have ``need`` words of the template (length filter). What passes is verified for every block. The blocks of a text are
+dealt into tiles of one block's length; a tile's group holds the places of template words in two such lengths, so its size is bounded by the template.
+Words in no template cannot add to an overlap, so only template words are looked at. The templates are a fixed list given by the
+caller, so their side of the join is broadcast. Matching depends on the text alone, so equal texts are matched once.
 
 Edge cases: null and empty texts have no words and no labels; the label columns are then empty strings; repeated
-rows (also of a null id) are each returned with the same labels; an empty table gives no rows; extra columns are
-not carried along.
+rows (also of a null id) are each returned with the same labels; labels that tie are all given, the score is the greatest; very long texts are split
+into words whole, and their blocks spread over many groups; an empty table gives no rows; extra columns are not carried along, so their names
+cannot clash.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tailframe.llm.common import let, staged
+from tailframe.llm.common import staged
 
 #: Java character class of what separates words after lower-casing: ASCII but for digits and a-z.
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
@@ -34,23 +37,75 @@ class Template:
     label: str
     text: str
 
+    def sequence(self) -> list[str]:
+        return "".join(c if c.isascii() and c.isalnum() else " " for c in self.text.lower()).split()
+
     def words(self) -> list[str]:
-        return sorted(set("".join(c if c.isascii() and c.isalnum() else " " for c in self.text.lower()).split()))
+        return sorted(set(self.sequence()))
 
+    def span(self) -> int:
+        """Words in a block that is compared with this template."""
+        return -(-3 * len(self.sequence()) // 2)
 
-#: Notices by which texts name their license.
+
+#: Notices by which texts name their license, short ones and whole ones.
 TEMPLATES = (
     Template("apache-2", "Licensed under the Apache License, Version 2.0"),
-    Template("apache-2", "You may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    Template(
+        "apache-2",
+        """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+        http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
+        WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.""",
+    ),
     Template("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    Template(
+        "bsd",
+        """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code
+        must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list
+        of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND
+        CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+        DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT
+        LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT,
+        STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    ),
     Template("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     Template("cc-by-nc", "Licensed under CC BY-NC 4.0"),
     Template("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
+    Template("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
     Template("gpl-3", "This work is licensed under the GNU General Public License, version 3"),
-    Template("gpl-3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
+    Template(
+        "gpl-3",
+        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either
+        version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+        warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.""",
+    ),
+    Template(
+        "isc",
+        """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this
+        permission notice appear in all copies.""",
+    ),
     Template("mit", "Released under the MIT License"),
     Template("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    Template(
+        "mit",
+        """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without
+        restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom
+        the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial
+        portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS
+        FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT,
+        TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    ),
+    Template(
+        "mpl-2",
+        """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at
+        http://mozilla.org/MPL/2.0/.""",
+    ),
     Template("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    Template(
+        "unlicense",
+        """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source
+        code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.""",
+    ),
 )
 
 #: Phrases whose words must stand consecutively, and their labels.
@@ -86,9 +141,8 @@ def scan_licenses(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES,
     ``score`` is 1 with a base label, else the greatest containment of a matching template, else 0.
     """
     spark = docs.sparkSession
-    sets = [(k, t.label, t.words(), math.ceil(round(threshold * len(t.words()), 9))) for k, t in enumerate(templates)]
-    vocabulary = sorted({w for *_, ws, _ in sets for w in ws})
-    least = min((need for *_, need in sets), default=1)
+    sets = [(k, t.label, t.words(), math.ceil(round(threshold * len(t.words()), 9)), t.span()) for k, t in enumerate(templates)]
+    vocabulary = sorted({w for _, _, ws, _, _ in sets for w in ws})
 
     low = ascii_lower(F.col("text"))
     # A document can hold a phrase only if it holds each of its words; only then are its words looked at one by one.
@@ -99,49 +153,50 @@ def scan_licenses(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES,
             each = each & F.contains(F.col("_low"), F.lit(part))
         may_hold = may_hold | each
     nowhere = F.array().cast("array<int>")
-    by_line = F.transform(F.split("_low", "\n"), lambda x: F.array_remove(F.split(x, BREAK + "+"), ""))
-    places = {f"_at{k}": F.when(may_hold, let(F.flatten("_lines"), partial(phrase_places, phrase))).otherwise(nowhere) for k, (phrase, _) in enumerate(phrases)}
-    known = F.array(*map(F.lit, vocabulary)).cast("array<string>")
+    listed = lambda ws: F.array(*map(F.lit, ws)).cast("array<string>")
+    places = {f"_at{k}": F.when(may_hold, phrase_places(phrase, F.col("_words"))).otherwise(nowhere) for k, (phrase, _) in enumerate(phrases)}
+    fits = F.array_compact(F.array(*(F.when(F.size(F.array_intersect("_known", listed(ws))) >= need, k) for k, _, ws, need, _ in sets))) if sets else nowhere
     base = (
         docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
         .withColumn("_low", low)
-        .withColumn("_lines", by_line)
-        .select(
-            "doc_id",
-            F.xxhash64("text").alias("_text"),
-            F.aggregate("_lines", F.lit(0).cast("long"), lambda a, x: a + F.size(x)).alias("n_words"),
-            *(c.alias(n) for n, c in places.items()),
-            F.filter(F.transform("_lines", lambda x: F.array_intersect(x, known)), lambda x: F.size(x) > 0).alias("_blocks"),
-        )
+        .withColumn("_words", F.array_remove(F.split("_low", BREAK + "+"), ""))
+        .withColumns({"_known": F.array_intersect("_words", listed(vocabulary)), "n_words": F.size("_words").cast("long"), **places})
+        .withColumn("_fits", fits)
+        .select("doc_id", "n_words", *places, "_known", "_fits", F.when(F.size("_fits") > 0, F.md5("_low")).alias("_text"), F.when(F.size("_fits") > 0, F.col("_words")).alias("_words"))
+    )
+    base = staged(base, "license-words")
+
+    # In how many documents each template word is: as many rows as the templates have words.
+    counts = {r["_w"]: r["n"] for r in base.select(F.explode("_known").alias("_w")).groupBy("_w").agg(F.count("*").alias("n")).collect()}
+    order = {w: (counts.get(w, 0), w) for w in vocabulary}
+    ranked = [(w, k, label, len(ws), need, span, at) for k, label, ws, need, span in sets for at, w in enumerate(sorted(ws, key=order.__getitem__))]
+    ranked = spark.createDataFrame(ranked, "_w string, _template int, _label string, _size int, _need int, _span int, _at int")
+    texts = base.where("_text is not null").groupBy("_text").agg(F.first("_fits").alias("_fits"), F.first("_words").alias("_words"))
+    by_tile = (
+        texts.select("_text", "_fits", F.posexplode("_words").alias("_pos", "_w"))
+        .join(F.broadcast(ranked), "_w")
+        .where(F.array_contains("_fits", F.col("_template")))
+        .withColumn("_tile", F.floor(F.col("_pos") / F.col("_span")).cast("int"))
+        .withColumn("_tile", F.explode(F.array("_tile", F.col("_tile") - 1)))
+        .groupBy("_text", "_template", "_label", "_size", "_need", "_span", "_tile")
+        .agg(F.min("_at").alias("_first"), F.collect_set(F.struct("_pos", "_at")).alias("_here"))
     )
-    base = staged(base, "license-blocks")
-    blocks = base.select("doc_id", "_text", F.posexplode("_blocks").alias("_block", "_set"))
-
-    # The frequencies of all template words over all blocks: as many rows as the templates have words.
-    counts = {r["_w"]: r["n"] for r in blocks.select(F.explode("_set").alias("_w")).groupBy("_w").agg(F.count("*").alias("n")).collect()}
-    order = sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
-    rank = {w: k for k, w in enumerate(order)}
-    prefixes = [(w, k, label, len(ws), need, at, sorted(ws)) for k, label, ws, need in sets for at, w in enumerate(sorted(ws, key=rank.__getitem__)[: len(ws) - need + 1])]
-    prefixes = spark.createDataFrame(prefixes, "_w string, _template int, _label string, _size int, _need int, _t_at int, _words array<string>")
-    ordered = F.array(*map(F.lit, order)).cast("array<string>")
-    own_prefix = F.slice("_sorted", F.lit(1), F.size("_sorted") - least + 1)
-    pairs = (
-        blocks.where(F.size("_set") >= least)
-        .withColumn("_sorted", F.transform(F.array_sort(F.transform("_set", lambda w: F.array_position(ordered, w))), lambda k: F.element_at(ordered, k.cast("int"))))
-        .select("doc_id", "_text", "_block", "_set", F.posexplode(own_prefix).alias("_b_at", "_w"))
-        .join(F.broadcast(prefixes), "_w")
-        .where(F.size("_set") >= F.col("_need"))
-        .where(1 + F.least(F.col("_size") - F.col("_t_at") - 1, F.size("_set") - F.col("_b_at") - 1) >= F.col("_need"))
-        .withColumn("_overlap", F.size(F.array_intersect("_set", "_words")))
+    ahead = lambda o: F.transform(F.filter("_here", lambda x: x["_pos"].between(o["_pos"], o["_pos"] + F.col("_span") - 1)), lambda x: x["_at"])
+    starts = F.filter("_here", lambda o: o["_pos"] < (F.col("_tile") + 1) * F.col("_span"))
+    overlaps = F.transform(starts, lambda o: F.size(F.array_distinct(ahead(o))))
+    matched = (
+        by_tile.where(F.col("_size") - F.col("_first") >= F.col("_need"))
+        .where(F.size(F.array_distinct(F.transform("_here", lambda o: o["_at"]))) >= F.col("_need"))
+        .withColumn("_overlap", F.array_max(overlaps))
         .where("_overlap >= _need")
     )
-    found = pairs.groupBy(F.col("doc_id").alias("_id"), F.col("_text").alias("_t")).agg(F.collect_set("_label").alias("_found"), F.max(F.col("_overlap") / F.col("_size")).alias("_best"))
+    found = matched.groupBy(F.col("_text").alias("_t")).agg(F.collect_set("_label").alias("_found"), F.max(F.col("_overlap") / F.col("_size")).alias("_best"))
     base_labels = F.array_compact(F.array(*(F.when(F.size(f"_at{k}") > 0, label) for k, (_, label) in enumerate(phrases)))) if phrases else F.array().cast("array<string>")
     all_places = F.concat(nowhere, *(F.col(f"_at{k}") for k in range(len(phrases))))
     joined = lambda c: F.array_join(F.array_sort(F.array_distinct(c)), ",")
     return (
-        base.drop("_blocks")
-        .join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_t")), "left")
+        base.drop("_words", "_known", "_fits")
+        .join(staged(found, "license-found"), F.col("_text") == F.col("_t"), "left")
         .withColumns({"_all": all_places, "_base": base_labels})
         .select(
             "doc_id",

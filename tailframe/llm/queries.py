@@ -162,18 +162,20 @@ def op7_sql() -> str:
     for phrase, label in license_scan.PHRASES:
         test = " and ".join(f"w[i + {k}] = '{p}'" for k, p in enumerate(phrase.split(" "), 1))
         places.append(f"select r, '{label}' as label, i from (select r, w, unnest(range(0, len(w))) as i from d where len(w) > 0) where {test}")
-    sets = ", ".join(f"({k}, '{t.label}', {t.words()!r})" for k, t in enumerate(license_scan.TEMPLATES))
-    split = r"list_filter(regexp_split_to_array({}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+    sets = ", ".join(f"({k}, '{t.label}', {t.words()!r}, {t.span()})" for k, t in enumerate(license_scan.TEMPLATES))
+    split = r"list_filter(regexp_split_to_array(t, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
     return f"""
 with d0 as (select row_number() over () as r, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
-d as (select r, doc_id, {split.format('t')} as w from d0),
+d as (select r, doc_id, {split} as w from d0),
 places as ({' union all '.join(places)}),
 base as (select r, count(*) as n_base, min(i) as first_word, max(i) as last_word, list(distinct label) as ls from places group by r),
-templates(k, label, ws) as (values {sets}),
-blocks as (select r, {split.format('line')} as b from (select r, unnest(string_split(t, chr(10))) as line from d0)),
-found as (select r, list(distinct label) as ls, max(overlap / size) as best from (
-    select r, label, cast(len(list_intersect(ws, b)) as double) as overlap, len(ws) as size from blocks, templates where len(b) > 0)
-  where overlap >= ceil(round(0.9 * size, 9)) group by r)
+templates(k, label, ws, span) as (values {sets}),
+sized as (select k, label, span, len(ws) as size, ceil(round(0.9 * len(ws), 9)) as need, unnest(ws) as word from templates),
+occurs as (select r, k, label, size, need, span, i, word from (select r, i, w[i + 1] as word from (select r, w, unnest(range(0, len(w))) as i from d)) join sized using (word)),
+likely as (select r, k from occurs group by all having count(distinct word) >= any_value(need)),
+o as (select occurs.* from occurs join likely using (r, k)),
+blocks as (select a.r, a.k, a.i, a.label, a.size, a.need, count(distinct b.word) as overlap from o a join o b on a.r = b.r and a.k = b.k and b.i between a.i and a.i + a.span - 1 group by all),
+found as (select r, list(distinct label) as ls, max(overlap / size::double) as best from blocks where overlap >= need group by r)
 select doc_id, len(w) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
        coalesce(array_to_string(list_sort(base.ls), ','), '') as base_labels,
        coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.ls, []), coalesce(found.ls, [])))), ','), '') as labels,

@@ -1,5 +1,8 @@
 import hashlib
+import math
+import random
 import re
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -160,13 +163,13 @@ def brute_scan(text, threshold=0.9):
     places = [(k, label) for p, label in license_scan.PHRASES for k in range(len(w)) if w[k : k + len(p.split())] == p.split()]
     base = {label for _, label in places}
     found, best = set(), 0.0
-    for line in lower.split("\n"):
-        own = set(find(line))
-        for t in license_scan.TEMPLATES:
-            overlap = len(own & set(t.words()))
-            if overlap >= -(-round(threshold * len(t.words()), 9) // 1):
+    for t in license_scan.TEMPLATES:
+        own, span = set(t.words()), t.span()
+        for k in range(len(w) if len(own & set(w)) >= math.ceil(round(threshold * len(own), 9)) else 0):
+            overlap = len(own & set(w[k : k + span]))
+            if w[k] in own and overlap >= math.ceil(round(threshold * len(own), 9)):
                 found.add(t.label)
-                best = max(best, overlap / len(t.words()))
+                best = max(best, overlap / len(own))
     at = [k for k, _ in places]
     return len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(base)), ",".join(sorted(base | found)), 1.0 if base else best
 
@@ -176,10 +179,18 @@ def test_license_scan(spark, docs):
     extra = ["UNDER the-MIT\nlicense! under the mit license", "Apache License, Version 2.0 cc by-nc cc by nc", "İ under the mıt license K", "this work licensed under the gnu general public license version 3 extra words is", "permission granted free of charge to any person obtaining a copy of this software and associated documentation files"]
     texts += [(2 * 10**9 + k, t) for k, t in enumerate(extra)] * 2
     texts += [(None, extra[0]), (7 * 10**9, extra[0]), (7 * 10**9, extra[3])]
+    whole = {t.label: t.text for t in license_scan.TEMPLATES}
+    texts += [(3 * 10**9 + k, "# " + "\n# ".join(textwrap.wrap(" ".join(t.split()), 40))) for k, t in enumerate(whole.values())]
+    scattered = " ".join(f"x{k}" for k in range(300)).split()
+    for k, x in enumerate("released mit under of a license".split()):
+        scattered.insert(50 * k, x)
+    texts += [(4 * 10**9, " ".join(scattered)), (4 * 10**9 + 1, " ".join(["the software of this license is"] * 900 + [whole["isc"]]))]
     got = license_scan.scan_licenses(spark.createDataFrame([(*t, "clash") for t in texts], "doc_id long, text string, labels string")).collect()
     rows = sorted((str(r[0]), *map(str, r[1:])) for r in got)
     want = sorted((str(i), *map(str, brute_scan(t))) for i, t in texts)
     assert rows == want
+    labels = {r.doc_id: r.labels for r in got}
+    assert all(label in labels[3 * 10**9 + k].split(",") for k, label in enumerate(whole)) and labels[4 * 10**9] == "" and labels[4 * 10**9 + 1] == "isc"
     assert license_scan.scan_licenses(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
@@ -210,6 +221,62 @@ def test_language_edge_cases(spark):
         langid.train(train, max_langs=1)
 
 
+def brute_grams(text):
+    """Counts of hashed grams, one gram at a time."""
+    data = re.sub(r"[\W\d_]+", " ", f" {text.lower()} ").encode()
+    found = Counter()
+    for n in range(1, 5):
+        for k in range(len(data) - n + 1):
+            code = int.from_bytes(data[k : k + n], "big")
+            found[((code ^ (n * 0x51ED2705 & 0xFFFFFFFF)) * 0x9E3779B1 & 0xFFFFFFFF) >> 17] += 1
+    return found
+
+
+def brute_language(train, texts, margin=0.2):
+    """Weights and decoding in plain Python, from the definition."""
+    counts = {}
+    for text, lang in train:
+        if any(c.isalpha() for c in text):
+            counts.setdefault(lang, Counter()).update(brute_grams(text))
+    langs = sorted(counts)
+    codes, folds = langid.codewords(len(langs))
+    share = {x: {p: (counts[x][p] + 0.05) / (sum(counts[x].values()) + 0.05 * langid.DIM) for p in range(langid.DIM)} for x in langs}
+
+    def weight(bit, p):
+        sides = [[share[x][p] for k, x in enumerate(langs) if codes[k, bit] == side] for side in (1, -1)]
+        return math.log(sum(sides[0]) / len(sides[0])) - math.log(sum(sides[1]) / len(sides[1])) if p % folds[bit][1] == folds[bit][0] else 0.0
+
+    found = []
+    for text in texts:
+        grams = brute_grams(text)
+        lean = [sum(n * weight(b, p) for p, n in grams.items()) / math.sqrt(sum(grams.values())) for b in range(codes.shape[1])]
+        sure = [abs(x) / sum(map(abs, lean)) for x in lean]
+        loss = [sum(math.log1p(math.exp(-codes[k, b] * lean[b])) * sure[b] for b in range(len(lean))) for k in range(len(langs))]
+        odds = [math.exp(min(loss) - x) for x in loss]
+        odds = [x / sum(odds) for x in odds]
+        order = sorted(range(len(langs)), key=lambda k: -odds[k])
+        found.append((langs[order[0]], odds[order[0]], odds[order[0]] - odds[order[1]] < margin))
+    return found
+
+
+@pytest.mark.parametrize("n_langs", [2, 3, 4])
+def test_language_is_that_of_a_brute_force_version(spark, n_langs):
+    words = {"en": "the and of with that", "de": "der und von mit dass", "fr": "le et de avec que", "sv": "och att det som för"}
+    rng = random.Random(n_langs)
+    own = [(" ".join(rng.choices(words[x].split(), k=12)), x) for x in list(words)[:n_langs] for _ in range(4)]
+    asked = [" ".join(rng.choices(" ".join(words.values()).split(), k=rng.randint(1, 9))) for _ in range(12)] + ["Ünd 1 the-AND"]
+    model = langid.train(spark.createDataFrame(own, "text string, lang string"))
+    got = langid.identify(spark.createDataFrame(list(enumerate(asked)), "k int, text string"), model).orderBy("k").collect()
+    for r, (lang, score, ambiguous) in zip(got, brute_language(own, asked)):
+        assert r.lang_pred == lang and r.score == pytest.approx(score, abs=1e-4) and r.ambiguous == ambiguous
+
+
+@pytest.mark.parametrize("n", range(2, 12))
+def test_codewords_are_three_bits_apart(n):
+    codes, folds = langid.codewords(n)
+    assert min((a != b).sum() for k, a in enumerate(codes) for b in codes[:k]) >= 3 and len(folds) == codes.shape[1]
+
+
 def test_gram_counts_do_not_depend_on_chunks(monkeypatch):
     text = "Wörter, words & more; " * 50
     whole = langid.gram_counts(text)
@@ -219,7 +286,7 @@ def test_gram_counts_do_not_depend_on_chunks(monkeypatch):
 
 @pytest.mark.parametrize("n", [2, 4, 7, 12, 60])
 def test_codewords_are_apart(n):
-    codes = langid.codewords(n)
+    codes, _ = langid.codewords(n)
     distance = [(codes[i] != codes[j]).sum() for i in range(n) for j in range(i)]
     assert min(distance) >= (1 if n == 2 else 3)
 
