@@ -43,6 +43,10 @@ SAMPLE, COMMON = 4_096, 1 << 16
 ROUNDS = 3
 #: Rows of two longs up to which a side of a join is broadcast; larger sides are shuffled.
 BROADCAST_ROWS = 1 << 20
+#: Keys of a task that counts them.
+KEYS_A_TASK = 400_000
+_AT_BITS = 20
+_AT_MOST = (1 << _AT_BITS) - 1
 
 
 def fingerprint(text: str | None) -> int:
@@ -136,19 +140,21 @@ def _add_prefixes(batches: Iterator[pa.RecordBatch], at: int, width: int, percen
     for batch in batches:
         for start in range(0, batch.num_rows, 1_000):
             part = batch.slice(start, 1_000)
-            fps, sizes, prefixes, sketches = [], [], [], []
+            fps, sizes, prefixes, rares, sketches = [], [], [], [], []
             for x in part.column(at):
                 s = shingles(x.as_py(), width)
                 place = np.minimum(np.searchsorted(common, s), len(common) - 1)
-                order = np.lexsort((s, np.where(common[place] == s, counts[place], 0)))
+                seen = np.where(common[place] == s, counts[place], 0)
+                order = np.lexsort((s, seen))
                 fps.append(_set_digest(s))
                 sizes.append(len(s))
                 bits = 64 << max(1, (len(s) // 32).bit_length())
                 odd = np.bincount(s & (bits - 1), minlength=bits) & 1
                 sketches.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
                 prefixes.append(s[order[: len(s) + percent * len(s) // -100 + 1]])
-            new = [pa.array(fps, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, "fp", "n", "keys", "sketch"])
+                rares.append(int((seen == 0).sum()))
+            new = [pa.array(fps, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(rares, pa.int32()), pa.array(sketches, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, "fp", "n", "keys", "rare", "sketch"])
 
 
 def with_sets(df: DataFrame, text_col: str, width: int) -> DataFrame:
@@ -163,7 +169,7 @@ def with_prefixes(df: DataFrame, width: int, percent: int) -> DataFrame:
     """Adds ``fp``, the set's size ``n``, its prefix ``keys`` and its ``sketch`` to rows with a ``text``, which is replaced by its hash.
 
     Shingles stand in the order of their number in a sample, then of their hash. Any order gives the same links;
-    this one keeps shingles of many texts out of the prefixes. A sketch's bits are the parities of the numbers of
+    this one keeps shingles of many texts out of the prefixes. The first ``rare`` shingles are not common in the sample. A sketch's bits are the parities of the numbers of
     shingles that fall to each; there are two to four bits a shingle, by powers of two, so that a longer sketch can be folded.
     """
     seen = with_sets(bounded_sample(df.select("text"), "text", SAMPLE), "text", width).select(F.explode("set").alias("s"))
@@ -171,7 +177,7 @@ def with_prefixes(df: DataFrame, width: int, percent: int) -> DataFrame:
     found = np.array(sorted((r.s, r.c) for r in rows) or [(0, 0)], np.int64)
     shared = df.sparkSession.sparkContext.broadcast((found[:, 0].copy(), found[:, 1].copy()))
     at = df.columns.index("text")
-    schema = T.StructType([*df.schema.fields, T.StructField("fp", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("sketch", T.ArrayType(T.LongType()))])
+    schema = T.StructType([*df.schema.fields, T.StructField("fp", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("rare", T.IntegerType()), T.StructField("sketch", T.ArrayType(T.LongType()))])
     return df.mapInArrow(lambda batches: _add_prefixes(batches, at, width, percent, *shared.value), schema).withColumn("text", F.xxhash64("text"))
 
 
@@ -202,6 +208,32 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return spark.read.schema(pairs.select("src", "dst").schema).parquet(path)
 
 
+def _shared_keys(rows: DataFrame, percent: int) -> DataFrame:
+    """The rows (key, fp, place) of keys of more than one set, with the key's number of ``rows`` and its ``low`` and ``high`` row.
+
+    ``place`` is the set's size and the key's place in it; places from ``_AT_MOST`` on count as that, which keeps more pairs and loses none.
+    Nearly all keys are of one set. Those that a sample doesn't know as common have a small share of the rows each: they are
+    shuffled once, as they are, and both counted and picked where they arrive. A common key may have a third of all rows: its
+    rows are combined before they are shuffled, and picked by a join whose large partitions can be split.
+    """
+    each = rows.select("fp", "n", "rare", F.posexplode("keys").alias("at", "key")).where("key is not null")
+    place = F.shiftleft(F.col("n").cast("long"), _AT_BITS).bitwiseOR(F.least("at", F.lit(_AT_MOST)).cast("long")).alias("place")
+    # The first shingle of a pair in the common order lies among the first 1 - 2p/(1 + p) of the smaller set: keys that do in no set are not needed.
+    n, at = F.shiftright("place", _AT_BITS), F.col("place").bitwiseAND(F.lit(_AT_MOST))
+    early = (100 + percent) * (n - at) >= 2 * percent * n
+    own = F.struct("fp", "place")
+
+    def held(some: DataFrame) -> DataFrame:
+        found = some.groupBy("key").agg(F.min(own).alias("low"), F.max(own).alias("high"), F.count("*").alias("rows"), F.bool_or(early).alias("early"))
+        return found.where("low.fp <> high.fp and early").drop("early")
+
+    total = rows.agg(F.sum(F.size("keys").cast("long"))).first()[0] or 0
+    rare = each.where("at < rare").select("key", "fp", place).repartition(int(total // KEYS_A_TASK) + 1, "key")
+    common = each.where("at >= rare").select("key", "fp", place)
+    picked = rare.join(held(rare).hint("shuffle_hash"), "key").unionByName(common.join(staged(held(common), "common-keys"), "key"))
+    return picked.select("key", "fp", "place", "rows", "low", "high")
+
+
 def link_similar(rows: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Edges (src > dst) whose components are those of "Jaccard similarity of ``percent`` or more" among distinct ``fp``.
 
@@ -213,16 +245,12 @@ def link_similar(rows: DataFrame, texts: DataFrame, width: int, percent: int) ->
     differ in no more bits than their sets in shingles.
     """
     nodes = staged(rows.groupBy("fp").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min(F.struct("doc_id", "text")).alias("one")), "sets")
-    each = rows.select("fp", "n", F.posexplode("keys").alias("at", "key"))
-    # The first shingle of a pair in the common order lies among the first 1 - 2p/(1 + p) of the smaller set: keys that do in no set are not needed.
-    early = (100 + percent) * (F.col("n") - F.col("at")) >= 2 * percent * F.col("n")
-    own = F.struct("fp", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("at").cast("long")).alias("place"))
-    held = each.groupBy("key").agg(F.min(own).alias("low"), F.max(own).alias("high"), F.count("*").alias("rows"), F.bool_or(early).alias("early")).where("low.fp <> high.fp and early")
-    held = staged(held.drop("early"), "shared-keys")
+    shared = staged(_shared_keys(rows, percent), "shared-keys")
     # Two rows are one pair; keys with more go on.
-    side = lambda c: F.struct(F.col(f"{c}.fp"), F.shiftright(f"{c}.place", 32).cast("int").alias("n"), F.col(f"{c}.place").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("at"))
-    twos = held.where("rows = 2").select(side("low").alias("x"), side("high").alias("y"))
-    keyed = staged(staged(each.join(held.where("rows > 2").select("key"), "key"), "keyed-rows").distinct(), "keyed-sets")
+    size_at = lambda place: (F.shiftright(place, _AT_BITS).cast("int").alias("n"), place.bitwiseAND(F.lit(_AT_MOST)).cast("int").alias("at"))
+    side = lambda c: F.struct(F.col(f"{c}.fp"), *size_at(F.col(f"{c}.place")))
+    twos = shared.where("rows = 2 and fp = low.fp").select(side("low").alias("x"), side("high").alias("y"))
+    keyed = staged(shared.where("rows > 2").select("key", "fp", *size_at(F.col("place"))).distinct(), "keyed-sets")
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     central = staged(keyed.groupBy("fp").agg((F.count("*") / F.first(prefix)).alias("share")), "central-sets")
     keyed = staged(keyed.join(central, "fp"), "keyed-central")
