@@ -268,13 +268,17 @@ def link_similar(rows: DataFrame, texts: DataFrame, width: int, percent: int) ->
     def ends(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.col("src").alias("fp")).union(pairs.select(F.col("dst").alias("fp"))).distinct()
 
+    ids = [F.col(c).alias(n) for c, n in (("x.fp", "a"), ("x.n", "an"), ("y.fp", "b"), ("y.n", "bn"))]
+
+    def sketched(pairs: DataFrame) -> DataFrame:
+        half = staged(staged(pairs, "pairs").join(sketches, F.col("a") == F.col("fp")).select(F.struct(F.col("a").alias("fp"), F.col("an").alias("n"), "sketch").alias("x"), "b", "bn"), "pairs-half")
+        return close(half.join(sketches, F.col("b") == F.col("fp")).select("x", F.struct(F.col("b").alias("fp"), F.col("bn").alias("n"), "sketch").alias("y")))
+
     row = F.struct("fp", "n", "at")
     one = [F.max_by(row, F.struct("share", "fp")), *(F.min_by(row, F.xxhash64(F.lit(k), "fp")) for k in range(1, ROUNDS))]
     met = staged(keyed.groupBy("key").agg(F.array_distinct(F.array(*one)).alias("ones")).select("key", F.explode("ones").alias("one")).select("key", "one.*"), "met")
-    ids = [F.col(c).alias(n) for c, n in (("x.fp", "a"), ("x.n", "an"), ("y.fp", "b"), ("y.n", "bn"))]
     pairs = fits(keyed.alias("x").join(met.alias("y"), F.col("x.key") == F.col("y.key"))).select(*ids).union(fits(twos).select(*ids)).distinct()
-    half = staged(staged(pairs, "pairs").join(sketches, F.col("a") == F.col("fp")).select(F.struct(F.col("a").alias("fp"), F.col("an").alias("n"), "sketch").alias("x"), "b", "bn"), "pairs-half")
-    pairs = staged(close(half.join(sketches, F.col("b") == F.col("fp")).select("x", F.struct(F.col("b").alias("fp"), F.col("bn").alias("n"), "sketch").alias("y"))), "pairs-close")
+    pairs = staged(sketched(pairs), "pairs-close")
     wanted = staged(ends(pairs), "close-sets")
     sets = _sets_of(wanted, nodes, texts, width)
     edges = _verified(pairs, sets, percent)
@@ -284,9 +288,9 @@ def link_similar(rows: DataFrame, texts: DataFrame, width: int, percent: int) ->
     sizes = staged(named.groupBy("key", "label").agg(F.count("*").alias("size")), "label-sizes")
     largest = sizes.groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("largest"), F.count("*").alias("labels"), F.sum("size").alias("all")).where("labels > 1 and all > 2").select("key", "largest")
     open_ = staged(named.join(staged(largest, "largest"), "key"), "keyed-open")
-    open_ = staged(open_.join(sketches, "fp"), "keyed-sketched")
     apart = fits(open_.where("label <> largest").alias("x").join(open_.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label"))))
-    pairs = staged(staged(close(apart), "pairs-apart").join(pairs, ["src", "dst"], "left_anti"), "pairs-left")
+    apart = sketched(apart.select(*ids).distinct())
+    pairs = staged(staged(apart, "pairs-apart").join(pairs, ["src", "dst"], "left_anti"), "pairs-left")
     more = staged(ends(pairs).join(wanted, "fp", "left_anti"), "close-more")
     if not more.isEmpty():
         sets = sets.unionByName(_sets_of(more, nodes, texts, width))
