@@ -8,6 +8,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Shuffle files go when the query that made them ends; one that is run again makes them anew.
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Folders made in each open ``scratch`` block, the innermost last.
 _open: list[list[str]] = []
 
@@ -30,10 +32,21 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
+def write(df: DataFrame, path: str) -> None:
+    """Writes ``df`` as Parquet and frees its shuffle files at once, not when the driver's garbage collection finds them unused."""
+    conf = df.sparkSession.conf
+    before = conf.get(_FREE_SHUFFLES, "false")
+    conf.set(_FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(_FREE_SHUFFLES, before)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` once and reads it back: side effects happen once, lineage ends here, lost executors don't matter."""
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    write(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
