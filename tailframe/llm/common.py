@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tailframe.storage import new_dir as _new_dir
-from tailframe.storage import scratch, shared_dir, staged
+from tailframe.storage import scratch, shared_dir, staged, write
 
-__all__ = ["bounded_sample", "let", "scratch", "shared_dir", "staged", "staged_for_good", "table", "words"]
+__all__ = ["bounded_sample", "let", "scratch", "shared_dir", "staged", "staged_for_good", "table", "words", "write"]
 
 #: Java character class of the white space that separates words.
 SPACE = r"[\x20\x09-\x0D]"
@@ -19,7 +19,7 @@ SPACE = r"[\x20\x09-\x0D]"
 def staged_for_good(df: DataFrame, name: str) -> DataFrame:
     """As ``staged``, but not removed at the end of a ``scratch`` block: what the block's result reads."""
     path = _new_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    write(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tailframe.llm.common import bounded_sample, scratch, shared_dir, staged, staged_for_good
+from tailframe.llm.common import bounded_sample, scratch, shared_dir, staged, staged_for_good, write
 
 #: Distinct fingerprints of one key up to which all its pairs are verified.
 BUCKET = 32
@@ -204,7 +204,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         half = staged(pairs.join(sets.select(F.col("fp").alias("src"), F.col("set").alias("a")), "src"), "close-half")
         both = half.join(sets.select(F.col("fp").alias("dst"), F.col("set").alias("b")), "dst")
         overlap = F.size(F.array_intersect("a", "b"))
-        both.where((100 + percent) * overlap >= percent * (F.size("a") + F.size("b"))).select("src", "dst").write.parquet(path)
+        write(both.where((100 + percent) * overlap >= percent * (F.size("a") + F.size("b"))).select("src", "dst"), path)
     return spark.read.schema(pairs.select("src", "dst").schema).parquet(path)
 
 
