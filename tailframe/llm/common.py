@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tailframe.storage import new_dir as _new_dir
 from tailframe.storage import scratch, shared_dir, staged, write
 
-__all__ = ["bounded_sample", "let", "scratch", "shared_dir", "staged", "staged_for_good", "table", "words", "write"]
+__all__ = ["bounded_sample", "let", "ranked", "scratch", "shared_dir", "staged", "staged_for_good", "table", "words", "write"]
 
 #: Java character class of the white space that separates words.
 SPACE = r"[\x20\x09-\x0D]"
@@ -44,3 +44,19 @@ def bounded_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
         return df
     share = int(0.95 * limit / total * (1 << 30))
     return df.where(F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 30)) < share)
+
+
+def ranked(df: DataFrame, order: list[str | Column], group: list[str] = ()) -> DataFrame:  # type: ignore[assignment]
+    """Adds ``rank``, the number of rows before each one in its ``group`` (columns without nulls), and ``of``, the rows of that group.
+
+    Rows are dealt by ranges of (group, order) and sorted there, so no task holds a whole group; a range's first row in each group then starts at the
+    number of the group's rows in the ranges before. The sort is written once, and so is fixed. ``order`` should tell rows apart: those that it doesn't stay in one task, in any order.
+    """
+    group = list(group)
+    placed = df.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order).withColumn("_at", F.monotonically_increasing_id())
+    placed = staged(placed.withColumn("_part", F.shiftright("_at", 33)), "ranked")
+    counts = placed.groupBy(*group, "_part").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    whole = Window.partitionBy(*group)
+    so_far = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+    starts = staged(counts.select(*group, "_part", "_first", (F.sum("_n").over(so_far) - F.col("_n")).alias("_before"), F.sum("_n").over(whole).alias("of")), "rank-starts")
+    return placed.join(starts, [*group, "_part"]).withColumn("rank", F.col("_before") + F.col("_at") - F.col("_first")).drop("_at", "_part", "_first", "_before")
