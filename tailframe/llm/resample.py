@@ -36,11 +36,71 @@ _LOWER[65:91] += 32
 _IN_WORD = np.zeros(256, bool)
 _IN_WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 _SPACE = np.array([32], np.uint8)
-
-
-def intern(keys: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+# The primes of XXH64; the table of CRC-32 follows from its polynomial.
+_P1, _P2, _P3, _P4, _P5 = map(np.uint64, (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261))
+_CRC = np.arange(256, dtype=np.uint32)
+for _ in range(8):
+    _CRC = np.where(_CRC & 1, (_CRC >> 1) ^ np.uint32(0xEDB88320), _CRC >> 1).astype(np.uint32)
+
+
+def _rotated(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number. ``data`` ends with eight bytes that belong to no n-gram."""
+    return np.ndarray(max(0, len(data) - 7), "<u8", data, strides=(1,))
+
+
+def hashed(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """XXH64 with seed 0 of the slices of ``data``, all at once; slices of 32 bytes and more one by one."""
+    eights = _eights(data)
+    h = size.astype(np.uint64) + _P5
+    for k in range(3):
+        m = np.flatnonzero(size >= 8 * (k + 1))
+        x = _rotated(eights[start[m] + 8 * k] * _P2, 31) * _P1
+        h[m] = _rotated(h[m] ^ x, 27) * _P1 + _P4
+    at = start + (size & ~7)
+    m = np.flatnonzero(size & 4)
+    h[m] = _rotated(h[m] ^ (eights[at[m]] & np.uint64(0xFFFFFFFF)) * _P1, 23) * _P2 + _P3
+    at[m] += 4
+    for k in range(3):
+        m = np.flatnonzero((size & 3) > k)
+        h[m] = _rotated(h[m] ^ data[at[m] + k] * _P5, 11) * _P1
+    h = (h ^ (h >> np.uint64(33))) * _P2
+    h = (h ^ (h >> np.uint64(29))) * _P3
+    h ^= h >> np.uint64(32)
+    long = np.flatnonzero(size >= 32)
+    h[long] = [xxhash.xxh64_intdigest(data[a : a + n]) for a, n in zip(start[long].tolist(), size[long].tolist())]
+    return h
+
+
+def crc32(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """CRC-32 of the slices of ``data``, a byte of each at a time; of slices of 32 bytes and more one by one."""
+    c, k, m = np.full(len(start), 0xFFFFFFFF, np.uint32), 0, np.flatnonzero((size > 0) & (size < 32))
+    while len(m):
+        c[m] = (c[m] >> np.uint32(8)) ^ _CRC[(c[m] ^ data[start[m] + k]) & np.uint32(255)]
+        k += 1
+        m = m[size[m] > k]
+    c ^= np.uint32(0xFFFFFFFF)
+    long = np.flatnonzero(size >= 32)
+    c[long] = [zlib.crc32(data[a : a + n]) for a, n in zip(start[long].tolist(), size[long].tolist())]
+    return c
+
+
+def _same_bytes(eights: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    same, k, m = np.ones(len(a), bool), 0, np.arange(len(a))
+    while len(m):
+        rest = np.minimum(size[m] - k, 8)
+        same[m] = (eights[a[m] + k] ^ eights[b[m] + k]) << (64 - 8 * rest).astype(np.uint64) == 0
+        k += 8
+        m = m[same[m] & (size[m] > k)]
+    return same
+
+
+def intern(data: np.ndarray, keys: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The place of each n-gram in an open-addressed table, and for each place which n-gram holds it (-1: none)."""
-    n = len(keys)
+    n, eights = len(keys), _eights(data)
     mask = (1 << max(1, (2 * n).bit_length())) - 1
     holder = np.full(mask + 1, -1, np.int64)
     place = (keys & np.uint64(mask)).astype(np.int64)
@@ -49,8 +109,10 @@ def intern(keys: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         at = place[left]
         free = holder[at] < 0
         holder[at[free]] = left[free]  # of several that want one place, one gets it
-        same = keys[holder[at]] == keys[left]
-        same[same] = grams[holder[at[same]]] == grams[left[same]]
+        held = holder[at]
+        same = (keys[held] == keys[left]) & (size[held] == size[left])
+        other = np.flatnonzero(same & (held != left))
+        same[other] = _same_bytes(eights, start[held[other]], start[left[other]], size[left[other]])
         left = left[~same]
         place[left] = (place[left] + 1) & mask
     return place, holder
@@ -90,43 +152,38 @@ def _parts(row: int, text: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray,
         taken = part[begins[-carried] :] if carried else part[:0]
 
 
-def _occurrences(ends: np.ndarray, text: np.ndarray, carried: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(n-grams as bytes, index of each one's text among ``ends``, words of each text)."""
+def _occurrences(ends: np.ndarray, text: np.ndarray, carried: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(words with one space between them, start and size of each n-gram there, index of its text among ``ends``, words of each text)."""
     inside = _IN_WORD[text]
     cut = np.zeros(len(text) + 1, bool)
     cut[0] = cut[ends] = True
     before, after = np.concatenate(([False], inside[:-1])), np.concatenate((inside[1:], [False]))
     begin = np.flatnonzero(inside & (~before | cut[:-1]))
-    end = np.flatnonzero(inside & (~after | cut[1:])) + 1
+    length = np.flatnonzero(inside & (~after | cut[1:])) + 1 - begin
     of = np.searchsorted(ends, begin, "right")
-    # All words once more, with one space between them, so that runs of words are slices.
-    size = end - begin
-    at = np.cumsum(size + 1) - size - 1
-    joined = np.full(int((size + 1).sum()), 32, np.uint8)
-    joined[np.arange(int(size.sum())) + np.repeat(np.arange(len(size)), size)] = text[inside]
-    spaced = joined.tobytes()
-    grams, owners = [], []
+    at = np.cumsum(length + 1) - length - 1
+    words = np.full(int((length + 1).sum()) + 8, 32, np.uint8)
+    words[np.arange(int(length.sum())) + np.repeat(np.arange(len(length)), length)] = text[inside]
+    starts, sizes, owners = [], [], []
     for n in range(1, LONGEST + 1):
         first = np.arange(max(0, len(begin) - n + 1))
         first = first[of[first] == of[first + n - 1]]
         first = first[first + n > carried]
         last = first + n - 1
-        grams += [spaced[a:b] for a, b in zip(at[first].tolist(), (at[last] + size[last]).tolist())]
+        starts.append(at[first])
+        sizes.append(at[last] + length[last] - at[first])
         owners.append(of[first])
-    words = np.bincount(of, minlength=len(ends))
-    words[:1] -= carried
-    held = np.empty(len(grams), object)
-    held[:] = grams
-    return held, np.concatenate(owners) if owners else np.empty(0, np.int64), words
+    counts = np.bincount(of, minlength=len(ends))
+    counts[:1] -= carried
+    return words, np.concatenate(starts), np.concatenate(sizes), np.concatenate(owners), counts
 
 
-def _interned(grams: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _interned(data: np.ndarray, start: np.ndarray, size: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(place of each occurrence, bucket at each place, occurrences at each place)."""
-    keys = np.fromiter(map(xxhash.xxh64_intdigest, grams), np.uint64, len(grams))
-    place, holder = intern(keys, grams)
+    place, holder = intern(data, hashed(data, start, size), start, size)
     used = np.flatnonzero(holder >= 0)
     bucket = np.zeros(len(holder), np.int64)
-    bucket[used] = np.fromiter((zlib.crc32(g) % buckets for g in grams[holder[used]]), np.int64, len(used))
+    bucket[used] = crc32(data, start[holder[used]], size[holder[used]]) % np.uint32(buckets)
     return place, bucket, np.bincount(place, minlength=len(holder))
 
 
@@ -134,9 +191,9 @@ def _count(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
     total = np.zeros(buckets, np.int64)
     for batch in batches:
         for _, ends, text, carried in _pieces(batch.column(0)):
-            grams, _, _ = _occurrences(ends, text, carried)
-            if len(grams):
-                _, bucket, times = _interned(grams, buckets)
+            words, start, size, _, _ = _occurrences(ends, text, carried)
+            if len(start):
+                _, bucket, times = _interned(words, start, size, buckets)
                 np.add.at(total, bucket[times > 0], times[times > 0])
     found = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["bucket", "n"])
@@ -146,10 +203,10 @@ def _weigh(batches: Iterator[pa.RecordBatch], gains: np.ndarray) -> Iterator[pa.
     for batch in batches:
         features, sums, words = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
         for rows, ends, text, carried in _pieces(batch.column(1)):
-            grams, of, n_words = _occurrences(ends, text, carried)
+            spaced, start, size, of, n_words = _occurrences(ends, text, carried)
             words[rows] += n_words
-            if len(grams):
-                place, bucket, _ = _interned(grams, len(gains))
+            if len(start):
+                place, bucket, _ = _interned(spaced, start, size, len(gains))
                 features[rows] += np.bincount(of, minlength=len(ends))
                 np.add.at(sums, rows[of], gains[bucket][place])
         weight = sums // np.maximum(features, 1)

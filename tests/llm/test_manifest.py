@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tailframe.llm import chat, merkle, queries, resample
@@ -162,10 +163,25 @@ def test_pieces_of_long_texts_count_every_run_once(monkeypatch, piece):
     assert dict(zip(counted.column(0).to_pylist(), counted.column(1).to_pylist())) == want
 
 
+def packed(grams):
+    size = np.array([len(g) for g in grams], np.int64)
+    return np.frombuffer(b"".join(grams) + b" " * 8, np.uint8), np.cumsum(size) - size, size
+
+
 def test_equal_keys_are_told_apart_by_their_bytes():
-    grams = np.array([b"a", b"b", b"a", b"c", b"b"], object)
-    place, holder = resample.intern(np.zeros(5, np.uint64), grams)
-    assert place[0] == place[2] and place[1] == place[4] and len(set(place.tolist())) == 3 and (holder >= 0).sum() == 3
+    long = b"0123456789"
+    grams = [b"a", b"b", b"a", b"c", b"b", long + b"x", long + b"y", long + b"x", b"aa", b""]
+    data, start, size = packed(grams)
+    place, holder = resample.intern(data, np.zeros(len(grams), np.uint64), start, size)
+    assert [place.tolist().index(p) for p in place] == [grams.index(g) for g in grams] and (holder >= 0).sum() == len(set(grams))
+
+
+def test_hashes_of_slices_equal_the_libraries():
+    rng = random.Random(2)
+    grams = [rng.randbytes(n) for n in [*range(70), 1_000, *range(40)]]
+    data, start, size = packed(grams)
+    assert resample.hashed(data, start, size).tolist() == [xxhash.xxh64_intdigest(g) for g in grams]
+    assert resample.crc32(data, start, size).tolist() == [zlib.crc32(g) for g in grams]
 
 
 # -- chats ------------------------------------------------------------------------------------------------------
