@@ -16,13 +16,13 @@ def batch_sizes(records: DataFrame) -> DataFrame:
     return records.groupBy(*BATCH).agg(F.count("*").alias("n_records"), F.sum(payload_bytes(F.col("message"))).alias("batch_bytes"))
 
 
-def assemble_batches(records: DataFrame) -> DataFrame:
-    """One row a batch: its size, and its records in payload order as a JSON array.
+def assemble_batches(records: DataFrame, *also: str) -> DataFrame:
+    """One row a batch: its size, and its records in payload order as a JSON array; ``also`` names further columns that a batch's records share.
 
     A batch is one chunk, about a megabyte, so collecting its records is bounded by how chunks are made.
     """
     rows = F.sort_array(F.collect_list(F.struct("line_no", record_struct().alias("record"))))
-    grouped = records.groupBy(*BATCH).agg(F.count("*").alias("n_records"), F.sum(payload_bytes(F.col("message"))).alias("batch_bytes"), rows.alias("_rows"), F.min("timestamp").alias("timestamp"))
+    grouped = records.groupBy(*BATCH, *also).agg(F.count("*").alias("n_records"), F.sum(payload_bytes(F.col("message"))).alias("batch_bytes"), rows.alias("_rows"), F.min("timestamp").alias("timestamp"))
     return grouped.withColumn("payload", F.to_json(F.transform("_rows", lambda r: r["record"]))).drop("_rows")
 
 

@@ -97,11 +97,14 @@ def oracle_sql() -> dict[str, str]:
         "stream_positions": chunks + _STOPS + " select instance_id, log_file, arg_max(next_marker, chunk_no) as marker, sum(strlen(data)) as bytes_written from chunks left join stops using (instance_id, log_file) where stop is null or chunk_no < stop group by all",
         "stream_parked": chunks + _LINES + f" select c.*, 'tail' as marker from ({_COUNTS.replace('from lines', "from lines where substr(batch_id, 1, 1) = '7'")}) c",
         "poll_positions": chunks + _STOPS + """, files as (select instance_id, log_file, sum(strlen(data)) as file_size, cast(regexp_extract(log_file, '([0-9]+)$', 1) as bigint) as k from chunks group by all),
-            due as (select c.*, file_size, k, stop, case when k % 6 = 0 then 1 else 2 end as start from chunks c join files using (instance_id, log_file) left join stops using (instance_id, log_file)),
-            sent as (select *, sum(strlen(data)) over (partition by instance_id, log_file order by chunk_no) as bytes_written from due where k % 2 = 0)
+            due as (select c.*, file_size, k, stop, case when k % 6 = 0 then 1 else 2 end as start, case when k % 6 = 0 then 1 else 0 end as again from chunks c join files using (instance_id, log_file) left join stops using (instance_id, log_file)),
+            sent as (select *, sum(strlen(data)) over (partition by instance_id, log_file order by chunk_no) + again * sum(case when chunk_no = 1 then strlen(data) else 0 end) over (partition by instance_id, log_file) as bytes_written from due where k % 2 = 0)
             select instance_id, log_file, next_marker as marker, bytes_written, file_size, chunk_no - start + 1 as seq from sent s
               where chunk_no >= start and not exists (select 1 from refused r where r.instance_id = s.instance_id and r.log_file = s.log_file and r.chunk_no between s.start and s.chunk_no)
             union all select instance_id, log_file, 'tail', 0, file_size, 0 from files where k % 2 = 1""",
+        "stream_outbox": chunks + _LINES + ", b as (select distinct instance_id, batch_id from lines), n as (select count(*) as n, sum((substr(batch_id, 1, 1) = '7')::bigint) as refused from b), f as (select count(distinct (instance_id, log_file)) as n_files, sum(strlen(data)) as bytes_written from chunks) select unnest(['siem', 'cold']) as sink_name, n as n_ok, n as n_batches, unnest([2, 0]) * refused as n_refused, 0 as n_out_of_order, n_files, n_files as n_at_end, bytes_written from n, f",
+        "stream_holes": chunks + _LINES + " select cast(regexp_extract(log_file, '([0-9]+)$', 1) as bigint) as file_no, count(*) as n_lines, sum(strlen(message)) as n_bytes, 1 as n_errors from lines group by all",
+        "stream_generations": chunks + _LINES + ", g as (select 0 as generation, * from lines union all select 1, * from lines where chunk_no = 1) select cast(regexp_extract(log_file, '([0-9]+)$', 1) as bigint) as file_no, generation, count(*) as n_lines, sum(strlen(message)) as n_bytes from g group by all",
         "objects_roundtrip": tailed,
         "log_tail_lines": chunks + _LINES + " select cast(regexp_extract(log_file, '([0-9]+)$', 1) as bigint) as file_no, count(*) as n_lines, sum(strlen(message)) as n_bytes from lines group by all",
     }

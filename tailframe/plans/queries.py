@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tailframe.functions import batches as fb
@@ -12,7 +12,7 @@ from tailframe.plans.fixtures import SINKS, view
 from tailframe.sources import inventory, sinks
 from tailframe.sources import tail as live
 from tailframe.storage import shared_dir, staged
-from tailframe.streaming import poll, tail
+from tailframe.streaming import outbox, poll, tail
 
 #: A fixed "now" for lags, so that results repeat.
 NOW = "2024-01-02 00:00:00"
@@ -341,27 +341,21 @@ def stream_tail(spark, d):
 
 
 def stream_dedupe(spark, d):
-    """Every chunk lands twice; each line comes out once."""
+    """Every chunk lands twice; each line comes out once. The state is a row a file."""
     folder, schema = _landed(spark, d)
     spark.read.schema(schema).parquet(folder).coalesce(2).write.mode("append").parquet(folder)
-    out = tail.run_to_end(tail.dedupe_stream(tail.tail_records(spark, folder, schema, 2)), "deduped")
-    return _line_counts(spark.read.parquet(out))
+    out = tail.run_to_end(tail.dedupe_chunks(tail.tail_chunks(spark, folder, schema, 2)), "deduped")
+    return _line_counts(lines.records(spark.read.parquet(out)))
 
 
 def stream_state(spark, d):
     folder, schema = _landed(spark, d)
-    key = "spark.sql.streaming.stateStore.providerClass"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
     def keep(rows: DataFrame, epoch: int) -> None:
         rows.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
 
     out = shared_dir(spark, "positions")
-    try:
-        tail.run_to_end(tail.file_positions(tail.tail_chunks(spark, folder, schema, 2)), "positions", "update", keep)
-    finally:
-        spark.conf.set(key, old)
+    tail.run_to_end(tail.file_positions(tail.tail_chunks(spark, folder, schema, 2)), "positions", "update", keep)
     rows = spark.read.parquet(out)
     return rows.groupBy(*KEY).agg(F.max_by("marker", "chunks").alias("marker"), F.max("bytes_written").alias("bytes_written"), F.max("chunks").alias("n_chunks"))
 
@@ -399,6 +393,36 @@ def stream_parked(spark, d):
     return _line_counts(delivery.dlq_records(dead)).join(ends, KEY)
 
 
+def _outage(row) -> tuple[int, str | None]:
+    """A sink that refuses a sixteenth of all batches twice each, and then takes them."""
+    return (503, "down") if row.batch_id[0] == "7" and row.tries < 2 else (200, None)
+
+
+def stream_outbox(spark, d):
+    """Two sinks, one of them with an outage, on a stream that falls quiet: what each was sent, whether in order, and where all files' positions end.
+
+    Nothing lands after the first micro-batches; ticks have what was refused sent again.
+    """
+    folder, schema = _landed(spark, d)
+    out = shared_dir(spark, "outbox")
+    once = sinks.Retry(max_attempts=1)
+    both = {"siem": ("http", sinks.in_order(lambda: _outage, once)), "cold": ("s3", sinks.in_order(lambda: lambda row: (200, None), once))}
+    pages = outbox.with_ticks(tail.tail_chunks(spark, folder, schema, 2))
+    query = tail.poll(pages, outbox.fan_out_batch(both, out), f"{out}-mark", 1)
+    try:
+        outbox.wait_until_empty(spark, out, schema, query)
+    finally:
+        query.stop()
+    attempts = spark.read.parquet(f"{out}/attempts").withColumn("ok", (F.col("status") == 200).cast("long"))
+    ids = lines.stamp(_chunks(spark, d)).select("instance_id", "batch_id", "chunk_no")
+    arrived = attempts.join(ids, ["instance_id", "batch_id"])
+    along = Window.partitionBy("sink_name", *KEY).orderBy("attempted_at", "chunk_no").rowsBetween(Window.unboundedPreceding, -1)
+    arrived = arrived.withColumn("late", (F.col("chunk_no") < F.max("chunk_no").over(along)).cast("long"))
+    sent = arrived.groupBy("sink_name").agg(F.sum("ok").alias("n_ok"), F.countDistinct("instance_id", "batch_id").alias("n_batches"), F.sum(1 - F.col("ok")).alias("n_refused"), F.sum(F.coalesce("late", F.lit(0))).alias("n_out_of_order"))
+    ends = checkpoints.current_checkpoints(spark.read.parquet(f"{out}/positions")).agg(F.count("*").alias("n_files"), F.sum((F.col("marker") == "tail").cast("long")).alias("n_at_end"), F.sum("bytes_written").alias("bytes_written"))
+    return sent.crossJoin(F.broadcast(ends))
+
+
 def poll_positions(spark, d):
     """One poll: every other file is known up to its first chunk, some of them are smaller than they were, the rest are new and read from their end on."""
     chunks = staged(_chunks(spark, d), "chunks")
@@ -431,6 +455,85 @@ def log_tail_lines(spark, d):
     return found.groupBy("file_no").agg(F.count("*").alias("n_lines"), F.sum(fb.payload_bytes(F.col("message"))).alias("n_bytes"))
 
 
+def _log_folder(spark, d, name: str):
+    """A folder for log files, and the lines of each as ``file_no`` and ``message``, in order."""
+    folder = shared_dir(spark, name).replace("file:///", "/", 1)
+    ordered = _records(spark, d).withColumn("file_no", F.regexp_extract("log_file", "([0-9]+)$", 1).cast("long"))
+    return folder, ordered.select("file_no", "chunk_no", "line_no", "message")
+
+
+def _write_logs(ordered: DataFrame, folder: str) -> None:
+    """Each file's lines into a file of its own, from the executors, in the place of what it held."""
+
+    def run(parts):
+        import os
+
+        os.makedirs(folder, exist_ok=True)
+        name, out = None, None
+        for part in parts:
+            for file_no, message in zip(part["file_no"], part["message"]):
+                if file_no != name:
+                    if out:
+                        out.close()
+                    name, out = file_no, open(f"{folder}/{file_no}.log", "w", encoding="utf-8", newline="\n")
+                out.write(message + "\n")
+        if out:
+            out.close()
+        yield from ()
+
+    rows = ordered.repartition("file_no").sortWithinPartitions("file_no", "chunk_no", "line_no").select("file_no", "message")
+    rows.mapInPandas(run, "file_no long").count()
+
+
+def _landed_lines(spark, out: str, *also: str) -> DataFrame:
+    pages = live.read_chunks(spark, out).where("error is null").dropDuplicates(["log_file", "generation", "start_byte"])
+    found = lines.split_lines(pages).withColumn("file_no", F.regexp_extract("log_file", "([0-9]+)", 1).cast("long"))
+    return found.groupBy("file_no", *also).agg(F.count("*").alias("n_lines"), F.sum(fb.payload_bytes(F.col("message"))).alias("n_bytes"))
+
+
+class _FailingOnce(live.LogTail):
+    """A live source each of whose files can't be opened the first time it is read."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "failing_once"
+
+    def streamReader(self, schema):
+        class Files(live._Files):
+            def opened(self, part):
+                import os
+
+                mark = f"{self.state}/failed-{part.name}"
+                if not os.path.exists(mark):
+                    os.makedirs(self.state, exist_ok=True)
+                    open(mark, "w").close()
+                    raise OSError("not now")
+                return super().opened(part)
+
+        return live._TailReader(Files(self.options))
+
+
+def stream_holes(spark, d):
+    """Lines landed by a live source whose first read of each file fails: all of them, after as many errors as there are files."""
+    folder, ordered = _log_folder(spark, d, "logs")
+    out, mark = shared_dir(spark, "pages"), shared_dir(spark, "mark")
+    _write_logs(ordered, folder)
+    for _ in range(2):
+        live.land(spark, folder, out, mark, _FailingOnce, page_bytes="65536").trigger(availableNow=True).start().awaitTermination()
+    failed = live.read_chunks(spark, out).where("error is not null").groupBy(F.regexp_extract("log_file", "([0-9]+)", 1).cast("long").alias("file_no")).agg(F.count("*").alias("n_errors"))
+    return _landed_lines(spark, out).join(failed, "file_no")
+
+
+def stream_generations(spark, d):
+    """Lines by generation, landed by a live source from files that are then cut to their first chunk: markers repeat, generations tell them apart."""
+    folder, ordered = _log_folder(spark, d, "logs")
+    out, mark = shared_dir(spark, "pages"), shared_dir(spark, "mark")
+    for part in (ordered, ordered.where("chunk_no = 1")):
+        _write_logs(part, folder)
+        live.land(spark, folder, out, mark, page_bytes="65536").trigger(availableNow=True).start().awaitTermination()
+    return _landed_lines(spark, out, "generation")
+
+
 def stream_fanout(spark, d):
     folder, schema = _landed(spark, d)
     out = shared_dir(spark, "fanout")
@@ -461,7 +564,7 @@ QUERIES = (
     status_classes, retry_outcome, retry_waits, fanout_acks, fanout_missing, dead_letters, dlq_oldest, dlq_after_delete, dlq_replay,
     processed_total, failed_total, failed_by_hour, batch_bytes_hist, write_seconds_hist, api_calls, store_ops, delivery_totals,
     missing_lines, dedupe_lines, line_generations, ordered_lines,
-    stream_tail, stream_dedupe, stream_state, stream_fanout, stream_positions, stream_parked, stream_lag, poll_positions, objects_roundtrip, log_tail_lines,
+    stream_tail, stream_dedupe, stream_state, stream_fanout, stream_positions, stream_outbox, stream_holes, stream_generations, stream_parked, stream_lag, poll_positions, objects_roundtrip, log_tail_lines,
 )
 
 

@@ -13,8 +13,9 @@ def _schema(text: str) -> T.StructType:
 
 #: One page of a log file: its raw payload between two opaque markers.
 CHUNK = _schema("instance_id string, engine string, log_file string, prev_marker string, next_marker string, data string, additional_pending boolean, fetched_at timestamp")
-#: The same as a live source reads it. A page that could not be read has no data, equal markers and an error.
-LOG_PAGE = T.StructType([*CHUNK, T.StructField("error", T.StringType())])
+#: The same as a live source reads it. A page that could not be read has no data, equal markers and an error. ``generation`` counts the file's truncations, and
+#: with ``start_byte`` it numbers a file's pages.
+LOG_PAGE = T.StructType([*CHUNK, T.StructField("error", T.StringType()), T.StructField("generation", T.IntegerType()), T.StructField("start_byte", T.LongType())])
 #: One raw log line. ``line_no`` is its place in the payload, counting empty lines.
 RECORD = _schema("instance_id string, engine string, log_file string, timestamp timestamp, message string, marker string, batch_id string, line_no int")
 INVENTORY = _schema("instance_id string, engine string, log_file string, size bigint, last_written_ms bigint")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import errno
 import gzip
 import http.client
 import json
@@ -13,6 +14,7 @@ import urllib.error
 import urllib.request
 import uuid
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from urllib.parse import quote
 
 import pandas as pd
@@ -20,7 +22,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tailframe.functions.batches import JSON_TIME, identity_headers, kafka_headers, kafka_key, kafka_topic, object_key, record_json
+from tailframe.functions.batches import JSON_TIME, classify_status, identity_headers, kafka_headers, kafka_key, kafka_topic, object_key, record_json
 from tailframe.functions.names import basename
 from tailframe.operators.batches import assemble_batches
 from tailframe.operators.delivery import fan_out, retry_outcome
@@ -80,76 +82,175 @@ def webhook_frame(records: DataFrame, headers: dict[str, str] | None = None, gzi
     return assemble_batches(records).withColumn("headers", identity_headers(headers, gzipped))
 
 
-def post_webhooks(frame: DataFrame, url: str, gzipped: bool = False, max_attempts: int = 10, initial_ms: int = 500, longest_ms: int = 60_000, multiplier: float = 2.0, timeout_s: float = 30.0) -> DataFrame:
-    """Posts each batch from the executors, with retries, and returns the attempts: status 0 means no answer.
+#: A custom sink: batches in, attempts out (the columns of the ATTEMPT schema that it knows).
+Sink = Callable[[DataFrame], DataFrame]
+#: Sends one row (a batch) and says with what status and error it ended; 0 means no answer, which may be tried again.
+Send = Callable[[tuple], tuple[int, str | None]]
+#: Errors of a store that the next attempt meets again.
+_LASTING = {errno.EACCES, errno.EPERM, errno.ENOENT, errno.ENOTDIR, errno.EISDIR, errno.EROFS}
 
-    Lazy, as any DataFrame: whoever calls must write the result once and read that (``deliver`` does), or a second action
-    would post again. Header values are percent-encoded outside ASCII; whatever goes wrong with a request is an attempt that failed, and stops no other.
+
+@dataclass(frozen=True)
+class Retry:
+    """Attempts at most, and the waits between them: ``initial_ms`` times ``multiplier`` for each further one, up to ``longest_ms``, less up to half of it by chance."""
+
+    max_attempts: int = 10
+    initial_ms: int = 500
+    longest_ms: int = 60_000
+    multiplier: float = 2.0
+
+    def wait_s(self, attempt: int) -> float:
+        longest = min(self.initial_ms * self.multiplier ** (attempt - 1), self.longest_ms) / 1000
+        return random.uniform(longest / 2, longest)
+
+
+def _sent(frame: DataFrame, opened: Callable[[], Send], retry: Retry, also: str = "", until_failure: bool = False) -> DataFrame:
+    """Sends each row of ``frame`` from the executors, with retries, and returns the attempts; ``also`` names further columns of theirs.
+
+    ``until_failure``: rows come file by file, in order, and none is sent behind one of its file that did not arrive.
     """
+    names = [f.split(" ")[0] for f in f"{MADE}, error string{also}".split(", ")]
+    more = [f.split(" ")[0] for f in also.split(", ")[1:]]
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        send, stopped = opened(), None
+        for part in parts:
+            rows = []
+            for row in part.itertuples(index=False):
+                if until_failure and stopped == (row.instance_id, row.log_file):
+                    continue
+                for attempt in range(1, retry.max_attempts + 1):
+                    at, began = dt.datetime.now(), time.monotonic()
+                    status, error = send(row)
+                    rows.append((row.instance_id, row.engine, row.log_file, row.batch_id, attempt, status, row.n_records, row.batch_bytes, int(1000 * (time.monotonic() - began)), at, error, *(getattr(row, c) for c in more)))
+                    if 200 <= status < 500 and status // 100 != 3 or status < 0 or attempt == retry.max_attempts:
+                        break
+                    time.sleep(retry.wait_s(attempt))
+                if not 200 <= status < 300:
+                    stopped = (row.instance_id, row.log_file)
+            made = pd.DataFrame(rows, columns=names)
+            yield made.assign(status=made["status"].clip(lower=0))
+
+    return frame.mapInPandas(run, f"{MADE}, error string{also}")
 
-    def send(row) -> int:
+
+def _webhook(url: str, gzipped: bool, timeout_s: float) -> Callable[[], Send]:
+    def send(row) -> tuple[int, str | None]:
         try:
             body = row.payload.encode("utf-8", "surrogatepass")
             headers = {k: quote(v, safe=_PLAIN) for k, v in dict(row.headers).items()}
             request = urllib.request.Request(url, gzip.compress(body) if gzipped else body, headers, method="POST")
             with urllib.request.urlopen(request, timeout=timeout_s) as answer:
-                return answer.status
+                return answer.status, None
         except urllib.error.HTTPError as e:
-            return e.code
-        except (OSError, ValueError, http.client.HTTPException):
-            return 0
+            return e.code, str(e)
+        except (OSError, ValueError, http.client.HTTPException) as e:
+            return 0, str(e)
+
+    return lambda: send
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            rows = []
-            for row in part.itertuples(index=False):
-                for attempt in range(1, max_attempts + 1):
-                    at, began = dt.datetime.now(), time.monotonic()
-                    status = send(row)
-                    rows.append((row.instance_id, row.engine, row.log_file, row.batch_id, attempt, status, row.n_records, row.batch_bytes, int(1000 * (time.monotonic() - began)), at))
-                    if 200 <= status < 300 or 400 <= status < 500 or attempt == max_attempts:
-                        break
-                    wait = min(initial_ms * multiplier ** (attempt - 1), longest_ms) / 1000
-                    time.sleep(random.uniform(wait / 2, wait))
-            yield pd.DataFrame(rows, columns=[f.split(" ")[0] for f in MADE.split(", ")])
 
-    return frame.select("instance_id", "engine", "log_file", "batch_id", "payload", "headers", "n_records", "batch_bytes").mapInPandas(run, MADE)
+_POSTED = ("instance_id", "engine", "log_file", "batch_id", "payload", "headers", "n_records", "batch_bytes")
 
 
-def write_objects(batches: DataFrame, root: str, prefix: str = "", kms_key: str = "") -> DataFrame:
+def post_webhooks(frame: DataFrame, url: str, gzipped: bool = False, max_attempts: int = 10, initial_ms: int = 500, longest_ms: int = 60_000, multiplier: float = 2.0, timeout_s: float = 30.0) -> DataFrame:
+    """Posts each batch from the executors, with retries, and returns the attempts: status 0 means no answer.
+
+    Lazy, as any DataFrame: whoever calls must write the result once and read that (``deliver`` does), or a second action
+    would post again. Header values are percent-encoded outside ASCII; whatever goes wrong with a request is an attempt that failed, and stops no other.
+    """
+    return _sent(frame.select(*_POSTED), _webhook(url, gzipped, timeout_s), Retry(max_attempts, initial_ms, longest_ms, multiplier)).drop("error")
+
+
+def _store(root: str) -> Callable[[], Send]:
+    where = root.replace("file:///", "/", 1)
+
+    def send(row) -> tuple[int, str | None]:
+        try:
+            body = "".join(line + "\n" for line in _array_items(row.payload)).encode("utf-8", "surrogatepass")
+            fs, base = (pafs.FileSystem.from_uri(where) if "://" in where else (pafs.LocalFileSystem(), where))
+            path = f"{base.rstrip('/')}/{row.object_key}"
+            fs.create_dir(path.rpartition("/")[0], recursive=True)
+            draft = f"{path}.{uuid.uuid4().hex}"
+            with fs.open_output_stream(draft, compression=None) as f:
+                f.write(gzip.compress(body, mtime=0))
+            fs.move(draft, path)
+            return 200, None
+        except OSError as e:
+            return (-1 if e.errno in _LASTING else 0), str(e)
+        except ValueError as e:
+            return -1, str(e)
+
+    return lambda: send
+
+
+def _keyed(batches: DataFrame, prefix: str, kms_key: str) -> DataFrame:
+    key = object_key(prefix, F.col("instance_id"), F.col("engine"), basename(F.col("log_file")), F.col("timestamp"), F.col("batch_id"))
+    return batches.withColumns({"object_key": key, "sse": F.lit("aws:kms" if kms_key else "AES256")})
+
+
+_STORED = ("instance_id", "engine", "log_file", "batch_id", "payload", "n_records", "batch_bytes", "object_key", "sse")
+
+
+def write_objects(batches: DataFrame, root: str, prefix: str = "", kms_key: str = "", retry: Retry = Retry()) -> DataFrame:
     """Writes each assembled batch as one gzip NDJSON object under its key below ``root``, from the executors, and returns the attempts.
 
     ``root`` is a folder or a URI of a store (file, s3, gs, hdfs). An object is written under another name first and then moved, so a reader never sees half of one, and its
     bytes and key depend on the batch and the time of fetching alone: delivering a landed batch again replaces its object. Fetching the same page anew at another time makes
-    another object, a duplicate that the batch id tells. Each attempt has ``object_key`` and ``sse``; its status is 200, or 0 with the ``error``. Lazy, as ``post_webhooks``.
+    another object, a duplicate that the batch id tells. Each attempt has ``object_key`` and ``sse``; its status is 200, or 0 with the ``error``. What may pass is tried again, a missing
+    or forbidden folder is not. Lazy, as ``post_webhooks``.
     """
-    where = root.replace("file:///", "/", 1)
+    return _sent(_keyed(batches, prefix, kms_key).select(*_STORED), _store(root), retry, ", object_key string, sse string")
 
-    def store(key: str, payload: str) -> None:
-        body = "".join(line + "\n" for line in _array_items(payload)).encode("utf-8", "surrogatepass")
-        fs, base = (pafs.FileSystem.from_uri(where) if "://" in where else (pafs.LocalFileSystem(), where))
-        path = f"{base.rstrip('/')}/{key}"
-        fs.create_dir(path.rpartition("/")[0], recursive=True)
-        draft = f"{path}.{uuid.uuid4().hex}"
-        with fs.open_output_stream(draft, compression=None) as f:
-            f.write(gzip.compress(body, mtime=0))
-        fs.move(draft, path)
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            rows = []
-            for row in part.itertuples(index=False):
-                at, began, status, error = dt.datetime.now(), time.monotonic(), 200, None
-                try:
-                    store(row.object_key, row.payload)
-                except (OSError, ValueError) as e:
-                    status, error = 0, str(e)
-                rows.append((row.instance_id, row.engine, row.log_file, row.batch_id, 1, status, row.n_records, row.batch_bytes, int(1000 * (time.monotonic() - began)), at, row.object_key, row.sse, error))
-            yield pd.DataFrame(rows, columns=[f.split(" ")[0] for f in f"{MADE}, object_key string, sse string, error string".split(", ")])
+def in_order(opened: Callable[[], Send], retry: Retry = Retry()) -> Sink:
+    """A sink that sends each file's batches one after another, in the order of ``place``, and none behind one that did not arrive.
 
-    key = object_key(prefix, F.col("instance_id"), F.col("engine"), basename(F.col("log_file")), F.col("timestamp"), F.col("batch_id"))
-    sent = batches.withColumns({"object_key": key, "sse": F.lit("aws:kms" if kms_key else "AES256")})
-    return sent.select("instance_id", "engine", "log_file", "batch_id", "payload", "n_records", "batch_bytes", "object_key", "sse").mapInPandas(run, f"{MADE}, object_key string, sse string, error string")
+    ``opened`` is called once a task and gives what sends a row (instance_id, engine, log_file, batch_id, payload, n_records, batch_bytes, timestamp, headers, object_key). Files are spread over tasks; a file's
+    batches pass through its task one by one.
+    """
+
+    def sink(batches: DataFrame) -> DataFrame:
+        rows = _keyed(batches, "", "").withColumn("headers", identity_headers())
+        return _sent(rows.repartition("instance_id", "log_file").sortWithinPartitions("instance_id", "log_file", "place"), opened, retry, until_failure=True)
+
+    return sink
+
+
+def webhook_in_order(url: str, gzipped: bool = False, retry: Retry = Retry(), timeout_s: float = 30.0) -> Sink:
+    """``post_webhooks`` in the order of each file."""
+    return in_order(_webhook(url, gzipped, timeout_s), retry)
+
+
+def objects_in_order(root: str, retry: Retry = Retry()) -> Sink:
+    """``write_objects`` in the order of each file."""
+    return in_order(_store(root), retry)
+
+
+def with_retries(sink: Sink, retry: Retry = Retry()) -> Sink:
+    """Any sink, tried in rounds: each sends again only what could not be sent for a reason that may pass, after a wait, until nothing is left or the attempts are used up."""
+
+    def run(batches: DataFrame) -> DataFrame:
+        due, made, base = staged(batches, "round-batches"), None, 0
+        for n in range(1, retry.max_attempts + 1):
+            tried = staged(sink(due), "round")
+            tried = tried.withColumn("attempt", (F.col("attempt") + base).cast("int"))
+            made = tried if made is None else made.unionByName(tried, allowMissingColumns=True)
+            left = staged(_transient(tried), "round-left")
+            if n == retry.max_attempts or left.isEmpty():
+                break
+            base = tried.agg(F.max("attempt")).first()[0]
+            time.sleep(retry.wait_s(n))
+            due = due.join(left, ["instance_id", "batch_id"], "left_semi")
+        return made
+
+    return run
+
+
+def _transient(tried: DataFrame) -> DataFrame:
+    """The batches whose last attempt may be tried again."""
+    last = tried.groupBy("instance_id", "batch_id").agg(F.max_by("status", "attempt").alias("status"))
+    return last.where(classify_status(F.col("status")) == "transient").select("instance_id", "batch_id")
 
 
 def _array_items(payload: str) -> list[str]:
@@ -162,10 +263,6 @@ def _array_items(payload: str) -> list[str]:
     return found
 
 
-#: A custom sink: batches in, attempts out (the columns of the ATTEMPT schema that it knows).
-Sink = Callable[[DataFrame], DataFrame]
-
-
 def deliver(batches: DataFrame, sinks: dict[str, tuple[str, Sink]]) -> DataFrame:
     """Sends all batches to every sink ({name: (type, sink)}) and returns the attempts, written once.
 

@@ -49,7 +49,8 @@ def poll_once(inventory: DataFrame, log: DataFrame, chunks: DataFrame, sinks: di
     dead = with_payload(route_dlq(outcomes), batches) if park else with_payload(route_dlq(outcomes).limit(0), batches)
     dead = staged(dead, "poll-dead")
     done = advance(settle(drained, with_parked(outcomes, dead), list(sinks)), "hop")
-    resumed = wanted.where("action = 'resume'").join(known.select(*KEY, "bytes_written"), KEY).select(*KEY, "bytes_written")
+    # A truncated file starts over, its count of bytes goes on.
+    resumed = wanted.where("action in ('resume', 'reset')").join(known.select(*KEY, "bytes_written"), KEY).select(*KEY, "bytes_written")
     moved = checkpoint_trail(done, resumed).select(*KEY, "marker", "bytes_written", F.col("hop").cast("long").alias("seq"))
     ended = tails.select(*KEY, F.col("tail_marker").alias("marker"), F.lit(0).cast("long").alias("bytes_written"), F.lit(0).cast("long").alias("seq"))
     listed = files.select(*KEY, F.col("size").alias("file_size"), last_written(F.col("last_written_ms")).alias("last_written"))

@@ -14,14 +14,12 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from tailframe.functions.batches import payload_bytes
 from tailframe.operators.audit import LINE
-from tailframe.operators.batches import assemble_batches
-from tailframe.operators.checkpoints import KEY, current_checkpoints
-from tailframe.operators.delivery import advance, retry_outcome, route_dlq, settle, with_parked, with_payload
 from tailframe.operators.lines import records
 from tailframe.operators.metrics import lag_seconds
-from tailframe.schemas import CHECKPOINT
-from tailframe.sources.sinks import Sink, deliver
-from tailframe.storage import scratch, shared_dir, staged
+from tailframe.storage import shared_dir
+from tailframe.streaming.outbox import fan_out_batch, with_ticks
+
+__all__ = ["FilePosition", "dedupe_stream", "fan_out_batch", "file_positions", "lag_batch", "poll", "run_to_end", "tail_chunks", "tail_records", "with_ticks"]
 
 
 def tail_chunks(spark: SparkSession, folder: str, schema, files_per_trigger: int = 100) -> DataFrame:
@@ -33,16 +31,72 @@ def tail_records(spark: SparkSession, folder: str, schema, files_per_trigger: in
     return records(tail_chunks(spark, folder, schema, files_per_trigger))
 
 
+def _use_rocksdb(spark: SparkSession) -> None:
+    """State on disk, for streams of this session started from now on."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
 def dedupe_stream(lines: DataFrame) -> DataFrame:
-    """Each line once, whenever it is delivered again.
+    """Each line once, whenever it is delivered again, for lines whose chunks have no numbers.
 
     There is no watermark: it would also drop first deliveries that come late, as those of a backlog do. So the state
-    holds the key of every line seen; the RocksDB state store keeps it out of memory.
+    holds the key of every line seen, on disk. Where chunks are numbered, ``dedupe_chunks`` before they are split needs a state by file.
     """
+    _use_rocksdb(lines.sparkSession)
     key = [*LINE, "generation"] if "generation" in lines.columns else LINE
     return lines.dropDuplicates(key)
 
 
+def add_span(spans: list[list[int]], first: int, last: int) -> list[list[int]]:
+    """Ascending spans [first, last) that neither meet nor overlap, with one more."""
+    before = [s for s in spans if s[1] < first]
+    after = [s for s in spans if s[0] > last]
+    within = spans[len(before) : len(spans) - len(after)]
+    return [*before, [min([first, *(s[0] for s in within)]), max([last, *(s[1] for s in within)])], *after]
+
+
+class SeenSpans(StatefulProcessor):
+    """Per file: which of its chunks have been seen, as spans of their numbers; those of its last two generations are kept."""
+
+    def __init__(self, first: str, last: str | None):
+        self.first, self.last = first, last
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("spans", "spans array<struct<generation: int, first: bigint, last: bigint>>")
+
+    def handleInputRows(self, key, rows, timerValues):
+        old = self.state.get()
+        spans: dict[int, list[list[int]]] = {}
+        for generation, first, last in old[0] if old is not None else []:
+            spans.setdefault(generation, []).append([first, last])
+        for frame in rows:
+            generations = frame["generation"].fillna(0).astype(int) if "generation" in frame else pd.Series(0, frame.index)
+            firsts = frame[self.first].astype(int)
+            lasts = frame[self.last].astype(int) if self.last else firsts + 1
+            new = []
+            for g, a, b in zip(generations, firsts, lasts):
+                mine = spans.setdefault(int(g), [])
+                new.append(not any(s[0] <= a and b <= s[1] for s in mine))
+                spans[int(g)] = add_span(mine, int(a), int(b))
+            yield frame[new]
+        # An older generation's chunks are not fetched any more once the file has started over twice.
+        kept = [(g, a, b) for g in sorted(spans)[-2:] for a, b in spans[g]]
+        self.state.update((kept,))
+
+    def close(self) -> None:
+        pass
+
+
+def dedupe_chunks(chunks: DataFrame, first: str = "chunk_no", last: str | None = None) -> DataFrame:
+    """Each chunk once, whenever it is delivered again: exactly once for whatever is made of it by then.
+
+    ``first`` numbers a file's chunks without gaps, or is the first byte of each, and ``last`` the byte after it. Chunks of a file come nearly in order, so what has been
+    seen of it are few spans, however many chunks: the state, on disk, is one row a file. A chunk that goes beyond what was seen is kept whole.
+    """
+    _use_rocksdb(chunks.sparkSession)
+    return chunks.groupBy("instance_id", "log_file").transformWithStateInPandas(SeenSpans(first, last), chunks.schema, "Append", "None")
+
+
 class FilePosition(StatefulProcessor):
     """Per file: marker, bytes written, chunks, and truncations seen (a chunk that starts over at the start marker)."""
 
@@ -76,7 +130,8 @@ class FilePosition(StatefulProcessor):
 
 
 def file_positions(chunks: DataFrame) -> DataFrame:
-    """A stream of positions: one row per file and micro-batch. Needs the RocksDB state store."""
+    """A stream of positions: one row per file and micro-batch. The state is on disk."""
+    _use_rocksdb(chunks.sparkSession)
     light = chunks.select("instance_id", "log_file", "chunk_no", "prev_marker", "next_marker", payload_bytes(F.col("data")).alias("n_bytes"), "fetched_at")
     out = "instance_id string, log_file string, marker string, bytes_written bigint, chunks bigint, generation int"
     return light.groupBy("instance_id", "log_file").transformWithStateInPandas(FilePosition(), out, "Update", "None")
@@ -100,41 +155,6 @@ def poll(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint:
     return stream.writeStream.option("checkpointLocation", checkpoint).trigger(processingTime=f"{seconds} seconds").foreachBatch(each).start()
 
 
-def fan_out_batch(sinks: dict[str, tuple[str, Sink]], out: str, park: bool = False, order: str = "fetched_at", max_attempts: int = 10) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: deliver to all sinks, append attempts and dead letters, then positions as far as every chunk is acknowledged.
-
-    A file's position stops before its first chunk that some sink has neither taken nor, with ``park``, parked. That chunk and those behind it go
-    into ``pending``, and whatever of them is not acknowledged is sent once more with the next micro-batch. ``order`` numbers a file's chunks. Each
-    micro-batch has folders of its own, which a repetition overwrites, so a crash repeats deliveries and loses none.
-    """
-
-    def run(chunks: DataFrame, epoch: int) -> None:
-        spark = chunks.sparkSession
-        with scratch(spark):
-            fresh = chunks.withColumns({"acked": F.lit(False), "n_bytes": payload_bytes(F.col("data"))})
-            waiting = spark.read.schema(fresh.schema).parquet(f"{out}/pending/epoch={epoch - 1}") if epoch else fresh.limit(0)
-            due = staged(fresh.unionByName(waiting), "due")
-            batches = staged(assemble_batches(records(due.where("not acked").drop("acked", "n_bytes"))), "batches")
-            attempts = deliver(batches, sinks)
-            attempts.write.mode("overwrite").parquet(f"{out}/attempts/epoch={epoch}")
-            outcomes = staged(retry_outcome(attempts, max_attempts), "outcomes")
-            dead = staged(with_payload(route_dlq(outcomes if park else outcomes.limit(0)), batches), "dead")
-            dead.write.mode("overwrite").parquet(f"{out}/dead/epoch={epoch}")
-            settled = staged(settle(due, with_parked(outcomes, dead), list(sinks)), "settled")
-            done = staged(advance(settled, order), "done")
-            left = settled.join(done.select(*KEY, order), [*KEY, order], "left_anti")
-            left.withColumn("data", F.when(~F.col("acked"), F.col("data"))).select(*fresh.columns).write.mode("overwrite").parquet(f"{out}/pending/epoch={epoch}")
-            moved = done.groupBy(*KEY).agg(F.max_by("next_marker", order).alias("marker"), F.sum("n_bytes").alias("_more"), F.max("fetched_at").alias("updated_at"))
-            if epoch:
-                log = spark.read.parquet(f"{out}/positions").where(F.col("epoch") < epoch).drop("epoch")
-                moved = moved.join(current_checkpoints(log).select(*KEY, F.col("bytes_written").alias("_so_far")), KEY, "left")
-            so_far = F.coalesce("_so_far", F.lit(0).cast("long")) if epoch else F.lit(0).cast("long")
-            added = {"bytes_written": so_far + F.col("_more"), "file_size": F.lit(None).cast("long"), "last_written": F.lit(None).cast("timestamp"), "seq": F.lit(epoch).cast("long"), "deleted": F.lit(False)}
-            moved.withColumns(added).select(*CHECKPOINT.names).write.mode("overwrite").parquet(f"{out}/positions/epoch={epoch}")
-
-    return run
-
-
 def lag_batch(now, out: str) -> Callable[[DataFrame, int], None]:
     """For foreachBatch over an inventory stream: the lag of each file seen."""
 
