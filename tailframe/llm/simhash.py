@@ -43,6 +43,8 @@ SAMPLE, COMMON = 4_096, 1 << 16
 ROUNDS = 3
 #: Rows of two longs up to which a side of a join is broadcast; larger sides are shuffled.
 BROADCAST_ROWS = 1 << 20
+#: Longs of a sketch up to which it stands beside the key in a large key's second meeting; longer ones are folded.
+SHORT = 64
 #: Keys of a task that counts them.
 KEYS_A_TASK = 400_000
 _AT_BITS = 20
@@ -197,6 +199,12 @@ def _differ(a: Column, b: Column) -> Column:
     return F.when(F.size(a) == F.size(b), same(a, b)).when(F.size(a) > F.size(b), same(fold(a), b)).otherwise(same(a, fold(b)))
 
 
+def _short(sketch: Column) -> Column:
+    """The sketch folded to ``SHORT`` longs, if it is longer: it still differs from another in no more bits than their sets in shingles."""
+    long = lambda k: F.aggregate(F.sequence(F.lit(0), F.floor(F.size(sketch) / SHORT).cast("int") - 1), F.lit(0).cast("long"), lambda x, i: x.bitwiseXOR(F.get(sketch, i * SHORT + k)))
+    return F.when(F.size(sketch) <= SHORT, sketch).otherwise(F.transform(F.sequence(F.lit(0), F.lit(SHORT - 1)), long))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of pairs (src, dst) those whose sets' Jaccard similarity is ``percent`` or more. Each join is one of two tables."""
     spark, path = pairs.sparkSession, shared_dir(pairs.sparkSession, "pairs-verified")
@@ -242,7 +250,8 @@ def link_similar(rows: DataFrame, texts: DataFrame, width: int, percent: int) ->
     shared keys, which is the text the others were made from if there is one, and some chosen by hash. What is linked by
     then need not meet any more: of each key, all outside its largest component so far meet all of another component.
     Pairs are made only if their sizes, the keys' places and their sketches leave the similarity possible: two sketches
-    differ in no more bits than their sets in shingles.
+    differ in no more bits than their sets in shingles. In the second meeting of keys of more than ``BUCKET`` sets, sketches stand beside the
+    keys, so that such a key's pairs are made only if they leave it possible.
     """
     nodes = staged(rows.groupBy("fp").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min(F.struct("doc_id", "text")).alias("one")), "sets")
     shared = staged(_shared_keys(rows, percent), "shared-keys")
@@ -286,9 +295,12 @@ def link_similar(rows: DataFrame, texts: DataFrame, width: int, percent: int) ->
     # Each key's rows with their component so far, and whether that is the key's largest. Two sets of a key have met.
     named = staged(keyed.join(labels, keyed["fp"] == labels["node"], "left").select("key", "fp", "n", "at", F.coalesce("label", "fp").alias("label")), "keyed-labels")
     sizes = staged(named.groupBy("key", "label").agg(F.count("*").alias("size")), "label-sizes")
-    largest = sizes.groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("largest"), F.count("*").alias("labels"), F.sum("size").alias("all")).where("labels > 1 and all > 2").select("key", "largest")
+    largest = sizes.groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("largest"), F.count("*").alias("labels"), F.sum("size").alias("all")).where("labels > 1 and all > 2").select("key", "largest", "all")
     open_ = staged(named.join(staged(largest, "largest"), "key"), "keyed-open")
-    apart = fits(open_.where("label <> largest").alias("x").join(open_.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label"))))
+    large = open_.where(F.col("all") > BUCKET).join(nodes.select("fp", _short(F.col("sketch")).alias("short")), "fp")
+    open_ = staged(large.unionByName(open_.where(F.col("all") <= BUCKET), allowMissingColumns=True), "keyed-short")
+    near = F.coalesce((100 + percent) * (total - _differ(F.col("x.short"), F.col("y.short"))) >= 2 * percent * total, F.lit(True))
+    apart = fits(open_.where("label <> largest").alias("x").join(open_.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")))).where(near)
     apart = sketched(apart.select(*ids).distinct())
     pairs = staged(staged(apart, "pairs-apart").join(pairs, ["src", "dst"], "left_anti"), "pairs-left")
     more = staged(ends(pairs).join(wanted, "fp", "left_anti"), "close-more")
