@@ -55,8 +55,7 @@ class Outbox:
         page = [*text(*KEY), place]
         self.lacks = EpochLog(spark, f"{self.out}/lacks", T.StructType([*text("sink_name"), *page, *text("batch_id"), T.StructField("epoch", T.LongType()), T.StructField("tries", T.IntegerType()), T.StructField("due_at", T.TimestampType())]), ["sink_name", *KEY, "place"], every)
         self.ahead = EpochLog(spark, f"{self.out}/ahead", T.StructType([*page, *text("prev_marker", "next_marker"), T.StructField("n_bytes", T.LongType()), T.StructField("fetched_at", T.TimestampType())]), [*KEY, "place"], every)
-        self.begins = EpochLog(spark, f"{self.out}/begins", T.StructType(text(*KEY, "marker")), KEY, every)
-        self.moves = EpochLog(spark, f"{self.out}/moves", T.StructType([*page, *text("marker"), T.StructField("bytes_written", T.LongType())]), KEY, every)
+        self.files = EpochLog(spark, f"{self.out}/files", T.StructType([*page, *text("marker"), T.StructField("bytes_written", T.LongType())]), KEY, every)
 
     def place(self):
         return F.struct(*self.order).alias("place")
@@ -111,7 +110,7 @@ def fan_out_batch(sinks: dict[str, tuple[str, Sink]], out: str, park: bool = Fal
 
             def send(rows: DataFrame, part: str) -> DataFrame:
                 """(sink_name, file, place) of the rows that arrived or were parked, and ``refused`` for the others that were tried."""
-                rows = staged(rows.select("sink_name", *KEY, "place", "batch_id", "epoch", "tries"), "to-send")
+                rows = rows.select("sink_name", *KEY, "place", "batch_id", "epoch", "tries")
                 epochs = [r[0] for r in rows.select("epoch").distinct().limit(_NAMED + 1).collect()]
                 paths = [f"{box.out}/payloads/epoch={e}" for e in epochs] if 0 < len(epochs) <= _NAMED else [f"{box.out}/payloads"]
                 held = spark.read.schema(T.StructType([*payloads.schema, T.StructField("epoch", T.LongType())])).option("basePath", f"{box.out}/payloads").parquet(*paths)
@@ -121,7 +120,7 @@ def fan_out_batch(sinks: dict[str, tuple[str, Sink]], out: str, park: bool = Fal
                     made = made.unionByName(sink(batches).withColumns({"sink_name": F.lit(name), "sink_type": F.lit(kind)}), allowMissingColumns=True)
                 made.write.mode("overwrite").parquet(f"{box.out}/attempts/epoch={epoch}/part={part}")
                 made = spark.read.schema(made.schema).parquet(f"{box.out}/attempts/epoch={epoch}/part={part}")
-                outcomes = staged(retry_outcome(made, max_attempts), "outcomes")
+                outcomes = retry_outcome(made, max_attempts)
                 dead = with_payload(route_dlq(outcomes if park else outcomes.limit(0)), held.join(rows.select(*KEY, "place", "epoch").distinct(), [*KEY, "place", "epoch"], "left_semi"))
                 dead.write.mode("overwrite").parquet(f"{box.out}/dead/epoch={epoch}/part={part}")
                 parked = spark.read.schema(dead.schema).parquet(f"{box.out}/dead/epoch={epoch}/part={part}").select(*AT_SINK, F.lit(True).alias("parked"))
@@ -130,8 +129,8 @@ def fan_out_batch(sinks: dict[str, tuple[str, Sink]], out: str, park: bool = Fal
 
             first = send(due.where(ready), "first")
             open_ = first.where("arrived").select("sink_name", *KEY, F.col("place").alias("head"))
-            rest = send(due.where(F.col("head").isNotNull() & (F.col("place") != F.col("head"))).join(open_, ["sink_name", *KEY, "head"], "left_semi"), "rest")
-            ended = first.unionByName(rest)
+            rest = due.where(F.col("head").isNotNull() & (F.col("place") != F.col("head"))).join(open_, ["sink_name", *KEY, "head"], "left_semi")
+            ended = first if old.isEmpty() else first.unionByName(send(rest, "rest"))
 
             # The ledger: what is new and has not arrived, what was refused once more, and what has arrived at last.
             told = due.join(ended, ["sink_name", *KEY, "place"], "left").withColumns({"gone": F.coalesce("arrived", F.lit(False)), "_new": F.col("epoch") == epoch})
@@ -143,15 +142,15 @@ def fan_out_batch(sinks: dict[str, tuple[str, Sink]], out: str, park: bool = Fal
 
             # Positions.
             light = ["place", "prev_marker", "next_marker", "n_bytes", "fetched_at"]
-            known = staged(box.begins.read(epoch), "begins")
+            known = box.files.read(epoch)
             seen = fresh.groupBy(*KEY).agg(F.min_by("prev_marker", "place").alias("marker")).join(known, KEY, "left_anti")
+            begun = F.lit(None).cast("long")
             if starts is not None:
-                given = starts.select(*KEY, F.col("marker").alias("_given"))
-                seen = seen.join(given, KEY, "left").select(*KEY, F.coalesce("_given", "marker").alias("marker"))
-            seen = staged(seen, "new-files")
-            box.begins.append(seen.withColumn("gone", F.lit(False)), epoch)
-            moved_to = staged(box.moves.read(epoch), "moved-to")
-            at = known.unionByName(seen).join(moved_to.select(*KEY, F.col("marker").alias("_moved"), F.col("place").alias("_last"), "bytes_written"), KEY, "left").select(*KEY, F.coalesce("_moved", "marker").alias("marker"), "_last", "bytes_written")
+                given = starts.select(*KEY, F.col("marker").alias("_given"), *(c for c in ("bytes_written",) if c in starts.columns))
+                seen = seen.join(given, KEY, "left").withColumn("marker", F.coalesce("_given", "marker"))
+                begun = F.col("bytes_written") if "bytes_written" in given.columns else begun
+            seen = seen.select(*KEY, "marker", begun.alias("bytes_written"))
+            at = staged(known.select(*KEY, "marker", "bytes_written", F.col("place").alias("_last"), F.lit(False).alias("_first")).unionByName(seen.withColumn("_first", F.lit(True)), allowMissingColumns=True), "files")
             held = told.where(~F.col("gone")).select(*KEY, "place", F.lit(True).alias("held")).distinct()
             chain = box.ahead.read(epoch).select(*KEY, *light, F.lit(False).alias("_new")).unionByName(read.select(*KEY, *light, F.lit(True).alias("_new")))
             # A page that came again counts once, one that was passed not at all.
@@ -159,13 +158,10 @@ def fan_out_batch(sinks: dict[str, tuple[str, Sink]], out: str, park: bool = Fal
             chain = chain.groupBy(*KEY, "place").agg(*(F.max_by(c, "fetched_at").alias(c) for c in light[1:]), F.min("_new").alias("_new"))
             chain = staged(_passed(chain.join(held, [*KEY, "place"], "left").withColumn("held", F.coalesce("held", F.lit(False))), at), "chain")
             box.ahead.append(chain.where(F.col("_new") != F.col("passed")).select(*KEY, *light, F.col("passed").alias("gone")), epoch)
-            moved = chain.where("passed").groupBy(*KEY).agg(F.max("place").alias("place"), F.max_by("next_marker", "place").alias("marker"), F.sum("n_bytes").alias("_more"), F.max("fetched_at").alias("updated_at"))
-            so_far = at.select(*KEY, "bytes_written")
-            if starts is not None and "bytes_written" in starts.columns:
-                so_far = so_far.join(starts.select(*KEY, F.col("bytes_written").alias("_first")), KEY, "left").select(*KEY, F.coalesce("bytes_written", "_first").alias("bytes_written"))
-            moved = moved.join(so_far, KEY, "left").withColumn("bytes_written", F.coalesce("bytes_written", F.lit(0).cast("long")) + F.col("_more"))
-            moved = staged(moved, "moved")
-            box.moves.append(moved.withColumn("gone", F.lit(False)), epoch)
+            moved = chain.where("passed").groupBy(*KEY).agg(F.max("place").alias("place"), F.max_by("next_marker", "place").alias("marker"), F.sum("n_bytes").alias("_more"))
+            moved = staged(moved.withColumn("updated_at", now).join(at.select(*KEY, "bytes_written"), KEY, "left").withColumn("bytes_written", F.coalesce("bytes_written", F.lit(0).cast("long")) + F.col("_more")), "moved")
+            stay = at.where("_first").join(moved, KEY, "left_anti").select(*KEY, F.col("_last").alias("place"), "marker", "bytes_written")
+            box.files.append(moved.select(*stay.columns).unionByName(stay).withColumn("gone", F.lit(False)), epoch)
             added = {"file_size": F.lit(None).cast("long"), "last_written": F.lit(None).cast("timestamp"), "seq": F.lit(epoch).cast("long"), "deleted": F.lit(False)}
             moved.withColumns(added).select(*CHECKPOINT.names).write.mode("overwrite").parquet(f"{box.out}/positions/epoch={epoch}")
 
