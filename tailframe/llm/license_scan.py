@@ -5,11 +5,12 @@ compared as a set of lower-case words. A template matches a text if some block h
 words. So a notice is found however it is wrapped or indented, and words scattered over a longer passage are not.
 
 Words are ordered by the number of documents that they are in, rare ones first. A block and a template with an overlap of at least ``need`` words share
-a word within the template's first ``size - need + 1`` words in that order (prefix filter), the first shared word leaves so many behind it (positional
-filter), and text and block have ``need`` words of the template (length filter). What passes is verified for every block. The blocks of a text are
+a word within the template's first ``size - need + 1`` words in that order (prefix filter). So an index table of these words alone is joined with each document's distinct words, and a document
+without any of them is looked at no further. A pair that meets there must leave ``need`` words from its first shared one on (positional filter) in a text of at least ``need`` different words (length
+filter). Only then are the other words of those texts joined with those of their templates, and every block is verified. The blocks of a text are
 dealt into tiles of one block's length; a tile's group holds the places of template words in two such lengths, so its size is bounded by the template.
-Words in no template cannot add to an overlap, so only template words are looked at. The templates are a fixed list given by the
-caller, so their side of the join is broadcast. Matching depends on the text alone, so equal texts are matched once.
+Words in no template cannot add to an overlap, so only template words are looked at. Templates are tables, written once: the plan does not grow with their number.
+They are broadcast as long as they have at most ``BROADCAST_WORDS`` words. Matching depends on the text alone, so equal texts are matched once.
 
 Edge cases: null and empty texts have no words and no labels; the label columns are then empty strings; repeated
 rows (also of a null id) are each returned with the same labels; labels that tie are all given, the score is the greatest; very long texts are split
@@ -22,7 +23,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tailframe.llm.common import staged
@@ -30,6 +31,8 @@ from tailframe.llm.common import staged
 #: Java character class of what separates words after lower-casing: ASCII but for digits and a-z.
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Rows of a small table of words or of matches up to which it is broadcast; a row takes some hundred bytes at most.
+BROADCAST_WORDS = 200_000
 
 
 @dataclass(frozen=True)
@@ -135,15 +138,43 @@ def phrase_places(phrase: str, w: Column) -> Column:
     return F.filter(F.sequence(F.lit(0), F.greatest(F.size(w) - 1, F.lit(0))), here)
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """The table, broadcast if it is known to be small."""
+    return F.broadcast(df) if df.count() <= BROADCAST_WORDS else df
+
+
+def _keyed_words(docs: DataFrame, text_col: str) -> DataFrame:
+    """(_key, _words): the words of each text in order, and a digest of the text."""
+    low = docs.select(ascii_lower(F.col(text_col)).alias("_low"))
+    return low.select(F.md5("_low").alias("_key"), F.array_remove(F.split("_low", BREAK + "+"), "").alias("_words"))
+
+
+def template_words(docs: DataFrame, templates: tuple[Template, ...], threshold: float = 0.9, text_col: str = "text") -> DataFrame:
+    """One row for each word of a template: _w, _template, _label, _size, _need, _span and ``_at``, its place in the order of frequency among the documents."""
+    sets = [(k, t.label, t.words(), t.span()) for k, t in enumerate(templates)]
+    rows = [(w, k, label, len(ws), math.ceil(round(threshold * len(ws), 9)), span) for k, label, ws, span in sets for w in ws]
+    own = staged(docs.sparkSession.createDataFrame(rows, "_w string, _template int, _label string, _size int, _need int, _span int"), "template-words")
+    seen = _keyed_words(docs, text_col).select(F.explode(F.array_distinct("_words")).alias("_w"))
+    counts = seen.join(_small(own.select("_w").distinct()), "_w").groupBy("_w").agg(F.count("*").alias("_n"))
+    order = Window.partitionBy("_template").orderBy(F.coalesce("_n", F.lit(0)), "_w")
+    return staged(own.join(counts, "_w", "left").withColumn("_at", F.row_number().over(order) - 1).drop("_n"), "template-order")
+
+
+def candidates(docs: DataFrame, words: DataFrame, text_col: str = "text") -> DataFrame:
+    """(_key, _template): the texts that share a word with a template's prefix, and may hold enough of its words from there on."""
+    index = words.where("_at <= _size - _need").select("_w", "_template", "_size", "_need", "_at")
+    each = _keyed_words(docs, text_col).select("_key", F.array_distinct("_words").alias("_set"))
+    each = each.select("_key", F.size("_set").alias("_n"), F.explode("_set").alias("_w"))
+    met = each.join(_small(index), "_w").where("_n >= _need")
+    first = met.groupBy("_key", "_template", "_size", "_need").agg(F.min("_at").alias("_first"))
+    return first.where("_size - _first >= _need").select("_key", "_template")
+
+
 def scan_licenses(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, phrases: tuple[tuple[str, str], ...] = PHRASES, threshold: float = 0.9, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     ``score`` is 1 with a base label, else the greatest containment of a matching template, else 0.
     """
-    spark = docs.sparkSession
-    sets = [(k, t.label, t.words(), math.ceil(round(threshold * len(t.words()), 9)), t.span()) for k, t in enumerate(templates)]
-    vocabulary = sorted({w for _, _, ws, _, _ in sets for w in ws})
-
     low = ascii_lower(F.col("text"))
     # A document can hold a phrase only if it holds each of its words; only then are its words looked at one by one.
     may_hold = F.lit(False)
@@ -153,40 +184,32 @@ def scan_licenses(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES,
             each = each & F.contains(F.col("_low"), F.lit(part))
         may_hold = may_hold | each
     nowhere = F.array().cast("array<int>")
-    listed = lambda ws: F.array(*map(F.lit, ws)).cast("array<string>")
     places = {f"_at{k}": F.when(may_hold, phrase_places(phrase, F.col("_words"))).otherwise(nowhere) for k, (phrase, _) in enumerate(phrases)}
-    fits = F.array_compact(F.array(*(F.when(F.size(F.array_intersect("_known", listed(ws))) >= need, k) for k, _, ws, need, _ in sets))) if sets else nowhere
     base = (
         docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
         .withColumn("_low", low)
         .withColumn("_words", F.array_remove(F.split("_low", BREAK + "+"), ""))
-        .withColumns({"_known": F.array_intersect("_words", listed(vocabulary)), "n_words": F.size("_words").cast("long"), **places})
-        .withColumn("_fits", fits)
-        .select("doc_id", "n_words", *places, "_known", "_fits", F.when(F.size("_fits") > 0, F.md5("_low")).alias("_text"), F.when(F.size("_fits") > 0, F.col("_words")).alias("_words"))
+        .withColumns({"n_words": F.size("_words").cast("long"), **places})
+        .select("doc_id", "n_words", *places, F.md5("_low").alias("_text"))
     )
-    base = staged(base, "license-words")
-
-    # In how many documents each template word is: as many rows as the templates have words.
-    counts = {r["_w"]: r["n"] for r in base.select(F.explode("_known").alias("_w")).groupBy("_w").agg(F.count("*").alias("n")).collect()}
-    order = {w: (counts.get(w, 0), w) for w in vocabulary}
-    ranked = [(w, k, label, len(ws), need, span, at) for k, label, ws, need, span in sets for at, w in enumerate(sorted(ws, key=order.__getitem__))]
-    ranked = spark.createDataFrame(ranked, "_w string, _template int, _label string, _size int, _need int, _span int, _at int")
-    texts = base.where("_text is not null").groupBy("_text").agg(F.first("_fits").alias("_fits"), F.first("_words").alias("_words"))
+    words = template_words(docs, templates, threshold, text_col)
+    fits = candidates(docs, words, text_col).groupBy("_key").agg(F.collect_set("_template").alias("_fits"))
+    fits = staged(fits, "license-candidates")
+    texts = _keyed_words(docs, text_col).join(_small(fits), "_key").groupBy(F.col("_key").alias("_text")).agg(F.first("_fits").alias("_fits"), F.first("_words").alias("_words"))
     by_tile = (
         texts.select("_text", "_fits", F.posexplode("_words").alias("_pos", "_w"))
-        .join(F.broadcast(ranked), "_w")
+        .join(_small(words), "_w")
         .where(F.array_contains("_fits", F.col("_template")))
         .withColumn("_tile", F.floor(F.col("_pos") / F.col("_span")).cast("int"))
         .withColumn("_tile", F.explode(F.array("_tile", F.col("_tile") - 1)))
         .groupBy("_text", "_template", "_label", "_size", "_need", "_span", "_tile")
-        .agg(F.min("_at").alias("_first"), F.collect_set(F.struct("_pos", "_at")).alias("_here"))
+        .agg(F.collect_set(F.struct("_pos", "_at")).alias("_here"))
     )
     ahead = lambda o: F.transform(F.filter("_here", lambda x: x["_pos"].between(o["_pos"], o["_pos"] + F.col("_span") - 1)), lambda x: x["_at"])
     starts = F.filter("_here", lambda o: o["_pos"] < (F.col("_tile") + 1) * F.col("_span"))
     overlaps = F.transform(starts, lambda o: F.size(F.array_distinct(ahead(o))))
     matched = (
-        by_tile.where(F.col("_size") - F.col("_first") >= F.col("_need"))
-        .where(F.size(F.array_distinct(F.transform("_here", lambda o: o["_at"]))) >= F.col("_need"))
+        by_tile.where(F.size(F.array_distinct(F.transform("_here", lambda o: o["_at"]))) >= F.col("_need"))
         .withColumn("_overlap", F.array_max(overlaps))
         .where("_overlap >= _need")
     )
@@ -195,8 +218,7 @@ def scan_licenses(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES,
     all_places = F.concat(nowhere, *(F.col(f"_at{k}") for k in range(len(phrases))))
     joined = lambda c: F.array_join(F.array_sort(F.array_distinct(c)), ",")
     return (
-        base.drop("_words", "_known", "_fits")
-        .join(staged(found, "license-found"), F.col("_text") == F.col("_t"), "left")
+        base.join(_small(staged(found, "license-found")), F.col("_text") == F.col("_t"), "left")
         .withColumns({"_all": all_places, "_base": base_labels})
         .select(
             "doc_id",
