@@ -6,7 +6,8 @@ through; and so on until nothing slips by. For every key of the universe the fir
 the matter, so membership is exact, and it is a pure expression over small bitmap literals: no join, no shuffle.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path, which fit no rule and no key; an
-empty table has an empty universe; an empty list gives a cascade that lists nothing; repeated urls are judged alike.
+empty table has an empty universe; an empty list gives a cascade that lists nothing; repeated urls are judged alike; urls of any length are
+judged whole; of rules of equal length the first given counts; columns of the input named host, path, rule or verdict are replaced.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 
 from tailframe.llm.common import let, staged
 
+#: Bytes of a bitmap that reach the driver as one row.
+STRETCH = 4_096
 
 def url_host(url: Column) -> Column:
     """What stands after the first ``://`` up to ``/``, ``?``, ``#`` or the end, with A-Z in lower case."""
@@ -98,11 +101,15 @@ def _level(keys: DataFrame, n_keys: int, rate: float, level: int) -> BloomLevel:
     n_bits = max(64, 8 * math.ceil(n_keys * -math.log(rate) / math.log(2) ** 2 / 8))
     empty = BloomLevel(n_bits, max(1, round(-math.log2(rate))), b"")
     at = F.explode(empty.positions(F.col("key"), level)).alias("at")
-    rows = keys.select(at).groupBy(F.shiftright("at", 3).alias("byte")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("at").bitwiseAND(F.lit(7)).cast("int"))).alias("bits")).collect()
-    bitmap = bytearray(n_bits // 8)
-    for r in rows:
-        bitmap[r["byte"]] = r["bits"]
-    return BloomLevel(n_bits, empty.n_hashes, bytes(bitmap))
+    bit = F.call_function("shiftleft", F.lit(1), F.col("at").bitwiseAND(F.lit(7)).cast("int"))
+    # Bytes are put together by stretches of ``STRETCH`` of them, as hex digits, so that the driver gets few rows.
+    byte = keys.select(at).groupBy(F.shiftright("at", 3).alias("byte")).agg(F.bit_or(bit).alias("bits"))
+    part = byte.groupBy(F.floor(F.col("byte") / STRETCH).cast("long").alias("part")).agg(F.map_from_entries(F.collect_list(F.struct((F.col("byte") % STRETCH).cast("int"), F.lpad(F.hex("bits"), 2, "0")))).alias("at"))
+    packed = part.select("part", F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(STRETCH - 1)), lambda k: F.coalesce(F.try_element_at("at", k), F.lit("00"))), "")).alias("bytes"))
+    bitmap = bytearray(n_bits // 8 + STRETCH)
+    for r in packed.toLocalIterator():
+        bitmap[r["part"] * STRETCH : (r["part"] + 1) * STRETCH] = r["bytes"]
+    return BloomLevel(n_bits, empty.n_hashes, bytes(bitmap[: n_bits // 8]))
 
 
 def build_cascade(universe: DataFrame, listed: DataFrame, max_listed: int = 1_000_000) -> BloomCascade:
