@@ -38,12 +38,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bounded_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
-    """About ``limit`` rows at most, chosen by a hash of ``key``: the same rows on every run."""
+    """At most ``limit`` rows, chosen by a hash of ``key``: the same rows on every run.
+
+    A table that is larger gives one row of each key chosen, the least by its other columns, so a key that repeats takes one place.
+    """
     total = df.count()
     if total <= limit:
         return df
     share = int(0.95 * limit / total * (1 << 30))
-    return df.where(F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 30)) < share)
+    chosen = df.where(F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 30)) < share)
+    others = [c for c in df.columns if c != key]
+    one = chosen.groupBy(key).agg(F.min(F.struct(*others)).alias("_one")).select(key, "_one.*") if others else chosen.distinct()
+    return one.select(*df.columns).limit(limit)  # for the rare case that the hashes fall unevenly
 
 
 def ranked(df: DataFrame, order: list[str | Column], group: list[str] = ()) -> DataFrame:  # type: ignore[assignment]

@@ -193,7 +193,9 @@ def learn_decision_list(docs: DataFrame, labels: DataFrame, id_col: str = "doc_i
     rows = (
         texts.join(known, "_id")
         .select("_id", "_label", quality_stats(F.col("_text")).alias("_stats"))
-        .select("_id", "_label", *(f(F.col("_stats")).alias(n) for n, f in FEATURES.items()))
+        .groupBy("_id", "_label")
+        .agg(F.min(F.struct(*(f(F.col("_stats")).alias(n) for n, f in FEATURES.items()))).alias("_row"))  # one row of an id that repeats
+        .select("_id", "_label", "_row.*")
         .collect()
     )
     rows.sort(key=lambda r: tuple(r))
