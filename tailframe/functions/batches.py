@@ -30,12 +30,17 @@ def record_json(timestamp: str = "timestamp") -> Column:
 
 
 def record_struct(timestamp: str = "timestamp") -> Column:
+    return record_of(F.col("message"), timestamp)
+
+
+def record_of(message: Column, timestamp: str = "timestamp") -> Column:
+    """A record with the given message."""
     return F.struct(
         "instance_id",
         "engine",
         "log_file",
         F.date_format(timestamp, JSON_TIME).alias("timestamp"),
-        "message",
+        message.alias("message"),
         F.nullif(F.col("marker"), F.lit("")).alias("marker"),
         F.nullif(F.col("batch_id"), F.lit("")).alias("batch_id"),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,9 +27,10 @@ def _starts(c: Column, prefixes: tuple[str, ...]) -> Column:
 
 def accepts(engine: Column, log_file: Column) -> Column:
     """Whether the file is a log file of the engine; other engines accept all files."""
-    base = F.lower(basename(log_file))
-    postgres = _starts(base, POSTGRES_PREFIXES)
-    mysql = _starts(base, MYSQL_PREFIXES) | _starts(F.lower(log_file), MYSQL_FOLDERS)
+    # One pattern for each kind, on the name itself: what follows the last slash, trailing slashes aside, begins with one of the prefixes.
+    begins = lambda prefixes: F.lower(log_file).rlike("(^|/)(" + "|".join(re.escape(p) for p in prefixes) + ")[^/]*/*$")
+    postgres = begins(POSTGRES_PREFIXES)
+    mysql = begins(MYSQL_PREFIXES) | _starts(F.lower(log_file), MYSQL_FOLDERS)
     return F.when(engine == "postgres", postgres).when(engine.isin("mysql", "mariadb"), mysql).otherwise(True)
 
 

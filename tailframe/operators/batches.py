@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tailframe.functions.batches import payload_bytes, record_struct
+from tailframe.functions.batches import payload_bytes, record_of, record_struct
 from tailframe.operators.checkpoints import running_sum
+from tailframe.operators.lines import stamp
 
 BATCH = ["instance_id", "engine", "log_file", "batch_id"]
 
@@ -26,6 +27,19 @@ def assemble_batches(records: DataFrame, *also: str) -> DataFrame:
     return grouped.withColumn("payload", F.to_json(F.transform("_rows", lambda r: r["record"]))).drop("_rows")
 
 
+def chunk_batches(chunks: DataFrame) -> DataFrame:
+    """The rows of ``assemble_batches`` straight from chunks, as a chunk is a batch: a narrow operation, without a shuffle, that streams can run.
+
+    ``records`` holds each record's JSON, for sinks that write them line by line. Chunks without lines make no batch.
+    """
+    messages = F.filter(F.split("data", "\n", -1), lambda x: x != "")
+    stamped = stamp(chunks).withColumn("_messages", messages)
+    size = F.aggregate("_messages", F.lit(0).cast("long"), lambda n, x: n + F.octet_length(x))
+    records = F.transform("_messages", lambda x: F.to_json(record_of(x)))
+    made = stamped.where(F.size("_messages") > 0).withColumns({"n_records": F.size("_messages").cast("long"), "batch_bytes": size, "records": records})
+    return made.select(*BATCH, "n_records", "batch_bytes", "timestamp", F.concat(F.lit("["), F.array_join("records", ","), F.lit("]")).alias("payload"), "records")
+
+
 def coalesce_batches(sizes: DataFrame, max_bytes: int, order: str = "chunk_no") -> DataFrame:
     """Adds ``bucket``: consecutive batches of a file up to about ``max_bytes`` share one. Optional, off by default."""
     rows = running_sum(sizes, ["instance_id", "log_file"], order, F.col("batch_bytes"))

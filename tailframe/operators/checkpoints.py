@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tailframe.functions.batches import payload_bytes
+from tailframe.storage import exists
 
 KEY = ["instance_id", "log_file"]
 
@@ -52,13 +53,15 @@ def publish(log: DataFrame, root: str) -> DataFrame:
     spark = log.sparkSession
     path = f"{root.rstrip('/')}/v-{uuid.uuid4().hex}"
     compacted = compact(log, path)
-    spark.createDataFrame([(path,)], "path string").withColumn("published_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/pointer")
+    pointer = f"{root.rstrip('/')}/pointer"
+    number = (spark.read.parquet(pointer).agg(F.max("number")).head()[0] or 0) + 1 if exists(spark, pointer) else 1
+    spark.createDataFrame([(path, number)], "path string, number long").coalesce(1).write.mode("append").parquet(pointer)
     return compacted
 
 
 def published(spark: SparkSession, root: str) -> DataFrame:
     """The latest published version."""
-    path = spark.read.parquet(f"{root.rstrip('/')}/pointer").agg(F.max_by("path", "published_at")).head()[0]
+    path = spark.read.parquet(f"{root.rstrip('/')}/pointer").agg(F.max_by("path", "number")).head()[0]
     return spark.read.parquet(path)
 
 

@@ -105,6 +105,10 @@ def oracle_sql() -> dict[str, str]:
         "stream_outbox": chunks + _LINES + ", b as (select distinct instance_id, batch_id from lines), n as (select count(*) as n, sum((substr(batch_id, 1, 1) = '7')::bigint) as refused from b), f as (select count(distinct (instance_id, log_file)) as n_files, sum(strlen(data)) as bytes_written from chunks) select unnest(['siem', 'cold']) as sink_name, n as n_ok, n as n_batches, unnest([2, 0]) * refused as n_refused, 0 as n_out_of_order, n_files, n_files as n_at_end, bytes_written from n, f",
         "stream_holes": chunks + _LINES + " select cast(regexp_extract(log_file, '([0-9]+)$', 1) as bigint) as file_no, count(*) as n_lines, sum(strlen(message)) as n_bytes, 1 as n_errors from lines group by all",
         "stream_generations": chunks + _LINES + ", g as (select 0 as generation, * from lines union all select 1, * from lines where chunk_no = 1) select cast(regexp_extract(log_file, '([0-9]+)$', 1) as bigint) as file_no, generation, count(*) as n_lines, sum(strlen(message)) as n_bytes from g group by all",
+        "stream_calls": chunks + _LINES + ", f as (select distinct log_file from lines) select 'read_page' as operation, unnest(['ok', 'error']) as outcome, count(*) as n from f",
+        "stream_store_ops": chunks[:-2] + " select unnest(['get', 'set']) as op, 'ok' as outcome, count(distinct (instance_id, log_file)) as n from chunks",
+        "stream_objects": chunks + _LINES + " select instance_id, engine, log_file, count(*) as n_lines, sum(strlen(message)) as n_bytes, count(distinct batch_id) as n_objects, count(*) as n_listed from lines group by all",
+        "dlq_roundtrip": attempts + _DLQ + ", again as (select *, cast(substr(batch_id, 2) as bigint) as k from dlq), ids as (select *, row_number() over (order by k % 2, dlq_id) as id from again) select id as dlq_id, instance_id, sink_name, batch_id, reason from ids where k % 5 = 0 and id > 10",
         "objects_roundtrip": tailed,
         "log_tail_lines": chunks + _LINES + " select cast(regexp_extract(log_file, '([0-9]+)$', 1) as bigint) as file_no, count(*) as n_lines, sum(strlen(message)) as n_bytes from lines group by all",
     }

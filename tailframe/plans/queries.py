@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from tailframe.functions import batches as fb
 from tailframe.functions import names as fn
-from tailframe.operators import audit, batches, checkpoints, delivery, lines, metrics, positions, walk
+from tailframe.operators import audit, batches, checkpoints, deadletters, delivery, lines, metrics, positions, walk
 from tailframe.plans.fixtures import SINKS, view
-from tailframe.sources import inventory, sinks
+from tailframe.sources import inventory, objects, sinks
 from tailframe.sources import tail as live
 from tailframe.storage import shared_dir, staged
-from tailframe.streaming import outbox, poll, tail
+from tailframe.streaming import counters, outbox, poll, tail
 
 #: A fixed "now" for lags, so that results repeat.
 NOW = "2024-01-02 00:00:00"
@@ -252,6 +252,20 @@ def dlq_replay(spark, d):
     return _line_counts(delivery.dlq_records(dead))
 
 
+def dlq_roundtrip(spark, d):
+    """Dead letters put in two runs, the ten oldest deleted, the rest sent again and deleted as they arrive: what is left, with the ids given."""
+    number = F.substring("batch_id", 2, 20).cast("long")
+    dead = delivery.route_dlq(delivery.retry_outcome(_attempts(spark, d), 3)).withColumns({"payload": F.lit("[]"), "created_at": F.col("attempted_at")})
+    store = deadletters.DeadLetters(spark, shared_dir(spark, "dead-letters"))
+    for k in (0, 1):
+        store.put(dead.where(number % 2 == k))
+    store.delete(store.list(10))
+    answer = F.when(number % 5 == 0, 503).otherwise(200)
+    sink = lambda b: b.select("instance_id", "batch_id", F.lit(1).alias("attempt"), answer.alias("status"))
+    store.replay({s: ("any", sink) for s in SINKS})
+    return store.current().select("dlq_id", "instance_id", "sink_name", "batch_id", "reason")
+
+
 # -- metrics ----------------------------------------------------------------------------------------------------
 
 
@@ -534,6 +548,37 @@ def stream_generations(spark, d):
     return _landed_lines(spark, out, "generation")
 
 
+def stream_calls(spark, d):
+    """Reads of pages that a live source made, counted while it ran: each file's first read fails."""
+    folder, ordered = _log_folder(spark, d, "logs")
+    out, mark = shared_dir(spark, "pages"), shared_dir(spark, "mark")
+    _write_logs(ordered, folder)
+    whole = str(1 << 30)
+    with counters.Counters(spark) as found:
+        for _ in range(2):
+            live.land(spark, folder, out, mark, _FailingOnce, page_bytes=whole, task_bytes=whole).trigger(availableNow=True).start().awaitTermination()
+    return found.api_calls()
+
+
+def stream_store_ops(spark, d):
+    """Positions that a stream looked up and set, as it recorded them: all files in one micro-batch."""
+    folder, schema = _landed(spark, d)
+    out = shared_dir(spark, "fanout")
+    each = tail.fan_out_batch({"cold": ("s3", _simulated("s3"))}, out)
+    tail.run_to_end(tail.tail_chunks(spark, folder, schema), "fanout", "append", each)
+    return spark.read.parquet(f"{out}/calls").groupBy("op", "outcome").agg(F.sum("n").alias("n"))
+
+
+def stream_objects(spark, d):
+    """Lines of the objects in the manifest that a stream writer committed."""
+    folder, schema = _landed(spark, d)
+    root = shared_dir(spark, "objects").replace("file:///", "/", 1)
+    made = batches.chunk_batches(tail.tail_chunks(spark, folder, schema, 2))
+    objects.write_stream(made, root, shared_dir(spark, "mark"), "logs/").trigger(availableNow=True).start().awaitTermination()
+    listed = objects.read_manifest(spark, root).groupBy(*KEY).agg(F.count("*").alias("n_objects"), F.sum("n_records").alias("n_listed"))
+    return _line_counts(sinks.read_ndjson(spark, f"{root}/logs", recursive=True)).join(listed, KEY)
+
+
 def stream_fanout(spark, d):
     folder, schema = _landed(spark, d)
     out = shared_dir(spark, "fanout")
@@ -561,10 +606,10 @@ QUERIES = (
     drained_chunks, drained_by_marker, drained_recursive, tail_markers, checkpoint_trail,
     current_checkpoints, get_checkpoint, list_checkpoints, deleted_checkpoints, compacted, set_checkpoints,
     batch_sizes, coalesced_batches, webhook_payloads, object_keys, kafka_frame, ndjson_roundtrip,
-    status_classes, retry_outcome, retry_waits, fanout_acks, fanout_missing, dead_letters, dlq_oldest, dlq_after_delete, dlq_replay,
+    status_classes, retry_outcome, retry_waits, fanout_acks, fanout_missing, dead_letters, dlq_oldest, dlq_after_delete, dlq_replay, dlq_roundtrip,
     processed_total, failed_total, failed_by_hour, batch_bytes_hist, write_seconds_hist, api_calls, store_ops, delivery_totals,
     missing_lines, dedupe_lines, line_generations, ordered_lines,
-    stream_tail, stream_dedupe, stream_state, stream_fanout, stream_positions, stream_outbox, stream_holes, stream_generations, stream_parked, stream_lag, poll_positions, objects_roundtrip, log_tail_lines,
+    stream_tail, stream_dedupe, stream_state, stream_fanout, stream_positions, stream_outbox, stream_holes, stream_generations, stream_calls, stream_store_ops, stream_objects, stream_parked, stream_lag, poll_positions, objects_roundtrip, log_tail_lines,
 )
 
 

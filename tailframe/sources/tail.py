@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, In, InputPartition, StringContains, StringEndsWith, StringStartsWith
 
 from tailframe.schemas import LOG_PAGE
+from tailframe.streaming.counters import observe_reads
 
 #: Key of an offset that is no file's name: generations of truncated files, and the holes taken up.
 _MORE = ""
@@ -285,7 +286,7 @@ def read_pages(spark: SparkSession, path: str, **options: str) -> DataFrame:
 def land(spark: SparkSession, path: str, out: str, checkpoint: str, source: type[DataSource] = LogTail, **options: str):
     """A stream that appends the pages of the files below ``path`` to the chunk table ``out``. What can't be read is landed as an error, and read again later."""
     spark.dataSource.register(source)
-    return spark.readStream.format(source.name()).options(path=path, **options).load().writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+    return observe_reads(spark.readStream.format(source.name()).options(path=path, **options).load()).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:

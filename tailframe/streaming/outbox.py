@@ -162,6 +162,8 @@ def fan_out_batch(sinks: dict[str, tuple[str, Sink]], out: str, park: bool = Fal
             moved = staged(moved.withColumn("updated_at", now).join(at.select(*KEY, "bytes_written"), KEY, "left").withColumn("bytes_written", F.coalesce("bytes_written", F.lit(0).cast("long")) + F.col("_more")), "moved")
             stay = at.where("_first").join(moved, KEY, "left_anti").select(*KEY, F.col("_last").alias("place"), "marker", "bytes_written")
             box.files.append(moved.select(*stay.columns).unionByName(stay).withColumn("gone", F.lit(False)), epoch)
+            calls = lambda rows, op: rows.agg(F.count("*").alias("n")).select(F.lit(op).alias("op"), F.lit("ok").alias("outcome"), "n")
+            calls(fresh.select(*KEY).distinct(), "get").unionByName(calls(moved, "set")).write.mode("overwrite").parquet(f"{box.out}/calls/epoch={epoch}")
             added = {"file_size": F.lit(None).cast("long"), "last_written": F.lit(None).cast("timestamp"), "seq": F.lit(epoch).cast("long"), "deleted": F.lit(False)}
             moved.withColumns(added).select(*CHECKPOINT.names).write.mode("overwrite").parquet(f"{box.out}/positions/epoch={epoch}")
 
