@@ -33,6 +33,8 @@ DICT_MAGIC, FRAME_MAGIC = 0x184D2A5D, 0xFD2FB528
 #: A dictionary is trained on an archive's first records: at most so many, of so many bytes in all.
 _SAMPLES, _SAMPLE_BYTES, _DICT_BYTES = 400, 2 << 20, 64 << 10
 _READ = 1 << 20
+#: Rows of a digest and an id up to which a table is broadcast.
+BROADCAST_ROWS = 200_000
 MANIFEST = "path string, n_records long, n_bytes long"
 RECORDS = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
 
@@ -55,12 +57,18 @@ def _opened(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
 def with_revisits(pages: DataFrame, payload: Column, id_col: str = "page_id", min_bytes: int = 0) -> DataFrame:
     """Adds payload_sha1 (hex) and response_id: of equal payloads of ``min_bytes`` or more, the largest id.
 
-    Digests are summed up before they are shuffled, so a payload that a third of all rows share costs one row a task.
+    Digests are summed up before they are shuffled, so a payload that a third of all rows share costs one row a task. Only payloads that occur twice
+    need a partner: their table is broadcast as long as it has at most ``BROADCAST_ROWS`` rows, so that payloads aren't shuffled to find few copies.
     """
     own = pages.withColumn("payload_sha1", F.sha1(F.coalesce(payload, F.lit(b""))))
-    light = own.select(F.col(id_col).alias("_id"), F.col("payload_sha1").alias("_sha1"), F.octet_length(F.coalesce(payload, F.lit(b""))).alias("_n"))
-    largest = light.where(F.col("_n") >= min_bytes).groupBy("_sha1").agg(F.max("_id").alias("response_id"))
-    return own.join(largest, own["payload_sha1"] == largest["_sha1"], "left").drop("_sha1")
+    size = F.octet_length(F.coalesce(payload, F.lit(b"")))
+    light = own.where(size >= min_bytes).select(F.col(id_col).alias("_id"), F.col("payload_sha1").alias("_sha1"))
+    repeated = light.groupBy("_sha1").agg(F.max("_id").alias("_largest"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    repeated = staged(repeated, "warc-repeated")
+    side = F.broadcast(repeated) if repeated.count() <= BROADCAST_ROWS else repeated
+    joined = own.join(side, own["payload_sha1"] == side["_sha1"], "left")
+    alone = F.when(F.col("_sha1").isNull() & (size >= min_bytes), F.col(id_col))
+    return joined.withColumn("response_id", F.coalesce("_largest", alone)).drop("_sha1", "_largest")
 
 
 # -- writing ----------------------------------------------------------------------------------------------------
