@@ -2,11 +2,12 @@
 
 A page's lines are its block elements' texts. Within each host, pages are ordered by URL path, and each page is
 aligned with its two neighbours there, the one with the longer common path first, by a longest common subsequence of all
-their lines, menus and footers included. What a page shares with both of them comes from the site's template and is deleted.
+their lines, menus and footers included. What a page shares with both of them comes from the site's template and is deleted. Lines are aligned by their text; a line that
+is all links, as a menu's are, by its place in the tree instead, so that menus align whose links differ from page to page.
 
 Differencing alone is wrong in two ways. Copies of an article on one host share all of it: so a neighbour that shares over
 ``COPY`` of the text that markup does not name as anything else is a copy and is not used, and lines inside an ``article`` element are never
-deleted. And menus, adverts and comments that differ from page to page are not shared: so of the lines that
+deleted. And adverts, footers and comments that differ from page to page are not shared: so of the lines that
 differencing leaves, those go whose element's tag, role, class or id says that they are no main text (nav, footer, aside, form,
 "ad", "cookie-banner", "comments"; class names count as whole names, not by words inside them). At last, if ``main`` or ``article`` elements hold
 at least a third of what is left, the rest outside them goes. A form around the whole page is no form.
@@ -120,20 +121,30 @@ def _region(tag: str, own: dict[str, str]) -> int:
 
 def page_lines(page: str | None) -> tuple[list[str], list[int]]:
     """All lines that a page shows, and what is known of each."""
+    return page_shapes(page)[:2]
+
+
+def page_shapes(page: str | None) -> tuple[list[str], list[int], list[str | None]]:
+    """The same, and by what a line is aligned instead of its text: the names of the blocks around it, if it is all links."""
     lines: list[str] = []
+    shapes: list[str | None] = []
     known: list[tuple[int, int]] = []  # what is known of each line, and the form that it lies in
     stack: list[tuple[str, bool, int, int]] = []  # name, never shown, what is known, form
     opened: Counter[str] = Counter()
     texts: list[str] = []
+    linked = unlinked = False  # whether the line so far has text inside links, and outside
     page, at, n_forms, wrappers = page or "", 0, 0, set()
     dropped, flags, form = False, 0, 0
 
     def flush() -> None:
+        nonlocal linked, unlinked
         line = _SPACE.sub(" ", html.unescape("".join(texts))).strip()
         texts.clear()
         if line:
             lines.append(line)
             known.append((flags, form))
+            shapes.append("\0" + ">".join(x[0] for x in stack if x[0] in BLOCKS) if linked and not unlinked else None)
+        linked = unlinked = False
 
     def cut(depth: int) -> None:
         nonlocal dropped, flags, form
@@ -143,8 +154,10 @@ def page_lines(page: str | None) -> tuple[list[str], list[int]]:
 
     while at < len(page):
         m = _TOKEN.search(page, at)
-        if not dropped:
-            texts.append(page[at : m.start() if m else len(page)])
+        if not dropped and (text := page[at : m.start() if m else len(page)]):
+            texts.append(text)
+            if not text.isspace():
+                linked, unlinked = linked or opened["a"] > 0, unlinked or opened["a"] <= 0
         if not m:
             break
         at = m.end()
@@ -195,7 +208,11 @@ def page_lines(page: str | None) -> tuple[list[str], list[int]]:
     flush()
     if not wrappers - {0} and all(f or k & NOT_MAIN for k, f in known):  # nothing outside of forms: the page is in one
         wrappers.update(f for _, f in known)
-    return lines, [k | (IN_FORM if f and f not in wrappers else 0) for k, f in known]
+    return lines, [k | (IN_FORM if f and f not in wrappers else 0) for k, f in known], shapes
+
+
+def aligned_by(lines: list[str], shapes: list[str | None]) -> list[str]:
+    return [line if shape is None else shape for line, shape in zip(lines, shapes)]
 
 
 # -- alignment --------------------------------------------------------------------------------------------------
@@ -254,22 +271,25 @@ def common_lines(a: list[str], b: list[str]) -> set[int]:
     return found
 
 
-def shared_lines(lines: list[str], known: list[int], neighbours: list[list[str]]) -> set[int]:
-    """Places of the lines that a page shares with all of its neighbours that are no copies of it; articles' lines are no such lines."""
+def shared_lines(lines: list[str], known: list[int], neighbours: list[list[str]], own: list[str] | None = None) -> set[int]:
+    """Places of the lines that a page shares with all of its neighbours that are no copies of it; articles' lines are no such lines.
+
+    ``own`` and the neighbours' lists are what lines are aligned by (``aligned_by``), the lines themselves if it is not given.
+    """
     plain = [not k & (NOT_MAIN | IN_FORM) for k in known]
-    size = sum(len(x) for x, own in zip(lines, plain) if own)
+    size = sum(len(x) for x, is_plain in zip(lines, plain) if is_plain)
     found: set[int] | None = None
     for other in neighbours:
-        both = common_lines(lines, other)
+        both = common_lines(own or lines, other)
         if sum(len(lines[i]) for i in both if plain[i]) > COPY * size:
             continue
         found = both if found is None else found & both
     return {i for i in found or () if not known[i] & ARTICLE}
 
 
-def main_text(lines: list[str], known: list[int], neighbours: list[list[str]]) -> tuple[str, int]:
+def main_text(lines: list[str], known: list[int], neighbours: list[list[str]], own: list[str] | None = None) -> tuple[str, int]:
     """The text that stays, given the lines of the neighbours, nearest first, and how many lines differencing has deleted."""
-    shared = shared_lines(lines, known, neighbours)
+    shared = shared_lines(lines, known, neighbours, own)
     left = [i for i in range(len(lines)) if i not in shared and not known[i] & (NOT_MAIN | IN_FORM)]
     for region in (MAIN, ARTICLE):
         inner = [i for i in left if known[i] & region]
@@ -280,7 +300,7 @@ def main_text(lines: list[str], known: list[int], neighbours: list[list[str]]) -
 
 # -- distribution -----------------------------------------------------------------------------------------------
 
-_ROW = "part int, host string, path string, key long, page_id long, url string, context boolean, lines array<string>, known array<int>"
+_ROW = "part int, host string, path string, key long, page_id long, url string, context boolean, lines array<string>, known array<int>, shapes array<string>"
 _ENDS = "part int, low struct<host: string, path: string, key: long>, high struct<host: string, path: string, key: long>"
 _OUT = "page_id long, url string, text string, n_chars long, n_shared long"
 _KEY = pa.struct([("host", pa.string()), ("path", pa.string()), ("key", pa.int64())])
@@ -300,17 +320,17 @@ def _ends(batches: Iterator[pa.RecordBatch], cuts: list[tuple]) -> Iterator[pa.R
 def _parse(batches: Iterator[pa.RecordBatch], cuts: list[tuple], before: dict[tuple, int], after: dict[tuple, int]) -> Iterator[pa.RecordBatch]:
     """Reads the pages and deals them to ranges; a range's first and last page go to the range beside it too."""
     names = [f.split(" ")[0] for f in _ROW.split(", ")]
-    kinds = [pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.int32())]
+    kinds = [pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.string())]
     schema = pa.schema(list(zip(names, kinds)))
     for batch in batches:
         for start in range(0, batch.num_rows, 500):
             rows = []
             for host, path, key, page_id, url, page in zip(*(c.to_pylist() for c in batch.slice(start, 500).columns)):
                 own = (host, path, key)
-                lines, known = page_lines(page)
+                lines, known, shapes = page_shapes(page)
                 row = (host, path, key, page_id, url)
-                rows.append((bisect.bisect_right(cuts, own), *row, False, lines, known))
-                rows += [(to, *row, True, lines, []) for to in (before.get(own), after.get(own)) if to is not None]
+                rows.append((bisect.bisect_right(cuts, own), *row, False, lines, known, shapes))
+                rows += [(to, *row, True, lines, [], shapes) for to in (before.get(own), after.get(own)) if to is not None]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)] if rows else [pa.array([], t) for t in kinds], schema=schema)
 
 
@@ -327,10 +347,10 @@ def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, now = None, next(group)
         while now:
             after = next(group, None)
-            _, _, path, _, page_id, url, context, lines, known = now
+            _, _, path, _, page_id, url, context, lines, known, shapes = now
             if not context:
                 near = sorted((n for n in (before, after) if n), key=lambda n: -_shared_path(path, n[2]))
-                text, n_shared = main_text(lines, known, [n[7] for n in near])
+                text, n_shared = main_text(lines, known, [aligned_by(n[7], n[9]) for n in near], aligned_by(lines, shapes))
                 out.append((page_id, url, text, len(text), n_shared))
                 size += len(text)
                 if len(out) >= 1_000 or size >= 4 << 20:

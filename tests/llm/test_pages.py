@@ -150,3 +150,24 @@ def test_listed_parents_and_empty_inputs(spark):
     got = judged(spark, ["http://a.bad.example/", "http://bad.example/x", "http://notbad.example/", "http://good.example/"], listed=["bad.example", "bad.example"])
     assert [r.verdict for _, r in sorted(got.items())] == ["block", "block", "allow", "allow"]
     assert judged(spark, []) == {} and judged(spark, ["http://a/"])[0].verdict == "allow"
+
+
+def test_menus_whose_links_differ_by_page_are_deleted(spark):
+    def page(k):
+        menu = "".join(f"<li><a href='/{k}-{i}'>Item {k}-{i}</a></li>" for i in range(3))
+        return f"<body><div><ul>{menu}</ul></div><div><p>Page {k} says this in a long sentence of its own, with <a href='#'>a link {k}</a> in it</p><p>and {k} says that</p></div></body>"
+
+    got = texts(spark, [(k, f"http://a.example/x/{k}", page(k)) for k in range(30)])
+    assert all(text == f"Page {k} says this in a long sentence of its own, with a link {k} in it\nand {k} says that" for k, text in got.items())
+
+
+def test_pages_of_links_only_are_kept(spark):
+    rows = [(k, f"http://a.example/x/{k}", "<body><ul>" + "".join(f"<li><a href='/{k}-{i}'>Story {k}-{i}</a></li>" for i in range(3)) + "</ul></body>") for k in range(5)]
+    assert all(text == "\n".join(f"Story {k}-{i}" for i in range(3)) for k, text in texts(spark, rows).items())
+
+
+def test_share_of_template_lines_that_differencing_deletes_on_the_given_pages(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    template = sum(not k & ht.ARTICLE for p in pages.collect() for k in ht.page_lines(p.html)[1])
+    deleted = sum(r.n_shared for r in ht.extract_text(pages).collect())
+    assert 0.3 * template < deleted < template  # many hosts have one page here, without neighbours
