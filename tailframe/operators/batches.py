@@ -17,27 +17,27 @@ def batch_sizes(records: DataFrame) -> DataFrame:
     return records.groupBy(*BATCH).agg(F.count("*").alias("n_records"), F.sum(payload_bytes(F.col("message"))).alias("batch_bytes"))
 
 
-def assemble_batches(records: DataFrame, *also: str) -> DataFrame:
-    """One row a batch: its size, and its records in payload order as a JSON array; ``also`` names further columns that a batch's records share.
+def assemble_batches(records: DataFrame) -> DataFrame:
+    """One row a batch: its size, and its records in payload order as a JSON array.
 
     A batch is one chunk, about a megabyte, so collecting its records is bounded by how chunks are made.
     """
     rows = F.sort_array(F.collect_list(F.struct("line_no", record_struct().alias("record"))))
-    grouped = records.groupBy(*BATCH, *also).agg(F.count("*").alias("n_records"), F.sum(payload_bytes(F.col("message"))).alias("batch_bytes"), rows.alias("_rows"), F.min("timestamp").alias("timestamp"))
+    grouped = records.groupBy(*BATCH).agg(F.count("*").alias("n_records"), F.sum(payload_bytes(F.col("message"))).alias("batch_bytes"), rows.alias("_rows"), F.min("timestamp").alias("timestamp"))
     return grouped.withColumn("payload", F.to_json(F.transform("_rows", lambda r: r["record"]))).drop("_rows")
 
 
-def chunk_batches(chunks: DataFrame) -> DataFrame:
+def chunk_batches(chunks: DataFrame, *also: str) -> DataFrame:
     """The rows of ``assemble_batches`` straight from chunks, as a chunk is a batch: a narrow operation, without a shuffle, that streams can run.
 
-    ``records`` holds each record's JSON, for sinks that write them line by line. Chunks without lines make no batch.
+    A chunk that is there twice makes two batches. ``also`` names further columns to keep. ``records`` holds each record's JSON, for sinks that write them line by line. Chunks without lines make no batch.
     """
     messages = F.filter(F.split("data", "\n", -1), lambda x: x != "")
     stamped = stamp(chunks).withColumn("_messages", messages)
     size = F.aggregate("_messages", F.lit(0).cast("long"), lambda n, x: n + F.octet_length(x))
     records = F.transform("_messages", lambda x: F.to_json(record_of(x)))
     made = stamped.where(F.size("_messages") > 0).withColumns({"n_records": F.size("_messages").cast("long"), "batch_bytes": size, "records": records})
-    return made.select(*BATCH, "n_records", "batch_bytes", "timestamp", F.concat(F.lit("["), F.array_join("records", ","), F.lit("]")).alias("payload"), "records")
+    return made.select(*BATCH, *also, "n_records", "batch_bytes", "timestamp", F.concat(F.lit("["), F.array_join("records", ","), F.lit("]")).alias("payload"), "records")
 
 
 def coalesce_batches(sizes: DataFrame, max_bytes: int, order: str = "chunk_no") -> DataFrame:

@@ -110,5 +110,6 @@ def oracle_sql() -> dict[str, str]:
         "stream_objects": chunks + _LINES + " select instance_id, engine, log_file, count(*) as n_lines, sum(strlen(message)) as n_bytes, count(distinct batch_id) as n_objects, count(*) as n_listed from lines group by all",
         "dlq_roundtrip": attempts + _DLQ + ", again as (select *, cast(substr(batch_id, 2) as bigint) as k from dlq), ids as (select *, row_number() over (order by k % 2, dlq_id) as id from again) select id as dlq_id, instance_id, sink_name, batch_id, reason from ids where k % 5 = 0 and id > 10",
         "objects_roundtrip": tailed,
+        "log_tail_chosen": chunks + _LINES + ", f as (select cast(regexp_extract(log_file, '([0-9]+)$', 1) as bigint) as file_no, message from lines) select file_no, count(*) as n_lines, sum(strlen(message)) as n_bytes from f where starts_with(file_no::varchar, '1') group by all",
         "log_tail_lines": chunks + _LINES + " select cast(regexp_extract(log_file, '([0-9]+)$', 1) as bigint) as file_no, count(*) as n_lines, sum(strlen(message)) as n_bytes from lines group by all",
     }

@@ -421,7 +421,7 @@ def stream_outbox(spark, d):
     out = shared_dir(spark, "outbox")
     once = sinks.Retry(max_attempts=1)
     both = {"siem": ("http", sinks.in_order(lambda: _outage, once)), "cold": ("s3", sinks.in_order(lambda: lambda row: (200, None), once))}
-    pages = outbox.with_ticks(tail.tail_chunks(spark, folder, schema, 2))
+    pages = outbox.with_ticks(tail.tail_chunks(spark, folder, schema, 4))
     query = tail.poll(pages, outbox.fan_out_batch(both, out), f"{out}-mark", 1)
     try:
         outbox.wait_until_empty(spark, out, schema, query)
@@ -579,6 +579,21 @@ def stream_objects(spark, d):
     return _line_counts(sinks.read_ndjson(spark, f"{root}/logs", recursive=True)).join(listed, KEY)
 
 
+def log_tail_chosen(spark, d):
+    """Lines of the log files whose names begin with a 1, read through the live source, which opens no others."""
+    folder, ordered = _log_folder(spark, d, "logs")
+    _write_logs(ordered, folder)
+    key = "spark.sql.python.filterPushdown.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        chosen = staged(live.read_pages(spark, folder).where(F.startswith("log_file", F.lit("1"))), "chosen")
+    finally:
+        spark.conf.set(key, old)
+    found = lines.split_lines(chosen).withColumn("file_no", F.regexp_extract("log_file", "([0-9]+)", 1).cast("long"))
+    return found.groupBy("file_no").agg(F.count("*").alias("n_lines"), F.sum(fb.payload_bytes(F.col("message"))).alias("n_bytes"))
+
+
 def stream_fanout(spark, d):
     folder, schema = _landed(spark, d)
     out = shared_dir(spark, "fanout")
@@ -609,7 +624,7 @@ QUERIES = (
     status_classes, retry_outcome, retry_waits, fanout_acks, fanout_missing, dead_letters, dlq_oldest, dlq_after_delete, dlq_replay, dlq_roundtrip,
     processed_total, failed_total, failed_by_hour, batch_bytes_hist, write_seconds_hist, api_calls, store_ops, delivery_totals,
     missing_lines, dedupe_lines, line_generations, ordered_lines,
-    stream_tail, stream_dedupe, stream_state, stream_fanout, stream_positions, stream_outbox, stream_holes, stream_generations, stream_calls, stream_store_ops, stream_objects, stream_parked, stream_lag, poll_positions, objects_roundtrip, log_tail_lines,
+    stream_tail, stream_dedupe, stream_state, stream_fanout, stream_positions, stream_outbox, stream_holes, stream_generations, stream_calls, stream_store_ops, stream_objects, stream_parked, stream_lag, poll_positions, objects_roundtrip, log_tail_lines, log_tail_chosen,
 )
 
 

@@ -24,10 +24,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tailframe.functions.batches import START, batch_id, payload_bytes, start_marker
-from tailframe.operators.batches import assemble_batches
+from tailframe.operators.batches import chunk_batches
 from tailframe.operators.checkpoints import KEY
 from tailframe.operators.delivery import AT_SINK, retry_outcome, route_dlq, with_payload
-from tailframe.operators.lines import records
 from tailframe.schemas import ATTEMPT, CHECKPOINT
 from tailframe.sources.sinks import Retry, Sink
 from tailframe.storage import EpochLog, scratch, staged
@@ -96,7 +95,10 @@ def fan_out_batch(sinks: dict[str, tuple[str, Sink]], out: str, park: bool = Fal
             key = batch_id(F.col("instance_id"), F.col("log_file"), F.col("prev_marker"), F.col("next_marker"))
             fresh = staged(own.withColumns({"place": box.place(), "batch_id": key, "n_bytes": payload_bytes(F.col("data"))}).drop(*set(box.order) - {"place"}), "fresh")
             read = fresh.where(F.col("error").isNull()) if "error" in fresh.columns else fresh
-            payloads = assemble_batches(records(read.drop("batch_id", "n_bytes")), "place")
+            made = chunk_batches(read.drop("batch_id", "n_bytes"), "place").drop("records")
+            # Of pages at one place, the one fetched last counts.
+            row = F.struct(*(c for c in made.columns if c not in (*KEY, "place")))
+            payloads = made.groupBy(*KEY, "place").agg(F.max_by(row, "timestamp").alias("_row")).select(*KEY, "place", "_row.*")
             payloads.write.mode("overwrite").parquet(f"{box.out}/payloads/epoch={epoch}")
             sent = spark.read.schema(payloads.schema).parquet(f"{box.out}/payloads/epoch={epoch}")
 

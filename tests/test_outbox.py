@@ -62,6 +62,12 @@ def test_position_does_not_pass_what_could_not_be_read(spark, tmp_path):
     assert position() == {"f": ("20", 4)} and attempts().count() == 3
 
 
+def test_page_that_comes_twice_at_once_is_sent_once(spark, tmp_path):
+    each, position, attempts = box(spark, tmp_path, answering(200))
+    each(pages(spark, page(0, 10, "a\n"), page(0, 10, "a\n", ms=1), page(10, 20, "b\n")), 0)
+    assert position() == {"f": ("20", 4)} and sorted(r.n_records for r in attempts().collect()) == [1, 1]
+
+
 def test_truncated_file_goes_on_from_its_start(spark, tmp_path):
     each, position, _ = box(spark, tmp_path, answering(503, ["bad"]))
     each(pages(spark, page(0, 10)), 0)
