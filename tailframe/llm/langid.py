@@ -12,7 +12,7 @@ tasks combine their own rows first. Languages are counted before, and their coun
 Edge cases: a null text, or one without a letter, is ``und`` with score 0, as is every text if nothing was
 learned; with one language learned it is predicted with score 1; repeated rows are predicted alike; between
 languages equally near the first by name is chosen, and the text is ambiguous; very long texts are counted in slices, whole; rows with a
-null language are never learned from; an empty table gives no rows. Other columns pass through; one that bears the
+null language are never learned from; a null id makes ``held_out`` null in the query; an empty table gives no rows. Other columns pass through; one that bears the
 name of an added column is replaced by it.
 """
 

@@ -12,7 +12,8 @@ the square root of the leaf in both, so a source with a third of all rows burden
 
 Edge cases: a null in a level is the node ``unknown``; null and empty texts have no tokens, so they come along only in
 full epochs or before the end of a prefix; a leaf without tokens yields nothing; rows with null ids count as one
-id; repeated rows share one place in the order and are taken or left together; an empty table gives no rows.
+id; repeated rows share one place in the order and are taken or left together; very long texts count with all their tokens, and the one in which a
+prefix ends is taken whole; leaves of equal weight and capacity are treated alike; an empty table gives no rows.
 Columns are kept, but those named like a level or ``epoch`` are replaced (a document of two epochs comes twice).
 """
 

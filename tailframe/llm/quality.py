@@ -5,7 +5,8 @@ rejected class is grown condition by condition on one part of the labelled rows
 pruned on the other part, its rows are removed, and so on. What is learned is a short ordered list of threshold
 conjunctions, and it runs as one ``CASE WHEN`` expression, so judging the corpus is a scan without a shuffle.
 
-Edge cases: null and empty texts have all statistics 0 and fail the base rules; repeated rows are judged alike;
+Edge cases: null and empty texts have all statistics 0 and fail the base rules; repeated rows are judged alike; very long texts are counted
+whole, in memory in proportion to their words; of conditions of equal gain the first feature and the lowest threshold are taken, and of labels or statistics of one repeated id the least;
 rows with a null id are judged like others but are never training rows; with no labels, or labels of one class
 only, the list is empty and rejects nothing beyond the base rules; an empty table gives no rows. Extra columns are
 kept unless they bear the name of an added column, which then replaces them.

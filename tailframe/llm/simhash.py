@@ -11,7 +11,7 @@ there (at most 65 can meet). Components come from rounds of smallest-label passi
 Fingerprints of texts that share four fifths of their shingles differ in up to a dozen bits, which no pigeonhole
 blocks find at a bearable cost. ``similar_texts`` therefore links texts by the Jaccard similarity of their shingle
 sets itself, in an exact join: two such sets share a shingle among the first ``n - need + 1`` of each in one common
-order (prefix filter), and whatever meets there is verified. See ``link_similar``.
+order (prefix filter), and whatever meets there is verified. See ``link_similar``. The pipeline's stage is this join, under the name of the fingerprints' operator.
 
 Edge cases: null and empty texts have fingerprint zero and link like any other; a null id is never a component's
 name, and a component of null ids alone has a null name; repeated rows get the same component; equal ids or fingerprints

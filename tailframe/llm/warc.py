@@ -8,7 +8,7 @@ The reader streams an archive frame by frame.
 
 Edge cases: a null payload is empty; a null url is written as an empty target; a row with a null id is a response
 if no row of equal payload has an id, else it revisits; rows that repeat the largest id of their payload are all
-responses; an empty table gives no archive and no records; other columns are not written.
+responses; a very long payload is one record, held in memory once in each step; an empty table gives no archive and no records; other columns are not written.
 """
 
 from __future__ import annotations

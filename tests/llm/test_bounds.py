@@ -2,9 +2,10 @@
 
 import random
 
+import xxhash
 from pyspark.sql import functions as F
 
-from tailframe.llm import ann, common, license_scan, quality, url_filter
+from tailframe.llm import ann, common, langid, license_scan, mixing, quality, simhash, url_filter
 
 
 def plan(df):
@@ -74,3 +75,48 @@ def test_repeated_rows_and_very_long_urls(spark):
     pages = spark.createDataFrame([(1, long), (1, long), (2, "http://b.com/de/" + "y" * 100_000), (3, None)], "page_id long, url string")
     got = url_filter.judge_urls(pages, [url_filter.UrlRule("block", "com", "/de/")], spark.createDataFrame([("ads.com",)], "key string")).collect()
     assert sorted((r.page_id, len(r.path), r.verdict) for r in got) == [(1, 200_001, "block"), (1, 200_001, "block"), (2, 100_004, "block"), (3, 0, "allow")]
+
+
+# -- very long texts, and different texts under one id ----------------------------------------------------------
+
+
+def long_text(n, salt):
+    rng = random.Random(salt)
+    return " ".join(f"w{rng.randrange(2_000)}" for _ in range(n))
+
+
+def brute_fingerprint(text):
+    w = text.lower().split()
+    ones = [0] * 64
+    shingles = [" ".join(w[k : k + 3]) for k in range(len(w) - 2)]
+    for s in shingles:
+        h = xxhash.xxh64_intdigest(s.encode(), 42)
+        for b in range(64):
+            ones[b] += h >> b & 1
+    return sum(1 << b for b in range(64) if 2 * ones[b] > len(shingles))
+
+
+def test_fingerprints_of_long_texts(spark):
+    texts = [long_text(n, n) for n in (32_767, 32_770, 40_000)]
+    got = {r.doc_id: r.fp & ((1 << 64) - 1) for r in simhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {k: brute_fingerprint(t) for k, t in enumerate(texts)}
+
+
+def test_one_of_each_with_long_texts_and_texts_that_share_an_id(spark):
+    base = long_text(60_000, 1)
+    near = base.replace(" w7 ", " changed ")
+    rows = [(1, base), (2, near), (2, base), (3, long_text(300, 2)), (3, long_text(300, 3)), (3, long_text(300, 3)), (None, base), (4, None), (5, "")]
+    got = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.text) for r in got if r.doc_id != 4) == sorted([(1, base), (3, long_text(300, 2)), (3, long_text(300, 3))]) and [r.text for r in got if r.doc_id == 4] == [None]
+
+
+def test_long_texts_are_mixed_and_identified_whole(spark):
+    rows = [(k, t, "xx" if k % 2 else "en", "src0") for k, t in enumerate(["the cat and the dog " * 20, "zxq vwk qqz xkw " * 20] * 6)]
+    long = [(100, "zxq vwk qqz xkw " * 100 + "the cat and the dog " * 30_000, "en", "src0")]
+    docs = spark.createDataFrame(rows + long, "doc_id long, text string, lang string, source string")
+    model = langid.train(docs.where("doc_id < 100"))
+    assert {r.doc_id: r.lang_pred for r in langid.identify(docs.select("doc_id", "text"), model, keep_text=False).collect()}[100] == "en"  # its beginning alone would say otherwise
+    n = mixing.token_count(F.col("text"))
+    assert {r.doc_id: r.n for r in docs.select("doc_id", n.alias("n")).collect()}[100] == 150_400
+    mixed = mixing.select_mixture(docs, {"lang": F.col("lang")}, {"lang": {"en": 1}}, budget_percent=100, max_epochs=1)
+    assert sorted(r.doc_id for r in mixed.collect()) == [*range(12), 100]
