@@ -286,6 +286,9 @@ def read_pages(spark: SparkSession, path: str, **options: str) -> DataFrame:
 def land(spark: SparkSession, path: str, out: str, checkpoint: str, source: type[DataSource] = LogTail, **options: str):
     """A stream that appends the pages of the files below ``path`` to the chunk table ``out``. What can't be read is landed as an error, and read again later."""
     spark.dataSource.register(source)
+    own = checkpoint.removeprefix("file://")
+    if "://" not in own:  # a folder that all executors see as well; else the source keeps its state beside the logs
+        options.setdefault("state", f"{own.rstrip('/')}/log_tail_state")
     return observe_reads(spark.readStream.format(source.name()).options(path=path, **options).load()).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
 
 
