@@ -65,13 +65,13 @@ class Outbox:
 
 
 def _passed(chain: DataFrame, starts: DataFrame) -> DataFrame:
-    """Adds ``passed`` to (file, place, prev_marker, next_marker, held): whether the file's position may move beyond the page."""
+    """Adds ``passed`` to (file, place, prev_marker, next_marker, held, again): whether the file's position may move beyond the page."""
     along = Window.partitionBy(*KEY).orderBy("place")
     restart = F.col("_from") == START
     rows = chain.join(starts.select(*KEY, F.col("marker").alias("_start")), KEY, "left").withColumn("_from", start_marker(F.col("prev_marker")))
     before = F.coalesce(F.lag("next_marker").over(along), start_marker(F.col("_start")))
     later = F.max(restart).over(along.rowsBetween(1, Window.unboundedFollowing))
-    fits = (F.col("_from") == before) | restart | F.coalesce(later, F.lit(False))
+    fits = (F.col("_from") == before) | F.col("again") | restart | F.coalesce(later, F.lit(False))
     rows = rows.withColumn("_ok", fits & ~F.col("held"))
     return rows.withColumn("passed", F.min("_ok").over(along.rowsBetween(Window.unboundedPreceding, 0))).drop("_from", "_start", "_ok")
 
@@ -106,12 +106,16 @@ def fan_out_batch(sinks: dict[str, tuple[str, Sink]], out: str, park: bool = Fal
             names = F.explode(F.array(*map(F.lit, sinks))).alias("sink_name")
             new = sent.select(names, *KEY, "place", "batch_id", F.lit(epoch).cast("long").alias("epoch"), F.lit(0).alias("tries"), F.lit(None).cast("timestamp").alias("due_at"))
             heads = old.groupBy("sink_name", *KEY).agg(F.min("place").alias("head"), F.min_by("due_at", "place").alias("_due"))
-            due = staged(old.unionByName(new).join(heads, ["sink_name", *KEY], "left"), "due")
+            # A page that was fetched anew before all sinks had it takes the place of what it was.
+            same = ["sink_name", *KEY, "place"]
+            new = new.join(old.select(*same, F.lit(True).alias("_had")), same, "left")
+            due = old.join(new.select(*same), same, "left_anti").unionByName(new, allowMissingColumns=True)
+            due = staged(due.join(heads, ["sink_name", *KEY], "left"), "due")
             now = F.lit(dt.datetime.now(dt.timezone.utc))
             ready = F.col("head").isNull() | ((F.col("place") == F.col("head")) & F.coalesce(F.col("_due") <= now, F.lit(True)))
 
             def send(rows: DataFrame, part: str) -> DataFrame:
-                """(sink_name, file, place) of the rows that arrived or were parked, and ``refused`` for the others that were tried."""
+                """(sink_name, file, place, arrived) of the rows that were tried; those that were parked have arrived."""
                 rows = rows.select("sink_name", *KEY, "place", "batch_id", "epoch", "tries")
                 epochs = [r[0] for r in rows.select("epoch").distinct().limit(_NAMED + 1).collect()]
                 paths = [f"{box.out}/payloads/epoch={e}" for e in epochs] if 0 < len(epochs) <= _NAMED else [f"{box.out}/payloads"]
@@ -140,7 +144,7 @@ def fan_out_batch(sinks: dict[str, tuple[str, Sink]], out: str, park: bool = Fal
             pause = F.least(F.lit(float(wait.longest_ms)), wait.initial_ms * F.pow(F.lit(wait.multiplier), tries - 1)) / 1000
             due_at = F.when(F.col("arrived") == F.lit(False), F.timestamp_seconds(F.unix_micros(now) / 1e6 + pause)).otherwise(F.col("due_at"))
             told = staged(told.withColumns({"due_at": due_at, "_tries": tries}).drop("tries").withColumnRenamed("_tries", "tries"), "told")
-            box.lacks.append(told.where((F.col("_new") & ~F.col("gone")) | (~F.col("_new") & F.col("arrived").isNotNull())), epoch)
+            box.lacks.append(told.where((F.col("_new") & (~F.col("gone") | F.col("_had"))) | (~F.col("_new") & F.col("arrived").isNotNull())), epoch)
 
             # Positions.
             light = ["place", "prev_marker", "next_marker", "n_bytes", "fetched_at"]
@@ -155,11 +159,13 @@ def fan_out_batch(sinks: dict[str, tuple[str, Sink]], out: str, park: bool = Fal
             at = staged(known.select(*KEY, "marker", "bytes_written", F.col("place").alias("_last"), F.lit(False).alias("_first")).unionByName(seen.withColumn("_first", F.lit(True)), allowMissingColumns=True), "files")
             held = told.where(~F.col("gone")).select(*KEY, "place", F.lit(True).alias("held")).distinct()
             chain = box.ahead.read(epoch).select(*KEY, *light, F.lit(False).alias("_new")).unionByName(read.select(*KEY, *light, F.lit(True).alias("_new")))
-            # A page that came again counts once, one that was passed not at all.
-            chain = chain.join(at.select(*KEY, "_last"), KEY, "left").where(F.col("_last").isNull() | (F.col("place") > F.col("_last")))
-            chain = chain.groupBy(*KEY, "place").agg(*(F.max_by(c, "fetched_at").alias(c) for c in light[1:]), F.min("_new").alias("_new"))
+            # A page that came again counts once, one that was passed not at all, but for the last one if it now ends elsewhere.
+            chain = chain.join(at.select(*KEY, "_last", F.col("marker").alias("_at")), KEY, "left").withColumn("again", F.coalesce((F.col("place") == F.col("_last")) & (F.col("next_marker") != F.col("_at")), F.lit(False)))
+            chain = chain.where(F.col("_last").isNull() | (F.col("place") > F.col("_last")) | F.col("again"))
+            chain = chain.groupBy(*KEY, "place", "again").agg(*(F.max_by(c, "fetched_at").alias(c) for c in light[1:]), F.min("_new").alias("_new"), (F.countDistinct("next_marker") > 1).alias("_other"))
             chain = staged(_passed(chain.join(held, [*KEY, "place"], "left").withColumn("held", F.coalesce("held", F.lit(False))), at), "chain")
-            box.ahead.append(chain.where(F.col("_new") != F.col("passed")).select(*KEY, *light, F.col("passed").alias("gone")), epoch)
+            stays = F.col("_new") | F.col("_other")
+            box.ahead.append(chain.where((stays & ~F.col("passed")) | (~F.col("_new") & F.col("passed"))).select(*KEY, *light, F.col("passed").alias("gone")), epoch)
             moved = chain.where("passed").groupBy(*KEY).agg(F.max("place").alias("place"), F.max_by("next_marker", "place").alias("marker"), F.sum("n_bytes").alias("_more"))
             moved = staged(moved.withColumn("updated_at", now).join(at.select(*KEY, "bytes_written"), KEY, "left").withColumn("bytes_written", F.coalesce("bytes_written", F.lit(0).cast("long")) + F.col("_more")), "moved")
             stay = at.where("_first").join(moved, KEY, "left_anti").select(*KEY, F.col("_last").alias("place"), "marker", "bytes_written")

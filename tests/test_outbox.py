@@ -68,6 +68,16 @@ def test_page_that_comes_twice_at_once_is_sent_once(spark, tmp_path):
     assert position() == {"f": ("20", 4)} and sorted(r.n_records for r in attempts().collect()) == [1, 1]
 
 
+def test_page_that_has_grown_takes_the_place_of_what_it_was(spark, tmp_path):
+    each, position, attempts = box(spark, tmp_path, answering(503, ["bad"]))
+    each(pages(spark, page(0, 10, "bad\n")), 0)
+    each(pages(spark, page(0, 15, "good\n", ms=9), page(15, 20, "more\n")), 1)  # before the sink had it
+    assert position() == {"f": ("20", 10)} and attempts().count() == 3
+    each(pages(spark, page(15, 30, "more and more\n", ms=9), page(30, 40, "end\n")), 2)  # after it was passed
+    assert position() == {"f": ("40", 28)}
+    assert outbox.Outbox(spark, str(tmp_path / "out"), LOG_PAGE, ["generation", "start_byte"]).waiting(3).isEmpty()
+
+
 def test_truncated_file_goes_on_from_its_start(spark, tmp_path):
     each, position, _ = box(spark, tmp_path, answering(503, ["bad"]))
     each(pages(spark, page(0, 10)), 0)
