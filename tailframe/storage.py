@@ -98,6 +98,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The names of what lies directly in a folder; none if there is no such folder."""
+    if not exists(spark, path):
+        return []
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [s.getPath().getName() for s in where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).listStatus(where)]
+
+
 class EpochLog:
     """A table of versions by key, written once a micro-batch, of which a reader needs a snapshot and the epochs since, however long the history.
 
@@ -136,3 +144,11 @@ class EpochLog:
         if (epoch + 1) % self.every == 0:
             kept = self.read(epoch + 1).withColumns({"gone": F.lit(False), "at": F.lit(epoch).cast("long")})
             kept.write.mode("overwrite").parquet(f"{self.root}/snapshot-{epoch + 1}")
+
+    def expire(self, epoch: int) -> None:
+        """Removes what reading before ``epoch`` or one epoch earlier, as a repetition does, has no need of: all from before the snapshot that the earlier of them begins with."""
+        start = self._snapshot(epoch - 1)
+        for name in children(self.spark, self.root) if start else []:
+            kind, _, number = name.replace("=", "-").partition("-")
+            if kind in ("epoch", "snapshot") and number.isdigit() and int(number) < start:
+                remove(self.spark, f"{self.root}/{name}")

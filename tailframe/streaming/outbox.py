@@ -3,7 +3,8 @@
 Pages become batches, which are written once. Each sink is sent what it lacks: of a file that it has refused before, the first batch alone,
 and the others behind it only once that one has arrived. So a healthy sink gets each batch once during another's outage, no batch of a file is sent before an earlier one, and an
 outage costs one batch a file and attempt, whatever has piled up. The ledger, the pages not yet passed and the positions are
-``EpochLog`` tables: small rows without payloads, of which a micro-batch reads a snapshot and what has changed since.
+``EpochLog`` tables: small rows without payloads, of which a micro-batch reads a snapshot and what has changed since. Payloads go once no sink lacks any batch of their micro-batch, and with each new
+snapshot what is older than the one before it, so a stream's folder grows with what waits, and otherwise by a row an attempt, position and dead letter.
 
 A position moves along the chain of markers: a page follows if it starts where the one before ended, and every sink has it or has it parked. So neither a page that is refused nor one
 that is missing is passed. Pages are put in order by ``order``, which must number a file's pages; the time of fetching does not. A page that starts at the start marker after others is a
@@ -29,7 +30,7 @@ from tailframe.operators.checkpoints import KEY
 from tailframe.operators.delivery import AT_SINK, retry_outcome, route_dlq, with_payload
 from tailframe.schemas import ATTEMPT, CHECKPOINT
 from tailframe.sources.sinks import Retry, Sink
-from tailframe.storage import EpochLog, scratch, staged
+from tailframe.storage import EpochLog, children, remove, scratch, staged
 
 #: Folders of payloads that are read by name; beyond, all are read and joined.
 _NAMED = 1_000
@@ -63,6 +64,17 @@ class Outbox:
         """What each sink still lacked before ``epoch``."""
         return self.lacks.read(epoch)
 
+    def expire(self, old: DataFrame, epoch: int) -> None:
+        """Removes what no micro-batch needs any more, a repetition of ``epoch`` included. ``old`` is what was waiting before it."""
+        spark, kept = self.lacks.spark, f"{self.out}/payloads"
+        before = [(k,) for n in children(spark, kept) if n.startswith("epoch=") and (k := int(n[len("epoch=") :])) < epoch]
+        done = spark.createDataFrame(before, "epoch long").join(old.select("epoch").distinct(), "epoch", "left_anti").collect() if before else []
+        for row in done:
+            remove(spark, f"{kept}/epoch={row.epoch}")
+        if (epoch + 1) % self.lacks.every == 0:
+            for log in (self.lacks, self.ahead, self.files):
+                log.expire(epoch + 1)
+
 
 def _passed(chain: DataFrame, starts: DataFrame) -> DataFrame:
     """Adds ``passed`` to (file, place, prev_marker, next_marker, held, again): whether the file's position may move beyond the page."""
@@ -174,6 +186,7 @@ def fan_out_batch(sinks: dict[str, tuple[str, Sink]], out: str, park: bool = Fal
             calls(fresh.select(*KEY).distinct(), "get").unionByName(calls(moved, "set")).write.mode("overwrite").parquet(f"{box.out}/calls/epoch={epoch}")
             added = {"file_size": F.lit(None).cast("long"), "last_written": F.lit(None).cast("timestamp"), "seq": F.lit(epoch).cast("long"), "deleted": F.lit(False)}
             moved.withColumns(added).select(*CHECKPOINT.names).write.mode("overwrite").parquet(f"{box.out}/positions/epoch={epoch}")
+            box.expire(old, epoch)
 
     return run
 

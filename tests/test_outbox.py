@@ -167,6 +167,21 @@ def test_refused_batch_arrives_with_no_new_data(spark, tmp_path):
     assert [r.status for r in spark.read.parquet(f"{out}/attempts").orderBy("attempted_at").collect()] == [503, 503, 200]
 
 
+def test_payloads_and_old_epochs_go_once_no_sink_lacks_them(spark, tmp_path):
+    """A sink refuses one file for two micro-batches: what waits is kept, what every sink has goes, and a repetition finds all it needs."""
+    each, position, attempts = box(spark, tmp_path, lambda row: (503 if row.log_file == "g" and row.tries < 2 else 200, None), every=2)
+    names = lambda folder: sorted(p.name for p in (tmp_path / "out" / folder).iterdir() if not p.name.startswith((".", "_")))
+    kept = []
+    for epoch in (0, 1, 2, 3, 3, 4, 5, 5):
+        each(pages(spark, page(2 * epoch, 2 * epoch + 2), *([page(0, 2, file="g")] if epoch == 1 else [])), epoch)
+        kept.append([int(n[len("epoch=") :]) for n in names("payloads")])
+    # The batch of "g" is taken in epoch 3, which is repeated: until 4 its payload stays.
+    assert kept == [[0], [1], [1, 2], [1, 3], [1, 3], [4], [5], [5]]
+    assert position() == {"f": ("12", 12), "g": ("2", 2)} and attempts().where("status = 200").count() == 7
+    for log in ("lacks", "ahead", "files"):
+        assert names(log) == ["epoch=4", "epoch=5", "snapshot-4", "snapshot-6"]
+
+
 # -- sinks ------------------------------------------------------------------------------------------------------
 
 
