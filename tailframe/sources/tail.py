@@ -1,12 +1,12 @@
 """A live source of chunks: log files that grow in a folder all executors see, read page by page, as a stream or from given cursors.
 
-A file is read by ranges of bytes, large ones by several tasks. Pages end at line feeds, or if a page has none, between
-characters; so do ranges. An offset is the byte up to which each active file has been planned, always between characters, so a replay of
+A file is read by ranges of bytes, large ones by several tasks, and where there are many small ones, a task reads a run of them: the number of tasks grows
+with the bytes, not with the files. Pages end at line feeds, or if a page has none, between characters; so do ranges. An offset is the byte up to which each active file has been planned, always between characters, so a replay of
 the same offsets reads the same pages. Bytes that are no UTF-8 become replacement characters. Land what it yields (``land``) and run everything
 else from there.
 
-A range that can't be read holds up no other: it is a row with an error, and a hole. The task notes what it left unread in the source's ``state`` folder; the next offset takes holes
-up, until they are read or the file is cut shorter. A note is removed once a batch that took it up is committed, so a crash reads a hole once more and loses none. The state folder also says how far
+A range that can't be read holds up no other: it is a row with an error, and a hole. The task notes what it left unread in one file of the source's ``state`` folder; the next offset takes
+holes up, until they are read or the file is cut shorter. A note is removed once a batch that took it up is committed, so a crash reads a hole once more and loses none. The state folder also says how far
 files had been planned, so that a restarted reader counts truncations on.
 """
 
@@ -27,6 +27,8 @@ from tailframe.streaming.counters import observe_reads
 
 #: Key of an offset that is no file's name: generations of truncated files, and the holes taken up.
 _MORE = ""
+#: Ranges up to which each is a task of its own, and ranges of a task where there are more.
+APART, TOGETHER = 64, 4_096
 
 
 class _Range(InputPartition):
@@ -36,6 +38,30 @@ class _Range(InputPartition):
         self.path, self.name, self.first, self.start, self.stop, self.end, self.error, self.generation = path, name, first, start, stop, end, error, generation
 
 
+class _Run(InputPartition):
+    """Ranges that one task reads one after another."""
+
+    def __init__(self, parts: list[_Range]):
+        self.parts = parts
+
+
+def _tasks(found: list[_Range], task_bytes: int) -> list[InputPartition]:
+    """The ranges, each alone while they are few; else runs of neighbours of about equal size, none much above ``task_bytes``."""
+    if len(found) <= APART:
+        return found
+    size = lambda r: max(r.stop - r.start, 0)
+    most = min(max(1, task_bytes), -(-sum(map(size, found)) // APART) or 1)
+    longest = min(TOGETHER, -(-len(found) // APART))
+    runs, run, held = [], [], 0
+    for r in found:
+        if run and (held + size(r) > most or len(run) >= longest):
+            runs.append(_Run(run))
+            run, held = [], 0
+        run.append(r)
+        held += size(r)
+    return [*runs, _Run(run)]
+
+
 def _whole(data: bytes) -> int:
     """Bytes of ``data`` without a character that its end cuts."""
     for k in range(1, min(4, len(data) + 1)):
@@ -97,7 +123,7 @@ class _Files:
                     self.errors[name] = str(e)
         return dict(self.planned)
 
-    def ranges(self, start: dict, end: dict) -> list[_Range]:
+    def ranges(self, start: dict, end: dict) -> list[InputPartition]:
         found, more = [], end.get(_MORE, {})
         generations = more.get("generations", {})
         for n, size in sorted((n, size) for n, size in end.items() if n != _MORE):
@@ -105,13 +131,22 @@ class _Files:
             first = start.get(n, 0) if start.get(n, 0) <= size else 0
             found += [_Range(os.path.join(self.path, n), n, first, at, min(at + self.task, size), size, None, generations.get(n, 0)) for at in range(first, size, self.task)]
         found += [_Range(os.path.join(self.path, n), n, *span, None, g) for _, n, g, *span in more.get("holes", [])]
-        return found + [_Range(os.path.join(self.path, n), n, at := self.planned.get(n, 0), at, at, at, e, self.generations.get(n, 0)) for n, e in sorted(self.errors.items())]
+        found += [_Range(os.path.join(self.path, n), n, at := self.planned.get(n, 0), at, at, at, e, self.generations.get(n, 0)) for n, e in sorted(self.errors.items())]
+        return _tasks(found, self.task)
 
     def opened(self, part: _Range):
         return open(part.path, "rb")
 
-    def pages(self, part: _Range, note: bool = False) -> Iterator[tuple]:
-        """The pages of a range; ``note`` puts down what could not be read."""
+    def read(self, partition: _Range | _Run, note: bool = False) -> Iterator[tuple]:
+        """The pages of a task's ranges; ``note`` puts down what could not be read, when all others are."""
+        unread: list[list] = []
+        for part in partition.parts if isinstance(partition, _Run) else [partition]:
+            yield from self.pages(part, unread)
+        if note and unread:
+            self._note(unread)
+
+    def pages(self, part: _Range, unread: list[list]) -> Iterator[tuple]:
+        """The pages of a range; what could not be read goes into ``unread``."""
         now = dt.datetime.now(dt.timezone.utc)
         row = lambda a, b, data, error=None: (self.instance, self.engine, part.name, str(a), str(b), data, error is None and b < part.end, now, error, part.generation, a)
         if part.error:
@@ -134,22 +169,21 @@ class _Files:
                     first = at
                     yield row(begin, at, data.decode("utf-8", "replace"))
         except OSError as e:
-            if note:
-                self._note(part, first, at)
+            unread.append([part.name, part.generation, min(first, at), at, part.stop, part.end])
             yield row(at, at, None, str(e))
 
     # -- holes --------------------------------------------------------------------------------------------------
 
-    def _note(self, part: _Range, first: int, at: int) -> None:
-        """Written by the task that could not read; if even that fails, so does the task."""
+    def _note(self, unread: list[list]) -> None:
+        """Written by the task that could not read, one note for all; if even that fails, so does the task."""
         os.makedirs(f"{self.state}/unread", exist_ok=True)
         number = uuid.uuid4().hex
         with open(f"{self.state}/unread/.{number}", "w") as f:
-            json.dump([number, part.name, part.generation, min(first, at), at, part.stop, part.end], f)
+            json.dump([[number, *hole] for hole in unread], f)
         os.rename(f"{self.state}/unread/.{number}", f"{self.state}/unread/{number}")
 
     def holes(self, but: set[str]) -> list[list]:
-        """The notes of holes that can still be read, without those numbered ``but``."""
+        """The holes that can still be read, each with its note's number, without the notes numbered ``but``."""
         try:
             numbers = sorted(n for n in os.listdir(f"{self.state}/unread") if n[0] != "." and n not in but)
         except FileNotFoundError:
@@ -157,10 +191,11 @@ class _Files:
         found = []
         for n in numbers:
             with open(f"{self.state}/unread/{n}") as f:
-                note = json.load(f)
-            if note[2] == self.generations.get(note[1], 0):
-                found.append(note)
-            else:  # the file has started over, and what was not read is gone
+                noted = json.load(f)
+            noted = noted if isinstance(noted[0], list) else [noted]  # a note of a single hole, as they were before
+            left = [hole for hole in noted if hole[2] == self.generations.get(hole[1], 0)]
+            found += left
+            if not left:  # the files have started over, and what was not read is gone
                 os.remove(f"{self.state}/unread/{n}")
         return found
 
@@ -230,8 +265,8 @@ class _BatchReader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         return self.files.ranges(self.cursors, self.files.sizes())
 
-    def read(self, partition: _Range):
-        return self.files.pages(partition)
+    def read(self, partition: _Range | _Run):
+        return self.files.read(partition)
 
 
 class _ChoosingReader(_BatchReader):
@@ -264,8 +299,8 @@ class _TailReader(DataSourceStreamReader):
         self.files.remember(self.taken_up)
         return self.files.ranges(start, end)
 
-    def read(self, partition: _Range):
-        return self.files.pages(partition, note=True)
+    def read(self, partition: _Range | _Run):
+        return self.files.read(partition, note=True)
 
     def commit(self, end: dict) -> None:
         """Files that are gone need no offset any more: it is written in every batch, so only live files are kept."""

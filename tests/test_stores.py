@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,3 +101,34 @@ def test_reads_are_counted_live(spark, tmp_path):
         tail.land(spark, str(tmp_path / "logs"), out, mark, page_bytes="4").trigger(availableNow=True).start().awaitTermination()
     assert found.totals[counters.READS, "ok"] == 2 and found.totals[counters.READS, "bytes"] == 8
     assert [tuple(r) for r in found.api_calls().collect()] == [("read_page", "ok", 2)]
+
+
+def test_many_small_files_are_read_by_few_tasks(tmp_path):
+    n = 1_000
+    for k in range(n):
+        (tmp_path / f"{k:04}.log").write_text(f"line {k}\n" * (k % 3))
+    (tmp_path / "9999.log").write_text("x\n" * 1_000)
+    reader = tail.LogTail({"path": str(tmp_path), "task_bytes": "600"}).streamReader(None)
+    end = reader.latestOffset()
+    parts = reader.partitions({}, end)
+    assert tail.APART <= len(parts) < n // 4
+    rows = [r for p in parts for r in reader.read(p)]
+    assert "".join(r[5] for r in rows) == "".join(f"line {k}\n" * (k % 3) for k in range(n)) + "x\n" * 1_000
+
+
+def test_holes_of_one_task_are_one_note(tmp_path):
+    for k in range(200):
+        (tmp_path / f"{k:03}.log").write_text(f"line {k}\n")
+    files = tail._Files({"path": str(tmp_path)})
+    files.opened = lambda part: open(tmp_path / "nowhere")
+    reader = tail._TailReader(files)
+    first = reader.latestOffset()
+    parts = reader.partitions({}, first)
+    assert sum(r[8] is not None for p in parts for r in reader.read(p)) == 200
+    assert len(os.listdir(tmp_path / ".state" / "unread")) == len(parts) < 200
+    (tmp_path / "000.log").write_text("new\n")  # starts over: its hole is gone, the others of its note are not
+    again = tail._TailReader(tail._Files({"path": str(tmp_path)}))
+    second = again.latestOffset()
+    assert sorted(r[5] for p in again.partitions(first, second) for r in again.read(p)) == sorted(["new\n", *(f"line {k}\n" for k in range(1, 200))])
+    again.commit(second)
+    assert os.listdir(tmp_path / ".state" / "unread") == []
