@@ -460,10 +460,9 @@ def objects_roundtrip(spark, d):
 
 
 def log_tail_lines(spark, d):
-    """The lines as log files in a folder, read page by page through the live source."""
-    folder = shared_dir(spark, "logs").replace("file:///", "/", 1)
-    ordered = _records(spark, d).repartition("log_file").sortWithinPartitions("log_file", "chunk_no", "line_no")
-    ordered.select(F.regexp_extract("log_file", "([0-9]+)$", 1).alias("file"), "message").write.partitionBy("file").text(folder)
+    """The lines as log files in folders, read page by page through the live source."""
+    folder, ordered = _log_folder(spark, d, "logs")
+    _write_logs(ordered, folder, "file={}/part.txt")
     pages = live.read_pages(spark, folder, page_bytes="65536", task_bytes="200000")
     found = lines.split_lines(pages.where("error is null")).withColumn("file_no", F.regexp_extract("log_file", "file=([0-9]+)", 1).cast("long"))
     return found.groupBy("file_no").agg(F.count("*").alias("n_lines"), F.sum(fb.payload_bytes(F.col("message"))).alias("n_bytes"))
@@ -476,7 +475,7 @@ def _log_folder(spark, d, name: str):
     return folder, ordered.select("file_no", "chunk_no", "line_no", "message")
 
 
-def _write_logs(ordered: DataFrame, folder: str) -> None:
+def _write_logs(ordered: DataFrame, folder: str, named: str = "{}.log") -> None:
     """Each file's lines into a file of its own, from the executors, in the place of what it held."""
 
     def run(parts):
@@ -489,7 +488,9 @@ def _write_logs(ordered: DataFrame, folder: str) -> None:
                 if file_no != name:
                     if out:
                         out.close()
-                    name, out = file_no, open(f"{folder}/{file_no}.log", "w", encoding="utf-8", newline="\n")
+                    path = f"{folder}/{named.format(file_no)}"
+                    os.makedirs(os.path.dirname(path), exist_ok=True)
+                    name, out = file_no, open(path, "w", encoding="utf-8", newline="\n")
                 out.write(message + "\n")
         if out:
             out.close()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tailframe.operators import batches, deadletters, lines
+from tailframe.plans import queries
 from tailframe.schemas import LOG_PAGE
 from tailframe.sources import objects, sinks, tail
 from tailframe.streaming import counters
@@ -132,3 +133,12 @@ def test_holes_of_one_task_are_one_note(tmp_path):
     assert sorted(r[5] for p in again.partitions(first, second) for r in again.read(p)) == sorted(["new\n", *(f"line {k}\n" for k in range(1, 200))])
     again.commit(second)
     assert os.listdir(tmp_path / ".state" / "unread") == []
+
+
+def test_logs_are_written_whole_by_the_executors(spark, tmp_path):
+    rows = [(f, c, n, f"é {f} {c} {n}") for f in range(7) for c in range(3) for n in range(2)]
+    ordered = spark.createDataFrame(rows, "file_no long, chunk_no long, line_no int, message string").orderBy(F.rand(1))
+    queries._write_logs(ordered, str(tmp_path / "logs"), "file={}/part.txt")
+    for f in range(7):
+        assert (tmp_path / "logs" / f"file={f}" / "part.txt").read_text() == "".join(m + "\n" for g, *_, m in rows if g == f)
+    assert len(list((tmp_path / "logs").rglob("*.*"))) == 7
