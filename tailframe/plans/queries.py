@@ -342,10 +342,20 @@ def line_generations(spark, d):
 
 def _landed(spark, d):
     """The chunk table as files in a folder, as a live source would have left them."""
+    folder, schema, _ = _landed_wide(spark, d)
+    return folder, schema
+
+
+def _landed_wide(spark, d, files: int = 4):
+    """The same in so many files, and half their number: a micro-batch of that many files keeps as many tasks busy."""
     chunks = _chunks(spark, d)
     folder = shared_dir(spark, "landed")
-    chunks.repartition(4, "instance_id", "log_file").write.parquet(folder)
-    return folder, chunks.schema
+    chunks.repartition(files, "instance_id", "log_file").write.parquet(folder)
+    return folder, chunks.schema, files // 2
+
+
+def _width(spark) -> int:
+    return max(4, 2 * spark.sparkContext.defaultParallelism)
 
 
 def stream_tail(spark, d):
@@ -356,9 +366,9 @@ def stream_tail(spark, d):
 
 def stream_dedupe(spark, d):
     """Every chunk lands twice; each line comes out once. The state is a row a file."""
-    folder, schema = _landed(spark, d)
-    spark.read.schema(schema).parquet(folder).coalesce(2).write.mode("append").parquet(folder)
-    out = tail.run_to_end(tail.dedupe_chunks(tail.tail_chunks(spark, folder, schema, 2)), "deduped")
+    folder, schema, half = _landed_wide(spark, d, _width(spark))
+    spark.read.schema(schema).parquet(folder).coalesce(half).write.mode("append").parquet(folder)
+    out = tail.run_to_end(tail.dedupe_chunks(tail.tail_chunks(spark, folder, schema, half)), "deduped")
     return _line_counts(lines.records(spark.read.parquet(out)))
 
 
@@ -572,9 +582,9 @@ def stream_store_ops(spark, d):
 
 def stream_objects(spark, d):
     """Lines of the objects in the manifest that a stream writer committed."""
-    folder, schema = _landed(spark, d)
+    folder, schema, half = _landed_wide(spark, d, _width(spark))
     root = shared_dir(spark, "objects").replace("file:///", "/", 1)
-    made = batches.chunk_batches(tail.tail_chunks(spark, folder, schema, 2))
+    made = batches.chunk_batches(tail.tail_chunks(spark, folder, schema, half))
     objects.write_stream(made, root, shared_dir(spark, "mark"), "logs/").trigger(availableNow=True).start().awaitTermination()
     listed = objects.read_manifest(spark, root).groupBy(*KEY).agg(F.count("*").alias("n_objects"), F.sum("n_records").alias("n_listed"))
     return _line_counts(sinks.read_ndjson(spark, f"{root}/logs", recursive=True)).join(listed, KEY)

@@ -6,8 +6,10 @@ import datetime as dt
 import errno
 import gzip
 import http.client
+import io
 import json
 import random
+import re
 import string
 import time
 import urllib.error
@@ -45,20 +47,118 @@ def _names() -> dict[str, Column]:
     }
 
 
+def _file_system(root: str) -> tuple[pafs.FileSystem, str]:
+    where = root.replace("file:///", "/", 1)
+    fs, base = pafs.FileSystem.from_uri(where) if "://" in where else (pafs.LocalFileSystem(), where)
+    return fs, base.rstrip("/")
+
+
+def _folder_name(name: str, value: str | None) -> str:
+    """``name=value``, escaped as Spark does it."""
+    return f"{name}=" + (re.sub(r"[\x00-\x1f\"#%'*/:=?\\\x7f{\[\]^]", lambda m: f"%{ord(m[0]):02X}", value) if value else "__HIVE_DEFAULT_PARTITION__")
+
+
 def write_ndjson(records: DataFrame, path: str) -> None:
-    """One gzip NDJSON folder per batch, lines in payload order, for tables of moderate size: each batch is a partition.
+    """One gzip NDJSON object per batch, lines in payload order, in folders by instance, engine, file and day, written from the executors.
+
+    The object's path depends on the batch and the day of fetching, and only the objects that are written are replaced, so a retry from landed chunks puts its
+    object in the place of the first one. An object is written under another name first and then moved. ``write_objects`` takes assembled batches and uses the keys of ``object_manifest``.
+    """
+    shown = F.struct(*(F.nullif(F.col(c), F.lit("")).alias(c) if c in ("marker", "batch_id") else F.col(c) for c in records.columns if c != "line_no"))
+    # An empty name and none are the same folder, so they must be one group as well.
+    named = records.withColumns({k: F.nullif(v, F.lit("")) for k, v in _names().items()}).withColumn("_json", F.to_json(shown, {"timestampFormat": JSON_TIME}))
+    ordered = named.repartition(*PARTS).sortWithinPartitions(*PARTS, "line_no").select(*PARTS, "_json")
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, base = _file_system(path)
+        last = folder = draft = out = None
+        n = 0
+
+        def close() -> None:
+            out.close()
+            fs.move(draft, f"{folder}/{_folder_name(PARTS[-1], last[-1])}.json.gz")
+
+        for part in parts:
+            for *key, line in part.itertuples(index=False, name=None):
+                if key != last:
+                    if out:
+                        close()
+                    if last is None or key[:-1] != last[:-1]:
+                        folder = "/".join([base, *map(_folder_name, PARTS[:-1], key)])
+                        fs.create_dir(folder, recursive=True)
+                    last, draft, n = key, f"{folder}/.{uuid.uuid4().hex}", n + 1
+                    out = _Gzip(fs.open_output_stream(draft, compression=None))
+                out.write(line.encode("utf-8", "surrogatepass") + b"\n")
+        if out:
+            close()
+        yield pd.DataFrame({"n": [n]})
+
+    ordered.mapInPandas(run, "n long").agg(F.sum("n")).collect()
+
 
-    The path depends on the batch and the day of fetching, and only the partitions that are written are replaced, so a retry from landed chunks puts its
-    object in the place of the first one. ``write_objects`` has no folder a batch and uses the keys of ``object_manifest``.
+class _Gzip(gzip.GzipFile):
+    """The same bytes for the same lines, and the stream below is closed as well."""
+
+    def __init__(self, stream):
+        super().__init__(filename="", mode="wb", fileobj=stream, mtime=0)
+        self._stream = stream
+
+    def close(self) -> None:
+        super().close()
+        self._stream.close()
+
+
+def list_objects(spark, path: str, recursive: bool = True) -> DataFrame:
+    """``path`` of every file below a folder; without ``recursive`` only of folders named as partitions are. Names that begin with a dot or an underscore are left out, as Spark does.
+
+    Each level of folders is listed by tasks and written to the shared folder, so the driver holds no names, however many.
     """
-    named = records.withColumns(_names()).repartition(*PARTS).sortWithinPartitions(*PARTS, "line_no")
-    shown = named.drop("line_no").withColumns({"marker": F.nullif(F.col("marker"), F.lit("")), "batch_id": F.nullif(F.col("batch_id"), F.lit(""))})
-    shown.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "gzip").option("timestampFormat", JSON_TIME).partitionBy(*PARTS).json(path)
+
+    def listed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, _ = _file_system(path)
+        for part in parts:
+            for folder in part["path"]:
+                found = [i for i in fs.get_file_info(pafs.FileSelector(folder)) if i.base_name[0] not in "._"]
+                found = [(i.path, i.type == pafs.FileType.Directory) for i in found if recursive or i.type == pafs.FileType.File or "=" in i.base_name]
+                for k in range(0, len(found), 10_000):
+                    yield pd.DataFrame(found[k : k + 10_000], columns=["path", "folder"])
+
+    fs, base = _file_system(path)
+    kind = fs.get_file_info(base).type
+    if kind == pafs.FileType.NotFound:
+        raise FileNotFoundError(path)
+    level = spark.createDataFrame([(base, kind == pafs.FileType.Directory)], "path string, folder boolean")
+    found = level.where("not folder")
+    while not (folders := level.where("folder").select("path")).isEmpty():
+        level = staged(folders.repartition(4 * spark.sparkContext.defaultParallelism, "path").mapInPandas(listed, level.schema), "listed")
+        found = found.unionByName(level.where("not folder"))
+    return found.select("path")
 
 
 def read_ndjson(spark, path: str, recursive: bool = False) -> DataFrame:
+    """The records of all objects below ``path``, by ``list_objects``.
+
+    There is an object a batch, so tasks list, open and read them, many each: Spark's own reader would hold the status of each in the driver.
+    """
     schema = "instance_id string, engine string, log_file string, timestamp timestamp, message string, marker string, batch_id string"
-    return spark.read.schema(schema).option("recursiveFileLookup", recursive).json(path).select(*(f.split(" ")[0] for f in schema.split(", ")))
+
+    def lines(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, _ = _file_system(path)
+        held, size = [], 0
+        for part in parts:
+            for name in part["path"]:
+                with fs.open_input_stream(name, compression=None) as f, gzip.open(f) if name.endswith(".gz") else io.BufferedReader(f) as body:
+                    for line in body:
+                        held.append(line.rstrip(b"\r\n"))
+                        size += len(line)
+                        if size > 1 << 22:
+                            yield pd.DataFrame({"line": held})
+                            held, size = [], 0
+        yield pd.DataFrame({"line": held})
+
+    found = list_objects(spark, path, recursive).repartition(4 * spark.sparkContext.defaultParallelism, "path")
+    text = found.mapInPandas(lines, "line binary").where(F.octet_length("line") > 0)
+    return text.select(F.from_json(F.col("line").cast("string"), schema).alias("_r")).select("_r.*")
 
 
 def object_manifest(batches: DataFrame, prefix: str, kms_key: str = "") -> DataFrame:
@@ -163,13 +263,11 @@ def post_webhooks(frame: DataFrame, url: str, gzipped: bool = False, max_attempt
 
 
 def _store(root: str) -> Callable[[], Send]:
-    where = root.replace("file:///", "/", 1)
-
     def send(row) -> tuple[int, str | None]:
         try:
             body = "".join(line + "\n" for line in _array_items(row.payload)).encode("utf-8", "surrogatepass")
-            fs, base = (pafs.FileSystem.from_uri(where) if "://" in where else (pafs.LocalFileSystem(), where))
-            path = f"{base.rstrip('/')}/{row.object_key}"
+            fs, base = _file_system(root)
+            path = f"{base}/{row.object_key}"
             fs.create_dir(path.rpartition("/")[0], recursive=True)
             draft = f"{path}.{uuid.uuid4().hex}"
             with fs.open_output_stream(draft, compression=None) as f:

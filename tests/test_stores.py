@@ -142,3 +142,21 @@ def test_logs_are_written_whole_by_the_executors(spark, tmp_path):
     for f in range(7):
         assert (tmp_path / "logs" / f"file={f}" / "part.txt").read_text() == "".join(m + "\n" for g, *_, m in rows if g == f)
     assert len(list((tmp_path / "logs").rglob("*.*"))) == 7
+
+
+def test_objects_are_listed_and_read_by_tasks(spark, tmp_path):
+    root = tmp_path / "root"
+    odd = 'a b/ü%1.log'
+    rows = [("i/1", "postgres", odd, T0, f"line {k} é", "m", b, k) for b in ("b1", "b2", "", None) for k in range(3)]
+    records = spark.createDataFrame(rows, "instance_id string, engine string, log_file string, timestamp timestamp, message string, marker string, batch_id string, line_no int")
+    for _ in range(2):
+        sinks.write_ndjson(records, str(root))
+    assert len(list(root.rglob("*.json.gz"))) == 3 and len([p for p in root.rglob("*") if p.is_file()]) == 3
+    got = sinks.read_ndjson(spark, str(root))
+    assert "FileScan" not in got._jdf.queryExecution().executedPlan().toString().replace("FileScan parquet", "")
+    assert sorted((r.batch_id or "", r.message) for r in got.collect()) == sorted((r[6] or "", r[4]) for r in rows)
+    assert {(r.instance_id, r.log_file, r.timestamp) for r in got.collect()} == {("i/1", odd, T0)}
+    (root / "plain").mkdir()
+    (root / "plain" / "x.json").write_text('{"message": "in a plain folder"}\n\n')
+    assert sinks.read_ndjson(spark, str(root)).count() == 12 and sinks.read_ndjson(spark, str(root), recursive=True).count() == 13
+    assert sinks.list_objects(spark, str(root)).count() == 4
