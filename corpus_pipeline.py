@@ -40,7 +40,10 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by four fifths or more of all their 5-word shingles in common."""
+    """One document of each group linked by four fifths or more of all their 5-word shingles in common.
+
+    SimHash fingerprints and their pigeonhole blocks link first, each link checked by its shingles; an exact join finds what fingerprints can't.
+    """
     return simhash.one_of_each(docs, width=5, percent=80)
 
 

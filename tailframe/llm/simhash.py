@@ -9,9 +9,10 @@ both, so each emits itself and its 64 one-bit neighbours, and whoever meets at a
 there (at most 65 can meet). Components come from rounds of smallest-label passing with pointer jumping.
 
 Fingerprints of texts that share four fifths of their shingles differ in up to a dozen bits, which no pigeonhole
-blocks find at a bearable cost. ``similar_texts`` therefore links texts by the Jaccard similarity of their shingle
-sets itself, in an exact join: two such sets share a shingle among the first ``n - need + 1`` of each in one common
-order (prefix filter), and whatever meets there is verified. See ``link_similar``. The pipeline's stage is this join, under the name of the fingerprints' operator.
+blocks find at a bearable cost. ``similar_texts`` therefore goes two steps, both checked by the Jaccard similarity of the shingle
+sets itself. First the fingerprints: what they put into one component is compared with one text of it (``link_by_fingerprint``), which links most of a large group without pairs. Then an exact
+join of what is not linked by then: two such sets share a shingle among the first ``n - need + 1`` of each in one common
+order (prefix filter), and whatever meets there is verified. See ``link_similar``.
 
 Edge cases: null and empty texts have fingerprint zero and link like any other; a null id is never a component's
 name, and a component of null ids alone has a null name; repeated rows get the same component; equal ids or fingerprints
@@ -142,9 +143,10 @@ def _add_prefixes(batches: Iterator[pa.RecordBatch], at: int, width: int, percen
     for batch in batches:
         for start in range(0, batch.num_rows, 1_000):
             part = batch.slice(start, 1_000)
-            fps, sizes, prefixes, rares, sketches = [], [], [], [], []
+            fps, sizes, prefixes, rares, sketches, prints = [], [], [], [], [], []
             for x in part.column(at):
                 s = shingles(x.as_py(), width)
+                prints.append(fingerprint(x.as_py()))
                 place = np.minimum(np.searchsorted(common, s), len(common) - 1)
                 seen = np.where(common[place] == s, counts[place], 0)
                 order = np.lexsort((s, seen))
@@ -155,8 +157,8 @@ def _add_prefixes(batches: Iterator[pa.RecordBatch], at: int, width: int, percen
                 sketches.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
                 prefixes.append(s[order[: len(s) + percent * len(s) // -100 + 1]])
                 rares.append(int((seen == 0).sum()))
-            new = [pa.array(fps, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(rares, pa.int32()), pa.array(sketches, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, "fp", "n", "keys", "rare", "sketch"])
+            new = [pa.array(fps, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(rares, pa.int32()), pa.array(sketches, pa.list_(pa.int64())), pa.array(prints, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, "fp", "n", "keys", "rare", "sketch", "print"])
 
 
 def with_sets(df: DataFrame, text_col: str, width: int) -> DataFrame:
@@ -168,7 +170,7 @@ def with_sets(df: DataFrame, text_col: str, width: int) -> DataFrame:
 
 
 def with_prefixes(df: DataFrame, width: int, percent: int) -> DataFrame:
-    """Adds ``fp``, the set's size ``n``, its prefix ``keys`` and its ``sketch`` to rows with a ``text``, which is replaced by its hash.
+    """Adds ``fp``, the set's size ``n``, its prefix ``keys``, its ``sketch`` and the text's fingerprint ``print`` to rows with a ``text``, which is replaced by its hash.
 
     Shingles stand in the order of their number in a sample, then of their hash. Any order gives the same links;
     this one keeps shingles of many texts out of the prefixes. The first ``rare`` shingles are not common in the sample. A sketch's bits are the parities of the numbers of
@@ -179,7 +181,7 @@ def with_prefixes(df: DataFrame, width: int, percent: int) -> DataFrame:
     found = np.array(sorted((r.s, r.c) for r in rows) or [(0, 0)], np.int64)
     shared = df.sparkSession.sparkContext.broadcast((found[:, 0].copy(), found[:, 1].copy()))
     at = df.columns.index("text")
-    schema = T.StructType([*df.schema.fields, T.StructField("fp", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("rare", T.IntegerType()), T.StructField("sketch", T.ArrayType(T.LongType()))])
+    schema = T.StructType([*df.schema.fields, T.StructField("fp", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("rare", T.IntegerType()), T.StructField("sketch", T.ArrayType(T.LongType())), T.StructField("print", T.LongType())])
     return df.mapInArrow(lambda batches: _add_prefixes(batches, at, width, percent, *shared.value), schema).withColumn("text", F.xxhash64("text"))
 
 
@@ -242,18 +244,28 @@ def _shared_keys(rows: DataFrame, percent: int) -> DataFrame:
     return picked.select("key", "fp", "place", "rows", "low", "high")
 
 
+def link_by_fingerprint(nodes: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """Pairs (x, y) of a set and that chosen by hash in its component of fingerprints, with their sketches: as many as there are sets at most."""
+    prints = staged(nodes.select(F.col("print").alias("fp")).distinct(), "prints")
+    labels = staged(components(link_fingerprints(prints, bucket)), "print-labels")
+    named = staged(nodes.join(labels, nodes["print"] == labels["node"], "left").select("fp", "n", "sketch", F.coalesce("label", "print").alias("of")), "print-sets")
+    one = named.groupBy("of").agg(F.min_by(F.struct("fp", "n", "sketch"), F.xxhash64("fp")).alias("y"), F.count("*").alias("sets")).where("sets > 1").drop("sets")
+    pairs = named.join(one, "of").select(F.struct("fp", "n", "sketch").alias("x"), "y")
+    return pairs.where("x.fp <> y.fp")
+
+
 def link_similar(rows: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Edges (src > dst) whose components are those of "Jaccard similarity of ``percent`` or more" among distinct ``fp``.
 
     ``rows`` are those of ``with_prefixes``, ``texts`` has the columns ``doc_id`` and ``text``. A large group of near copies would
-    give pairs by the square of its size. So every set first meets few sets of each of its keys: that with the most
+    give pairs by the square of its size. So what fingerprints link goes first, and every set then meets few sets of each of its keys that it isn't linked with: that with the most
     shared keys, which is the text the others were made from if there is one, and some chosen by hash. What is linked by
     then need not meet any more: of each key, all outside its largest component so far meet all of another component.
     Pairs are made only if their sizes, the keys' places and their sketches leave the similarity possible: two sketches
     differ in no more bits than their sets in shingles. In the second meeting of keys of more than ``BUCKET`` sets, sketches stand beside the
     keys, so that such a key's pairs are made only if they leave it possible.
     """
-    nodes = staged(rows.groupBy("fp").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min(F.struct("doc_id", "text")).alias("one")), "sets")
+    nodes = staged(rows.groupBy("fp").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("print").alias("print"), F.min(F.struct("doc_id", "text")).alias("one")), "sets")
     shared = staged(_shared_keys(rows, percent), "shared-keys")
     # Two rows are one pair; keys with more go on.
     size_at = lambda place: (F.shiftright(place, _AT_BITS).cast("int").alias("n"), place.bitwiseAND(F.lit(_AT_MOST)).cast("int").alias("at"))
@@ -283,17 +295,27 @@ def link_similar(rows: DataFrame, texts: DataFrame, width: int, percent: int) ->
         half = staged(staged(pairs, "pairs").join(sketches, F.col("a") == F.col("fp")).select(F.struct(F.col("a").alias("fp"), F.col("an").alias("n"), "sketch").alias("x"), "b", "bn"), "pairs-half")
         return close(half.join(sketches, F.col("b") == F.col("fp")).select("x", F.struct(F.col("b").alias("fp"), F.col("bn").alias("n"), "sketch").alias("y")))
 
-    row = F.struct("fp", "n", "at")
+    # By fingerprints first.
+    printed = staged(close(link_by_fingerprint(nodes)), "pairs-printed")
+    first = staged(ends(printed), "printed-sets")
+    sets = _sets_of(first, nodes, texts, width)
+    linked = _verified(printed, sets, percent)
+    labels = staged(components(linked), "printed-labels")
+    keyed = staged(keyed.join(labels, keyed["fp"] == labels["node"], "left").select(*keyed.columns, F.coalesce("label", "fp").alias("label")), "keyed-printed")
+
+    row = F.struct("fp", "n", "at", "label")
     one = [F.max_by(row, F.struct("share", "fp")), *(F.min_by(row, F.xxhash64(F.lit(k), "fp")) for k in range(1, ROUNDS))]
     met = staged(keyed.groupBy("key").agg(F.array_distinct(F.array(*one)).alias("ones")).select("key", F.explode("ones").alias("one")).select("key", "one.*"), "met")
-    pairs = fits(keyed.alias("x").join(met.alias("y"), F.col("x.key") == F.col("y.key"))).select(*ids).union(fits(twos).select(*ids)).distinct()
-    pairs = staged(sketched(pairs), "pairs-close")
-    wanted = staged(ends(pairs), "close-sets")
-    sets = _sets_of(wanted, nodes, texts, width)
-    edges = _verified(pairs, sets, percent)
+    met = keyed.alias("x").join(met.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")))
+    pairs = fits(met).select(*ids).union(fits(twos).select(*ids)).distinct()
+    pairs = staged(sketched(pairs).join(printed, ["src", "dst"], "left_anti"), "pairs-close")
+    wanted = staged(ends(pairs).union(first).distinct(), "close-sets")
+    further = staged(wanted.join(first, "fp", "left_anti"), "close-further")
+    sets = sets.unionByName(_sets_of(further, nodes, texts, width))
+    edges = staged(linked.unionByName(_verified(pairs, sets, percent)), "edges")
     labels = components(edges)
     # Each key's rows with their component so far, and whether that is the key's largest. Two sets of a key have met.
-    named = staged(keyed.join(labels, keyed["fp"] == labels["node"], "left").select("key", "fp", "n", "at", F.coalesce("label", "fp").alias("label")), "keyed-labels")
+    named = staged(keyed.drop("label").join(labels, keyed["fp"] == labels["node"], "left").select("key", "fp", "n", "at", F.coalesce("label", "fp").alias("label")), "keyed-labels")
     sizes = staged(named.groupBy("key", "label").agg(F.count("*").alias("size")), "label-sizes")
     largest = sizes.groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("largest"), F.count("*").alias("labels"), F.sum("size").alias("all")).where("labels > 1 and all > 2").select("key", "largest", "all")
     open_ = staged(named.join(staged(largest, "largest"), "key"), "keyed-open")
@@ -302,7 +324,7 @@ def link_similar(rows: DataFrame, texts: DataFrame, width: int, percent: int) ->
     near = F.coalesce((100 + percent) * (total - _differ(F.col("x.short"), F.col("y.short"))) >= 2 * percent * total, F.lit(True))
     apart = fits(open_.where("label <> largest").alias("x").join(open_.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")))).where(near)
     apart = sketched(apart.select(*ids).distinct())
-    pairs = staged(staged(apart, "pairs-apart").join(pairs, ["src", "dst"], "left_anti"), "pairs-left")
+    pairs = staged(staged(apart, "pairs-apart").join(pairs.union(printed), ["src", "dst"], "left_anti"), "pairs-left")
     more = staged(ends(pairs).join(wanted, "fp", "left_anti"), "close-more")
     if not more.isEmpty():
         sets = sets.unionByName(_sets_of(more, nodes, texts, width))
