@@ -88,3 +88,13 @@ def test_copies_that_only_their_origin_links(spark):
     assert brute_kept(rows) == [0]
     assert [r.doc_id for r in simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()] == [0]
     assert sorted(r.doc_id for r in simhash.one_of_each(spark.createDataFrame(rows[1:], "doc_id long, text string")).collect()) == brute_kept(rows[1:])
+
+
+def test_fingerprints_link_a_group_before_its_keys_meet(spark):
+    """A pair a set at most comes from fingerprints, whatever the group's size, and equal sets make none."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(3000)}" for _ in range(400)]
+    rows = [(k, " ".join([*base[:at], f"new{k}", *base[at:]])) for k, at in enumerate(rng.choices(range(400), k=120))]
+    made = simhash.with_prefixes(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80)
+    pairs = simhash.link_by_fingerprint(made).select("x.fp", "y.fp").collect()
+    assert 60 < len(pairs) < 120 and all(a != b for a, b in pairs) and len({a for a, _ in pairs}) == len(pairs)
