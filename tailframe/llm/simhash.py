@@ -2,11 +2,11 @@
 
 Equal fingerprints are collapsed first, by an aggregation that combines before it shuffles. Two fingerprints that
 differ in at most 2 of 64 bits agree in at least two of four 16-bit blocks, so each distinct fingerprint is
-placed under six keys, one for each pair of blocks, and pairs that share a key are verified by Hamming distance.
+placed under six keys, one for each pair of blocks, and what shares a key is verified by Hamming distance.
 A key with more than ``BUCKET`` distinct fingerprints would give too many pairs. Its fingerprints are linked by
 an exact way without pairs: two fingerprints lie within 2 bits just if some 64-bit word lies within 1 bit of
-both, so each emits itself and its 64 one-bit neighbours, and whoever meets at a word links to the smallest
-there (at most 65 can meet). Components come from rounds of smallest-label passing with pointer jumping.
+both, so each emits itself and its 64 one-bit neighbours, and whoever meets at a word is linked (at most 65 can
+meet). Components come from rounds that move nodes to their smallest neighbours and drop the edges inside.
 
 Fingerprints of texts that share four fifths of their shingles differ in up to a dozen bits, which no pigeonhole
 blocks find at a bearable cost. ``similar_texts`` therefore goes two steps, both checked by the Jaccard similarity of the shingle
@@ -49,6 +49,7 @@ SHORT = 64
 #: Keys of a task that counts them.
 KEYS_A_TASK = 400_000
 _AT_BITS = 20
+_ALL = (1 << 64) - 1
 _AT_MOST = (1 << _AT_BITS) - 1
 
 
@@ -79,42 +80,77 @@ def with_fingerprints(df: DataFrame, text_col: str = "text") -> DataFrame:
     return df.mapInArrow(lambda batches: _add_fingerprints(batches, at), schema).drop(text_col)
 
 
-def _near(a: str, b: str):
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= 2
+def _forest(fps: list[int]) -> Iterator[tuple[int, int]]:
+    """Edges from fingerprints to the smallest of these that is reachable over links of 2 bits or fewer among these."""
+    rest = sorted(fps)
+    while rest:
+        least, *rest = rest
+        todo = [least]
+        while todo and rest:
+            at = todo.pop()
+            near = [x for x in rest if ((x ^ at) & _ALL).bit_count() <= 2]
+            if near:
+                rest = [x for x in rest if x not in near]
+                todo += near
+                yield from ((x, least) for x in near)
+
+
+def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        edges = [e for fps in batch.column(0).to_pylist() for e in _forest(fps)]
+        yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], names=["src", "dst"])
 
 
 def link_fingerprints(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """Edges (src > dst) whose components are those of "differs in at most 2 bits" among the distinct ``fp``."""
+    """Edges (src > dst) whose components are those of "differs in at most 2 bits" among the distinct ``fp``.
+
+    They are a few for each fingerprint, however many lie close to it: a small key gives a spanning forest of its links. At a word of a
+    large key's fingerprints not these themselves link, but the smallest that each has met at any word, of which most are the same.
+    """
     block = [F.shiftrightunsigned("fp", 16 * k).bitwiseAND(F.lit(0xFFFF)) for k in range(4)]
     keys = [F.struct(F.lit(n).alias("n"), block[i].alias("a"), block[j].alias("b")) for n, (i, j) in enumerate(itertools.combinations(range(4), 2))]
     keyed = fps.select("fp", F.explode(F.array(*keys)).alias("key"))
     sizes = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     keyed = staged(keyed.join(sizes, "key").select("fp", "key.*", "size"), "simhash-keys")
-    few = keyed.where(F.col("size") <= bucket)
-    on = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("n", "a", "b")]
-    pairs = few.alias("x").join(few.alias("y"), [*on, F.col("x.fp") > F.col("y.fp")]).select(F.col("x.fp").alias("src"), F.col("y.fp").alias("dst")).where(_near("src", "dst"))
+    few = keyed.where(F.col("size") <= bucket).groupBy("n", "a", "b").agg(F.collect_list("fp").alias("all"))
+    pairs = few.select("all").mapInArrow(_forests, "src long, dst long")
     many = keyed.where(F.col("size") > bucket).select("fp").distinct()
-    middles = [F.col("fp"), *(F.col("fp").bitwiseXOR(F.lit(1 << k if k < 63 else -(1 << 63))) for k in range(64))]
-    meets = many.select("fp", F.explode(F.array(*middles)).alias("m")).groupBy("m").agg(F.collect_list("fp").alias("all")).where(F.size("all") > 1)
-    stars = meets.select(F.explode("all").alias("src"), F.array_min("all").alias("dst")).where("src <> dst")
-    return pairs.union(stars).distinct()
+    middles = F.array(F.col("fp"), *(F.col("fp").bitwiseXOR(F.lit(1 << k if k < 63 else -(1 << 63))) for k in range(64)))
+
+    def meets(rows: DataFrame, who: str) -> DataFrame:
+        met = rows.select(F.col(who).alias("who"), F.explode(middles).alias("m")).groupBy("m").agg(F.collect_set("who").alias("all")).where(F.size("all") > 1)
+        return met.select(F.explode("all").alias("src"), F.array_min("all").alias("dst"))
+
+    lowest = staged(meets(many, "fp").groupBy("src").agg(F.min("dst").alias("dst")), "simhash-lowest")
+    across = meets(lowest.select(F.col("src").alias("fp"), "dst"), "dst")
+    return pairs.union(lowest).union(across).where("src <> dst").distinct()
 
 
 def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """(node, label): label is the smallest node reachable. Nodes without an edge have no row."""
-    edges = staged(edges, "links")
-    both = staged(edges.union(edges.select("dst", "src")).distinct(), "links-both")
-    labels = staged(both.groupBy(F.col("src").alias("node")).agg(F.least(F.first("src"), F.min("dst")).alias("label")), "labels")
+    """(node, label): label is the smallest node reachable. Nodes without an edge have no row.
+
+    A round moves each node to the smallest of its neighbours and itself, and that one's, and keeps the edges between different nodes that this leaves, once each.
+    Two rounds at least halve the nodes with edges, and the join of edges and moves gets a row for each edge that is left, not for each edge and round.
+    """
+    left, moves = staged(edges.where("src <> dst").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct(), "links"), []
     for _ in range(max_rounds):
-        seen = both.join(labels, both["src"] == labels["node"]).groupBy(F.col("dst").alias("to")).agg(F.min("label").alias("least"))
-        lower = labels.join(seen, labels["node"] == seen["to"], "left").select("node", F.col("label").alias("old"), F.least("label", "least").alias("label"))
-        lower = staged(lower, "lower")
-        up = lower.select(F.col("node").alias("at"), F.col("label").alias("jump"))
-        jumped = staged(lower.join(up, lower["label"] == up["at"]).select("node", "old", F.least("label", "jump").alias("label")), "labels")
-        labels = jumped.select("node", "label")
-        if jumped.where("old <> label").isEmpty():
-            return labels
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        both = left.union(left.select("dst", "src"))
+        up = staged(both.groupBy(F.col("src").alias("node")).agg(F.least(F.first("src"), F.min("dst")).alias("label")), "up")
+        above = up.select(F.col("node").alias("at"), F.col("label").alias("jump"))
+        moved = staged(up.join(above, up["label"] == above["at"]).select("node", F.col("jump").alias("label")), "moved")
+        moves.append(moved)
+        half = staged(left.join(moved, left["src"] == moved["node"]).select(F.col("label").alias("src"), "dst"), "links-half")
+        whole = half.join(moved, half["dst"] == moved["node"]).select("src", F.col("label").alias("dst")).where("src <> dst")
+        left = staged(whole.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct(), "links-left")
+        if left.isEmpty():
+            break
+    else:
+        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    labels = moves.pop()
+    while moves:
+        last, moved = labels.select(F.col("node").alias("at"), F.col("label").alias("end")), moves.pop()
+        labels = staged(moved.join(last, moved["label"] == last["at"], "left").select("node", F.coalesce("end", "label").alias("label")), "labels")
+    return labels
 
 
 def shingles(text: str | None, width: int) -> np.ndarray:

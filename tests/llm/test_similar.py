@@ -98,3 +98,34 @@ def test_fingerprints_link_a_group_before_its_keys_meet(spark):
     made = simhash.with_prefixes(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80)
     pairs = simhash.link_by_fingerprint(made).select("x.fp", "y.fp").collect()
     assert 60 < len(pairs) < 120 and all(a != b for a, b in pairs) and len({a for a, _ in pairs}) == len(pairs)
+
+
+def test_links_of_a_large_group_of_fingerprints_grow_with_its_members(spark):
+    """Fingerprints with up to three changed bits of 20, in large keys and small ones: few edges a member, and the components of all pairs."""
+    rng = random.Random(6)
+    fps = {0x5A5A << 40}
+    while len(fps) < 700:
+        fps.add((0x5A5A << 40) ^ sum(1 << k for k in rng.sample(range(6, 26), rng.randint(1, 3))))
+    fps = sorted(fps | {rng.getrandbits(63) - 2**62 for _ in range(50)})
+    name = {x: x for x in fps}
+    for x, y in itertools.combinations(fps, 2):
+        if ((x ^ y) & (2**64 - 1)).bit_count() <= 2 and name[x] != name[y]:
+            name = {k: name[x] if v == name[y] else v for k, v in name.items()}
+    for bucket in (4, simhash.BUCKET, 1000):
+        edges = simhash.link_fingerprints(spark.createDataFrame([(x,) for x in fps], "fp long"), bucket)
+        found = {r.node: r.label for r in simhash.components(edges).collect()}
+        assert {x: found.get(x, x) for x in fps} == name
+        assert edges.count() <= 6 * len(fps)
+
+
+def test_components_of_paths_stars_and_random_graphs(spark):
+    rng = random.Random(7)
+    ids = rng.sample(range(10**6), 700)
+    edges = [*zip(ids[:300], ids[1:301]), *((ids[310], x) for x in ids[311:400]), *(tuple(rng.sample(ids[400:], 2)) for _ in range(200)), (ids[0], ids[0])]
+    name = {x: x for x in ids}
+    for x, y in edges:
+        low, high = sorted((name[x], name[y]))
+        name = {k: low if v == high else v for k, v in name.items()}
+    found = {r.node: r.label for r in simhash.components(spark.createDataFrame(edges, "src long, dst long"), 20).collect()}
+    assert {x: found.get(x, x) for x in ids} == name and set(found) == {x for e in edges for x in e}
+    assert not simhash.components(spark.createDataFrame([], "src long, dst long")).collect()
