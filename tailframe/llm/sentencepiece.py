@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding with a shared-prefix Viterbi search.
 
 A text is normalised as the model says (dummy prefix, spaces to the marker U+2581) and cut into marked words,
-each a run of markers and what follows up to the next marker. No piece crosses such a cut (checked on loading), so
-words are encoded one by one, and each distinct word of a slice of rows once: the distinct words are sorted,
+each a run of markers and what follows up to the next marker; a word is cut again where letters meet other characters, if no piece
+holds both. No piece crosses such a cut (checked on loading), so words are encoded one by one, and each distinct word of a slice of rows once: the distinct words are sorted,
 which lays out their trie in depth-first order, and walking it keeps a stack of forward states, one for each
 character. A word starts from the states of the prefix that it shares with the word before it.
 
@@ -40,12 +40,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MARK = "▁"
-_WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 #: Rows and characters of a slice of rows, and words that are looked up at once.
 _ROWS, _CHARS, _WORDS_AT_ONCE = 1_000, 1 << 20, 1 << 16
 #: Bytes that the words kept for later slices may take, and what one takes besides its characters (a string, packed ids, a
 #: dictionary entry); pairs of pieces whose stability, and character groups whose arcs are remembered.
-_BYTES, _ENTRY, _PAIRS, _ARCS = 32 << 20, 220, 200_000, 30_000
+_BYTES, _ENTRY, _PAIRS, _ARCS = 64 << 20, 220, 200_000, 60_000
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 
@@ -114,7 +113,7 @@ class PieceModel:
         return cls(pieces, scores, kinds, trainer.get(3, 1) == 2, bool(norm.get(3, 1)), bool(norm.get(4, 1)), bool(norm.get(5, 1)), hashlib.sha256(data).hexdigest())
 
     def __getstate__(self) -> dict:
-        made = ("ids", "longest", "long_ends", "_arcs", "packed", "byte_ids", "unknown", "floor", "ends", "high", "plain", "plain_array", "is_high")
+        made = ("ids", "words", "longest", "long_ends", "arcs", "_arcs", "packed", "byte_ids", "unknown", "floor", "ends", "high", "plain", "plain_array", "is_high")
         return {k: v for k, v in self.__dict__.items() if k not in made} | {"_memo": {}, "_pairs": 0}
 
     def prepare(self) -> None:
@@ -122,6 +121,7 @@ class PieceModel:
         if hasattr(self, "ids"):
             return
         self.ids = {p: i for i, (p, k) in enumerate(zip(self.pieces, self.kinds)) if k == NORMAL}
+        self.words = self._words()
         self.longest = max(map(len, self.ids), default=1)
         self.byte_ids = [None] * 256
         for i, (p, k) in enumerate(zip(self.pieces, self.kinds)):
@@ -139,6 +139,7 @@ class PieceModel:
         for p in self.ids if self.bpe else ():
             if len(p) > 4:
                 self.long_ends[p[-4:]] = tuple(sorted({len(p), *self.long_ends.get(p[-4:], ())}, reverse=True))
+        self.arcs = [(len(p), i, p) for i, p in enumerate(self.pieces)]
         self._arcs = {}
         self.packed = [i.to_bytes(4, "little") for i in range(len(self.pieces))]
         # What each id decodes to by itself; bytes of longer characters only mean something together.
@@ -148,6 +149,31 @@ class PieceModel:
         self.plain_array = pa.array(self.plain, pa.string())
         self.is_high = np.isin(np.arange(len(self.pieces)), sorted(high))
 
+    def _words(self) -> re.Pattern[str]:
+        """Cuts a text into words: at markers, and where a character of the largest class meets one of another class.
+
+        Characters that stand side by side in a piece, not counting markers, are of one class; so no piece holds characters of two.
+        """
+        of: dict[str, str] = {}
+
+        def root(c: str) -> str:
+            while (up := of.setdefault(c, c)) != c:
+                of[c] = of[up]
+                c = up
+            return c
+
+        for p in self.ids:
+            p = p.lstrip(MARK)
+            for a, b in zip(p, p[1:]):
+                of[root(a)] = root(b)
+        classes: dict[str, list[str]] = {}
+        for c in list(of):
+            classes.setdefault(root(c), []).append(c)
+        if not classes:
+            return re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+        inner = "".join(map(re.escape, max(classes.values(), key=len)))
+        return re.compile(f"{MARK}*[{inner}]+|{MARK}*[^{inner}{MARK}]+|{MARK}+")
+
     def _plain(self, i: int) -> str:
         if self.kinds[i] == BYTE:
             return chr(int(self.pieces[i][1:-1], 16))
@@ -164,27 +190,43 @@ class PieceModel:
             text = " " + text
         return text.replace(" ", MARK) if self.escape else text
 
-    def _merged(self, text: str) -> list[str]:
-        """What the merges make of a short text: the best-scoring adjacent pair first, the leftmost among equals."""
-        parts = list(text)
+    def _keeps(self, left: str, right: str) -> bool:
+        """Whether merging the characters of both, the best-scoring adjacent pair first and the leftmost among equals, ends with these two."""
+        if left + right in self.ids:
+            return False
+        ids_get, scores = self.ids.get, self.scores
+        parts, cut = [*left, *right], len(left)
         while len(parts) > 1:
             best, at = None, -1
             for k in range(len(parts) - 1):
-                i = self.ids.get(parts[k] + parts[k + 1])
-                if i is not None and (best is None or self.scores[i] > best):
-                    best, at = self.scores[i], k
+                i = ids_get(parts[k] + parts[k + 1])
+                if i is not None and (best is None or scores[i] > best):
+                    best, at = scores[i], k
             if best is None:
                 break
+            if at == cut - 1:  # across both, which no later merge undoes
+                return False
+            cut -= at < cut
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return len(parts) == 2
+
+    def _whole(self, piece: str) -> bool:
+        """Whether merging the characters of a piece gives it."""
+        parts = list(piece)
+        while len(parts) > 1:
+            found = [(-self.scores[i], k) for k, (a, b) in enumerate(zip(parts, parts[1:])) if (i := self.ids.get(a + b)) is not None]
+            if not found:
+                return False
+            at = min(found)[1]
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+        return True
 
     def _stable(self, left: str, right: str, known: dict[int, bool]) -> bool:
         """Whether the merges leave these two pieces as they are, side by side; ``known`` keeps it for ``left``."""
         self._pairs += 1
         if self._pairs > _PAIRS:
-            self._memo.clear()
-            self._pairs = 0
-        verdict = known[self.ids[right]] = self._merged(left + right) == ([left, right] if left else [right])
+            self.forget()
+        verdict = known[self.ids[right]] = self._keeps(left, right) if left else self._whole(right)
         return verdict
 
     def encode_words(self, words: list[str]) -> Iterator[list[int]]:
@@ -232,7 +274,7 @@ class PieceModel:
     def _arcs_into(self, last: str) -> tuple:
         """Pieces that can end a place after these (at most four) characters: length, id, piece; longer ones by length alone."""
         longer = [(n, None, None) for n in self.long_ends.get(last, ())] if len(last) == 4 else []
-        short = [(n, self.ids[last[-n:]], last[-n:]) for n in range(len(last), 1, -1) if last[-n:] in self.ids]
+        short = [self.arcs[i] for n in range(len(last), 1, -1) if (i := self.ids.get(last[-n:])) is not None]
         if len(self._arcs) >= _ARCS:
             self._arcs.clear()
         found = self._arcs[last] = (*longer, *short)
@@ -262,7 +304,8 @@ class PieceModel:
                     break
             else:
                 n, piece = 1, word[end - 1]
-                so_far = stack[end - 1][2] + self._single(piece)
+                i = ids_get(piece)
+                so_far = stack[end - 1][2] + (self._single(piece) if i is None else packed[i])
             follow = memo.get(piece)
             if follow is None:
                 follow = memo[piece] = {}
@@ -337,8 +380,8 @@ class _Encoder:
             block.clear()
 
         for k, text in enumerate(normal):
-            found = _WORDS.finditer(text) if len(text) > _CHARS else None
-            while words := [m[0] for m in islice(found, _WORDS_AT_ONCE)] if found else _WORDS.findall(text):
+            found = self.model.words.finditer(text) if len(text) > _CHARS else None
+            while words := [m[0] for m in islice(found, _WORDS_AT_ONCE)] if found else self.model.words.findall(text):
                 block.append((k, words))
                 n_words += len(words)
                 if n_words >= _WORDS_AT_ONCE:

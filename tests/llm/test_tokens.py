@@ -62,3 +62,15 @@ def test_empty_clashing_and_repeated(spark, model):
 
 def test_model_file_is_read_by_spark(spark, model):
     assert sp.load_model(spark.range(1), PATH).pieces == model.pieces
+
+
+def test_words_are_cut_where_no_piece_crosses(model):
+    """Punctuation behind a word no longer makes it another word; ids stay the library's."""
+    model.prepare()
+    lib = library.SentencePieceProcessor(model_file=PATH)
+    text = "▁Word.***\nnext▁▁(a)▁x1y▁été!!▁日本"
+    words = model.words.findall(text)
+    assert "".join(words) == text and words[:3] == ["▁Word", ".***\n", "next"]
+    for t in ["Word.***\nnext  (a) x1y été!! 日本", "a.b,c;d\n\ne", "don't [x-y]^z\\", "...", "###a", "Ünß$$$ und_so"]:
+        starts, ids = sp._Encoder(model)([model.normalize(t)])
+        assert ids.tolist() == lib.encode(t) and model.decode(ids.tolist()) == t
