@@ -129,15 +129,20 @@ def link_fingerprints(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
 def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """(node, label): label is the smallest node reachable. Nodes without an edge have no row.
 
-    A round moves each node to the smallest of its neighbours and itself, and that one's, and keeps the edges between different nodes that this leaves, once each.
+    A round moves each node to the smallest of its neighbours and itself, from there on likewise to the end, and keeps the edges between different nodes that this leaves, once each.
     Two rounds at least halve the nodes with edges, and the join of edges and moves gets a row for each edge that is left, not for each edge and round.
     """
     left, moves = staged(edges.where("src <> dst").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct(), "links"), []
     for _ in range(max_rounds):
         both = left.union(left.select("dst", "src"))
         up = staged(both.groupBy(F.col("src").alias("node")).agg(F.least(F.first("src"), F.min("dst")).alias("label")), "up")
-        above = up.select(F.col("node").alias("at"), F.col("label").alias("jump"))
-        moved = staged(up.join(above, up["label"] == above["at"]).select("node", F.col("jump").alias("label")), "moved")
+        moved = up
+        for _ in range(max_rounds):  # to the end of the chain; each jump doubles its length
+            above = moved.select(F.col("node").alias("at"), F.col("label").alias("jump"))
+            jumped = staged(moved.join(above, moved["label"] == above["at"]).select("node", F.col("label").alias("old"), F.col("jump").alias("label")), "moved")
+            moved = jumped.select("node", "label")
+            if jumped.where("old <> label").isEmpty():
+                break
         moves.append(moved)
         half = staged(left.join(moved, left["src"] == moved["node"]).select(F.col("label").alias("src"), "dst"), "links-half")
         whole = half.join(moved, half["dst"] == moved["node"]).select("src", F.col("label").alias("dst")).where("src <> dst")
